@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, warc
+from . import exact_dedup, packing, piece_bpe, warc
 from .scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public vocabulary file lies; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -63,3 +70,19 @@ def op9_warc(spark, sf_dir):
     revisits = facts.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to").join(referred, "refers_to")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return responses.select(columns).unionByName(revisits.select(columns))
+
+
+@query("op1_piece_bpe")
+def op1_piece_bpe(spark, sf_dir):
+    """Encode and decode the whole of ``documents``; both digests are taken from the operator's ids and texts."""
+    path = tokenizer_file("piece_bpe_32k.model")
+    ids = piece_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, keep_text=False)
+    told = ids.withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)).withColumn("n_tokens", F.size("ids").cast("long"))
+    texts = piece_bpe.decode(told, path, keep_ids=False)
+    return texts.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op3_packing")
+def op3_packing(spark, sf_dir):
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
