@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, piece_bpe, warc
+from . import exact_dedup, language_id, packing, piece_bpe, warc
 from .scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,11 @@ def op1_piece_bpe(spark, sf_dir):
 def op3_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs)
+    found = language_id.predict(docs.select("doc_id", "text"), model, keep_text=False)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
