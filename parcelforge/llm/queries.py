@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, packing, piece_bpe, warc
+from . import exact_dedup, language_id, order_minhash, packing, piece_bpe, warc
 from .scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,15 @@ def op10_language_id(spark, sf_dir):
     model = language_id.fit(docs)
     found = language_id.predict(docs.select("doc_id", "text"), model, keep_text=False)
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_order_minhash")
+def op2_order_minhash(spark, sf_dir):
+    """Fingerprints of the whole of ``documents`` and of its edited texts."""
+    found = order_minhash.edit_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.fingerprint(F.col("signature")).alias("fingerprint"), order_minhash.fingerprint(F.col("edited_signature")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
+        order_minhash.likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+    )
