@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, order_minhash, packing, piece_bpe, warc
+from . import exact_dedup, jaccard_join, language_id, order_minhash, packing, piece_bpe, warc
 from .scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op2_order_minhash(spark, sf_dir):
         order_minhash.likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
         order_minhash.likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
     )
+
+
+@query("op6_jaccard_join")
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
