@@ -11,7 +11,7 @@ documents that adds up what is repeated within a batch, and at most ``FREQUENT``
 their own places in the order.
 
 Defined cases: null, empty and word-less texts have no shingles and link with nothing; texts of fewer than five words
-have one; a row without an id gets its size and a null component; rows of one id count as one document in links;
+have one; a row without an id gets its size and a null component; rows of one id get the least component of their texts;
 every row is returned, repeated ones too; further columns are ignored; an empty table gives no rows.
 """
 
@@ -108,8 +108,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     postings = whole.join(leaders, "node", "left_semi").select(F.col("node").alias("grp"), "size", F.posexplode("prefix").alias("place", "key"))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     found = linked_components(postings, nodes, texts, percent, width)
-    by_id = rows.join(found, "node").groupBy("id").agg(F.min("component").alias("component_id"))
-    # An id with several sets ties their components together; else this is the component itself.
+    # An id that has several sets gets the least of their components.
+    by_id = rows.join(found, "node", "left").groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     out = sets.select("id", F.col("size").cast("long").alias("n_shingles")).join(by_id, "id", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 

@@ -54,7 +54,7 @@ def overlap_bound(a: Column, b: Column, place_a: Column, place_b: Column, percen
 
 def sketch_bound(a: Column, b: Column, sketch_a: Column, sketch_b: Column, percent: int = PERCENT) -> Column:
     differing = F.aggregate(F.zip_with(sketch_a, sketch_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
-    return differing * F.lit(100 + percent) <= F.lit(100 - percent) * (a + b)
+    return F.coalesce(differing * F.lit(100 + percent) <= F.lit(100 - percent) * (a + b), F.lit(True))
 
 
 def small_side(df: DataFrame, row_bytes: int = 16) -> DataFrame:
@@ -64,7 +64,6 @@ def small_side(df: DataFrame, row_bytes: int = 16) -> DataFrame:
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """Of the pairs ``a, b`` those whose texts (``node, text``) link: exact Jaccard of their shingle sets."""
-    spark = pairs.sparkSession
     involved = materialise(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "involved")
     held = materialise(texts.join(small_side(involved, 8), "node", "left_semi").select("node", "text"), "involved-texts")
     both = pairs.join(held.toDF("b", "text_b"), "b").join(held.toDF("a", "text_a"), "a")
@@ -78,20 +77,21 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width:
                     keep.append(k)
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], ["a", "b"])
 
-    del spark
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
-    """``node, component`` (least node) for all ``nodes``.
+    """``node, component`` (least node) for every node that shares a key or a group with another.
 
     ``postings``: ``key, grp, size, place`` (where the key stands among the group's ordered elements); ``nodes``:
     ``node, grp, size, sketch``, where nodes of equal sizes and prefixes form a group named after one of them;
-    ``texts``: ``node, text``.
+    ``texts``: ``node, text``. A null sketch bounds nothing.
     """
     lists = postings.groupBy("key").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least <> most").select("key")
-    shared = materialise(postings.join(lists, "key").select("key", "grp", "size", "place"), "postings")
-    nodes = materialise(nodes, "nodes")
+    lists = materialise(lists, "shared-keys")
+    shared = materialise(postings.join(small_side(lists), "key").select("key", "grp", "size", "place"), "postings")
+    met = shared.select("grp").unionByName(nodes.where("node <> grp").select("grp")).distinct()
+    nodes = materialise(nodes.join(small_side(materialise(met, "met")), "grp", "left_semi"), "nodes")
     state = nodes.select("node", "grp", F.col("node").alias("comp"))
 
     def survivors(pairs: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-#: Tokens of a k-mer; k-mers of a tuple; seeded hashes; starting points on the ring of each.
-K, TUPLE_SIZE, ORDERS, ROTATIONS = 2, 2, 4, 16
+#: Tokens of a k-mer; k-mers of a tuple; orders, that is components of a signature.
+K, TUPLE_SIZE, ROTATIONS = 2, 2, 32
 POSITION_BITS = 24
 #: Texts of fewer characters are taken by character, as they hold too few words to tell edits apart.
 SHORT = 64
@@ -31,55 +31,69 @@ _HASH = ~_PLACE
 
 
 def _tokens(text: Column) -> Column:
-    dense = (F.octet_length(text) > 2 * F.char_length(text)) | (F.char_length(text) < SHORT)
-    words = F.split(text, r"[\x20\x09-\x0D]+")
-    return F.filter(F.when(dense, F.split(F.regexp_replace(text, r"[\x20\x09-\x0D]+", ""), "")).otherwise(words), lambda t: t != "")
+    by_character = (F.octet_length(text) > 2 * F.char_length(text)) | (F.char_length(text) < SHORT) | ~F.contains(text, F.lit(" "))
+    return F.when(by_character, F.split(text, "")).otherwise(F.split(text, " "))
+
+
+def _hash_of(element: Column) -> Column:
+    return F.shiftright(element, POSITION_BITS)
 
 
 def _element(hashed: Column, place: Column) -> Column:
     return hashed.bitwiseAND(F.lit(_HASH)).bitwiseOR(place)
 
 
-def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, tuple_size: int = TUPLE_SIZE, orders: int = ORDERS, rotations: int = ROTATIONS) -> DataFrame:
-    """Add ``out_col``, an array of ``orders * rotations`` 31-bit components (empty for a text without tokens)."""
-    words, mers, starts, numbered, rings = (f"__{out_col}_{x}" for x in ("words", "mers", "starts", "numbered", "rings"))
-    hashes = F.transform(_tokens(F.coalesce(F.col(text_col), F.lit(""))), lambda t: F.xxhash64(t))
-    df = df.withColumn(words, hashes)
-    n = F.greatest(F.size(words) - F.lit(k - 1), F.lit(1))
-    parts = lambda i: [F.coalesce(F.get(F.col(words), i + o), F.lit(0)) for o in range(k)]
-    each = F.transform(F.sequence(F.lit(0), n - 1), lambda i: _element(F.xxhash64(*parts(i)), F.least(i, F.lit(_PLACE)).cast("long")))
-    df = df.withColumn(mers, F.sort_array(F.when(F.size(words) > 0, each).otherwise(F.array().cast("array<bigint>")))).drop(words)
-    # Equal k-mers now stand together in text order: a k-mer's number is its distance from where its run starts.
-    hash_of = lambda i: F.get(F.col(mers), i).bitwiseAND(F.lit(_HASH))
-    new = F.filter(F.sequence(F.lit(0), F.greatest(F.size(mers) - 1, F.lit(0))), lambda i: (i == 0) | (hash_of(i) != hash_of(i - 1)))
-    df = df.withColumn(starts, F.when(F.size(mers) > 0, new).otherwise(F.array().cast("array<int>")))
-    end = lambda j: F.coalesce(F.get(F.col(starts), j + 1), F.size(mers))
-
-    def renumbered(seed: int) -> Column:
-        number = lambda x, o: _element(F.xxhash64(x.bitwiseAND(F.lit(_HASH)), o, F.lit(seed)), x.bitwiseAND(F.lit(_PLACE)))
-        return F.flatten(F.transform(F.col(starts), lambda s, j: F.transform(F.slice(F.col(mers), s + 1, end(j) - s), number)))
+def _steps(count: Column) -> Column:
+    """The powers of two up to ``count``, greatest first, for searching ``count`` sorted elements bit by bit."""
+    return F.filter(F.array(*(F.lit(1 << b) for b in reversed(range(31)))), lambda step: step <= count)
+
+
+def _numbered(mers: str) -> Column:
+    """Sorted elements with their k-mers numbered: the first of equal ones stays, later ones are hashed anew."""
+    same = lambda p, back: _hash_of(F.get(F.col(mers), p - back)) == _hash_of(F.get(F.col(mers), p))
+
+    def before(p: Column) -> Column:
+        # How many equal elements stand before place p: bit by bit, as equal ones stand together.
+        return F.aggregate(_steps(p), F.lit(0), lambda n, step: F.when(same(p, n + step), n + step).otherwise(n))
+
+    def number(x: Column, p: Column) -> Column:
+        repeated = _hash_of(x) == _hash_of(F.get(F.col(mers), p - 1))
+        few = F.when(~F.coalesce(same(p, 2), F.lit(False)), 1).when(~F.coalesce(same(p, 3), F.lit(False)), 2).otherwise(before(p))
+        return F.when(repeated, _element(F.xxhash64(_hash_of(x), few), x.bitwiseAND(F.lit(_PLACE)))).otherwise(x)
 
+    return F.transform(F.col(mers), number)
+
+
+def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, tuple_size: int = TUPLE_SIZE, rotations: int = ROTATIONS) -> DataFrame:
+    """Add ``out_col``, an array of ``rotations`` 31-bit components (empty for a text without tokens)."""
+    words, mers, ring, steps, at = (f"__{out_col}_{x}" for x in ("words", "mers", "ring", "steps", "at"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    place = lambda i: F.least(i, F.lit(_PLACE)).cast("long")
+    if k == 1:
+        packed = F.transform(_tokens(text), lambda t, i: _element(F.xxhash64(t), place(i)))
+    else:
+        df = df.withColumn(words, F.transform(_tokens(text), lambda t: F.xxhash64(t)))
+        packed = F.transform(F.col(words), lambda h, i: _element(F.xxhash64(h, *(F.get(F.col(words), i + o) for o in range(1, k))), place(i)))
+    df = df.withColumn(mers, F.sort_array(F.when(text == "", F.array().cast("array<bigint>")).otherwise(packed))).drop(words)
+    df = df.withColumn(ring, F.sort_array(_numbered(mers))).drop(mers)
     step = (1 << 64) // rotations
-    points = [-(1 << 63) + step * j for j in range(rotations)]
-    names = [f"{numbered}{g}" for g in range(orders)]
-    df = df.withColumns({name: F.sort_array(renumbered(g)) for g, name in enumerate(names)}).drop(mers, starts)
-    # With the starting points sorted in, a point's place less the points before it tells how many elements precede it.
-    rung = [f"{rings}{g}" for g in range(orders)]
-    df = df.withColumns({r: F.sort_array(F.concat(F.col(name), F.array(*map(F.lit, points)))) for r, name in zip(rung, names, strict=True)})
-    firsts = {f"{r}_at": F.array(*((F.array_position(F.col(r), p) - (j + 1)).cast("int") for j, p in enumerate(points))) for r in rung}
-    df = df.withColumns(firsts).drop(*rung)
-
-    def components(name: str, r: str) -> Column:
-        size = F.size(name)
-        taken = lambda at: F.transform(F.sequence(F.lit(0), F.least(F.lit(tuple_size), size) - 1), lambda o: F.get(F.col(name), F.pmod(at + o, size)))
-        turned = lambda x: F.shiftleft(x.bitwiseAND(F.lit(_PLACE)), 64 - POSITION_BITS).bitwiseOR(F.shiftrightunsigned(x, POSITION_BITS))
-        low = lambda x: x.bitwiseAND(F.lit((1 << (64 - POSITION_BITS)) - 1))
-        in_order = lambda at: F.transform(F.array_sort(F.transform(taken(at), turned)), low)
-        return F.transform(F.col(f"{r}_at"), lambda at: F.xxhash64(in_order(at)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-
-    flat = F.concat(*(components(name, r) for name, r in zip(names, rung, strict=True)))
-    out = F.when(F.size(names[0]) > 0, flat).otherwise(F.array().cast("array<int>"))
-    return df.withColumn(out_col, out).drop(*names, *(f"{r}_at" for r in rung))
+    points = F.array(*(F.lit(-(1 << 63) + step * j) for j in range(rotations)))
+    element = lambda i: F.get(F.col(ring), i)
+
+    def preceding(point: Column) -> Column:
+        """How many elements are less than the point: bit by bit, as they are sorted."""
+        return F.aggregate(F.col(steps), F.lit(0), lambda n, step: F.when(element(n + step - 1) < point, n + step).otherwise(n))
+
+    df = df.withColumn(steps, _steps(F.size(ring))).withColumn(at, F.transform(points, preceding)).drop(steps)
+    size = F.size(ring)
+    turned = lambda x: F.shiftleft(x.bitwiseAND(F.lit(_PLACE)), 64 - POSITION_BITS).bitwiseOR(F.shiftrightunsigned(x, POSITION_BITS))
+    low = lambda x: x.bitwiseAND(F.lit((1 << (64 - POSITION_BITS)) - 1))
+
+    def component(first: Column) -> Column:
+        taken = F.transform(F.sequence(F.lit(0), F.least(F.lit(tuple_size), size) - 1), lambda o: turned(element((first + o) % size)))
+        return F.xxhash64(F.transform(F.sort_array(taken), low)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+
+    return df.withColumn(out_col, F.when(size > 0, F.transform(F.col(at), component)).otherwise(F.array().cast("array<int>"))).drop(ring, at)
 
 
 def fingerprint(components: Column) -> Column:

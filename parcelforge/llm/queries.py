@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, language_id, order_minhash, packing, piece_bpe, warc
+from . import exact_dedup, jaccard_join, language_id, order_minhash, packing, paragraph_dedup, piece_bpe, warc
 from .scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,9 @@ def op2_order_minhash(spark, sf_dir):
 @query("op6_jaccard_join")
 def op6_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark, sf_dir):
+    """Every passage of 50 words or more that another document (or place) keeps, over the whole of ``documents``."""
+    return paragraph_dedup.repeated_passages(table(spark, sf_dir, "documents"))
