@@ -66,7 +66,7 @@ def _numbered(mers: str) -> Column:
 
 def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, tuple_size: int = TUPLE_SIZE, rotations: int = ROTATIONS) -> DataFrame:
     """Add ``out_col``, an array of ``rotations`` 31-bit components (empty for a text without tokens)."""
-    words, mers, ring, steps, at = (f"__{out_col}_{x}" for x in ("words", "mers", "ring", "steps", "at"))
+    words, mers, ring, at = (f"__{out_col}_{x}" for x in ("words", "mers", "ring", "at"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     place = lambda i: F.least(i, F.lit(_PLACE)).cast("long")
     if k == 1:
@@ -80,20 +80,25 @@ def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, tuple_size
     points = F.array(*(F.lit(-(1 << 63) + step * j) for j in range(rotations)))
     element = lambda i: F.get(F.col(ring), i)
 
-    def preceding(point: Column) -> Column:
-        """How many elements are less than the point: bit by bit, as they are sorted."""
-        return F.aggregate(F.col(steps), F.lit(0), lambda n, step: F.when(element(n + step - 1) < point, n + step).otherwise(n))
+    def preceding(steps: Column) -> Column:
+        """How many elements are less than each point: bit by bit, as they are sorted."""
+        return F.transform(points, lambda point: F.aggregate(steps, F.lit(0), lambda n, step: F.when(element(n + step - 1) < point, n + step).otherwise(n)))
 
-    df = df.withColumn(steps, _steps(F.size(ring))).withColumn(at, F.transform(points, preceding)).drop(steps)
+    # The steps are handed over in an array of one, so that they are made once for a text.
+    df = df.withColumn(at, F.flatten(F.transform(F.array(_steps(F.size(ring))), preceding)))
     size = F.size(ring)
-    turned = lambda x: F.shiftleft(x.bitwiseAND(F.lit(_PLACE)), 64 - POSITION_BITS).bitwiseOR(F.shiftrightunsigned(x, POSITION_BITS))
-    low = lambda x: x.bitwiseAND(F.lit((1 << (64 - POSITION_BITS)) - 1))
-
-    def component(first: Column) -> Column:
-        taken = F.transform(F.sequence(F.lit(0), F.least(F.lit(tuple_size), size) - 1), lambda o: turned(element((first + o) % size)))
-        return F.xxhash64(F.transform(F.sort_array(taken), low)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-
-    return df.withColumn(out_col, F.when(size > 0, F.transform(F.col(at), component)).otherwise(F.array().cast("array<int>"))).drop(ring, at)
+    nth = lambda o: F.transform(F.col(at), lambda first: element((first + o) % size))
+    place_of = lambda x: x.bitwiseAND(F.lit(_PLACE))
+    if tuple_size == 2:
+        pair = lambda a, b: F.when(place_of(a) <= place_of(b), F.xxhash64(_hash_of(a), _hash_of(b))).otherwise(F.xxhash64(_hash_of(b), _hash_of(a)))
+        hashed = F.zip_with(nth(0), nth(F.least(F.lit(1), size - 1)), pair)
+    else:
+        turned = lambda x: F.shiftleft(place_of(x), 64 - POSITION_BITS).bitwiseOR(F.shiftrightunsigned(x, POSITION_BITS))
+        low = lambda x: x.bitwiseAND(F.lit((1 << (64 - POSITION_BITS)) - 1))
+        taken = lambda first: F.transform(F.sequence(F.lit(0), F.least(F.lit(tuple_size), size) - 1), lambda o: turned(element((first + o) % size)))
+        hashed = F.transform(F.col(at), lambda first: F.xxhash64(F.transform(F.sort_array(taken(first)), low)))
+    components = F.transform(hashed, lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    return df.withColumn(out_col, F.when(size > 0, components).otherwise(F.array().cast("array<int>"))).drop(ring, at)
 
 
 def fingerprint(components: Column) -> Column:
