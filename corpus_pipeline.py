@@ -1,10 +1,65 @@
-"""The corpus pipeline: language ID, exact dedup, n-gram Jaccard join, substring dedup, packing."""
+"""The corpus pipeline: language ID, exact dedup, n-gram Jaccard join, substring dedup, packing.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before kept; all but the last return the
+columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from parcelforge.llm import exact_dedup, jaccard_join, language_id, packing, paragraph_dedup
+from parcelforge.llm.queries import tokenizer_file
+from parcelforge.llm.scratch import materialise
+
+#: A document whose best language scores less is rejected: at 0.5 the deciding machine is on its margin's wrong side.
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labels teach; texts without letters or without a clear language go."""
+    predicted = language_id.predict(docs, language_id.fit(docs))
+    sure = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    return predicted.where(sure).select(docs.columns)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (A-Z lower-cased) the document with the largest id."""
+    return exact_dedup.keep_first_copies(docs, exact_dedup.DigestIndex(spark))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a shingle Jaccard of 0.8 or more, directly or through others, the one of the least id."""
+    return jaccard_join.keep_one_of_each(docs)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 words or more that another document keeps."""
+    passages = materialise(paragraph_dedup.repeated_passages(docs), "passages")
+    cut = paragraph_dedup.without_passages(docs, passages)
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else cut
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences of at most 2048 tokens."""
+    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_exact_copies),
+    ("jaccard_join", drop_near_copies),
+    ("substring_dedup", cut_repeated_passages),
+    ("packing", pack_sequences),
+]
+#: The language model and the packing can't be said in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each one's result written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
