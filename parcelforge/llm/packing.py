@@ -12,7 +12,8 @@ taken whole; further columns are ignored; an empty table gives no pieces.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .piece_bpe import WordMemory, per_text_counts, text_slices
+from .piece_bpe import text_slices
 from .scratch import new_path
+from .shingles import span_hashes
 
 SEQUENCE = 2048
 OPEN_WINDOWS = 16
@@ -30,29 +32,122 @@ MERGED_PARTITIONS = 512
 PIECES = "id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, window bigint, offset bigint, part bigint, leftover boolean"
 
 
-def word_tokenizer(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
-    """Ids and counts for texts by a tokenizers file that treats words set apart by white space alone."""
-    from tokenizers import Tokenizer
+# Classes of bytes: white space, letters, digits, other characters, and what is never parted from its neighbours (the
+# apostrophe, which begins contractions, and bytes of characters that aren't known to be letters).
+_SPACE, _LETTER, _DIGIT, _OTHER, _TIED = range(5)
+_CLASS = np.full(256, _TIED, np.uint8)
+_CLASS[:128] = [_LETTER if chr(c).isalpha() else _DIGIT if chr(c).isdigit() else _OTHER for c in range(128)]
+_CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_CLASS[ord("'")] = _TIED
+#: Second bytes of the Latin-1 letters, of which all but the signs for times and divided by are letters.
+_LATIN = np.zeros(256, bool)
+_LATIN[[c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)]] = True
+#: Units whose ids a worker remembers before it starts anew; about 100 MB.
+REMEMBERED_UNITS = 2_000_000
 
-    tokenizer = Tokenizer.from_file(path)
 
-    def words(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [x.ids for x in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for x in found for i in x), np.int32, int(counts.sum())), counts
+class UnitTokenizer:
+    """Ids of whole texts by a tokenizers file whose words are split at white space and between letters, digits and
+    other characters, whatever the case of A-Z. Each distinct unit is given to the library once."""
 
-    memory = WordMemory(words)
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-    def texts(part: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        split, sizes = [], []
-        for text in part:
-            found = [w for w in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if w]
-            split += found
-            sizes.append(len(found))
-        flat, each = memory.ids(split)
-        return flat, per_text_counts(each, sizes)
+        self.tokenizer = Tokenizer.from_file(path)
+        # Lower-case Latin letters need neither normalising nor splitting by patterns, which take most of the time.
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.clear()
 
-    return texts
+    def clear(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.starts, self.counts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def encode(self, units: list[bytes], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units and their counts. ``plain``: units of letters alone, which end where a piece that closes a
+        word stands and so can be encoded together."""
+        counts, parts = np.zeros(len(units), np.int64), [np.zeros(0, np.int32)]
+        at = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))
+        together = at[: int(plain.sum())]
+        if len(together):
+            text = b" ".join([units[k] for k in together]).decode().lower()
+            ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            assert len(ends) == len(together), "units of letters alone must be one word each"
+            counts[together] = np.diff(ends, prepend=0)
+            parts.append(ids)
+        rest = [x.ids for x in self.tokenizer.encode_batch_fast([units[k].decode() for k in at[len(together) :]], add_special_tokens=False)]
+        counts[at[len(together) :]] = [len(x) for x in rest]
+        flat = np.concatenate([*parts, np.fromiter((i for x in rest for i in x), np.int32, sum(map(len, rest)))])
+        first = np.zeros(len(units), np.int64)
+        first[at] = np.cumsum(counts[at]) - counts[at]
+        return flat[_places(first, counts)], counts
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and the count of each text."""
+        whole = [k for k, t in enumerate(texts) if any(x in t for x in self.specials)]
+        found = self.split([*texts] if not whole else ["" if k in set(whole) else t for k, t in enumerate(texts)])
+        if not whole:
+            return found
+        flat, counts = found
+        pieces = np.split(flat, np.cumsum(counts)[:-1])
+        for k in whole:
+            pieces[k] = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.int32)
+        return np.concatenate(pieces), np.array([len(x) for x in pieces], np.int64)
+
+    def split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        raw = [t.encode("utf-8", "replace") for t in texts]
+        data = b" ".join([*raw, b""])
+        code = np.frombuffer(data, np.uint8)
+        kind = _CLASS[code]
+        latin = np.flatnonzero((code[:-1] == 0xC3) & _LATIN[code[1:]])
+        kind[latin] = kind[latin + 1] = _LETTER
+        before, now = kind[:-1], kind[1:]
+        cut = np.concatenate(([True], (before != now) & ((before == _SPACE) | (now == _SPACE) | ((before != _TIED) & (now != _TIED)))))
+        starts = np.flatnonzero(cut & (kind != _SPACE))
+        ends = np.append(np.flatnonzero(cut), len(code))
+        ends = ends[np.searchsorted(ends, starts, "right")]
+        keys = span_hashes(code, starts, ends)
+        bases = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)))
+        firsts = np.searchsorted(starts, bases)
+        new, sample = np.unique(keys, return_index=True)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, new), len(self.keys) - 1)
+            unseen = self.keys[at] != new
+            new, sample = new[unseen], sample[unseen]
+        if len(new):
+            if len(self.keys) > REMEMBERED_UNITS:
+                self.clear()
+                new, sample = np.unique(keys, return_index=True)
+            units = [data[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
+            odd = np.concatenate(([0], np.cumsum(kind != _LETTER)))
+            flat, counts = self.encode(units, odd[ends[sample]] == odd[starts[sample]])
+            place = np.searchsorted(self.keys, new)
+            self.starts = np.insert(self.starts, place, len(self.flat) + np.cumsum(counts) - counts)
+            self.counts = np.insert(self.counts, place, counts)
+            self.keys = np.insert(self.keys, place, new)
+            self.flat = np.concatenate((self.flat, flat))
+        at = np.searchsorted(self.keys, keys)
+        counts = self.counts[at]
+        total = np.concatenate(([0], np.cumsum(counts)))
+        return self.flat[_places(self.starts[at], counts)], np.diff(total[firsts])
+
+
+def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places ``starts[k]`` to ``starts[k] + counts[k] - 1`` for every k, end to end."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + counts, counts)
+
+
+@cache
+def word_tokenizer(path: str) -> UnitTokenizer:
+    """One for each worker process and file, so what it remembers serves all tasks there."""
+    return UnitTokenizer(path)
 
 
 class Packer:

@@ -57,6 +57,13 @@ class Words:
     bases: np.ndarray  # first byte of each text
 
 
+def span_hashes(code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the stretches of bytes from ``starts`` to ``ends``, A-Z as a-z."""
+    power, inverse = _base_powers(len(code) + 1)
+    total = np.concatenate((np.zeros(1, _U), np.cumsum(_VALUE[code] * power[: len(code)], dtype=_U)))
+    return mix((total[ends] - total[starts]) * inverse[starts])
+
+
 def words_of(texts: list[str]) -> Words:
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = b" ".join([*raw, b""])
@@ -64,9 +71,7 @@ def words_of(texts: list[str]) -> Words:
     space = _SPACE[code]
     before = np.concatenate(([True], space[:-1])) if len(code) else space
     starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-    power, inverse = _base_powers(len(code) + 1)
-    total = np.concatenate((np.zeros(1, _U), np.cumsum(_VALUE[code] * power[: len(code)], dtype=_U)))
-    hashes = mix((total[ends] - total[starts]) * inverse[starts])
+    hashes = span_hashes(code, starts, ends)
     bases = np.concatenate((np.zeros(1, np.int64), np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)))
     return Words(data, hashes, starts, ends, np.searchsorted(starts, bases), bases[:-1])
 
