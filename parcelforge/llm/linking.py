@@ -1,7 +1,7 @@
 """Components of verified links among texts that share keys, without all pairs of a key's group.
 
 ``postings`` says which nodes hold which key. Two nodes can be linked only if they share a key. Hub rounds try every
-node of a key against two hubs chosen at random for that key, which is linear in the postings; a last round tries all
+node of a key against two hubs chosen at random for that key, which is linear in the postings, and verify for each node the nearest by sketch; a last round tries all
 that is left: pairs of a key whose nodes still lie in different components. Before texts are fetched, pairs must pass
 a size bound, a bound from where the shared key stands among their ordered elements, and a parity-sketch bound, all of
 which every link passes. So each link between nodes of different components is verified, and none is lost.
@@ -52,8 +52,11 @@ def overlap_bound(a: Column, b: Column, place_a: Column, place_b: Column, percen
     return most * F.lit(100 + percent) >= F.lit(percent) * (a + b)
 
 
-def sketch_bound(a: Column, b: Column, sketch_a: Column, sketch_b: Column, percent: int = PERCENT) -> Column:
-    differing = F.aggregate(F.zip_with(sketch_a, sketch_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+def differing_bits(one: Column, other: Column) -> Column:
+    return F.aggregate(F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+
+
+def sketch_bound(a: Column, b: Column, differing: Column, percent: int = PERCENT) -> Column:
     return F.coalesce(differing * F.lit(100 + percent) <= F.lit(100 - percent) * (a + b), F.lit(True))
 
 
@@ -80,27 +83,33 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
+def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH, hub_rounds: int = HUB_ROUNDS, repeated_keys: bool = False) -> DataFrame:
     """``node, component`` (least node) for every node that shares a key or a group with another.
 
     ``postings``: ``key, grp, size, place`` (where the key stands among the group's ordered elements); ``nodes``:
     ``node, grp, size, sketch``, where nodes of equal sizes and prefixes form a group named after one of them;
-    ``texts``: ``node, text``. A null sketch bounds nothing.
+    ``texts``: ``node, text``. A null sketch bounds nothing. ``repeated_keys``: whether a key
+    may be posted for one group more than once.
     """
-    lists = postings.groupBy("key").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least <> most").select("key")
-    lists = materialise(lists, "shared-keys")
-    shared = materialise(postings.join(small_side(lists), "key").select("key", "grp", "size", "place"), "postings")
+    several = F.min("grp") != F.max("grp") if repeated_keys else F.count(F.lit(1)) > 1
+    lists = postings.groupBy("key").agg(several.alias("several")).where("several").select("key")
+    shared = materialise(postings.join(lists.hint("merge"), "key").select("key", "grp", "size", "place"), "postings")
     met = shared.select("grp").unionByName(nodes.where("node <> grp").select("grp")).distinct()
     nodes = materialise(nodes.join(small_side(materialise(met, "met")), "grp", "left_semi"), "nodes")
     state = nodes.select("node", "grp", F.col("node").alias("comp"))
 
-    def survivors(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs across components that pass the size and sketch bounds."""
+    def survivors(pairs: DataFrame, nearest: bool) -> DataFrame:
+        """Distinct pairs across components that pass the size and sketch bounds; for each ``a`` all, or the nearest
+        by sketch (the others are left to later rounds, should they still lie apart)."""
         held = nodes.join(state.select("node", "comp"), "node").select("node", "comp", "size", "sketch")
         a, b = (held.select(*(F.col(c).alias(f"{c}_{side}") for c in held.columns)) for side in "ab")
         both = pairs.distinct().join(a, F.col("a") == F.col("node_a")).join(b, F.col("b") == F.col("node_b"))
         c = F.col
-        return materialise(both.where((c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent) & sketch_bound(c("size_a"), c("size_b"), c("sketch_a"), c("sketch_b"), percent)).select("a", "b", "comp_a", "comp_b"), "pairs")
+        close = both.where((c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent)).withColumn("bits", differing_bits(c("sketch_a"), c("sketch_b")))
+        passed = close.where(sketch_bound(c("size_a"), c("size_b"), c("bits"), percent)).select("a", "bits", "b", "comp_a", "comp_b")
+        if nearest:
+            passed = passed.groupBy("a", "comp_a").agg(F.min(F.struct("bits", "b", "comp_b")).alias("best")).select("a", "best.b", "comp_a", "best.comp_b")
+        return materialise(passed.select("a", "b", "comp_a", "comp_b"), "pairs")
 
     def merged(pairs: DataFrame) -> DataFrame:
         """The state after the pairs that link have been merged."""
@@ -109,19 +118,16 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, p
         roots = connected_components(edges).select(F.col("node").alias("comp"), F.col("component").alias("root"))
         return materialise(state.join(roots, "comp", "left").select("node", "grp", F.coalesce("root", "comp").alias("comp")), "state")
 
-    def ordered(one: Column, other: Column) -> list[Column]:
-        return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
-
     for k in range(hub_rounds):
         # Components of groups: two of a key's groups, or two nodes of a group, may still lie apart.
         tagged = shared.join(state.where("node = grp").select("grp", "comp"), "grp")
         mask = F.xxhash64("key", F.lit(k))
         hubs = tagged.groupBy("key").agg(F.min(F.col("grp").bitwiseXOR(mask)).alias("one"), F.max(F.col("grp").bitwiseXOR(mask)).alias("two"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
         tried = tagged.join(hubs, "key").select("grp", F.explode(F.array(F.col("one").bitwiseXOR(mask), F.col("two").bitwiseXOR(mask))).alias("hub")).where("grp <> hub")
-        pairs = tried.select(*ordered(F.col("grp"), F.col("hub")))
+        pairs = tried.select(F.col("grp").alias("a"), F.col("hub").alias("b"))
         if k == 0:
-            pairs = pairs.unionByName(state.where("node <> grp").select(*ordered(F.col("node"), F.col("grp"))))
-        state = merged(survivors(pairs))
+            pairs = pairs.unionByName(state.where("node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b")))
+        state = merged(survivors(pairs, nearest=True))
     members = shared.join(state, "grp").select("key", "node", "comp", "size", "place")
     # Nodes of one group share all its keys: the group's name serves as one more key.
     alone = nodes.where("node <> grp").select("grp").distinct()
@@ -133,5 +139,5 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, p
     c = F.col
     met = (a["key"] == b["key"]) & (c("node_a") < c("node_b")) & (c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent) & overlap_bound(c("size_a"), c("size_b"), c("place_a"), c("place_b"), percent)
     rest = a.join(b, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    state = merged(survivors(rest))
+    state = merged(survivors(rest, nearest=False))
     return state.select("node", F.col("comp").alias("component"))

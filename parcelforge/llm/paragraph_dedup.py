@@ -2,7 +2,7 @@
 
 A paragraph is a stretch between two content-defined places: words whose pair hash is the least of ``WINDOW``
 consecutive ones, so a passage of twice that many words holds whole paragraphs wherever it stands in a document.
-``BANDS`` bands of one minimum each find a pair of similarity 0.8 with a probability of 1 - 0.2**3 = 99.2 percent, and
+``BANDS`` bands of one minimum each find a pair of similarity 0.8 with a probability of 1 - 0.2**2 = 96 percent (0.9: 99), and
 equal paragraphs always. Colliding paragraphs are joined and verified by the exact Jaccard similarity of their
 shingles (see ``linking``); each component keeps its first occurrence (least document, then place) and the others are
 removals. Neighbouring removals with neighbouring kept copies form a run, whose ends are moved outwards word by word
@@ -30,7 +30,7 @@ from .scratch import materialise
 from .shingles import SLICE_CHARS, WIDTH, mix, shingle_hashes, words_of
 
 WINDOW = 24
-BANDS = 3
+BANDS = 2
 MIN_WORDS = 50
 MIN_SHINGLES = 4
 #: Characters on either side of a run that are compared with the kept copy's surroundings.
@@ -127,7 +127,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     place = F.struct("id", "idx", "start", "end")
     same = materialise(found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")), "digests")
     nodes = same.select(F.col("digest").alias("node"), F.col("digest").alias("grp"), "size", F.lit(None).cast("array<bigint>").alias("sketch"))
-    linked = linked_components(postings, nodes, _texts_of(found, docs, id_col, text_col), percent)
+    linked = linked_components(postings, nodes, _texts_of(found, docs, id_col, text_col), percent, repeated_keys=True)
     tagged = same.join(linked, same["digest"] == linked["node"], "left").select("digest", F.coalesce("component", "digest").alias("cluster"), "n")
     several = tagged.groupBy("cluster").agg(F.sum("n").alias("copies")).where("copies > 1").select("cluster")
     clusters = materialise(tagged.join(several, "cluster").select("digest", "cluster"), "clusters")
