@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, language_id, order_minhash, packing, paragraph_dedup, piece_bpe, warc
+from . import exact_dedup, html_layout, jaccard_join, language_id, license_rules, order_minhash, packing, paragraph_dedup, piece_bpe, warc
 from .scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,17 @@ def op6_jaccard_join(spark, sf_dir):
 def op8_substring_dedup(spark, sf_dir):
     """Every passage of 50 words or more that another document (or place) keeps, over the whole of ``documents``."""
     return paragraph_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op4_html_layout")
+def op4_html_layout(spark, sf_dir):
+    """The visible text of every page."""
+    found = html_layout.extract(table(spark, sf_dir, "pages").select("page_id", "html"), keep_html=False)
+    return found.select("page_id", "text", F.char_length("text").cast("long").alias("text_chars"))
+
+
+@query("op7_license_rules", license_rules.oracle())
+def op7_license_rules(spark, sf_dir):
+    """The licences that documents state, over whole texts."""
+    found = license_rules.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.size("licence_ids").cast("long").alias("n_sentences"), F.array_join("licence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
