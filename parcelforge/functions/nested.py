@@ -84,7 +84,7 @@ def flatten(df: DataFrame, columns: list[str] | None = None, list_width: int = 3
     return df.select(*(x for f in df.schema.fields for x in (walk(F.col(f.name), f.dataType, f.name, True) if f.name in chosen else [F.col(f.name)])))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def literal_to_json(text: pd.Series) -> pd.Series:
     """Any Python literal as JSON; null for blank text and for what isn't a literal."""
 

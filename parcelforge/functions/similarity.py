@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import re
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import digit_groups
 
@@ -21,6 +23,7 @@ ENTITY_THRESHOLD = 75
 NAME_THRESHOLD = 85
 
 
+@lru_cache(maxsize=1 << 16)
 def ratio(a: str, b: str) -> int:
     if a == b:
         return 100
@@ -46,17 +49,17 @@ def token_set_of(a: str, b: str) -> int:
     return max(*(ratio(both, x) for x in (left, right) if both), ratio(left, right), 0)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_sort_of(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="int32")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_of(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="int32")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """The better of the two ratios."""
     return pd.Series([max(token_sort_of(x or "", y or ""), token_set_of(x or "", y or "")) for x, y in zip(a, b, strict=True)], dtype="int32")

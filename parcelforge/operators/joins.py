@@ -9,6 +9,7 @@ from .dedupe import keep_first
 
 #: The largest product of list lengths that ``product`` makes.
 MOST_COMBINATIONS = 1_000_000
+MOST_LITERALS = 1_000
 
 
 def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, suffixes: tuple[str, str] = ("_left", "_right"), null_safe: bool = False) -> DataFrame:
@@ -38,12 +39,11 @@ def with_count(df: DataFrame, counts: DataFrame, key: str, name: str = "n") -> D
 def product(a: DataFrame, b: DataFrame) -> DataFrame:
     """Every combination of two short lists, such as districts and types.
 
-    The second list is checked to be short and goes to the rows of the first as an array.
+    The second list is checked to be short and goes to the rows of the first as an array of literals.
     """
-    rows = a.count() * b.count()
-    if rows > MOST_COMBINATIONS:
-        raise ValueError(f"{rows} combinations; both lists must be short")
-    items = b.select(F.struct(*b.columns)).collect()
-    names = b.schema
-    made = F.from_json(F.lit(b.sparkSession.createDataFrame([r[0] for r in items], names).toPandas().to_json(orient="records")), f"array<{names.simpleString()}>") if items else F.array().cast(f"array<{names.simpleString()}>")
+    rows, items = a.count(), b.limit(MOST_LITERALS + 1).collect()
+    if len(items) > MOST_LITERALS or rows * len(items) > MOST_COMBINATIONS:
+        raise ValueError(f"{rows} by {len(items)} or more combinations; both lists must be short")
+    kind = f"array<{b.schema.simpleString()}>"
+    made = F.array(*(F.struct(*(F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in b.schema.fields)) for r in items)).cast(kind)
     return a.withColumn("__item", F.explode(made)).select(*a.columns, "__item.*")

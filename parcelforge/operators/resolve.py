@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import or_empty, year_of
 from ..functions.similarity import ENTITY_THRESHOLD, NAME_THRESHOLD, building_score, name_ratio
 from ..functions.text import id_in_address, normal_address, normal_name
+from ..sources.shared import written
 from .aggregates import best_of_each
 
 RARE = 2
@@ -85,14 +86,14 @@ def consolidate(masters: DataFrame, listed: DataFrame, detailed: DataFrame, thre
     def matched(rows: DataFrame, entities: DataFrame) -> DataFrame:
         place = entities.select("building_key", F.struct("stage", "seq").alias("place"), *(x for x in ("normalized_name", "normalized_address", "district")))
         ordered = place.withColumn("order", c("place.stage") * F.lit(1 << 40) + c("place.seq"))
-        return fuzzy_best(rows.withColumn("row", c("seq")), ordered, "row", "building_key", "order", threshold)
+        return written(fuzzy_best(rows.withColumn("row", c("seq")), ordered, "row", "building_key", "order", threshold), "matched")
 
     def fresh(rows: DataFrame, found: DataFrame, stage: int) -> DataFrame:
         left = rows.join(found.select(c("row").alias("seq")), "seq", "left_anti").withColumnsRenamed({"own_key": "building_key"})
         return _once(left).withColumn("stage", F.lit(stage))
 
     found_md = matched(md, base)
-    with_md = base.unionByName(fresh(md, found_md, 1))
+    with_md = written(base.unionByName(fresh(md, found_md, 1)), "entities")
     found_cn = matched(cn, with_md)
     entities = with_md.unionByName(fresh(cn, found_cn, 2))
 
@@ -104,7 +105,7 @@ def consolidate(masters: DataFrame, listed: DataFrame, detailed: DataFrame, thre
     out = entities.join(latest(md, found_md, "midland"), "building_key", "left").join(latest(cn, found_cn, "centanet"), "building_key", "left")
     both = F.map_from_arrays(F.array(F.lit("midland"), F.lit("centanet")), F.array("midland", "centanet"))
     matches = F.map_filter(both, lambda k, v: v.isNotNull())
-    return out.select(*ENTITY, "stage", "seq", matches.alias("matches"), "original_record")
+    return written(out.select(*ENTITY, "stage", "seq", matches.alias("matches"), "original_record"), "consolidated")
 
 
 def flat_entities(entities: DataFrame) -> DataFrame:
@@ -151,7 +152,7 @@ def enrich(transactions: DataFrame, entities: DataFrame, key: str, id_col: str,
     pairs = candidate_pairs(names.withColumn("name", F.col("normalized_name")), e, "name", "building_key")
     scored = pairs.join(e.select("building_key", "order", "grade", "year_built", F.col("normalized_name").alias("other")), "building_key")
     scored = scored.select("name", "building_key", "order", "grade", "year_built", name_ratio("name", "other").cast("double").alias("confidence"))
-    best = best_of_each(scored, ["name"], "confidence", "order", threshold)
+    best = written(best_of_each(scored, ["name"], "confidence", "order", threshold), "by-name")
     by_name = best.select(F.col("name").alias("__name"), *(F.col(f).alias(f"n_{f}") for f in fields))
     joined = first.withColumn("__name", F.when(F.col("building_key").isNull(), normal_name(F.col(name_col)))).join(by_name, "__name", "left")
     pick = lambda f: F.coalesce(F.col(f), F.col(f"n_{f}"))

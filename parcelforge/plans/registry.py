@@ -2,41 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import relational, resolution, values  # noqa: F401  registering
+from .register import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Register the decorated ``(spark, sf_dir) -> DataFrame`` under ``name``."""
-
-    def register(function):
-        QUERIES[name] = function
-        if sql:
-            ORACLES[name] = sql
-        return function
-
-    return register
-
-
-from pyspark.sql import functions as F  # noqa: E402
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query(
-    "price_metrics",
-    """SELECT l.*, p.*, CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END AS price_per_sqft,
-       CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END - p_retailprice AS price_variance
-       FROM lineitem l LEFT JOIN part p ON l.l_partkey IS NOT DISTINCT FROM p.p_partkey""",
-)
-def price_metrics(spark, sf_dir):
-    lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    joined = lines.join(parts, lines.l_partkey.eqNullSafe(parts.p_partkey), "left")
-    unit = F.try_divide("l_extendedprice", "l_quantity")
-    return joined.withColumn("price_per_sqft", unit).withColumn("price_variance", unit - F.col("p_retailprice"))
+__all__ = ["ORACLES", "QUERIES"]
