@@ -23,18 +23,19 @@ from .shingles import WIDTH, mix, shingle_sets
 #: Jaccard similarity of links, in percent.
 PERCENT = 80
 HUB_ROUNDS = 2
-#: Longs of a parity sketch.
+#: Longs of the smallest parity sketch.
 SKETCH_LONGS = 16
 
 
 def parity_sketch(elements: np.ndarray) -> np.ndarray:
-    """``SKETCH_LONGS`` longs whose bits are the parities of the elements that fall on them.
+    """Longs whose bits are the parities of the elements that fall on them, at least twice as many bits as elements.
 
-    Sketches of two sets differ in no more bits than the sets differ in elements.
+    Sketches of two sets differ in no more bits than the sets differ in elements. One of twice the length is compared
+    after its halves have been laid over each other.
     """
-    bits = SKETCH_LONGS * 64
-    odd = (np.bincount((mix(elements ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
-    return np.packbits(odd).view("<i8")
+    bits = max(SKETCH_LONGS * 64, 1 << (2 * len(elements) - 1).bit_length() if len(elements) else 0)
+    place = mix(elements ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(bits - 1)
+    return np.packbits((np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view("<i8")
 
 
 def prefix_length(size: int, percent: int = PERCENT) -> int:
@@ -53,6 +54,10 @@ def overlap_bound(a: Column, b: Column, place_a: Column, place_b: Column, percen
 
 
 def differing_bits(one: Column, other: Column) -> Column:
+    """Null for sketches of other lengths than one or two times each other's, which no linked sets have."""
+    folded = lambda x: F.zip_with(F.slice(x, F.lit(1), (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2 + 1).cast("int"), (F.size(x) / 2).cast("int")), lambda p, q: p.bitwiseXOR(q))
+    even = lambda x, y: F.when(F.size(x) == F.size(y), x).when(F.size(x) == 2 * F.size(y), folded(x)).when(2 * F.size(x) == F.size(y), x)
+    one, other = even(one, other), even(other, one)
     return F.aggregate(F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
 
 
