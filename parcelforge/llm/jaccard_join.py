@@ -102,7 +102,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     named = materialise(same.join(grouped, ["prefix_digest", "size"]).select("set_digest", "node", "grp"), "named")
     rows = real.select("id", "set_digest").join(named, "set_digest").select("id", "node")
     whole = real.withColumnRenamed("id", "node")
-    nodes = whole.select("node", "set_digest", "size", "sketch").join(named, ["node", "set_digest"]).select("node", "grp", "size", "sketch").dropDuplicates(["node"])
+    nodes = whole.select("node", "set_digest", "size", "sketch").join(named, ["node", "set_digest"]).select("node", "grp", "size", "sketch")
     leaders = small_side(named.where("node = grp").select("node").distinct(), 8)
     # A leader's own row: repeated rows give repeated postings, which change nothing.
     postings = whole.join(leaders, "node", "left_semi").select(F.col("node").alias("grp"), "size", F.posexplode("prefix").alias("place", "key"))

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import connected_components
 from .scratch import fits_broadcast, materialise
@@ -93,14 +94,17 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, p
 
     ``postings``: ``key, grp, size, place`` (where the key stands among the group's ordered elements); ``nodes``:
     ``node, grp, size, sketch``, where nodes of equal sizes and prefixes form a group named after one of them;
-    ``texts``: ``node, text``. A null sketch bounds nothing. ``repeated_keys``: whether a key
+    ``texts``: ``node, text``. A sketch is an array of longs, or one
+    long; a null one bounds nothing. ``repeated_keys``: whether a key
     may be posted for one group more than once.
     """
     several = F.min("grp") != F.max("grp") if repeated_keys else F.count(F.lit(1)) > 1
     lists = postings.groupBy("key").agg(several.alias("several")).where("several").select("key")
     shared = materialise(postings.join(lists.hint("merge"), "key").select("key", "grp", "size", "place"), "postings")
     met = shared.select("grp").unionByName(nodes.where("node <> grp").select("grp")).distinct()
-    nodes = materialise(nodes.join(small_side(materialise(met, "met")), "grp", "left_semi"), "nodes")
+    nodes = materialise(nodes.join(small_side(materialise(met, "met")), "grp", "left_semi").dropDuplicates(["node"]), "nodes")
+    single = isinstance(nodes.schema["sketch"].dataType, T.LongType)
+    differ = (lambda x, y: F.bit_count(x.bitwiseXOR(y))) if single else differing_bits
     state = nodes.select("node", "grp", F.col("node").alias("comp"))
 
     def survivors(pairs: DataFrame, nearest: bool) -> DataFrame:
@@ -110,7 +114,7 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, p
         a, b = (held.select(*(F.col(c).alias(f"{c}_{side}") for c in held.columns)) for side in "ab")
         both = pairs.distinct().join(a, F.col("a") == F.col("node_a")).join(b, F.col("b") == F.col("node_b"))
         c = F.col
-        close = both.where((c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent)).withColumn("bits", differing_bits(c("sketch_a"), c("sketch_b")))
+        close = both.where((c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent)).withColumn("bits", differ(c("sketch_a"), c("sketch_b")))
         passed = close.where(sketch_bound(c("size_a"), c("size_b"), c("bits"), percent)).select("a", "bits", "b", "comp_a", "comp_b")
         if nearest:
             passed = passed.groupBy("a", "comp_a").agg(F.min(F.struct("bits", "b", "comp_b")).alias("best")).select("a", "best.b", "comp_a", "best.comp_b")
@@ -139,10 +143,11 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, p
     within = nodes.join(alone, "grp").join(state.select("node", "comp"), "node").select(F.xxhash64(F.lit("group"), "grp").alias("key"), "node", "comp", "size", F.lit(0).alias("place"))
     members = members.unionByName(within)
     split = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    left = materialise(members.join(split, "key"), "left")
-    a, b = (left.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "comp", "size", "place"))) for side in "ab")
+    left = materialise(members.join(split, "key").join(nodes.select("node", "sketch"), "node"), "left")
+    a, b = (left.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "comp", "size", "place", "sketch"))) for side in "ab")
     c = F.col
     met = (a["key"] == b["key"]) & (c("node_a") < c("node_b")) & (c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent) & overlap_bound(c("size_a"), c("size_b"), c("place_a"), c("place_b"), percent)
+    met = met & sketch_bound(c("size_a"), c("size_b"), differ(c("sketch_a"), c("sketch_b")), percent)
     rest = a.join(b, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     state = merged(survivors(rest, nearest=False))
     return state.select("node", F.col("comp").alias("component"))

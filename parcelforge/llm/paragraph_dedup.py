@@ -37,7 +37,8 @@ MIN_SHINGLES = 4
 CONTEXT = 600
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
-PARAGRAPHS = "id bigint, idx int, first int, words int, start int, end int, digest bigint, size int, mins array<bigint>"
+_LATE = np.uint64(1 << 63)
+PARAGRAPHS = "id bigint, idx int, first int, words int, start int, end int, digest bigint, size int, sketch bigint, mins array<bigint>"
 
 
 def cut_places(words: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -57,6 +58,8 @@ def paragraphs_of(texts: list[str]) -> dict[str, np.ndarray]:
     code = np.frombuffer(found.data, np.uint8)
     chars = np.concatenate(([0], np.cumsum((code & 0xC0) != 0x80)))
     shingle = shingle_hashes(found.hashes, WIDTH)
+    again = np.concatenate((found.hashes[1:] == found.hashes[:-1], [False])) if len(found.hashes) else np.zeros(0, bool)
+    dull = np.logical_and.reduce([again[k : len(shingle) + k] for k in range(WIDTH - 1)]) if len(found.hashes) >= WIDTH else np.zeros(0, bool)
     text, first, last, idx = [], [], [], []
     for k, (a, b) in enumerate(zip(found.firsts[:-1].tolist(), found.firsts[1:].tolist(), strict=True)):
         cuts = cut_places(found.hashes[a:b]) + a
@@ -68,26 +71,30 @@ def paragraphs_of(texts: list[str]) -> dict[str, np.ndarray]:
         idx.append(np.arange(int(keep.sum())))
     text, first, last, idx = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (text, first, last, idx))
     if not len(first):
-        return {c: np.zeros(0, np.int64) for c in ("text", "idx", "first", "words", "start", "end", "digest", "size")} | {"mins": np.zeros((0, BANDS), np.int64)}
+        return {c: np.zeros(0, np.int64) for c in ("text", "idx", "first", "words", "start", "end", "digest", "size", "sketch")} | {"mins": np.zeros((0, BANDS), np.int64)}
     counts = last - first - WIDTH + 1
     owner = np.repeat(np.arange(len(first)), counts)
-    flat = shingle[np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - first, counts)]
+    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - first, counts)
+    flat = shingle[at]
     by = np.lexsort((flat, owner))
     new = np.concatenate(([True], (flat[by][1:] != flat[by][:-1]) | (owner[by][1:] != owner[by][:-1])))
     starts = np.cumsum(counts) - counts
-    mins = np.stack([np.minimum.reduceat(mix(flat ^ s), starts) for s in _SEEDS], 1)
+    # One word five times over says nothing of a paragraph, so such shingles aren't chosen while there are others.
+    mins = np.stack([np.minimum.reduceat(np.where(dull[at], mix(flat ^ s) | _LATE, mix(flat ^ s) >> np.uint64(1)), starts) for s in _SEEDS], 1)
+    bit = np.uint64(1) << (mix(flat[by] + np.uint64(1)) & np.uint64(63))
+    sketch = np.bitwise_xor.reduceat(np.where(new, bit, np.uint64(0)), starts)
     spread = mix(flat + np.uint64(0x9E3779B97F4A7C15) * (np.arange(len(flat)) - np.repeat(starts, counts)).astype(np.uint64))
     digest = mix(np.add.reduceat(spread, starts) + counts.astype(np.uint64))
     bases = chars[found.bases[text]]
     return {
         "text": text, "idx": idx, "first": first - found.firsts[text], "words": last - first, "start": chars[found.starts[first]] - bases, "end": chars[found.ends[last - 1]] - bases,
-        "digest": digest.view(np.int64), "size": np.bincount(owner[by][new], minlength=len(first)), "mins": mins.view(np.int64),
+        "digest": digest.view(np.int64), "size": np.bincount(owner[by][new], minlength=len(first)), "sketch": sketch.view(np.int64), "mins": mins.view(np.int64),
     }
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The paragraphs that can be removals: ``id``, number ``idx``, first word, words, characters from ``start`` to
-    ``end`` (exclusive), digest, distinct shingles and band minima."""
+    ``end`` (exclusive), digest, distinct shingles, their parity sketch of one long, and band minima."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,8 +104,8 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 x = {c: v[x["size"] >= MIN_SHINGLES] for c, v in x.items()}
                 mins = pa.ListArray.from_arrays(pa.array(np.arange(len(x["mins"]) + 1) * BANDS, pa.int32()), pa.array(x["mins"].reshape(-1)))
                 names = ("idx", "first", "words", "start", "end")
-                columns = [pa.array(ids[done + x["text"]], pa.int64()), *(pa.array(x[c], pa.int32()) for c in names), pa.array(x["digest"], pa.int64()), pa.array(x["size"], pa.int32()), mins]
-                yield pa.RecordBatch.from_arrays(columns, ["id", *names, "digest", "size", "mins"])
+                columns = [pa.array(ids[done + x["text"]], pa.int64()), *(pa.array(x[c], pa.int32()) for c in names), pa.array(x["digest"], pa.int64()), pa.array(x["size"], pa.int32()), pa.array(x["sketch"]), mins]
+                yield pa.RecordBatch.from_arrays(columns, ["id", *names, "digest", "size", "sketch", "mins"])
                 done += len(part)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
@@ -125,13 +132,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = materialise(paragraphs(docs, id_col, text_col), "paragraphs")
     postings = found.select(F.explode("mins").alias("key"), F.col("digest").alias("grp"), "size", F.lit(0).alias("place"))
     place = F.struct("id", "idx", "start", "end")
-    same = materialise(found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")), "digests")
-    nodes = same.select(F.col("digest").alias("node"), F.col("digest").alias("grp"), "size", F.lit(None).cast("array<bigint>").alias("sketch"))
-    linked = linked_components(postings, nodes, _texts_of(found, docs, id_col, text_col), percent, repeated_keys=True)
+    same = materialise(found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")), "digests")
+    nodes = found.select(F.col("digest").alias("node"), F.col("digest").alias("grp"), "size", "sketch")
+    linked = linked_components(postings, nodes, _texts_of(found, docs, id_col, text_col), percent, hub_rounds=0, repeated_keys=True)
     tagged = same.join(linked, same["digest"] == linked["node"], "left").select("digest", F.coalesce("component", "digest").alias("cluster"), "n")
     several = tagged.groupBy("cluster").agg(F.sum("n").alias("copies")).where("copies > 1").select("cluster")
     clusters = materialise(tagged.join(several, "cluster").select("digest", "cluster"), "clusters")
-    copies = materialise(found.drop("mins", "size").join(small_side(clusters), "digest"), "copies")
+    copies = materialise(found.drop("mins", "size", "sketch").join(small_side(clusters), "digest"), "copies")
     kept = copies.groupBy("cluster").agg(F.min(place).alias("keep"))
     gone = copies.join(kept, "cluster").where((F.col("id") != F.col("keep.id")) | (F.col("idx") != F.col("keep.idx")))
     runs = materialise(_runs(gone), "runs")
