@@ -37,15 +37,18 @@ def read_csv_leniently(spark: SparkSession, path: str, schema: T.StructType) ->
     if not exists(spark, path):
         return spark.createDataFrame([], schema), spark.createDataFrame([], f"{CORRUPT} string")
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-
-    def attempt(source, **options) -> DataFrame:
-        return spark.read.schema(full).options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options).csv(source)
-
-    usual = attempt(path)
-    broken = usual.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
-    parts = F.from_csv("value", F.lit(full.simpleString()[7:-1].replace(":", " ")), {"quote": "", "escape": "\\", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    again = broken.select("value", parts.alias("p")).select("value", "p.*")
-    good = usual.where(F.col(CORRUPT).isNull()).drop(CORRUPT).unionByName(again.where(F.col(CORRUPT).isNull()).drop("value", CORRUPT))
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
+    lines = spark.read.text(path)
+    header = lines.head()
+    body = lines.where((F.col("value") != (header[0] if header else "")) & (F.trim("value") != ""))
+
+    def attempt(rows: DataFrame, **options) -> DataFrame:
+        made = F.from_csv("value", F.lit(names), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options})
+        return rows.select("value", made.alias("p")).select("value", "p.*")
+
+    usual = attempt(body)
+    again = attempt(usual.where(F.col(CORRUPT).isNotNull()).select("value"), quote="", escape="\\")
+    good = usual.where(F.col(CORRUPT).isNull()).unionByName(again.where(F.col(CORRUPT).isNull())).drop("value", CORRUPT)
     return good, again.where(F.col(CORRUPT).isNotNull()).select(F.col("value").alias(CORRUPT))
 
 
