@@ -99,18 +99,18 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     real = sets.where("size > 0 AND id IS NOT NULL")
     same = real.groupBy("set_digest").agg(F.min("id").alias("node"), F.first("size").alias("size"), F.first("prefix_digest").alias("prefix_digest"))
     grouped = same.groupBy("prefix_digest", "size").agg(F.min("node").alias("grp"))
-    named = materialise(same.join(grouped, ["prefix_digest", "size"]).select("set_digest", "node", "grp"), "named")
-    rows = real.select("id", "set_digest").join(named, "set_digest").select("id", "node")
+    named = materialise(same.join(grouped.hint("merge"), ["prefix_digest", "size"]).select("set_digest", "node", "grp"), "named")
+    rows = real.select("id", "set_digest").join(named.hint("merge"), "set_digest").select("id", "node")
     whole = real.withColumnRenamed("id", "node")
-    nodes = whole.select("node", "set_digest", "size", "sketch").join(named, ["node", "set_digest"]).select("node", "grp", "size", "sketch")
+    nodes = whole.select("node", "set_digest", "size", "sketch").join(named.hint("merge"), ["node", "set_digest"]).select("node", "grp", "size", "sketch")
     leaders = small_side(named.where("node = grp").select("node").distinct(), 8)
     # A leader's own row: repeated rows give repeated postings, which change nothing.
     postings = whole.join(leaders, "node", "left_semi").select(F.col("node").alias("grp"), "size", F.posexplode("prefix").alias("place", "key"))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     found = linked_components(postings, nodes, texts, percent, width)
     # An id that has several sets gets the least of their components.
-    by_id = rows.join(found, "node", "left").groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
-    out = sets.select("id", F.col("size").cast("long").alias("n_shingles")).join(by_id, "id", "left")
+    by_id = rows.join(found.hint("merge"), "node", "left").groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
+    out = sets.select("id", F.col("size").cast("long").alias("n_shingles")).join(by_id.hint("merge"), "id", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 

@@ -4,7 +4,8 @@
 node of a key against two hubs chosen at random for that key, which is linear in the postings, and verify for each node the nearest by sketch; a last round tries all
 that is left: pairs of a key whose nodes still lie in different components. Before texts are fetched, pairs must pass
 a size bound, a bound from where the shared key stands among their ordered elements, and a parity-sketch bound, all of
-which every link passes. So each link between nodes of different components is verified, and none is lost.
+which every link passes. Joins whose sides grow with the input are merge joins at every size, so plans don't change
+with it. So each link between nodes of different components is verified, and none is lost.
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width:
     """Of the pairs ``a, b`` those whose texts (``node, text``) link: exact Jaccard of their shingle sets."""
     involved = materialise(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "involved")
     held = materialise(texts.join(small_side(involved, 8), "node", "left_semi").select("node", "text"), "involved-texts")
-    both = pairs.join(held.toDF("b", "text_b"), "b").join(held.toDF("a", "text_a"), "a")
+    both = pairs.join(held.toDF("b", "text_b").hint("merge"), "b").join(held.toDF("a", "text_a").hint("merge"), "a")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,9 +111,9 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, p
     def survivors(pairs: DataFrame, nearest: bool) -> DataFrame:
         """Distinct pairs across components that pass the size and sketch bounds; for each ``a`` all, or the nearest
         by sketch (the others are left to later rounds, should they still lie apart)."""
-        held = nodes.join(state.select("node", "comp"), "node").select("node", "comp", "size", "sketch")
+        held = nodes.join(state.select("node", "comp").hint("merge"), "node").select("node", "comp", "size", "sketch")
         a, b = (held.select(*(F.col(c).alias(f"{c}_{side}") for c in held.columns)) for side in "ab")
-        both = pairs.distinct().join(a, F.col("a") == F.col("node_a")).join(b, F.col("b") == F.col("node_b"))
+        both = pairs.distinct().join(a.hint("merge"), F.col("a") == F.col("node_a")).join(b.hint("merge"), F.col("b") == F.col("node_b"))
         c = F.col
         close = both.where((c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent)).withColumn("bits", differ(c("sketch_a"), c("sketch_b")))
         passed = close.where(sketch_bound(c("size_a"), c("size_b"), c("bits"), percent)).select("a", "bits", "b", "comp_a", "comp_b")
@@ -123,27 +124,27 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, p
     def merged(pairs: DataFrame) -> DataFrame:
         """The state after the pairs that link have been merged."""
         links = materialise(verified(pairs.select("a", "b"), texts, percent, width), "links")
-        edges = links.join(pairs, ["a", "b"]).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+        edges = links.join(pairs.hint("merge"), ["a", "b"]).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
         roots = connected_components(edges).select(F.col("node").alias("comp"), F.col("component").alias("root"))
-        return materialise(state.join(roots, "comp", "left").select("node", "grp", F.coalesce("root", "comp").alias("comp")), "state")
+        return materialise(state.join(roots.hint("merge"), "comp", "left").select("node", "grp", F.coalesce("root", "comp").alias("comp")), "state")
 
     for k in range(hub_rounds):
         # Components of groups: two of a key's groups, or two nodes of a group, may still lie apart.
-        tagged = shared.join(state.where("node = grp").select("grp", "comp"), "grp")
+        tagged = shared.join(state.where("node = grp").select("grp", "comp").hint("merge"), "grp")
         mask = F.xxhash64("key", F.lit(k))
         hubs = tagged.groupBy("key").agg(F.min(F.col("grp").bitwiseXOR(mask)).alias("one"), F.max(F.col("grp").bitwiseXOR(mask)).alias("two"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-        tried = tagged.join(hubs, "key").select("grp", F.explode(F.array(F.col("one").bitwiseXOR(mask), F.col("two").bitwiseXOR(mask))).alias("hub")).where("grp <> hub")
+        tried = tagged.join(hubs.hint("merge"), "key").select("grp", F.explode(F.array(F.col("one").bitwiseXOR(mask), F.col("two").bitwiseXOR(mask))).alias("hub")).where("grp <> hub")
         pairs = tried.select(F.col("grp").alias("a"), F.col("hub").alias("b"))
         if k == 0:
             pairs = pairs.unionByName(state.where("node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b")))
         state = merged(survivors(pairs, nearest=True))
-    members = shared.join(state, "grp").select("key", "node", "comp", "size", "place")
+    members = shared.join(state.hint("merge"), "grp").select("key", "node", "comp", "size", "place")
     # Nodes of one group share all its keys: the group's name serves as one more key.
     alone = nodes.where("node <> grp").select("grp").distinct()
     within = nodes.join(alone, "grp").join(state.select("node", "comp"), "node").select(F.xxhash64(F.lit("group"), "grp").alias("key"), "node", "comp", "size", F.lit(0).alias("place"))
     members = members.unionByName(within)
     split = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    left = materialise(members.join(split, "key").join(nodes.select("node", "sketch"), "node"), "left")
+    left = materialise(members.join(split.hint("merge"), "key").join(nodes.select("node", "sketch").hint("merge"), "node"), "left")
     a, b = (left.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "comp", "size", "place", "sketch"))) for side in "ab")
     c = F.col
     met = (a["key"] == b["key"]) & (c("node_a") < c("node_b")) & (c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent) & overlap_bound(c("size_a"), c("size_b"), c("place_a"), c("place_b"), percent)
