@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Every phrase below has one of these, so other sentences need not be normalised.
-TRIGGER = "(?i)licen[sc]|copyright|permission|warrant|redistribut|liable|public domain|endorse"
+TRIGGER = "(?i)licen[sc]|copyright|permission|warrant|redistribut|liable|public domain|endorse|advertising|cc0"
 # Identifier, and normalised phrases that have it.
 PHRASES = {
     "mit-notice": ["released under the mit license", "licensed under the mit license", "distributed under the mit license", "the mit license", "mit license"],
@@ -88,7 +88,7 @@ def catalogue() -> tuple[list[tuple[str, str]], list[tuple[str, list[str]]]]:
 
 
 def sentences(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, r"([.!?;:])[ \t\r\n]+|\n[ \t]*\n[ \t\r\n]*", "$1\n\n"), "\n\n")
+    return F.split(F.regexp_replace(text, r"([.!?;])[ \t\r\n]+|\n[ \t]*\n[ \t\r\n]*", "$1\n\n"), "\n\n")
 
 
 def normal(sentence: Column) -> Column:
@@ -140,7 +140,7 @@ def oracle(table: str = "documents") -> str:
         rest = f"r{k}"
     found = ", ".join(f"CASE WHEN h{k} THEN '{name}' END" for k, (name, _) in enumerate(rules))
     return f"""WITH known(rank, phrase, id) AS (VALUES {known}),
-    s AS (SELECT doc_id, unnest(list) AS s, generate_subscripts(list, 1) AS pos FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?;:])[ \\t\\r\\n]+|\\n[ \\t]*\\n[ \\t\\r\\n]*', '\\1' || chr(10) || chr(10), 'g'), chr(10) || chr(10)) AS list FROM {table})),
+    s AS (SELECT doc_id, unnest(list) AS s, generate_subscripts(list, 1) AS pos FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?;])[ \\t\\r\\n]+|\\n[ \\t]*\\n[ \\t\\r\\n]*', '\\1' || chr(10) || chr(10), 'g'), chr(10) || chr(10)) AS list FROM {table})),
     n AS (SELECT doc_id, pos, regexp_replace(' ' || lower(s) || ' ', '[^a-z0-9]+', ' ', 'g') AS s FROM s WHERE regexp_matches(s, '{TRIGGER}')),
     i AS (SELECT doc_id, pos, arg_min(id, rank) AS id FROM n JOIN known ON contains(n.s, known.phrase) GROUP BY doc_id, pos),
     q AS (SELECT doc_id, count(*) AS n_sentences, string_agg(id, ',' ORDER BY pos) AS sentence_ids, ' ' || string_agg('<' || id || '>', ' ' ORDER BY pos) || ' ' AS seq FROM i GROUP BY doc_id),
