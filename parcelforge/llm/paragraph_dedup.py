@@ -83,8 +83,8 @@ def paragraphs_of(texts: list[str]) -> dict[str, np.ndarray]:
     mins = np.stack([np.minimum.reduceat(np.where(dull[at], mix(flat ^ s) | _LATE, mix(flat ^ s) >> np.uint64(1)), starts) for s in _SEEDS], 1)
     bit = np.uint64(1) << (mix(flat[by] + np.uint64(1)) & np.uint64(63))
     sketch = np.bitwise_xor.reduceat(np.where(new, bit, np.uint64(0)), starts)
-    spread = mix(flat + np.uint64(0x9E3779B97F4A7C15) * (np.arange(len(flat)) - np.repeat(starts, counts)).astype(np.uint64))
-    digest = mix(np.add.reduceat(spread, starts) + counts.astype(np.uint64))
+    # Paragraphs of equal shingle sets are one node: a word said a few times more makes no other paragraph.
+    digest = mix(np.add.reduceat(np.where(new, mix(flat[by] ^ np.uint64(0x2545F4914F6CDD1D)), np.uint64(0)), starts))
     bases = chars[found.bases[text]]
     return {
         "text": text, "idx": idx, "first": first - found.firsts[text], "words": last - first, "start": chars[found.starts[first]] - bases, "end": chars[found.ends[last - 1]] - bases,
@@ -94,7 +94,7 @@ def paragraphs_of(texts: list[str]) -> dict[str, np.ndarray]:
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The paragraphs that can be removals: ``id``, number ``idx``, first word, words, characters from ``start`` to
-    ``end`` (exclusive), digest, distinct shingles, their parity sketch of one long, and band minima."""
+    ``end`` (exclusive), digest of the shingle set, its size, their parity sketch of one long, and band minima."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
