@@ -26,7 +26,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the document with the largest id."""
-    return exact_dedup.keep_first_copies(docs, exact_dedup.DigestIndex(spark))
+    index = exact_dedup.DigestIndex(spark)
+    kept = exact_dedup.keep_first_copies(docs, index)
+    index.drop()  # a user keeps it for the next batch; the result doesn't read it
+    return kept
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

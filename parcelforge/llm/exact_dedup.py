@@ -53,6 +53,9 @@ class DigestIndex:
         """The groups whose digest the index has, with the id that stands for it there."""
         return groups.drop("keep_id").join(self.read().hint("merge"), "digest")
 
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def append(self, groups: DataFrame) -> None:
         """Add ``(digest, keep_id)`` rows: one file for each bucket, since rows are dealt out as buckets are."""
         rows = groups.select("digest", "keep_id").repartition(self.buckets, "digest")

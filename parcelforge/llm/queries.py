@@ -43,7 +43,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 )
 def op5_exact_dedup(spark, sf_dir):
     """The whole of ``documents`` as one batch against a new index."""
-    found = exact_dedup.deduplicate(table(spark, sf_dir, "documents"), exact_dedup.DigestIndex(spark))
+    index = exact_dedup.DigestIndex(spark)
+    found = exact_dedup.deduplicate(table(spark, sf_dir, "documents"), index)
+    index.drop()  # a user keeps it for the next batch; results don't read it
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
