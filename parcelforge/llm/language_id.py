@@ -3,7 +3,7 @@
 One-versus-rest linear support vector machines choose a language family; one-versus-one machines then separate the
 languages within it. All see only the text, as square roots of the relative frequencies of hashed one- to
 three-letter sequences. The machines are fitted on the driver from at most ``per_language`` labelled texts of each
-language, those with the least hash of their id; texts are turned into features, and predicted, where they lie.
+language (``MOST_TEXTS`` altogether), those with the least hash of their id; texts are turned into features, and predicted, where they lie.
 
 Defined cases: a null text, or one without a letter, is ``UNDETERMINED`` with score 0, as is every text when there are no
 labels to learn from; with one learned language every text with a letter gets it, with score 1; null labels are not
@@ -29,6 +29,8 @@ UNDETERMINED = "und"
 BUCKETS = 4096
 #: The bound of the training sample: texts of each language.
 PER_LANGUAGE = 400
+#: Texts of the sample altogether; with more than sixteen languages each has fewer.
+MOST_TEXTS = 6400
 # ISO 639-1 codes by language family. A code that isn't listed is a family of its own.
 FAMILIES = {
     "germanic": ["af", "da", "de", "en", "fy", "is", "lb", "nl", "no", "sv", "yi"],
@@ -138,6 +140,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return Model()
+    per_language = max(2, min(per_language, MOST_TEXTS // len(counts)))
     # Twice the bound is let through by the hash of the id; the exact bound holds after sorting what came.
     share = F.element_at(F.create_map(*(F.lit(v) for label, n in counts.items() for v in (label, min(1.0, 2 * per_language / n)))), F.col("label"))
     order = F.xxhash64(F.col("id").cast("string"))
