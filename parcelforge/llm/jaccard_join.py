@@ -107,7 +107,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     # A leader's own row: repeated rows give repeated postings, which change nothing.
     postings = whole.join(leaders, "node", "left_semi").select(F.col("node").alias("grp"), "size", F.posexplode("prefix").alias("place", "key"))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    found = linked_components(postings, nodes, texts, percent, width)
+    found = linked_components(postings, nodes, lambda asked: texts.join(asked, "node", "left_semi"), percent, width)
     # An id that has several sets gets the least of their components.
     by_id = rows.join(found.hint("merge"), "node", "left").groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     out = sets.select("id", F.col("size").cast("long").alias("n_shingles")).join(by_id.hint("merge"), "id", "left")

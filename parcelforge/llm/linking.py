@@ -10,7 +10,7 @@ with it. So each link between nodes of different components is verified, and non
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,10 +72,11 @@ def small_side(df: DataFrame, row_bytes: int = 16) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df.count(), row_bytes) else df
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """Of the pairs ``a, b`` those whose texts (``node, text``) link: exact Jaccard of their shingle sets."""
+def verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """Of the pairs ``a, b`` those whose texts link: exact Jaccard of their shingle sets. ``texts`` gives ``node, text``
+    for a table of nodes."""
     involved = materialise(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "involved")
-    held = materialise(texts.join(small_side(involved, 8), "node", "left_semi").select("node", "text"), "involved-texts")
+    held = materialise(texts(small_side(involved, 8)).select("node", "text"), "involved-texts")
     both = pairs.join(held.toDF("b", "text_b").hint("merge"), "b").join(held.toDF("a", "text_a").hint("merge"), "a")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,12 +91,12 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, width:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def linked_components(postings: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int = PERCENT, width: int = WIDTH, hub_rounds: int = HUB_ROUNDS, repeated_keys: bool = False) -> DataFrame:
+def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int = PERCENT, width: int = WIDTH, hub_rounds: int = HUB_ROUNDS, repeated_keys: bool = False) -> DataFrame:
     """``node, component`` (least node) for every node that shares a key or a group with another.
 
     ``postings``: ``key, grp, size, place`` (where the key stands among the group's ordered elements); ``nodes``:
     ``node, grp, size, sketch``, where nodes of equal sizes and prefixes form a group named after one of them;
-    ``texts``: ``node, text``. A sketch is an array of longs, or one
+    ``texts`` gives ``node, text`` for a table of nodes. A sketch is an array of longs, or one
     long; a null one bounds nothing. ``repeated_keys``: whether a key
     may be posted for one group more than once.
     """

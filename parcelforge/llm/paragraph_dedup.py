@@ -145,10 +145,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return _extended(runs, docs, id_col, text_col).where(F.col("n_words") >= min_words).withColumnRenamed("id", id_col)
 
 
-def _texts_of(found: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``node, text``: the text of every paragraph. Cut after the join, so only what is asked for is cut."""
+def _texts_of(found: DataFrame, docs: DataFrame, id_col: str, text_col: str):
+    """A function that gives ``node, text`` for a table of nodes: the text of each one's first paragraph."""
     whole = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("whole"))
-    return found.select(F.col("digest").alias("node"), "id", "start", "end").join(whole, "id").select("node", F.substring("whole", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+
+    def texts(asked: DataFrame) -> DataFrame:
+        own = found.select(F.col("digest").alias("node"), "id", "start", "end").join(asked, "node", "left_semi")
+        first = materialise(own.groupBy("node").agg(F.min(F.struct("id", "start", "end")).alias("at")).select("node", "at.*"), "first-places")
+        near = whole.join(small_side(first.select("id").distinct(), 8), "id", "left_semi").dropDuplicates(["id"])
+        return first.join(near.hint("merge"), "id").select("node", F.substring("whole", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+
+    return texts
 
 
 def _runs(gone: DataFrame) -> DataFrame:
