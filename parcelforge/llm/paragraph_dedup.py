@@ -134,7 +134,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     place = F.struct("id", "idx", "start", "end")
     same = materialise(found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")), "digests")
     nodes = found.select(F.col("digest").alias("node"), F.col("digest").alias("grp"), "size", "sketch")
-    linked = linked_components(postings, nodes, _texts_of(found, docs, id_col, text_col), percent, hub_rounds=0, repeated_keys=True)
+    linked = linked_components(postings, nodes, _texts_of(found, docs, id_col, text_col), percent, hub_rounds=1, repeated_keys=True)
     tagged = same.join(linked, same["digest"] == linked["node"], "left").select("digest", F.coalesce("component", "digest").alias("cluster"), "n")
     several = tagged.groupBy("cluster").agg(F.sum("n").alias("copies")).where("copies > 1").select("cluster")
     clusters = materialise(tagged.join(several, "cluster").select("digest", "cluster"), "clusters")
