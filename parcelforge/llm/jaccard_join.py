@@ -103,7 +103,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     rows = real.select("id", "set_digest").join(named.hint("merge"), "set_digest").select("id", "node")
     whole = real.withColumnRenamed("id", "node")
     nodes = whole.select("node", "set_digest", "size", "sketch").join(named.hint("merge"), ["node", "set_digest"]).select("node", "grp", "size", "sketch")
-    leaders = small_side(named.where("node = grp").select("node").distinct(), 8)
+    leaders = small_side(named.where("node = grp").select("node").distinct())
     # A leader's own row: repeated rows give repeated postings, which change nothing.
     postings = whole.join(leaders, "node", "left_semi").select(F.col("node").alias("grp"), "size", F.posexplode("prefix").alias("place", "key"))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))

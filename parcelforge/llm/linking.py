@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .scratch import fits_broadcast, materialise
+from .scratch import HASHED_ID_BYTES, fits_broadcast, materialise
 from .shingles import WIDTH, mix, shingle_sets
 
 #: Jaccard similarity of links, in percent.
@@ -67,7 +67,7 @@ def sketch_bound(a: Column, b: Column, differing: Column, percent: int = PERCENT
     return F.coalesce(differing * F.lit(100 + percent) <= F.lit(100 - percent) * (a + b), F.lit(True))
 
 
-def small_side(df: DataFrame, row_bytes: int = 16) -> DataFrame:
+def small_side(df: DataFrame, row_bytes: int = HASHED_ID_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows are few enough."""
     return F.broadcast(df) if fits_broadcast(df.count(), row_bytes) else df
 
@@ -76,7 +76,7 @@ def verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent:
     """Of the pairs ``a, b`` those whose texts link: exact Jaccard of their shingle sets. ``texts`` gives ``node, text``
     for a table of nodes."""
     involved = materialise(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "involved")
-    held = materialise(texts(small_side(involved, 8)).select("node", "text"), "involved-texts")
+    held = materialise(texts(small_side(involved)).select("node", "text"), "involved-texts")
     both = pairs.join(held.toDF("b", "text_b").hint("merge"), "b").join(held.toDF("a", "text_a").hint("merge"), "a")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -138,7 +138,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     tagged = same.join(linked, same["digest"] == linked["node"], "left").select("digest", F.coalesce("component", "digest").alias("cluster"), "n")
     several = tagged.groupBy("cluster").agg(F.sum("n").alias("copies")).where("copies > 1").select("cluster")
     clusters = materialise(tagged.join(several, "cluster").select("digest", "cluster"), "clusters")
-    copies = materialise(found.drop("mins", "size", "sketch").join(small_side(clusters), "digest"), "copies")
+    copies = materialise(found.drop("mins", "size", "sketch").join(clusters.hint("merge"), "digest"), "copies")
     kept = copies.groupBy("cluster").agg(F.min(place).alias("keep"))
     gone = copies.join(kept, "cluster").where((F.col("id") != F.col("keep.id")) | (F.col("idx") != F.col("keep.idx")))
     runs = materialise(_runs(gone), "runs")
@@ -152,7 +152,7 @@ def _texts_of(found: DataFrame, docs: DataFrame, id_col: str, text_col: str):
     def texts(asked: DataFrame) -> DataFrame:
         own = found.select(F.col("digest").alias("node"), "id", "start", "end").join(asked, "node", "left_semi")
         first = materialise(own.groupBy("node").agg(F.min(F.struct("id", "start", "end")).alias("at")).select("node", "at.*"), "first-places")
-        near = whole.join(small_side(first.select("id").distinct(), 8), "id", "left_semi").dropDuplicates(["id"])
+        near = whole.join(small_side(first.select("id").distinct()), "id", "left_semi").dropDuplicates(["id"])
         return first.join(near.hint("merge"), "id").select("node", F.substring("whole", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
 
     return texts
@@ -177,7 +177,7 @@ def _extended(runs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> D
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     def beside(rows: DataFrame, own: str, start: str, end: str, prefix: str) -> DataFrame:
         asked = materialise(rows.select(F.col(own).alias("doc")).distinct(), "asked")
-        near = texts.join(small_side(asked, 8), "doc", "left_semi").dropDuplicates(["doc"])
+        near = texts.join(small_side(asked), "doc", "left_semi").dropDuplicates(["doc"])
         joined = rows.join(near, rows[own] == near["doc"])
         before, after = _around(F.col("text"), start, end)
         return joined.select(*rows.columns, before.alias(f"{prefix}_before"), after.alias(f"{prefix}_after"))

@@ -30,8 +30,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 #: A side of a join is broadcast only when its row count times row width stays below this many bytes.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 64 << 20
+#: What one id takes in a broadcast hash table.
+HASHED_ID_BYTES = 64
 
 
-def fits_broadcast(rows: int, row_bytes: int = 16) -> bool:
+def fits_broadcast(rows: int, row_bytes: int = HASHED_ID_BYTES) -> bool:
     return rows * row_bytes <= BROADCAST_BYTES
