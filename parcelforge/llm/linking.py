@@ -101,7 +101,9 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[Da
     may be posted for one group more than once.
     """
     several = F.min("grp") != F.max("grp") if repeated_keys else F.count(F.lit(1)) > 1
-    lists = postings.groupBy("key").agg(several.alias("several")).where("several").select("key")
+    # A key that two alone hold is of no use where their sizes rule a link out.
+    use = several & ((F.count(F.lit(1)) > 2) | size_bound(F.min("size"), F.max("size"), percent))
+    lists = postings.groupBy("key").agg(use.alias("use")).where("use").select("key")
     shared = materialise(postings.join(lists.hint("merge"), "key").select("key", "grp", "size", "place"), "postings")
     met = shared.select("grp").unionByName(nodes.where("node <> grp").select("grp")).distinct()
     nodes = materialise(nodes.join(small_side(materialise(met, "met")), "grp", "left_semi").dropDuplicates(["node"]), "nodes")
