@@ -49,6 +49,11 @@ def size_bound(a: Column, b: Column, percent: int = PERCENT) -> Column:
     return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
 
+def unequal_bound(a: Column, b: Column, percent: int = PERCENT) -> Column:
+    """Sets that aren't equal differ in two elements at least where their sizes are the same."""
+    return (a != b) | (F.lit(2 * (100 + percent)) <= F.lit(100 - percent) * (a + b))
+
+
 def overlap_bound(a: Column, b: Column, place_a: Column, place_b: Column, percent: int = PERCENT) -> Column:
     """Whether the elements from the first shared one on suffice for the overlap that a link needs."""
     most = 1 + F.least(a - place_a - 1, b - place_b - 1)
@@ -95,7 +100,7 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[Da
     """``node, component`` (least node) for every node that shares a key or a group with another.
 
     ``postings``: ``key, grp, size, place`` (where the key stands among the group's ordered elements); ``nodes``:
-    ``node, grp, size, sketch``, where nodes of equal sizes and prefixes form a group named after one of them;
+    ``node, grp, size, sketch``, no two of the same set, where nodes of equal sizes and prefixes form a group named after one of them;
     ``texts`` gives ``node, text`` for a table of nodes. A sketch is an array of longs, or one
     long; a null one bounds nothing. ``repeated_keys``: whether a key
     may be posted for one group more than once.
@@ -150,7 +155,7 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[Da
     left = materialise(members.join(split.hint("merge"), "key").join(nodes.select("node", "sketch").hint("merge"), "node"), "left")
     a, b = (left.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "comp", "size", "place", "sketch"))) for side in "ab")
     c = F.col
-    met = (a["key"] == b["key"]) & (c("node_a") < c("node_b")) & (c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent) & overlap_bound(c("size_a"), c("size_b"), c("place_a"), c("place_b"), percent)
+    met = (a["key"] == b["key"]) & (c("node_a") < c("node_b")) & (c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent) & unequal_bound(c("size_a"), c("size_b"), percent) & overlap_bound(c("size_a"), c("size_b"), c("place_a"), c("place_b"), percent)
     met = met & sketch_bound(c("size_a"), c("size_b"), differ(c("sketch_a"), c("sketch_b")), percent)
     rest = a.join(b, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     state = merged(survivors(rest, nearest=False))
