@@ -1,9 +1,11 @@
 """Licence recognition by sentence rules, with DataFrame functions alone.
 
 A text is cut into sentences (at punctuation followed by white space and at blank lines, so wrapped lines hold
-together). Sentences with a licence word are normalised: lower case, every run of what isn't a-z or 0-9 one space. The
-longest known phrase in a sentence gives its identifier; the identifiers of a text, in order, are matched against the
-ordered licence rules. A rule that matches takes its identifiers away, so a later, shorter rule can't use them again.
+together; a line without a letter or digit, as in comments, is blank, whatever its line end). Sentences with a licence
+word are normalised: lower case, only words of a-z and 0-9. All known phrases of a sentence give their identifiers, in
+the order of their places; where phrases overlap the longest wins. The identifiers of a text, in order, are matched
+against the ordered licence rules. A rule that matches takes its identifiers away, so a later, shorter rule can't use
+them again.
 
 Every step works on one row; nothing is shuffled, and the tables of phrases and rules are constants.
 
@@ -88,26 +90,30 @@ def catalogue() -> tuple[list[tuple[str, str]], list[tuple[str, list[str]]]]:
 
 
 def sentences(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, r"([.!?;])[ \t\r\n]+|\n[ \t]*\n[ \t\r\n]*", "$1\n\n"), "\n\n")
+    return F.split(F.regexp_replace(text, r"([.!?;])[ \t\r\n]+|(?:\r\n?+|\n)[^\p{L}\p{N}\r\n]*[\r\n][^\p{L}\p{N}]*", "$1\n\n"), "\n\n")
 
 
 def normal(sentence: Column) -> Column:
-    """With a space at either end, so that phrases are found as whole words."""
-    return F.regexp_replace(F.concat(F.lit(" "), F.lower(sentence), F.lit(" ")), "[^a-z0-9]+", " ")
+    """Two spaces between words and one at either end, so that phrases are found as whole words and neighbouring ones
+    share no space."""
+    return F.regexp_replace(F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " ")), F.lit(" ")), "(?<=[^ ]) (?=[^ ])", "  ")
 
 
 def identifiers(text: Column) -> Column:
-    """The identifiers of a text's known licence sentences, in order."""
-    known = F.array(*(F.struct(F.lit(f" {p} ").alias("phrase"), F.lit(i).alias("id")) for p, i in catalogue()[0]))
+    """For each of a text's known licence sentences, in order, its identifiers, in order."""
+    known = F.array(*(F.struct(F.lit(f" {p.replace(' ', '  ')} ").alias("phrase"), F.lit(f" <{i}> ").alias("mark")) for p, i in catalogue()[0]))
     candidates = F.filter(sentences(text), lambda s: s.rlike(TRIGGER))
-    ids = F.transform(candidates, lambda s: _identifier(normal(s), known))
-    return F.filter(ids, lambda i: i.isNotNull())
+    ids = F.transform(candidates, lambda s: _identifiers(normal(s), known))
+    return F.filter(ids, lambda i: F.size(i) > 0)
 
 
-def _identifier(sentence: Column, known: Column) -> Column:
-    # The sentence stands in an array of one, so that it is normalised once and not for each phrase.
-    found = F.flatten(F.transform(F.array(sentence), lambda s: F.filter(known, lambda k: F.contains(s, k["phrase"]))))
-    return F.get(found, 0)["id"]
+def _identifiers(sentence: Column, known: Column) -> Column:
+    # The sentence stands in an array of one, so that it is normalised once and not for each phrase. Phrases are
+    # replaced by their marks, the longest first, so that the marks stand in the order of their places.
+    def marked(s: Column) -> Column:
+        return F.aggregate(F.filter(known, lambda k: F.contains(s, k["phrase"])), s, lambda rest, k: F.replace(rest, k["phrase"], k["mark"]))
+
+    return F.flatten(F.transform(F.array(sentence), lambda s: F.regexp_extract_all(marked(s), F.lit("<([^>]+)>"), F.lit(1))))
 
 
 def licences(ids: Column) -> Column:
@@ -123,14 +129,15 @@ def licences(ids: Column) -> Column:
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows that state a licence, with ``licence_ids`` and ``licences``."""
+    """The rows that state a licence, with ``licence_sentences`` (their number), ``licence_ids`` and ``licences``."""
     likely = docs.where(F.col(text_col).rlike(TRIGGER))
-    found = likely.withColumn("licence_ids", identifiers(F.col(text_col))).where(F.size("licence_ids") > 0)
+    told = likely.withColumn("licence_ids", identifiers(F.col(text_col))).where(F.size("licence_ids") > 0)
+    found = told.withColumn("licence_sentences", F.size("licence_ids")).withColumn("licence_ids", F.flatten("licence_ids"))
     return found.withColumn("licences", licences(F.col("licence_ids"))).where(F.size("licences") > 0)
 
 
 def oracle(table: str = "documents") -> str:
-    """The same in DuckDB's SQL."""
+    """The same in DuckDB's SQL, for texts whose sentences hold one known phrase each."""
     phrases, rules = catalogue()
     known = ", ".join(f"({k}, ' {p} ', '{i}')" for k, (p, i) in enumerate(phrases))
     steps, rest = [], "seq"

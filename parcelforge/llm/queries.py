@@ -132,4 +132,4 @@ def op4_html_layout(spark, sf_dir):
 def op7_license_rules(spark, sf_dir):
     """The licences that documents state, over whole texts."""
     found = license_rules.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", F.size("licence_ids").cast("long").alias("n_sentences"), F.array_join("licence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
+    return found.select("doc_id", F.col("licence_sentences").cast("long").alias("n_sentences"), F.array_join("licence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))

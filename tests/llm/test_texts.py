@@ -70,6 +70,72 @@ def test_licences(spark, text, names):
     assert [list(r["licences"]) for r in found] == ([names] if names else [])
 
 
+FULL_MIT = """MIT License
+
+Copyright (c) 2020 A. Writer
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+FULL_BSD_3 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+   * Redistributions of source code must retain the above copyright notice,
+     this list of conditions and the following disclaimer
+   * Redistributions in binary form must reproduce the above copyright notice,
+     this list of conditions and the following disclaimer in the documentation
+     and/or other materials provided with the distribution
+   * Neither the name of the copyright holder nor the names of its contributors
+     may be used to endorse or promote products derived from this software
+     without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES.
+"""
+MIT_IDS = ["mit-grant", "mit-condition", "as-is", "mit-liability"]
+BSD_IDS = ["bsd-use", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is"]
+
+
+@pytest.mark.parametrize("form", ["plain", "starred", "slashed", "crlf", "starred crlf", "one line", "cr"])
+@pytest.mark.parametrize(("text", "ids", "names"), [(FULL_MIT, ["mit-notice", *MIT_IDS], ["MIT"]), (FULL_BSD_3, BSD_IDS, ["BSD-3-Clause"]), (FULL_MIT.partition("\n")[2], MIT_IDS, ["MIT"])])
+def test_verbatim_licences_in_every_form(spark, text, ids, names, form):
+    if "starred" in form:
+        text = "/*\n" + "".join(f" * {line}".rstrip() + "\n" for line in text.splitlines()) + " */"
+    elif form == "slashed":
+        text = "".join(f"// {line}".rstrip() + "\n" for line in text.splitlines())
+    elif form == "one line":
+        text = " ".join(text.split())
+    text = text.replace("\n", "\r\n") if "crlf" in form else text.replace("\n", "\r") if form == "cr" else text
+    found = license_rules.scan(spark.createDataFrame([(text,)], "text string")).collect()
+    assert [(r["licence_ids"], r["licences"]) for r in found] == [(ids, names)]
+
+
+@pytest.mark.parametrize(
+    ("text", "ids", "sentences"),
+    [
+        ("Dual: licensed under the Apache License, Version 2.0 or the MIT License.", ["apache-2-notice", "mit-notice"], 1),
+        ("MIT license MIT license, ISC license", ["mit-notice", "mit-notice", "isc-notice"], 1),
+        ("GNU General Public License version 2 or later", ["gpl-2-later"], 1), ("MIT License. ISC License.", ["mit-notice", "isc-notice"], 2), ("the MIT\n//\nlicense", None, 0), ("the MIT\r\nlicense", ["mit-notice"], 1),
+    ],
+)
+def test_all_phrases_of_a_sentence(spark, text, ids, sentences):
+    found = license_rules.scan(spark.createDataFrame([(text,)], "text string")).collect()
+    assert [(r["licence_ids"], r["licence_sentences"]) for r in found] == ([(ids, sentences)] if ids else [])
+
+
 def test_every_phrase_has_a_trigger_and_every_rule_known_identifiers():
     import re
 
