@@ -65,6 +65,49 @@ def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([max(token_sort_of(x or "", y or ""), token_set_of(x or "", y or "")) for x, y in zip(a, b, strict=True)], dtype="int32")
 
 
+def _chars(text: str) -> tuple[int, list[int]]:
+    """Its length and its characters, each with the number of its earlier ones, so that equal ones are told apart."""
+    seen: dict[str, int] = {}
+    out = []
+    for c in text:
+        seen[c] = k = seen.get(c, -1) + 1
+        out.append(ord(c) << 32 | k)
+    return len(text), out
+
+
+_PARTS = {"tokens": T.ArrayType(T.StringType()), "sort_length": T.IntegerType(), "sort_chars": T.ArrayType(T.LongType()), "set_length": T.IntegerType(), "set_chars": T.ArrayType(T.LongType())}
+
+
+@F.pandas_udf(T.StructType([T.StructField(n, kind) for n, kind in _PARTS.items()]))
+def parts(text: pd.Series) -> pd.DataFrame:
+    """What the bounds below need of a text: its distinct tokens, and length and numbered characters of all and of its
+    distinct tokens, joined."""
+    rows = []
+    for x in text:
+        own = _tokens(x or "")
+        once = sorted(set(own))
+        rows.append((once, *_chars(" ".join(own)), *_chars(" ".join(once))))
+    return pd.DataFrame(rows, columns=list(_PARTS))
+
+
+def _most(shared: Column, one: Column, other: Column) -> Column:
+    """The greatest rounded ratio of two texts of such lengths with ``shared`` characters in common."""
+    return F.when(one + other > 0, 200.0 * shared / (one + other) + 0.5).otherwise(100.0)
+
+
+def sort_bound(a: Column, b: Column) -> Column:
+    """At least the token-sort ratio of two texts, from their ``parts``: what matches are characters of both."""
+    return _most(F.size(F.array_intersect(a["sort_chars"], b["sort_chars"])), a["sort_length"], b["sort_length"])
+
+
+def name_bound(a: Column, b: Column) -> Column:
+    """At least the better of the two ratios, from the texts' ``parts``."""
+    both = F.char_length(F.array_join(F.array_intersect(a["tokens"], b["tokens"]), " "))
+    one_side = lambda side: F.when(both > 0, _most(both, both, side["set_length"])).otherwise(0.0)
+    whole = _most(F.size(F.array_intersect(a["set_chars"], b["set_chars"])), a["set_length"], b["set_length"])
+    return F.least(F.greatest(sort_bound(a, b), whole, one_side(a), one_side(b)), F.lit(100.0))
+
+
 def building_score(name: tuple[Column, Column], address: tuple[Column, Column], district: tuple[Column, Column]) -> Column:
     """0 to 100. Names and addresses are normalised before; a null or empty address or district adds nothing."""
     filled = lambda pair: F.coalesce((pair[0] != "") & (pair[1] != ""), F.lit(False))
@@ -72,3 +115,10 @@ def building_score(name: tuple[Column, Column], address: tuple[Column, Column],
     by_district = F.when(filled(district) & (F.lower(district[0]) == F.lower(district[1])), 100).otherwise(0)
     by_digits = F.when(F.coalesce(F.arrays_overlap(digit_groups(name[0]), digit_groups(name[1])), F.lit(False)), 100).otherwise(0)
     return WEIGHTS["name"] * name_ratio(*name) + WEIGHTS["address"] * by_address + WEIGHTS["district"] * by_district + WEIGHTS["digits"] * by_digits
+
+
+def score_bound(name: tuple[Column, Column], address: tuple[Column, Column], filled: Column, same_district: Column, shared_digits: Column) -> Column:
+    """At least the score, from the ``parts`` of names and addresses and whether both addresses are filled."""
+    of = lambda flag, value: F.when(F.coalesce(flag, F.lit(False)), value).otherwise(0.0)
+    by_address = of(filled, F.least(sort_bound(*address), F.lit(100.0)))
+    return WEIGHTS["name"] * name_bound(*name) + WEIGHTS["address"] * by_address + WEIGHTS["district"] * of(same_district, F.lit(100.0)) + WEIGHTS["digits"] * of(shared_digits, F.lit(100.0))

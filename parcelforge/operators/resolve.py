@@ -1,54 +1,66 @@
 """One entity for each building out of three sources, mappings, reports, and transactions enriched with entities.
 
-Pairs are scored only if they share a rare token: of each side's tokens the ``RARE`` least frequent among the entities
-(ties by token). Normalised names that are equal always meet. Entities of one normalised name and address form one
-candidate, the first, so copies don't multiply pairs.
+All pairs of distinct rows are tried, so none is lost: first an upper bound of the score (from shared tokens and
+characters, see ``similarity``), which every pair of a sufficient score passes, then the score itself. Rows of one
+normalised name, address and district form one candidate, the first, so copies don't multiply pairs. A row whose
+normalised name is empty matches nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import or_empty, year_of
-from ..functions.similarity import ENTITY_THRESHOLD, NAME_THRESHOLD, building_score, name_ratio
-from ..functions.text import id_in_address, normal_address, normal_name
+from ..functions.similarity import ENTITY_THRESHOLD, NAME_THRESHOLD, building_score, name_bound, name_ratio, parts, score_bound
+from ..functions.text import digit_groups, id_in_address, normal_address, normal_name
 from ..sources.shared import written
 from .aggregates import best_of_each
 
-RARE = 2
+#: What is left for rounding between a score and its bound.
+SLACK = 1e-6
 ENTITY = ["building_key", "source", "source_id", "original_key", "building_name", "normalized_name", "address", "normalized_address", "district", "grade", "year_built"]
 
 
-def _tokens(name: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(name, " "), lambda t: t != ""))
-
-
-def rare_tokens(df: DataFrame, reference: DataFrame, key: str, name: str = "normalized_name") -> DataFrame:
-    """``key, token``: each row's rarest tokens by their number of rows in ``reference``; unknown ones never meet."""
-    frequency = reference.select(F.explode(_tokens(F.col(name))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    rows = df.select(key, F.explode(_tokens(F.col(name))).alias("token")).join(frequency, "token")
-    place = Window.partitionBy(key).orderBy("n", "token")
-    return rows.withColumn("k", F.row_number().over(place)).where(F.col("k") <= RARE).select(key, "token")
-
-
-def candidate_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str, name: str = "normalized_name") -> DataFrame:
-    """Distinct key pairs that share a rare token or the whole normalised name."""
-    by_token = rare_tokens(left, right, left_key, name).join(rare_tokens(right, right, right_key, name), "token").select(left_key, right_key)
-    named = lambda df, k: df.where(F.col(name) != "").select(k, name)
-    same = named(left, left_key).join(named(right, right_key), name).select(left_key, right_key)
-    return by_token.unionByName(same).distinct()
+def _spread(df: DataFrame) -> DataFrame:
+    """In enough partitions for a product to keep all cores busy, however few rows there are."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def fuzzy_best(left: DataFrame, right: DataFrame, left_key: str, right_key: str, right_order: str, threshold: float = ENTITY_THRESHOLD) -> DataFrame:
     """For each left row the right row of the greatest score of at least ``threshold`` (ties: the first by
     ``right_order``): ``left_key, right_key, score``. Both sides have normalised names and addresses and a district."""
     fields = ["normalized_name", "normalized_address", "district"]
-    a = left.select(left_key, *(F.col(c).alias(f"l_{c}") for c in fields))
-    b = right.select(right_key, right_order, *(F.col(c).alias(f"r_{c}") for c in fields))
-    score = building_score(*((F.col(f"l_{c}"), F.col(f"r_{c}")) for c in fields))
-    pairs = candidate_pairs(left, right, left_key, right_key).join(a, left_key).join(b, right_key)
-    return best_of_each(pairs.select(left_key, right_key, right_order, score.alias("score")), [left_key], "score", right_order, threshold).drop(right_order)
+    c = F.col
+
+    def side(rows: DataFrame, p: str) -> DataFrame:
+        told = {"name": parts("normalized_name"), "address": parts("normalized_address"), "low": F.lower("district"), "digits": digit_groups(c("normalized_name"))}
+        return rows.withColumns(told).select(*(c(x).alias(f"{p}_{x}") for x in (*fields, *told)), *(x for x in rows.columns if x not in fields))
+
+    named = lambda df: df.where(c("normalized_name") != "")
+    a = written(side(named(left).select(*fields).distinct(), "l"), "left-side")
+    first = F.max(F.struct((-c(right_order)).alias("order"), c(right_key))).alias("first")
+    b = written(side(named(right).groupBy(*fields).agg(first).select(*fields, "first"), "r"), "right-side")
+    district = (c("l_low") == c("r_low")) & (c("l_low") != "")
+    filled = (c("l_normalized_address") != "") & (c("r_normalized_address") != "")
+    bound = score_bound((c("l_name"), c("r_name")), (c("l_address"), c("r_address")), filled, district, F.arrays_overlap("l_digits", "r_digits"))
+    pairs = _spread(a).crossJoin(b).where(bound >= F.lit(threshold - SLACK))
+    score = building_score(*((c(f"l_{x}"), c(f"r_{x}")) for x in fields))
+    own = [f"l_{x}" for x in fields]
+    scored = pairs.select(*own, score.alias("score"), c(f"first.{right_key}").alias(right_key), (-c("first.order")).alias(right_order))
+    best = best_of_each(scored, own, "score", right_order, threshold)
+    same = reduce(lambda x, y: x & y, (c(x).eqNullSafe(c(f"l_{x}")) for x in fields))
+    return left.select(left_key, *fields).join(best.withColumnRenamed(right_key, "__right"), same).select(left_key, c("__right").alias(right_key), "score")
+
+
+def name_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """``name, other, confidence``: all pairs of the distinct names (``name``) of two tables that are alike enough."""
+    c = F.col
+    side = lambda df, x: written(df.where(c("name") != "").select("name").distinct().select(c("name").alias(x), parts("name").alias(f"{x}_parts")), x)
+    near = _spread(side(left, "name")).crossJoin(side(right, "other")).where(name_bound(c("name_parts"), c("other_parts")) >= F.lit(threshold - SLACK))
+    return near.select("name", "other", name_ratio("name", "other").cast("double").alias("confidence")).where(c("confidence") >= threshold)
 
 
 def _entity(df: DataFrame, prefix: str, source: str, source_id: Column, name: Column, address: Column, district: Column, grade: Column, year: Column, seq: str) -> DataFrame:
@@ -149,9 +161,10 @@ def enrich(transactions: DataFrame, entities: DataFrame, key: str, id_col: str,
     # Names are matched once each, however many transactions they have.
     open_rows = first.where(F.col("building_key").isNull() & (normal_name(F.col(name_col)) != ""))
     names = open_rows.select(normal_name(F.col(name_col)).alias("normalized_name")).distinct()
-    pairs = candidate_pairs(names.withColumn("name", F.col("normalized_name")), e, "name", "building_key")
-    scored = pairs.join(e.select("building_key", "order", "grade", "year_built", F.col("normalized_name").alias("other")), "building_key")
-    scored = scored.select("name", "building_key", "order", "grade", "year_built", name_ratio("name", "other").cast("double").alias("confidence"))
+    pairs = name_pairs(names.withColumnRenamed("normalized_name", "name"), e.select(F.col("normalized_name").alias("name")), threshold)
+    # Of entities of one name the first: the others would score the same.
+    firsts = e.groupBy(F.col("normalized_name").alias("other")).agg(F.max(F.struct((-F.col("order")).alias("order"), "building_key", "grade", "year_built")).alias("first"))
+    scored = pairs.join(firsts, "other").select("name", "first.building_key", (-F.col("first.order")).alias("order"), "first.grade", "first.year_built", "confidence")
     best = written(best_of_each(scored, ["name"], "confidence", "order", threshold), "by-name")
     by_name = best.select(F.col("name").alias("__name"), *(F.col(f).alias(f"n_{f}") for f in fields))
     joined = first.withColumn("__name", F.when(F.col("building_key").isNull(), normal_name(F.col(name_col)))).join(by_name, "__name", "left")

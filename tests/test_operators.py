@@ -1,10 +1,13 @@
 """Relational, incremental and resolution operators on literal rows, and files."""
 
 import datetime
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from parcelforge.functions import similarity
 from parcelforge.operators import aggregates, columns, dedupe, filters, incremental, joins, resolve
 from parcelforge.sources import captured, files, sinks
 from parcelforge.streaming.snapshots import keep_snapshot
@@ -88,6 +91,49 @@ def test_consolidate(spark):
     assert out[1]["building_key"] == far["building_key"] and out[2]["building_key"] == "LH_2" and out[3]["building_key"] is None and out[4]["building_key"] is None and len(out) == 4
 
 
+def test_fuzzy_matches_equal_all_pairs(spark):
+    """Misspelled one-word names, long names with errors in their rare words, copies, and nulls, against every pair."""
+    r = random.Random(4)
+    bases = ["centrepoint", "kowloon bay exchange", "sunlight tower 8", "millennium trade plaza 12", "harbour", "grand millennium plaza", "tower", "one two three"]
+
+    def spelled(name):
+        w = list(name)
+        for _ in range(r.randrange(4)):
+            k = r.randrange(len(w))
+            w[k : k + 1] = r.choice(["", "e", w[k] * 2, " "])
+        return " ".join("".join(w).split())
+
+    def made(n):
+        return [(k, spelled(r.choice(bases)), r.choice(["1 main street", "1 mian street", "8 side road", "", None]), r.choice(["Central", "central", "East", "", None])) for k in range(n)]
+
+    one, two = [*made(50), (50, "centrepoint", "5 queens road", "Central"), (51, "", "5 queens road", "Central"), (52, "centrepoint", "5 queens road", "Central")], [*made(60), (60, "centerpoint", "5 queens road", "central"), (61, "", "5 queens road", "central"), (62, "centerpoint", "5 queens road", "central")]
+    schema = "k int, normalized_name string, normalized_address string, district string"
+    left, right = spark.createDataFrame(one, schema), spark.createDataFrame(two, schema).withColumnsRenamed({"k": "other"}).withColumn("seq", F.col("other") * 7 % 101)
+
+    def score(a, b):
+        digits = set(re.findall(r"\d+", a[1])) & set(re.findall(r"\d+", b[1]))
+        name = max(similarity.token_sort_of(a[1], b[1]), similarity.token_set_of(a[1], b[1]))
+        return 0.6 * name + 0.2 * (similarity.token_sort_of(a[2], b[2]) if a[2] and b[2] else 0) + 0.1 * (100 if a[3] and b[3] and a[3].lower() == b[3].lower() else 0) + 0.1 * (100 if digits else 0)
+
+    best = {a[0]: max((round(score(a, b), 6), -(b[0] * 7 % 101), b[0]) for b in two if a[1] and b[1]) for a in one if a[1]}
+    found = {x["k"]: (x["other"], round(x["score"], 6)) for x in resolve.fuzzy_best(left, right, "k", "other", "seq").collect()}
+    assert found == {k: (other, s) for k, (s, _, other) in best.items() if s >= 75} and found[50][1] > 80 and found[52] == found[50] and 51 not in found
+    names = lambda rows: {x[1] for x in rows if x[1]}
+    near = {(a, b) for a in names(one) for b in names(two) if max(similarity.token_sort_of(a, b), similarity.token_set_of(a, b)) >= 85}
+    pairs = resolve.name_pairs(left.select(F.col("normalized_name").alias("name")), right.select(F.col("normalized_name").alias("name")), 85)
+    assert {(x["name"], x["other"]) for x in pairs.collect()} == near and ("centrepoint", "centerpoint") in near
+
+
+def test_transactions_find_misspelled_names(spark):
+    masters = spark.createDataFrame([(1, "Centrepoint", "5 Queens Road", "Central", "A", "1990", 1)], "ID int, Name string, `Street Name` string, `District Name` string, Grade string, `Year Built` string, seq long")
+    none = spark.createDataFrame([], "`Building Name` string, Address string, `Detail URL` string, seq long")
+    detailed = spark.createDataFrame([(5, "Centerpoint", "5 Queens Road", "central", None, 1)], "propertyID int, buildingNameEn string, address string, districtNameEn string, opDateDisplayName string, seq long")
+    entities = resolve.consolidate(masters, none, detailed)
+    assert [r["building_key"] for r in entities.collect()] == ["LH_1"] and resolve.mapping(entities, "landmark", "centanet").count() == 1
+    trans = spark.createDataFrame([(1, None, "Centrepiont")], "t int, id string, name string")
+    assert [r["building_key"] for r in resolve.enrich(trans, entities, "t", "id", "name", "centanet").collect()] == ["LH_1"]
+
+
 def test_csv_repair_and_fallbacks(spark, tmp_path):
     lines = spark.createDataFrame([("a,b,c",), ('1,"x,y",3,4',), ("1",), (" ",)], "value string")
     assert sorted(rows(files.repair_csv(lines, "a,b,c"))) == [("1", "", ""), ("1", '"x,y"', "3,4")]
