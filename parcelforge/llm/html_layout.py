@@ -4,7 +4,8 @@ The tree builder closes elements that HTML lets stand open (paragraphs, list ite
 ignores end tags without a start, and takes scripts, styles and the like as raw text. Not visible are the head,
 scripts, styles, templates, elements with ``hidden``, ``display:none`` or ``visibility:hidden``, closed dialogs and
 hidden inputs. Blocks stand on lines of their own, paragraphs and headings with a blank line around, list items behind
-a bullet or number with indents for lists in lists, table cells in columns of one width each.
+a bullet or number with indents for lists in lists, table cells in columns of one width each. What stands in a table or
+row outside its cells has a row or cell of its own; cells and rows are also found within forms and the like.
 
 Defined cases: null and empty pages give the empty text; text without markup is one paragraph; unclosed comments and
 tags are dropped to the page's end, as browsers do; elements nested beyond ``DEEPEST`` join the deepest one; repeated
@@ -30,10 +31,12 @@ WIDEST_CELL = 60
 # Fixed values of HTML: element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript title iframe noembed noframes object audio video canvas svg math datalist meta link base param source track".split())
+UNSEEN = frozenset("head script style template noscript title iframe noembed noframes object audio video canvas datalist meta link base param source track".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure dl ul ol table fieldset".split())
 BLOCK = SPACED | frozenset("html body div section article nav aside header footer main address form li dt dd hr tr caption thead tbody tfoot figcaption details summary legend menu hgroup search center dir option optgroup select".split())
 CLOSES_P = BLOCK - frozenset("html body tr caption thead tbody tfoot option optgroup select legend summary".split())
+#: What is never shown within drawings and formulas.
+UNSEEN_WITHIN = {"svg": frozenset("defs desc metadata symbol clippath mask pattern marker filter lineargradient radialgradient".split()), "math": frozenset(["annotation", "annotation-xml"])}
 #: A start tag of the first kind ends an open element of the second, unless one of the third stands between.
 IMPLIED_END = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu", "dir"])),
@@ -86,6 +89,9 @@ def build_tree(page: str) -> Element:
         if found:
             del stack[found:]
 
+    def within(kind: str) -> bool:
+        return any(e.tag == kind for e in stack)
+
     while at < end:
         match = _TAG.search(page, at)
         text = page[at : match.start() if match else end]
@@ -106,6 +112,8 @@ def build_tree(page: str) -> Element:
                 continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
+                    if tag == "text" and within("svg"):
+                        stack[k].children.append(" ")
                     del stack[k:]
                     break
                 if stack[k].tag in SCOPE and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html", "td", "th", "caption"):
@@ -121,6 +129,10 @@ def build_tree(page: str) -> Element:
         if tag in CLOSES_P:
             close_to(frozenset(["p"]), SCOPE)
         element = Element(tag, attributes)
+        if any(tag in own and within(kind) for kind, own in UNSEEN_WITHIN.items()):
+            element.attributes = "hidden"
+        if tag == "text" and within("svg"):  # texts of a drawing stand apart
+            stack[-1].children.append(" ")
         stack[-1].children.append(element)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             continue
@@ -198,6 +210,13 @@ class Lines:
         return "\n".join(self.lines)
 
 
+def shown_value(element: Element) -> str | None:
+    """What an input shows."""
+    if element.tag == "input" and (value := element.get("value")) and (element.get("type") or "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url", "tel"):
+        return value
+    return None
+
+
 def _flat(element: Element) -> str:
     """All visible text of an element on one line."""
     out, todo = [], [element]
@@ -206,6 +225,8 @@ def _flat(element: Element) -> str:
         if isinstance(node, str):
             out.append(node)
         elif visible(node) or node is element:
+            if value := shown_value(node):
+                out.append(value)
             if node.tag in BLOCK or node.tag in ("br", "td", "th"):
                 out.append(" ")
                 todo.append(" ")
@@ -213,21 +234,65 @@ def _flat(element: Element) -> str:
     return _SPACES.sub(" ", "".join(out)).strip(" ")
 
 
-def _rows(table: Element) -> list[list[tuple[str, int]]]:
-    rows, todo = [], [c for c in reversed(table.children)]
+def _holds(element: Element, kinds: frozenset) -> bool:
+    """Whether an element has one of the kinds within, but for tables within."""
+    todo = [element]
+    while todo:
+        for child in todo.pop().children:
+            if not isinstance(child, str) and child.tag not in UNSEEN and child.tag != "table":
+                if child.tag in kinds:
+                    return True
+                todo.append(child)
+    return False
+
+
+def _parted(element: Element, kinds: frozenset) -> list[Element]:
+    """The visible parts of a table, section or row in order: elements of the kinds, also those within others, and
+    what stands between them, each stretch as one element."""
+    out, todo = [], list(reversed(element.children))
+    between: list = []
+
+    def end() -> None:
+        if between:
+            stretch = Element("between")
+            stretch.children = list(between)
+            between.clear()
+            if _flat(stretch):
+                out.append(stretch)
+
     while todo:
         node = todo.pop()
-        if isinstance(node, str) or not visible(node):
+        if node is None:
+            end()
+        elif isinstance(node, str):
+            between.append(node)
+        elif not visible(node):
             continue
+        elif node.tag in kinds:
+            end()
+            out.append(node)
+        elif node.tag != "table" and _holds(node, kinds):
+            todo += [None, *reversed(node.children), None]
+        else:
+            between.append(node)
+    end()
+    return out
+
+
+_CELLS = frozenset(["td", "th"])
+_ROWS = frozenset(["tr", "caption", "thead", "tbody", "tfoot", "td", "th"])
+
+
+def _rows(table: Element) -> list[list[tuple[str, int]]]:
+    rows, todo = [], list(reversed(_parted(table, _ROWS)))
+    while todo:
+        node = todo.pop()
         if node.tag == "tr":
-            cells = [c for c in node.children if not isinstance(c, str) and c.tag in ("td", "th") and visible(c)]
+            cells = _parted(node, _CELLS)
             rows.append([(_flat(c), max(1, min(100, int(s))) if (s := c.get("colspan") or "1").isdecimal() else 1) for c in cells])
-        elif node.tag in ("thead", "tbody", "tfoot", "caption"):
-            if node.tag == "caption":
-                rows.append([(_flat(node), 1 << 20)])
-            else:
-                todo += reversed(node.children)
-        elif text := _flat(node):  # what stands in a table without a cell
+        elif node.tag in ("thead", "tbody", "tfoot"):
+            todo += reversed(_parted(node, _ROWS))
+        elif (text := _flat(node)) or node.tag == "caption":  # what stands in a table without a cell
             rows.append([(text, 1 << 20)])
     return rows
 
@@ -310,7 +375,7 @@ def render(page: str | None) -> str:
             continue
         if tag in ("td", "th"):
             out.words(" ")
-        if tag == "input" and (value := node.get("value")) and (node.get("type") or "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url", "tel"):
+        if value := shown_value(node):
             out.words(value)
             continue
         if tag in BLOCK:

@@ -28,6 +28,30 @@ def test_rendered_pages(page, text):
     assert html_layout.render(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<table><tr><form><td>a</td><td>b</td></form></tr></table>", "a  b"), ("<table><form><tr><td>a<td>b<tr><td>c</form></table>", "a  b\nc"),
+        ("<table>one<tbody>two<tr>three<td>a</td>fo<b>u</b>r<td>b</tr>five</tbody>six</table>", "one\ntwo\nthree  a  four  b\nfive\nsix"),
+        ("<table><tr><div>x<td>a</td>y</div></table>", "x  a  y"), ("<table><tr><div hidden><td>no</td></div><td>a</table>", "a"), ("<table><thead><p>t</p><tr><td>a</table>", "t\na"),
+        ("<table><tr><td><table><tr>in<td>ner</table></td>x</table>", "in ner  x"), ("<table><tr><td><input value=v></td><td>w</table>", "v  w"),
+        ("see<svg><title>no</title><defs><text>no</text></defs><text>a</text><text>b</text></svg>c", "see a b c"), ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>.", "x=1."), ("<table><tr><td><svg><text>a</text></svg><td>b</table>", "a  b"), ("<desc>shown</desc>", "shown"),
+    ],
+)
+def test_text_of_malformed_tables_drawings_and_formulas(page, text):
+    assert html_layout.render(page) == text
+
+
+def test_no_word_of_a_malformed_table_is_lost():
+    import re
+
+    r = random.Random(5)
+    tags = ["<tr>", "<td>", "<th>", "</td>", "</tr>", "<tbody>", "<thead>", "</tbody>", "<form>", "</form>", "<div>", "</div>", "<b>", "</b>", "<p>", "<table>", "</table>", "<caption>", "</caption>", "<span>", "</span>"]
+    for _ in range(2000):
+        page = "<table>" + "".join(r.choice(tags) + (f" w{k} " if r.random() < 0.6 else "") for k in range(r.randrange(1, 25)))
+        assert sorted(re.findall(r"w\d+", html_layout.render(page))) == sorted(re.findall(r"w\d+", page)), page
+
+
 def test_all_paragraphs_of_the_pages_are_there(spark, sf_dir):
     import re
 
