@@ -6,11 +6,11 @@ consecutive ones, so a passage of twice that many words holds whole paragraphs w
 equal paragraphs always. Colliding paragraphs are joined and verified by the exact Jaccard similarity of their
 shingles (see ``linking``); each component keeps its first occurrence (least document, then place) and the others are
 removals. Neighbouring removals with neighbouring kept copies form a run, whose ends are moved outwards word by word
-as far as the text equals the kept copy's. Only runs of ``MIN_WORDS`` words or more are reported, so short lines that
+to the first word that isn't the kept copy's. Only runs of ``MIN_WORDS`` words or more are reported, so short lines that
 many documents share stay.
 
-Defined cases: null and empty texts have no paragraphs; paragraphs of under five words or ``MIN_SHINGLES`` distinct
-shingles (one word over and over) are never removed for themselves; rows without an id are passed over; of repeated
+Defined cases: null and empty texts have no paragraphs; paragraphs of under five words or
+of one word over and over are never removed for themselves; rows without an id are passed over; of repeated
 rows (one id) the text is one document's; further columns pass through; an empty table gives no rows.
 """
 
@@ -32,9 +32,10 @@ from .shingles import SLICE_CHARS, WIDTH, mix, shingle_hashes, words_of
 WINDOW = 24
 BANDS = 2
 MIN_WORDS = 50
-MIN_SHINGLES = 4
-#: Characters on either side of a run that are compared with the kept copy's surroundings.
+#: Characters on either side of a run that are compared first with the kept copy's surroundings, and how many times more
+#: are compared next for runs that used theirs up.
 CONTEXT = 600
+CONTEXT_GROWTH = 8
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 _LATE = np.uint64(1 << 63)
@@ -86,10 +87,14 @@ def paragraphs_of(texts: list[str]) -> dict[str, np.ndarray]:
     # Paragraphs of equal shingle sets are one node: a word said a few times more makes no other paragraph.
     digest = mix(np.add.reduceat(np.where(new, mix(flat[by] ^ np.uint64(0x2545F4914F6CDD1D)), np.uint64(0)), starts))
     bases = chars[found.bases[text]]
-    return {
+    found_all = {
         "text": text, "idx": idx, "first": first - found.firsts[text], "words": last - first, "start": chars[found.starts[first]] - bases, "end": chars[found.ends[last - 1]] - bases,
         "digest": digest.view(np.int64), "size": np.bincount(owner[by][new], minlength=len(first)), "sketch": sketch.view(np.int64), "mins": mins.view(np.int64),
     }
+    said = ~np.logical_and.reduceat(dull[at], starts)  # not one word over and over
+    told = {c: v[said] for c, v in found_all.items()}
+    told["idx"] = np.arange(len(told["text"])) - np.searchsorted(told["text"], told["text"])
+    return told
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,7 +106,6 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             ids, done = batch.column("id").to_numpy(zero_copy_only=False), 0
             for part in text_slices(batch.column("text").to_pylist(), SLICE_CHARS):
                 x = paragraphs_of(part)
-                x = {c: v[x["size"] >= MIN_SHINGLES] for c, v in x.items()}
                 mins = pa.ListArray.from_arrays(pa.array(np.arange(len(x["mins"]) + 1) * BANDS, pa.int32()), pa.array(x["mins"].reshape(-1)))
                 names = ("idx", "first", "words", "start", "end")
                 columns = [pa.array(ids[done + x["text"]], pa.int64()), *(pa.array(x[c], pa.int32()) for c in names), pa.array(x["digest"], pa.int64()), pa.array(x["size"], pa.int32()), pa.array(x["sketch"]), mins]
@@ -112,25 +116,34 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.mapInArrow(run, PARAGRAPHS)
 
 
-def shared_words(one: str, other: str, backwards: bool) -> tuple[int, int]:
-    """How many words two stretches have in common from one end, and how many characters those take in ``one``."""
+def shared_words(one: str, other: str, backwards: bool, cut: tuple[bool, bool] = (False, False)) -> tuple[int, int, bool]:
+    """How many words two stretches have in common from one end, how many characters those take in ``one``, and
+    whether it takes more text to tell: ``cut`` says which stretch ends, at its far end, before its text does."""
     a, b = list(_WORD.finditer(one)), list(_WORD.finditer(other))
     step = -1 if backwards else 1
+    a, b = a[::step], b[::step]
+    for own, text, short in ((a, one, cut[0]), (b, other, cut[1])):
+        # The last word of a cut stretch may go on beyond it.
+        if short and own and (own[-1].start() == 0 if backwards else own[-1].end() == len(text)):
+            own.pop()
     n = 0
-    for x, y in zip(a[::step], b[::step], strict=False):
+    for x, y in zip(a, b, strict=False):
         if x.group().lower() != y.group().lower():
             break
         n += 1
+    more = n == min(len(a), len(b)) and all(short for own, short in ((a, cut[0]), (b, cut[1])) if len(own) == n)
     if not n:
-        return 0, 0
-    return n, len(one) - a[-n].start() if backwards else a[n - 1].end()
+        return 0, 0, more
+    return n, len(one) - a[n - 1].start() if backwards else a[n - 1].end(), more
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """One row for each passage to remove: ``id_col, start, end, n_words, keep_id, keep_start`` (characters from 0,
     ``end`` exclusive; ``keep_id`` and ``keep_start`` tell where the copy that stays is)."""
     found = materialise(paragraphs(docs, id_col, text_col), "paragraphs")
-    postings = found.select(F.explode("mins").alias("key"), F.col("digest").alias("grp"), "size", F.lit(0).alias("place"))
+    # Smaller sets link with equal ones alone, and those have one digest.
+    linking = found.where(F.col("size") * F.lit(100 - percent) >= F.lit(percent))
+    postings = linking.select(F.explode("mins").alias("key"), F.col("digest").alias("grp"), "size", F.lit(0).alias("place"))
     place = F.struct("id", "idx", "start", "end")
     same = materialise(found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")), "digests")
     nodes = found.select(F.col("digest").alias("node"), F.col("digest").alias("grp"), "size", "sketch")
@@ -167,34 +180,55 @@ def _runs(gone: DataFrame) -> DataFrame:
     return marked.groupBy("id", "run").agg(*ends, F.min("keep.id").alias("keep_id"), F.min("keep.start").alias("keep_start"), F.max("keep.end").alias("keep_end")).drop("run")
 
 
-def _around(text: Column, start: str, end: str) -> list[Column]:
-    begin = F.greatest(F.col(start) - CONTEXT, F.lit(0))
-    return [F.substring(text, begin + 1, F.col(start) - begin), F.substring(text, F.col(end) + 1, F.lit(CONTEXT))]
+def _around(text: Column, start: str, end: str, context: int) -> Column:
+    begin = F.greatest(F.col(start) - context, F.lit(0))
+    return F.struct(
+        F.substring(text, begin + 1, F.col(start) - begin).alias("before"), F.substring(text, F.col(end) + 1, F.lit(context)).alias("after"),
+        (begin > 0).alias("cut_before"), (F.char_length(text) > F.col(end) + context).alias("cut_after"),
+    )
+
+
+_MOVED = "id bigint, start int, end int, n_words int, keep_id bigint, keep_start int, keep_end int, new_start int, new_end int, new_words int, more boolean"
 
 
 def _extended(runs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The runs with their ends moved out as far as words equal the kept copy's."""
+    done, context = None, CONTEXT
+    while True:
+        moved = materialise(_moved(runs, docs, id_col, text_col, context), "moved")
+        told = moved.where("NOT more").select("id", F.col("new_start").alias("start"), F.col("new_end").alias("end"), F.col("new_words").alias("n_words"), "keep_id", "keep_start")
+        done = told if done is None else done.unionByName(told)
+        open_runs = moved.where("more")
+        if open_runs.isEmpty():
+            return done
+        runs, context = open_runs.select("id", "start", "end", "n_words", "keep_id", "keep_start", "keep_end"), context * CONTEXT_GROWTH
+
+
+def _moved(runs: DataFrame, docs: DataFrame, id_col: str, text_col: str, context: int) -> DataFrame:
+    """The runs, their ends as far as ``context`` tells, and whether it takes more."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    def beside(rows: DataFrame, own: str, start: str, end: str, prefix: str) -> DataFrame:
+
+    def beside(rows: DataFrame, own: str, start: str, end: str, name: str) -> DataFrame:
         asked = materialise(rows.select(F.col(own).alias("doc")).distinct(), "asked")
         near = texts.join(small_side(asked), "doc", "left_semi").dropDuplicates(["doc"])
         joined = rows.join(near, rows[own] == near["doc"])
-        before, after = _around(F.col("text"), start, end)
-        return joined.select(*rows.columns, before.alias(f"{prefix}_before"), after.alias(f"{prefix}_after"))
+        return joined.select(*rows.columns, _around(F.col("text"), start, end, context).alias(name))
 
     both = beside(materialise(beside(runs, "id", "start", "end", "own"), "contexts"), "keep_id", "keep_start", "keep_end", "kept")
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    schema = pa.schema([(n, kinds[k]) for n, k in (c.split() for c in _MOVED.split(", "))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
             for r in rows:
-                before, taken = shared_words(r.pop("own_before"), r.pop("kept_before"), True)
-                after, added = shared_words(r.pop("own_after"), r.pop("kept_after"), False)
-                r["start"], r["end"], r["n_words"] = r["start"] - taken, r["end"] + added, r["n_words"] + before + after
-                r.pop("keep_end")
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("n_words", pa.int32()), ("keep_id", pa.int64()), ("keep_start", pa.int32())]))
+                own, kept = r.pop("own"), r.pop("kept")
+                before, taken, early = shared_words(own["before"], kept["before"], True, (own["cut_before"], kept["cut_before"]))
+                after, added, late = shared_words(own["after"], kept["after"], False, (own["cut_after"], kept["cut_after"]))
+                r["new_start"], r["new_end"], r["new_words"], r["more"] = r["start"] - taken, r["end"] + added, r["n_words"] + before + after, early or late
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return both.mapInArrow(run, "id bigint, start int, end int, n_words int, keep_id bigint, keep_start int")
+    return both.mapInArrow(run, _MOVED)
 
 
 def without_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -159,6 +159,33 @@ def test_repeated_passages_are_found_and_cut(make_docs):
     assert all(cut[k] == texts[k] for k in texts if k not in (8, 21)) and cut[90] is None and cut[91] == ""
 
 
+def test_long_words_and_repeated_words_at_the_ends_are_found(make_docs):
+    """Shared passages of 56 words of 90 characters, and one with a word over and over at its end, are taken whole."""
+    r = random.Random(11)
+    long = [" ".join("".join(r.choice(string.ascii_lowercase) for _ in range(90)) for _ in range(56)) for _ in range(6)]
+    dull = " ".join(words(97, 70)) + " the" * 400
+    texts = {}
+    for k, passage in enumerate([*long, dull]):
+        for half in (0, 1):
+            texts[10 * k + half] = " ".join([*words(2000 + 10 * k + half, 80), passage, *words(3000 + 10 * k + half, 80)])
+    found = paragraph_dedup.repeated_passages(make_docs(list(texts.items()))).collect()
+    assert sorted(texts[r["doc_id"]][r["start"] : r["end"]] for r in found) == sorted([*long, dull])
+
+
+def test_short_paragraphs_count_and_one_word_over_and_over_does_not():
+    r = random.Random(2)
+    texts = [" ".join(f"w{r.randrange(9999)}" for _ in range(n)) for n in range(5, 9)]
+    x = paragraph_dedup.paragraphs_of([*texts, "of " * 90, " ".join([*words(1, 60), *["of"] * 90, *words(2, 60)])])
+    assert {0, 1, 2, 3} <= set(x["text"].tolist()) and 4 not in x["text"] and x["idx"][x["text"] == 5].tolist() == list(range(int((x["text"] == 5).sum())))
+
+
+def test_shared_words_ask_for_more_text():
+    more = paragraph_dedup.shared_words
+    assert more("a b c", "a b c", False) == (3, 5, False) and more("a b c", "a b c", False, (True, True)) == (2, 3, True)
+    assert more("a b c", "a b d", False, (True, True)) == (2, 3, True) and more("a x c", "a b c", False, (True, True)) == (1, 1, False)
+    assert more("b c", "x b c", True, (False, True)) == (2, 3, False) and more("b c", "b c ", True, (True, True)) == (1, 1, True)
+
+
 def test_no_passage_is_lost_everywhere(small_docs):
     """Of every 50 words that several documents share, one document at least keeps them or a near copy is kept."""
     found = paragraph_dedup.repeated_passages(small_docs).collect()
