@@ -72,23 +72,10 @@ def select_text(html: Column, css: str) -> Column:
     return F.coalesce(F.get(select_texts(html, css), 0), F.lit(""))
 
 
-def pair_texts(html: str, title: str, value: str) -> list[dict]:
-    """Titles and values of a list: each title with the first value that follows before the next title."""
-    is_title, is_value = _selector(title), _selector(value)
-    kinds: list[bool] = []
-
-    def wanted(t, c, i):
-        hit = is_title(t, c, i) or is_value(t, c, i)
-        if hit:
-            kinds.append(is_title(t, c, i))
-        return hit
-
-    parser = _Texts(wanted)
-    parser.feed(html or "")
-    parser.close()
+def _paired(kinds: list[bool], texts: list[str]) -> list[dict]:
+    """Titles with the first value that follows each before the next title."""
     out: list[dict] = []
-    for title_here, words in zip(kinds, parser.found, strict=True):
-        text = " ".join(" ".join(words).split())
+    for title_here, text in zip(kinds, texts, strict=True):
         if title_here:
             out.append({"key": text, "value": None})
         elif out and out[-1]["value"] is None:
@@ -96,6 +83,97 @@ def pair_texts(html: str, title: str, value: str) -> list[dict]:
     return out
 
 
+def fields_of(html: str, selectors: list[str], pair: tuple[str, str] | None = None) -> tuple[list[list[str]], list[dict]]:
+    """The texts of the elements of each selector, and title-value pairs, from one reading of the page."""
+    tests = [_selector(css) for css in (*selectors, *(pair or ()))]
+    hits: list[list[bool]] = []
+
+    def wanted(t, c, i):
+        hit = [test(t, c, i) for test in tests]
+        if any(hit):
+            hits.append(hit)
+        return any(hit)
+
+    parser = _Texts(wanted)
+    parser.feed(html or "")
+    parser.close()
+    texts = [" ".join(" ".join(x).split()) for x in parser.found]
+    n = len(selectors)
+    own = [[t for t, hit in zip(texts, hits, strict=True) if hit[k]] for k in range(n)]
+    told = [(hit[n], t) for t, hit in zip(texts, hits, strict=True) if pair and (hit[n] or hit[n + 1])]
+    return own, _paired([k for k, _ in told], [t for _, t in told])
+
+
+def fields(html: Column, selectors: dict[str, str], pair: tuple[str, str] | None = None) -> Column:
+    """Struct of ``name: texts`` for each selector, and ``pairs`` of titles and values; each page is read once."""
+    kind = ",".join([*(f"`{n}`:array<string>" for n in selectors), "pairs:array<struct<key:string,value:string>>"])
+
+    @F.pandas_udf(f"struct<{kind}>")
+    def run(pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for page in pages:
+            own, pairs = fields_of(page or "", list(selectors.values()), pair)
+            rows.append((*own, pairs))
+        return pd.DataFrame(rows, columns=[*selectors, "pairs"])
+
+    return run(html)
+
+
+class _Elements(HTMLParser):
+    """Where the outermost elements that ``wanted(tag, classes, id)`` names begin and end."""
+
+    def __init__(self, page: str, wanted):
+        super().__init__(convert_charrefs=True)
+        self.wanted, self.open, self.spans = wanted, [], []
+        self.lines = [0]
+        for line in page.splitlines(keepends=True) if "\n" in page else ():
+            self.lines.append(self.lines[-1] + len(line))
+        self.feed(page)
+        self.close()
+
+    def place(self) -> int:
+        line, column = self.getpos()
+        return self.lines[min(line - 1, len(self.lines) - 1)] + column
+
+    def handle_starttag(self, tag, attrs):
+        given = dict(attrs)
+        if self.open:
+            if tag == self.open[0]:
+                self.open.append(tag)
+        elif tag not in VOID and self.wanted(tag, (given.get("class") or "").split(), given.get("id")):
+            self.open = [tag]
+            self.spans.append([self.place(), None])
+
+    def handle_endtag(self, tag):
+        if self.open and tag == self.open[0]:
+            self.open.pop()
+            if not self.open:
+                self.spans[-1][1] = self.place()
+
+
+def elements_of(html: str, css: str) -> list[str]:
+    """The markup of the outermost elements that a simple selector names; one that isn't closed goes to the end."""
+    page = html.replace("\r\n", "\n").replace("\r", "\n")
+    # Lines are parted at line feeds alone, as the parser counts them.
+    page = page if not any(c in page for c in "\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029") else page.translate({ord(c): " " for c in "\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"})
+    return [page[a : len(page) if b is None else page.index(">", b) + 1] for a, b in _Elements(page, _selector(css)).spans]
+
+
+def elements(html: Column, css: str) -> Column:
+    """Array of the markup of such elements, such as the cards of a listing page; null html gives an empty array."""
+
+    @F.pandas_udf("array<string>")
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: elements_of(page or "", css))
+
+    return run(html)
+
+
+def pair_texts(html: str, title: str, value: str) -> list[dict]:
+    """Titles and values of a list: each title with the first value that follows before the next title."""
+    return fields_of(html, [], (title, value))[1]
+
+
 def definition_list(html: Column, title: str, value: str) -> Column:
     """Array of ``struct(key, value)`` from elements for titles and for values."""
 

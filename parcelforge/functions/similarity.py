@@ -15,8 +15,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import digit_groups
-
 # The weights of name, address, district and numbers, and the thresholds.
 WEIGHTS = {"name": 0.6, "address": 0.2, "district": 0.1, "digits": 0.1}
 ENTITY_THRESHOLD = 75
@@ -108,12 +106,13 @@ def name_bound(a: Column, b: Column) -> Column:
     return F.least(F.greatest(sort_bound(a, b), whole, one_side(a), one_side(b)), F.lit(100.0))
 
 
-def building_score(name: tuple[Column, Column], address: tuple[Column, Column], district: tuple[Column, Column]) -> Column:
-    """0 to 100. Names and addresses are normalised before; a null or empty address or district adds nothing."""
+def building_score(name: tuple[Column, Column], address: tuple[Column, Column], district: tuple[Column, Column], digits: tuple[Column, Column]) -> Column:
+    """0 to 100. Names and addresses are normalised before; ``digits`` are the digit groups of the addresses as they
+    were. A null or empty address or district adds nothing."""
     filled = lambda pair: F.coalesce((pair[0] != "") & (pair[1] != ""), F.lit(False))
     by_address = F.when(filled(address), token_sort_ratio(*address)).otherwise(0)
     by_district = F.when(filled(district) & (F.lower(district[0]) == F.lower(district[1])), 100).otherwise(0)
-    by_digits = F.when(F.coalesce(F.arrays_overlap(digit_groups(name[0]), digit_groups(name[1])), F.lit(False)), 100).otherwise(0)
+    by_digits = F.when(F.coalesce(F.arrays_overlap(*digits), F.lit(False)), 100).otherwise(0)
     return WEIGHTS["name"] * name_ratio(*name) + WEIGHTS["address"] * by_address + WEIGHTS["district"] * by_district + WEIGHTS["digits"] * by_digits
 
 

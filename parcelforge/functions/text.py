@@ -90,22 +90,38 @@ def key_of(*parts: Column) -> Column:
     return F.concat(*(x for k, p in enumerate(parts) for x in ([F.lit("_")] if k else []) + [p.cast("string")]))
 
 
-def _plain(text: Column) -> Column:
-    return strip(F.regexp_replace(F.regexp_replace(text, r"(?U)[^\w\s]", " "), r"(?U)\s+", " "))
+def _words(text: Column) -> Column:
+    """Lower-cased runs of word characters. ASCII is split by a pattern of its own, which is many times faster."""
+    low = F.lower(F.coalesce(text.cast("string"), F.lit("")))
+    plain = F.octet_length(low) == F.char_length(low)
+    spaced = F.when(plain, F.regexp_replace(low, "[^a-z0-9_]+", " ")).otherwise(F.regexp_replace(low, r"(?U)\W+", " "))
+    return F.split(F.trim(spaced), " ")
 
 
-def _replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
-    return reduce(lambda t, p: F.regexp_replace(t, rf"(?U)\b{p[0]}\b", p[1]), pairs, F.lower(F.coalesce(text.cast("string"), F.lit(""))))
+def _replaced(words: Column, by) -> Column:
+    return F.array_join(F.transform(words, by), " ")
 
 
 def normal_name(text: Column) -> Column:
     """A building name for comparison: lower case, abbreviations written out, no punctuation. Null gives ``''``."""
-    return _plain(_replaced(text, NAME_WORDS))
+    names = F.create_map(*(F.lit(x) for pair in NAME_WORDS for x in pair))
+    return _replaced(_words(text), lambda w: F.when(w.isin([a for a, _ in NAME_WORDS]), F.try_element_at(names, w)).otherwise(w))
 
 
 def normal_address(text: Column) -> Column:
-    """An address for comparison; null gives ``''``."""
-    return _plain(_replaced(text, ADDRESS_PATTERNS))
+    """An address for comparison; null gives ``''``. A pattern's dot stands for any character of the word."""
+    short = {a: b for a, b in ADDRESS_PATTERNS if "." not in a}
+    starts = [(a.rstrip("."), len(a), b) for a, b in ADDRESS_PATTERNS if "." in a]
+
+    def by(w: Column) -> Column:
+        found = w
+        for start, length, full in reversed(starts):
+            found = F.when(w.startswith(start) & (F.char_length(w) == length), full).otherwise(found)
+        for word, full in short.items():
+            found = F.when(w == word, full).otherwise(found)
+        return F.when(F.char_length(w) > max(n for _, n, _ in starts), w).otherwise(found)
+
+    return _replaced(_words(text), by)
 
 
 def _marks(part: Column, words: list[str]) -> Column:
@@ -123,7 +139,8 @@ def parse_address(address: Column) -> Column:
     """Struct of Building, Phase, Tower/Block, Floor, Flat, Floor_Type from an address of marked parts.
 
     Part 0 is the building. Of the others each belongs to the first key that one of its words is found for (with
-    case); the last part of a key wins. A part with a floor type gives Floor_Type besides. A null address gives nulls.
+    case); the last part of a key wins. The last part that names a floor type is Floor_Type besides. A null address
+    gives nulls.
     """
     parts = F.split(address, PART_MARK)
     rest = F.slice(parts, 2, 1 << 20)
@@ -132,7 +149,7 @@ def parse_address(address: Column) -> Column:
     def of(key: str) -> Column:
         return last(F.filter(rest, lambda p: _key(p) == key)).alias(key)
 
-    kind = last(F.filter(F.flatten(F.transform(rest, lambda p: F.array(*(F.when(F.contains(p, F.lit(t)), F.lit(t)) for t in FLOOR_TYPES)))), lambda t: t.isNotNull()))
+    kind = last(F.filter(rest, lambda p: _marks(p, FLOOR_TYPES)))
     return F.struct(F.get(parts, 0).alias("Building"), *(of(k) for k in ADDRESS_KEYS), kind.alias("Floor_Type"))
 
 

@@ -1,4 +1,4 @@
-"""Joins: null-safe with suffixes, by counts, cross products of small lists."""
+"""Joins: null-safe with suffixes, by counts, products of lists."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from .dedupe import keep_first
 
-#: The largest product of list lengths that ``product`` makes.
-MOST_COMBINATIONS = 1_000_000
-MOST_LITERALS = 1_000
-
-
 def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, suffixes: tuple[str, str] = ("_left", "_right"), null_safe: bool = False) -> DataFrame:
     """A left join that keeps both keys and adds the suffixes to names that both sides have.
 
@@ -37,13 +32,6 @@ def with_count(df: DataFrame, counts: DataFrame, key: str, name: str = "n") -> D
 
 
 def product(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Every combination of two short lists, such as districts and types.
-
-    The second list is checked to be short and goes to the rows of the first as an array of literals.
-    """
-    rows, items = a.count(), b.limit(MOST_LITERALS + 1).collect()
-    if len(items) > MOST_LITERALS or rows * len(items) > MOST_COMBINATIONS:
-        raise ValueError(f"{rows} by {len(items)} or more combinations; both lists must be short")
-    kind = f"array<{b.schema.simpleString()}>"
-    made = F.array(*(F.struct(*(F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in b.schema.fields)) for r in items)).cast(kind)
-    return a.withColumn("__item", F.explode(made)).select(*a.columns, "__item.*")
+    """Every combination of two lists, such as districts and types. Spark sends a side to the other's tasks where it is
+    small, and else pairs up partitions."""
+    return a.crossJoin(b)

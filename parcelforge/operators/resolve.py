@@ -31,15 +31,20 @@ def _spread(df: DataFrame) -> DataFrame:
 
 def fuzzy_best(left: DataFrame, right: DataFrame, left_key: str, right_key: str, right_order: str, threshold: float = ENTITY_THRESHOLD) -> DataFrame:
     """For each left row the right row of the greatest score of at least ``threshold`` (ties: the first by
-    ``right_order``): ``left_key, right_key, score``. Both sides have normalised names and addresses and a district."""
-    fields = ["normalized_name", "normalized_address", "district"]
+    ``right_order``): ``left_key, right_key, score``. Both sides have normalised names and addresses and a district, and
+    the ``address`` as it was (without it, digits are taken from the normalised one)."""
+    fields = ["normalized_name", "normalized_address", "district", "digits"]
     c = F.col
 
+    def numbered(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("digits", F.array_sort(F.array_distinct(digit_groups(c("address" if "address" in rows.columns else "normalized_address")))))
+
     def side(rows: DataFrame, p: str) -> DataFrame:
-        told = {"name": parts("normalized_name"), "address": parts("normalized_address"), "low": F.lower("district"), "digits": digit_groups(c("normalized_name"))}
+        told = {"name": parts("normalized_name"), "address": parts("normalized_address"), "low": F.lower("district")}
         return rows.withColumns(told).select(*(c(x).alias(f"{p}_{x}") for x in (*fields, *told)), *(x for x in rows.columns if x not in fields))
 
     named = lambda df: df.where(c("normalized_name") != "")
+    left, right = numbered(left), numbered(right)
     a = written(side(named(left).select(*fields).distinct(), "l"), "left-side")
     first = F.max(F.struct((-c(right_order)).alias("order"), c(right_key))).alias("first")
     b = written(side(named(right).groupBy(*fields).agg(first).select(*fields, "first"), "r"), "right-side")
@@ -96,7 +101,7 @@ def consolidate(masters: DataFrame, listed: DataFrame, detailed: DataFrame, thre
     base = lh.withColumn("stage", F.lit(0))
 
     def matched(rows: DataFrame, entities: DataFrame) -> DataFrame:
-        place = entities.select("building_key", F.struct("stage", "seq").alias("place"), *(x for x in ("normalized_name", "normalized_address", "district")))
+        place = entities.select("building_key", F.struct("stage", "seq").alias("place"), "normalized_name", "normalized_address", "address", "district")
         ordered = place.withColumn("order", c("place.stage") * F.lit(1 << 40) + c("place.seq"))
         return written(fuzzy_best(rows.withColumn("row", c("seq")), ordered, "row", "building_key", "order", threshold), "matched")
 
@@ -147,26 +152,33 @@ def enrich(transactions: DataFrame, entities: DataFrame, key: str, id_col: str,
 
     First by id: an entity of this source, or one with a match of this source that has the id (100, or the match's
     score); the first entity wins. What has no id match is matched by name, at ``threshold`` or more.
+    ``original_building_id`` is the original key of the entity, where it is of this source, else of its match of this
+    source, else null. Rows without a match, and null or blank names and ids, get nulls.
     """
-    order = F.col("stage") * F.lit(1 << 40) + F.col("seq")
-    e = entities.withColumn("order", order)
-    own = e.where(F.col("source") == source).select(F.col("source_id").alias("id"), "order", F.lit(100.0).alias("confidence"), "building_key", "grade", "year_built")
+    c = F.col
+    order = c("stage") * F.lit(1 << 40) + c("seq")
     m = F.try_element_at("matches", F.lit(source))
-    other = e.where(m.isNotNull()).select(m["id"].alias("id"), "order", m["score"].alias("confidence"), "building_key", "grade", "year_built")
+    mine = c("source") == source
+    e = entities.withColumns({"order": order, "original_building_id": F.when(mine, c("original_key")).otherwise(m["original_key"])})
+    fields = ["building_key", "original_building_id", "grade", "year_built"]
+    own = e.where(mine).select(c("source_id").alias("id"), "order", F.lit(100.0).alias("confidence"), *fields)
+    other = e.where(m.isNotNull()).select(m["id"].alias("id"), "order", m["score"].alias("confidence"), "building_key", m["original_key"].alias("original_building_id"), "grade", "year_built")
     known = own.unionByName(other).where("id IS NOT NULL AND id <> ''")
-    fields = ["confidence", "building_key", "grade", "year_built"]
-    by_id = known.groupBy("id").agg(F.min(F.struct("order", *fields))["order"].alias("order"), *(F.min_by(F.col(f), "order").alias(f) for f in fields))
-    rows = transactions.withColumn("__id", F.col(id_col).cast("string"))
-    first = rows.join(by_id.withColumnRenamed("id", "__id").drop("order"), "__id", "left")
+    told = ["confidence", *fields]
+    # Of one entity its own id goes before its match's.
+    by_id = known.groupBy(c("id").alias("__id")).agg(F.max(F.struct((-c("order")).alias("order"), (c("confidence") == 100.0).alias("own"), *told)).alias("best")).select("__id", *(f"best.{f}" for f in told))
+    rows = transactions.withColumn("__id", c(id_col).cast("string"))
+    first = rows.join(by_id, "__id", "left")
     # Names are matched once each, however many transactions they have.
-    open_rows = first.where(F.col("building_key").isNull() & (normal_name(F.col(name_col)) != ""))
-    names = open_rows.select(normal_name(F.col(name_col)).alias("normalized_name")).distinct()
-    pairs = name_pairs(names.withColumnRenamed("normalized_name", "name"), e.select(F.col("normalized_name").alias("name")), threshold)
+    open_rows = first.where(c("building_key").isNull() & (normal_name(c(name_col)) != ""))
+    names = open_rows.select(normal_name(c(name_col)).alias("normalized_name")).distinct()
+    pairs = name_pairs(names.withColumnRenamed("normalized_name", "name"), e.select(c("normalized_name").alias("name")), threshold)
     # Of entities of one name the first: the others would score the same.
-    firsts = e.groupBy(F.col("normalized_name").alias("other")).agg(F.max(F.struct((-F.col("order")).alias("order"), "building_key", "grade", "year_built")).alias("first"))
-    scored = pairs.join(firsts, "other").select("name", "first.building_key", (-F.col("first.order")).alias("order"), "first.grade", "first.year_built", "confidence")
+    firsts = e.groupBy(c("normalized_name").alias("other")).agg(F.max(F.struct((-c("order")).alias("order"), *fields)).alias("first"))
+    scored = pairs.join(firsts, "other").select("name", (-c("first.order")).alias("order"), *(f"first.{f}" for f in fields), "confidence")
     best = written(best_of_each(scored, ["name"], "confidence", "order", threshold), "by-name")
-    by_name = best.select(F.col("name").alias("__name"), *(F.col(f).alias(f"n_{f}") for f in fields))
-    joined = first.withColumn("__name", F.when(F.col("building_key").isNull(), normal_name(F.col(name_col)))).join(by_name, "__name", "left")
-    pick = lambda f: F.coalesce(F.col(f), F.col(f"n_{f}"))
-    return joined.select(*transactions.columns, pick("building_key").alias("building_key"), F.col("__id").alias("original_building_id"), pick("grade").alias("building_grade"), pick("year_built").alias("building_year"), pick("confidence").alias("match_confidence"))
+    by_name = best.select(c("name").alias("__name"), *(c(f).alias(f"n_{f}") for f in told))
+    joined = first.withColumn("__name", F.when(c("building_key").isNull(), normal_name(c(name_col)))).join(by_name, "__name", "left")
+    by = F.when(c("building_key").isNotNull(), F.struct(*told)).otherwise(F.struct(*(c(f"n_{f}").alias(f) for f in told)))
+    found = joined.withColumn("__by", by)
+    return found.select(*transactions.columns, *(c("__by")[f].alias(n) for f, n in (("building_key", "building_key"), ("original_building_id", "original_building_id"), ("grade", "building_grade"), ("year_built", "building_year"), ("confidence", "match_confidence"))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import relational, resolution, values  # noqa: F401  registering
+from . import exchange, fields, relational, resolution, values  # noqa: F401  registering
 from .register import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

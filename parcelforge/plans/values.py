@@ -66,8 +66,8 @@ def normalize_text(spark, sf_dir):
 
 
 # Addresses of every shape, made of a part's columns.
-_ADDRESS = """CASE p_partkey % 6 WHEN 0 THEN p_name || '・Phase ' || p_size || '・Tower 2・Upper Floor・Flat A' WHEN 1 THEN p_name || '・Block ' || p_size || '・Middle Floor・B'
-    WHEN 2 THEN p_name || '・(Block 2)・P2' || p_size WHEN 3 THEN p_name || '・Tower 1・Tower ' || p_size || '・Flat 3' WHEN 4 THEN NULL ELSE p_name || '・Lower Floor' END"""
+_ADDRESS = """CASE p_partkey % 6 WHEN 0 THEN p_name || '・Phase ' || p_size || '・Tower 2・Upper Floor 12・Flat A' WHEN 1 THEN p_name || '・Block ' || p_size || '・Middle Floor・B'
+    WHEN 2 THEN p_name || '・(Block 2)・P2' || p_size WHEN 3 THEN p_name || '・Tower 1・Tower ' || p_size || '・Flat 3' WHEN 4 THEN NULL ELSE p_name || '・Lower Floor ' || p_size END"""
 
 
 def _has(words: list[str]) -> str:
@@ -76,19 +76,28 @@ def _has(words: list[str]) -> str:
 
 _KEY = "CASE " + " ".join(f"WHEN {_has(w)} THEN '{k}'" for k, w in text.ADDRESS_KEYS.items()) + " END"
 _LAST = ", ".join(f"list_filter(parts[2:], lambda p: ({_KEY}) = '{k}')[-1] AS {k.lower().replace('/', '_')}" for k in text.ADDRESS_KEYS)
-_FLOOR = "CASE " + " ".join(f"WHEN contains(p, '{t}') THEN '{t}'" for t in text.FLOOR_TYPES) + " END"
+_FLOOR = f"list_filter(parts[2:], lambda p: {_has(text.FLOOR_TYPES)})[-1]"
 
 
 @query(
     "address_parse_v1",
     f"""WITH a AS (SELECT p_partkey, {_ADDRESS} AS address FROM part), s AS (SELECT *, string_split(address, '・') AS parts FROM a)
-    SELECT p_partkey, parts[1] AS building, {_LAST}, list_filter(list_transform(parts[2:], lambda p: {_FLOOR}), lambda t: t IS NOT NULL)[-1] AS floor_type FROM s""",
+    SELECT p_partkey, parts[1] AS building, {_LAST}, {_FLOOR} AS floor_type FROM s""",
 )
 def address_parse_v1(spark, sf_dir):
     return _parsed(spark, sf_dir, text.parse_address)
 
 
-@query("address_parse_v2")
+_ORDER = ["flat", "floor", "tower_block", "phase"]
+_FILLED = ", ".join(f"CASE WHEN len(parts) = 5 THEN parts[{n + 2}] ELSE coalesce({k}, spare[1 + {' + '.join(f'({x} IS NULL)::INT' for x in _ORDER[: _ORDER.index(k)]) or 0}]) END AS {k}" for n, k in enumerate(reversed(_ORDER)))
+
+
+@query(
+    "address_parse_v2",
+    f"""WITH a AS (SELECT p_partkey, {_ADDRESS} AS address FROM part), s AS (SELECT *, string_split(address, '・') AS parts FROM a),
+    k AS (SELECT p_partkey, parts, {_LAST}, {_FLOOR} AS floor_type, list_filter(parts[2:], lambda p: ({_KEY}) IS NULL AND NOT ({_has(text.FLOOR_TYPES)})) AS spare FROM s)
+    SELECT p_partkey, parts[1] AS building, {_FILLED}, CASE WHEN len(parts) = 5 THEN NULL ELSE floor_type END AS floor_type FROM k""",
+)
 def address_parse_v2(spark, sf_dir):
     return _parsed(spark, sf_dir, text.parse_address_filling)
 
@@ -127,10 +136,12 @@ def flatten_record(spark, sf_dir):
 
 @query("nested_loops_to_rows", "SELECT r_name, n_name, s_name FROM region JOIN nation ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey")
 def nested_loops_to_rows(spark, sf_dir):
-    suppliers = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.collect_list(F.struct("s_name")).alias("sm_district"))
-    nations = table(spark, sf_dir, "nation").join(suppliers, F.col("n_nationkey") == F.col("s_nationkey"), "left").groupBy("n_regionkey").agg(F.collect_list(F.struct("n_name", "sm_district")).alias("int_district"))
-    regions = table(spark, sf_dir, "region").join(nations, F.col("r_regionkey") == F.col("n_regionkey"), "left")
-    rows = nested.nested_loops(regions, ["r_name"], [("int_district", "d"), ("d.sm_district", "s")])
+    # Records of a hundred suppliers of one nation at most, as a source gives its answers in pages.
+    page = F.floor(F.col("s_suppkey") / 100).alias("page")
+    suppliers = table(spark, sf_dir, "supplier").groupBy("s_nationkey", page).agg(F.collect_list(F.struct("s_name")).alias("sm_district"))
+    nations = table(spark, sf_dir, "nation").join(suppliers, F.col("n_nationkey") == F.col("s_nationkey"))
+    captured = nations.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("r_name", F.array(F.struct("n_name", "sm_district")).alias("int_district"))
+    rows = nested.nested_loops(captured, ["r_name"], [("int_district", "d"), ("d.sm_district", "s")])
     return rows.select("r_name", "d.n_name", "s.s_name")
 
 
@@ -157,9 +168,9 @@ def page_titles(spark, sf_dir):
 @query("html_fields")
 def html_fields(spark, sf_dir):
     """Elements by selector, and the page's links as titles of the paragraphs that follow them."""
-    pages = table(spark, sf_dir, "pages").withColumn("pairs", html.definition_list(F.col("html"), "h1", "p"))
-    pairs = nested.last_wins(F.col("pairs"))
-    return pages.select("page_id", html.select_text(F.col("html"), "h1").alias("heading"), F.size(html.select_texts(F.col("html"), "li")).alias("items"), html.select_text(F.col("html"), "div.ad").alias("ad"), F.to_json(pairs).alias("attributes"))
+    pages = table(spark, sf_dir, "pages").withColumn("f", html.fields(F.col("html"), {"heading": "h1", "items": "li", "ad": "div.ad"}, ("h1", "p")))
+    first = lambda name: F.coalesce(F.get(f"f.{name}", 0), F.lit(""))
+    return pages.select("page_id", first("heading").alias("heading"), F.size("f.items").alias("items"), first("ad").alias("ad"), F.to_json(nested.last_wins(F.col("f.pairs"))).alias("attributes"))
 
 
 @query(

@@ -74,11 +74,29 @@ def combinations_left(districts: DataFrame, kinds: DataFrame, done: DataFrame, k
     return not_in_set(product(districts, kinds), done, key)
 
 
+def nested_rows(pages: DataFrame, context: list[str], body: str, path: str, schema: str) -> DataFrame:
+    """Rows of the list that stands at a path of names (``data.records``) in every body; a body without it has none."""
+    kind = f"array<{schema}>"
+    for name in reversed(path.split(".")):
+        kind = f"struct<`{name}`:{kind}>"
+    items = reduce(lambda value, name: value[name], path.split("."), F.from_json(body, kind))
+    return pages.select(*context, F.posexplode(items).alias("position", "item")).select(*context, "position", "item.*")
+
+
 def offset_requests(spark: SparkSession, total_pages: int, limit: int) -> DataFrame:
     """``page, limitstart`` for each page of a source that is read by offset."""
     return spark.range(total_pages).select(F.col("id").alias("page"), (F.col("id") * limit).alias("limitstart"))
 
 
+def offset_rows(pages: DataFrame, page: str, body: str, total: str, items: str, schema: str, limit: int) -> DataFrame:
+    """Rows of every captured page below the total that page 0 tells; bodies that can't be read are passed over. Without
+    a first page, or a total in it, there are none."""
+    known = pages.where(F.col(page) == 0).select(F.get_json_object(body, f"$.{total}").try_cast("bigint").alias("n")).where("n IS NOT NULL").agg(F.max("n")).head()[0] or 0
+    asked = offset_requests(pages.sparkSession, known, limit).withColumnRenamed("page", "__page")
+    read = pages.join(asked, F.col(page) == F.col("__page")).withColumn("__items", F.from_json(body, f"struct<`{items}`:array<{schema}>>")[items])
+    return read.select(page, "limitstart", F.explode("__items").alias("item")).select(page, "limitstart", "item.*")
+
+
 def table_rows(pages: DataFrame, html: str, fields: dict[str, int], least: int = 8, row_css: str = "tr", cell_css: str = "td") -> DataFrame:
     """Fields by cell number of every row with at least ``least`` cells; markup of cells is cut before texts are taken."""
     rows = pages.withColumn("__row", F.explode(F.regexp_extract_all(html, F.lit(rf"(?is)<{row_css}\b[^>]*>(.*?)</{row_css}>"), F.lit(1))))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import written
+
 CORRUPT = "_corrupt_record"
 
 
@@ -31,24 +33,20 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).where(F.col(column).isNotNull()).distinct()
 
 
-def read_csv_leniently(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def read_csv_leniently(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows that fit the schema, and the raw lines that don't: quoted as usual, or with backslash escapes and no
-    quotes. A path that isn't there gives two empty frames."""
+    quotes. Only each file's first line is its header. ``multi_line``: quoted fields may hold line breaks (a file is
+    then read by one task). A path that isn't there gives two empty frames."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema), spark.createDataFrame([], f"{CORRUPT} string")
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    # Written, since Spark can't read the corrupt lines of a CSV file alone.
+    usual = written(read_csv(spark, path, full, **options, multiLine=multi_line), "csv-rows")
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
-    lines = spark.read.text(path)
-    header = lines.head()
-    body = lines.where((F.col("value") != (header[0] if header else "")) & (F.trim("value") != ""))
-
-    def attempt(rows: DataFrame, **options) -> DataFrame:
-        made = F.from_csv("value", F.lit(names), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options})
-        return rows.select("value", made.alias("p")).select("value", "p.*")
-
-    usual = attempt(body)
-    again = attempt(usual.where(F.col(CORRUPT).isNotNull()).select("value"), quote="", escape="\\")
-    good = usual.where(F.col(CORRUPT).isNull()).unionByName(again.where(F.col(CORRUPT).isNull())).drop("value", CORRUPT)
+    made = F.from_csv(CORRUPT, F.lit(names), {**options, "quote": "", "escape": "\\"})
+    again = usual.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"), made.alias("p")).select("value", "p.*")
+    good = usual.where(F.col(CORRUPT).isNull()).unionByName(again.where(F.col(CORRUPT).isNull()).drop("value")).drop(CORRUPT)
     return good, again.where(F.col(CORRUPT).isNotNull()).select(F.col("value").alias(CORRUPT))
 
 

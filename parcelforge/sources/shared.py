@@ -9,17 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder where it is unset, as in tests."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder where it is unset and Spark runs on this machine
+    alone, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         found = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(found)
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet and read again, for what several branches use."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, **options) -> DataFrame:
+    """``df`` written as Parquet and read again, which cuts its lineage."""
+    path = new_path(df.sparkSession, name)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

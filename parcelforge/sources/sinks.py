@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +22,27 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def replace(df: DataFrame, path: str, kind: str = "parquet", backup: str | None = None, **options) -> None:
-    """Write beside ``path``, then put it in its place; the old files move to ``backup`` if one is named."""
-    spark, fresh = df.sparkSession, f"{path.rstrip('/')}.fresh"
-    df.write.mode("overwrite").format(kind).options(**options).save(fresh)
-    fs, target = _system(spark, path)
+    """Write beside ``path``, then put it in its place; the old files move to ``backup`` if one is named.
+
+    The old files are moved aside before the new ones come, and deleted last, so a crash at any point leaves one whole
+    copy: at ``path``, or beside it as ``.fresh`` and ``.old``.
+    """
+    spark, place = df.sparkSession, path.rstrip("/")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    df.write.mode("overwrite").format(kind).options(**options).save(f"{place}.fresh")
+    fs, target = _system(spark, place)
+    aside = hadoop(backup or f"{place}.old")
+
+    def moved(a, b) -> None:
+        if not fs.rename(a, b):
+            raise OSError(f"{a} can't be moved to {b}")
+
     if fs.exists(target):
-        if backup:
-            old = spark._jvm.org.apache.hadoop.fs.Path(backup)
-            fs.delete(old, True)
-            fs.rename(target, old)
-        else:
-            fs.delete(target, True)
-    fs.rename(spark._jvm.org.apache.hadoop.fs.Path(fresh), target)
+        fs.delete(aside, True)
+        moved(target, aside)
+    moved(hadoop(f"{place}.fresh"), target)
+    if not backup:
+        fs.delete(aside, True)
 
 
 def write_csv(df: DataFrame, path: str, mark: bool = False, mode: str = "overwrite") -> None:
@@ -50,6 +62,26 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def write_json_array(df: DataFrame, path: str) -> None:
+    """Files that are one JSON array each, a row to a line; nested values stay nested, other characters than ASCII stay."""
+
+    def lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each line behind its comma or bracket; one line is held back until it is known whether another follows."""
+        held, mark = None, "["
+        for batch in batches:
+            out = []
+            for row in batch.column(0).to_pylist():
+                if held is not None:
+                    out.append(f"{mark}{held},")
+                    mark = ""
+                held = row
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([f"{mark}{held or ''}]"], pa.string())], ["value"])
+
+    text = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    text.mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+
+
 def csv_to_parquet(spark: SparkSession, source: str, target: str) -> None:
     write_parquet(read_csv(spark, source), target)
 

@@ -1,6 +1,7 @@
 """Relational, incremental and resolution operators on literal rows, and files."""
 
 import datetime
+import json
 import random
 import re
 
@@ -37,8 +38,7 @@ def test_product(spark):
     a, b = spark.createDataFrame([(1,), (2,)], "a int"), spark.createDataFrame([("x", None), ("y", 2.5)], "b string, c double")
     assert rows(joins.product(a, b), "a", "b") == [(1, "x", None), (1, "y", 2.5), (2, "x", None), (2, "y", 2.5)]
     assert rows(joins.product(a, b.limit(0))) == []
-    with pytest.raises(ValueError):
-        joins.product(a, spark.range(2000))
+    assert joins.product(a, spark.range(2000)).count() == 4000
 
 
 def test_dedupe(spark):
@@ -111,7 +111,7 @@ def test_fuzzy_matches_equal_all_pairs(spark):
     left, right = spark.createDataFrame(one, schema), spark.createDataFrame(two, schema).withColumnsRenamed({"k": "other"}).withColumn("seq", F.col("other") * 7 % 101)
 
     def score(a, b):
-        digits = set(re.findall(r"\d+", a[1])) & set(re.findall(r"\d+", b[1]))
+        digits = set(re.findall(r"\d+", a[2] or "")) & set(re.findall(r"\d+", b[2] or ""))
         name = max(similarity.token_sort_of(a[1], b[1]), similarity.token_set_of(a[1], b[1]))
         return 0.6 * name + 0.2 * (similarity.token_sort_of(a[2], b[2]) if a[2] and b[2] else 0) + 0.1 * (100 if a[3] and b[3] and a[3].lower() == b[3].lower() else 0) + 0.1 * (100 if digits else 0)
 
@@ -134,6 +134,19 @@ def test_transactions_find_misspelled_names(spark):
     assert [r["building_key"] for r in resolve.enrich(trans, entities, "t", "id", "name", "centanet").collect()] == ["LH_1"]
 
 
+def test_enriched_transactions_by_hand(spark):
+    """Ids of entities and of their matches, names, and the original key of each case."""
+    match = {"centanet": ("77", "c77", 81.5, "Moon", "x", "{}")}
+    kind = "building_key string, source string, source_id string, original_key string, building_name string, normalized_name string, grade string, year_built int, stage int, seq long, matches map<string, struct<id:string, original_key:string, score:double, building_name:string, address:string, original_record:string>>"
+    entities = spark.createDataFrame([("CN_1", "centanet", "5", "c5", "Sun Tower", "sun tower", "A", 1990, 0, 1, {}), ("LH_2", "landmark", "5", "l5", "Moon House", "moon house", "B", None, 0, 2, match), ("LH_3", "landmark", "9", "l9", "Far Plaza", "far plaza", None, 2001, 0, 3, {})], kind)
+    trans = spark.createDataFrame([(1, "5", "x"), (2, "77", "Sun Tower"), (3, None, "Tower Sun"), (4, None, "moon hse"), (5, "9", "Far Plz"), (6, "", " "), (7, None, None)], "t int, id string, name string")
+    out = {r["t"]: tuple(r)[3:] for r in resolve.enrich(trans, entities, "t", "id", "name", "centanet").collect()}
+    assert out == {
+        1: ("CN_1", "c5", "A", 1990, 100.0), 2: ("LH_2", "c77", "B", None, 81.5), 3: ("CN_1", "c5", "A", 1990, 100.0), 4: ("LH_2", "c77", "B", None, 100.0), 5: ("LH_3", None, None, 2001, 100.0),
+        6: (None,) * 5, 7: (None,) * 5,
+    }
+
+
 def test_csv_repair_and_fallbacks(spark, tmp_path):
     lines = spark.createDataFrame([("a,b,c",), ('1,"x,y",3,4',), ("1",), (" ",)], "value string")
     assert sorted(rows(files.repair_csv(lines, "a,b,c"))) == [("1", "", ""), ("1", '"x,y"', "3,4")]
@@ -141,6 +154,9 @@ def test_csv_repair_and_fallbacks(spark, tmp_path):
     schema = spark.createDataFrame([], "a int, b string").schema
     good, bad = files.read_csv_leniently(spark, str(tmp_path / "x.csv"), schema)
     assert rows(good, "a") == [(1, "x"), (2, "z")] and rows(bad) == [("bad,y",)]
+    (tmp_path / "y.txt").write_text('a,b\n1,"x\ny"\na,b\n2,z\n')
+    good, bad = files.read_csv_leniently(spark, str(tmp_path / "y.txt"), schema, multi_line=True)
+    assert rows(good, "a") == [(1, "x\ny"), (2, "z")] and rows(bad) == [("a,b",)]
     assert files.read_csv_leniently(spark, str(tmp_path / "none.csv"), schema)[0].count() == 0
     assert files.latest(spark, str(tmp_path / "*.csv")).endswith("x.csv") and files.latest(spark, str(tmp_path / "*.none")) is None
 
@@ -152,6 +168,13 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3 and spark.read.parquet(str(tmp_path / "old")).count() == 5
     assert sinks.shrunk(spark, str(tmp_path / "old"), path)
     assert sinks.append_new(spark.range(4), path, ["id"]).count() == 4
+    sinks.write_parquet(spark.read.parquet(path).where("id > 1"), path)
+    assert spark.read.parquet(path).count() == 2 and not files.exists(spark, f"{path}.old") and not files.exists(spark, f"{path}.fresh")
+    array = str(tmp_path / "j")
+    sinks.write_json_array(spark.createDataFrame([(1, "é"), (2, None), (3, "x")], "a int, b string").coalesce(1), array)
+    assert [json.loads(f.read_text()) for f in (tmp_path / "j").glob("part-*")] == [[{"a": 1, "b": "é"}, {"a": 2, "b": None}, {"a": 3, "b": "x"}]]
+    counted, seen = aggregates.observed(spark.range(5), "rows", n=F.count(F.lit(1)))
+    assert counted.count() == 5 and seen.get == {"n": 5}
     csv = str(tmp_path / "c")
     sinks.write_csv(spark.createDataFrame([("é",)], "`名` string"), csv, mark=True)
     sinks.append_csv(spark.createDataFrame([("ü",)], "`名` string"), csv)

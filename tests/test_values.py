@@ -52,6 +52,8 @@ def test_addresses(spark):
     assert tuple(first[0]) == ("Taikoo Shing", "Phase 1", "Tower 2", "Upper Floor", "Flat A", "Upper Floor")
     assert first[1]["Flat"] is None and first[2]["Phase"] == "(Block 2)" and first[2]["Floor"] == "P28" and first[3]["Tower/Block"] == "Tower 2"
     assert all(v is None for v in first[4])
+    assert column(spark, ["A・Upper Floor 12・Flat 3", "A・Lower Floor・x Middle Floor y"], lambda c: text.parse_address(c)["Floor_Type"]) == ["Upper Floor 12", "x Middle Floor y"]
+    assert column(spark, ["A・Upper Floor 12・Z", "A・・Phase 2"], lambda c: F.concat_ws("|", *(F.coalesce(text.parse_address_filling(c)[k], F.lit("-")) for k in ("Building", "Phase", "Tower/Block", "Floor", "Flat", "Floor_Type")))) == ["A|-|-|Upper Floor 12|Z|Upper Floor 12", "A|Phase 2|-|-||-"]
     second = column(spark, rows, text.parse_address_filling)
     assert second[0]["Floor_Type"] is None and second[0]["Flat"] == "Flat A" and second[1]["Flat"] == "B"
 
@@ -85,15 +87,24 @@ def test_similarity():
     assert similarity.ratio("", "x") == 0 and similarity.ratio("", "") == 100
 
 
-def test_score_without_a_district_is_at_most_90(spark):
-    df = spark.createDataFrame([("sun tower 5", "sun tower 5", "1 main", "1 main", None, "x")], "a string, b string, c string, d string, e string, f string")
-    assert df.select(similarity.building_score((F.col("a"), F.col("b")), (F.col("c"), F.col("d")), (F.col("e"), F.col("f")))).head()[0] == pytest.approx(90)
+def test_scores_by_hand(spark):
+    """Name 60, address 20, district 10, and 10 for a number that both addresses have; numbers of names don't count."""
+    rows = [
+        ("sun tower 5", "sun tower 5", "1 main", "1 main", None, "x", 90.0), ("sun tower 5", "sun tower 5", None, "1 main", "x", "X", 70.0), ("sun 5", "5 sun", "main", "main", "x", "x", 90.0),
+        ("sun", "sun", "1 main", "2 main", "x", "y", 60 + 0.2 * 83), ("sun", "sun", "", "", "", "", 60.0),
+    ]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string, s double")
+    digits = (text.digit_groups(F.col("c")), text.digit_groups(F.col("d")))
+    score = similarity.building_score((F.col("a"), F.col("b")), (F.col("c"), F.col("d")), (F.col("e"), F.col("f")), digits)
+    assert all(r["x"] == pytest.approx(r["s"]) for r in df.select("s", score.alias("x")).collect())
 
 
 def test_pages(spark):
     page = "<section><div class='col'><h5>Age</h5><span class='v'>20</span></div><div class='col'><h5>Lifts</h5><span class='v'>4</span></div></section><script>x</script>"
     assert column(spark, [page, None], lambda c: html.select_texts(c, "h5")) == [["Age", "Lifts"], []]
     assert column(spark, [page, None], lambda c: html.select_text(c, "span.v")) == ["20", ""]
+    cards = "<p>\r\n<div class='c'>1<div>in</div></div>\n<div class=c>2<p>x\x0c</div></p><div class='c'>3"
+    assert html.elements_of(cards, "div.c") == ["<div class='c'>1<div>in</div></div>", "<div class=c>2<p>x </div>", "<div class='c'>3"] and html.elements_of("", "div") == []
     got = column(spark, [page], lambda c: html.definition_list(c, "h5", "span.v"))[0]
     assert [tuple(x) for x in got] == [("Age", "20"), ("Lifts", "4")]
     assert column(spark, ["yes-icon", "no-icon", None], lambda c: html.icon_meaning(c, "yes", "no")) == ["Yes", "No", "Unknown"]
