@@ -21,9 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .piece_bpe import text_slices
+from .piece_bpe import WordMemory, text_slices
 from .scratch import new_path
-from .shingles import span_hashes
+from .shingles import LOWER, distinct_stretches
 
 SEQUENCE = 2048
 OPEN_WINDOWS = 16
@@ -42,8 +42,6 @@ _CLASS[ord("'")] = _TIED
 #: Second bytes of the Latin-1 letters, of which all but the signs for times and divided by are letters.
 _LATIN = np.zeros(256, bool)
 _LATIN[[c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)]] = True
-#: Units whose ids a worker remembers before it starts anew; about 100 MB.
-REMEMBERED_UNITS = 2_000_000
 
 
 class UnitTokenizer:
@@ -62,15 +60,15 @@ class UnitTokenizer:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.clear()
-
-    def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.starts, self.counts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def encode(self, units: list[bytes], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of units and their counts. ``plain``: units of letters alone, which end where a piece that closes a
-        word stands and so can be encoded together."""
+        self.memory = WordMemory(self.encode)
+
+    def encode(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units and their counts. Units of letters alone end where a piece that closes a word stands, so they
+        are encoded together."""
+        code = np.frombuffer(b"".join(units), np.uint8)
+        ends = np.cumsum([len(u) for u in units])
+        odd = np.concatenate(([0], np.cumsum(_classes(code) != _LETTER)))
+        plain = np.diff(odd[ends], prepend=0) == 0
         counts, parts = np.zeros(len(units), np.int64), [np.zeros(0, np.int32)]
         at = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))
         together = at[: int(plain.sum())]
@@ -78,7 +76,8 @@ class UnitTokenizer:
             text = b" ".join([units[k] for k in together]).decode().lower()
             ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
             ends = np.flatnonzero(self.closes[ids]) + 1
-            assert len(ends) == len(together), "units of letters alone must be one word each"
+            if len(ends) != len(together):
+                raise ValueError("units of letters alone must be one word each")
             counts[together] = np.diff(ends, prepend=0)
             parts.append(ids)
         rest = [x.ids for x in self.tokenizer.encode_batch_fast([units[k].decode() for k in at[len(together) :]], add_special_tokens=False)]
@@ -102,40 +101,29 @@ class UnitTokenizer:
 
     def split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [t.encode("utf-8", "replace") for t in texts]
-        data = b" ".join([*raw, b""])
-        code = np.frombuffer(data, np.uint8)
-        kind = _CLASS[code]
-        latin = np.flatnonzero((code[:-1] == 0xC3) & _LATIN[code[1:]])
-        kind[latin] = kind[latin + 1] = _LETTER
+        data = b" ".join([*raw, b""]).translate(LOWER)
+        kind = _classes(np.frombuffer(data, np.uint8))
         before, now = kind[:-1], kind[1:]
         cut = np.concatenate(([True], (before != now) & ((before == _SPACE) | (now == _SPACE) | ((before != _TIED) & (now != _TIED)))))
-        starts = np.flatnonzero(cut & (kind != _SPACE))
-        ends = np.append(np.flatnonzero(cut), len(code))
-        ends = ends[np.searchsorted(ends, starts, "right")]
-        keys = span_hashes(code, starts, ends)
+        starts = np.flatnonzero(cut)
+        number, values = distinct_stretches(data, np.append(starts, len(data)))
+        # Values are numbered as they come up, so each one's first stretch tells whether it is white space.
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(number), prepend=-1))
+        unit = kind[starts[first]] != _SPACE
+        at = np.zeros(len(values), np.int64)
+        at[unit] = self.memory.numbers([v for v, ok in zip(values.to_pylist(), unit.tolist(), strict=True) if ok])
+        own = unit[number]
+        flat, counts = self.memory.spelled(at[number[own]])
         bases = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)))
-        firsts = np.searchsorted(starts, bases)
-        new, sample = np.unique(keys, return_index=True)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, new), len(self.keys) - 1)
-            unseen = self.keys[at] != new
-            new, sample = new[unseen], sample[unseen]
-        if len(new):
-            if len(self.keys) > REMEMBERED_UNITS:
-                self.clear()
-                new, sample = np.unique(keys, return_index=True)
-            units = [data[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
-            odd = np.concatenate(([0], np.cumsum(kind != _LETTER)))
-            flat, counts = self.encode(units, odd[ends[sample]] == odd[starts[sample]])
-            place = np.searchsorted(self.keys, new)
-            self.starts = np.insert(self.starts, place, len(self.flat) + np.cumsum(counts) - counts)
-            self.counts = np.insert(self.counts, place, counts)
-            self.keys = np.insert(self.keys, place, new)
-            self.flat = np.concatenate((self.flat, flat))
-        at = np.searchsorted(self.keys, keys)
-        counts = self.counts[at]
         total = np.concatenate(([0], np.cumsum(counts)))
-        return self.flat[_places(self.starts[at], counts)], np.diff(total[firsts])
+        return flat, np.diff(total[np.searchsorted(starts[own], bases)])
+
+
+def _classes(code: np.ndarray) -> np.ndarray:
+    kind = _CLASS[code]
+    latin = np.flatnonzero((code[:-1] == 0xC3) & _LATIN[code[1:]])
+    kind[latin] = kind[latin + 1] = _LETTER
+    return kind
 
 
 def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:

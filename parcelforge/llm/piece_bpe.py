@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ UNKNOWN = " ⁇ "
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _NONE = np.int32(2**31 - 1)
 _SHIFT = np.int64(21)
-#: Words that a worker remembers before it starts anew; about 100 MB.
-REMEMBERED_WORDS = 300_000
+#: Characters of words that a worker remembers before it starts anew, each word counted with 32 besides; under 100 MB.
+REMEMBERED_CHARS = 1 << 23
 #: Characters handled at a time within an Arrow batch.
 SLICE_CHARS = 1 << 21
 
@@ -199,37 +200,54 @@ def _lenient(raw: bytes) -> Iterator[str]:
 
 
 class WordMemory:
-    """Words met so far and their ids, flat; ``encode`` maps one list of words to ids."""
+    """Words met so far and their ids, flat; words are told apart by their whole text (or bytes)."""
 
-    def __init__(self, encode, limit: int = REMEMBERED_WORDS):
+    def __init__(self, encode, limit: int = REMEMBERED_CHARS):
         self.encode, self.limit = encode, limit
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.starts, self.counts = np.zeros(1 << 16, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.used = 0
+        self.index: dict = {}
+        self.flat, self.starts, self.counts = np.zeros(1 << 16, np.int32), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.used = self.held = 0
 
-    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of all words in order, and the count of each word."""
-        if len(self.index) > self.limit:
+    def numbers(self, words: list) -> np.ndarray:
+        """The number of each word; words that haven't been met are encoded. A call may forget earlier numbers."""
+        if self.held > self.limit:
             self.clear()
         new = list(dict.fromkeys(w for w in words if w not in self.index))
         if new:
             flat, counts = self.encode(new)
-            while self.used + len(flat) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+            base, more = len(self.index), len(new)
+            self.flat = _with_room(self.flat, self.used + len(flat))
+            self.starts, self.counts = _with_room(self.starts, base + more), _with_room(self.counts, base + more)
             self.flat[self.used : self.used + len(flat)] = flat
-            self.starts = np.concatenate((self.starts, self.used + np.cumsum(counts) - counts))
-            self.counts = np.concatenate((self.counts, counts))
+            self.starts[base : base + more] = self.used + np.cumsum(counts) - counts
+            self.counts[base : base + more] = counts
             self.used += len(flat)
-            base = len(self.index)
-            self.index.update(zip(new, range(base, base + len(new)), strict=True))
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+            self.held += sum(map(len, new)) + 32 * more
+            self.index.update(zip(new, range(base, base + more), strict=True))
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+
+    def spelled(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of all numbered words in order, and the count of each."""
         counts = self.counts[at]
         ends = np.cumsum(counts)
-        flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + counts, counts)]
-        return flat, counts
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + counts, counts)], counts
+
+    def ids(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        return self.spelled(self.numbers(words))
+
+
+def _with_room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, or one of at least twice its length that begins with it."""
+    return array if size <= len(array) else np.concatenate((array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)))
+
+
+@cache
+def vocabulary_of(path: str) -> PieceVocabulary:
+    """One for each worker process and file."""
+    return PieceVocabulary(path)
 
 
 def text_slices(texts: list[str | None], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
@@ -265,8 +283,7 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text", out_col: str
     """Add ``out_col``: the ids of each whole text, without begin or end ids."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = PieceVocabulary(model_path)
-        memory = WordMemory(vocabulary.encode_words)
+        memory = WordMemory(vocabulary_of(model_path).encode_words)
         for batch in batches:
             flats, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
             for part in text_slices(batch.column(text_col).to_pylist()):
@@ -292,7 +309,7 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str =
     """Add ``out_col``: the text that the ids of each row spell."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = PieceVocabulary(model_path)
+        vocabulary = vocabulary_of(model_path)
         for batch in batches:
             column = batch.column(ids_col)
             offsets, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)

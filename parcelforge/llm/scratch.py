@@ -2,31 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from ..sources.shared import new_path, written
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; where it is unset (tests), a temporary folder is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(found)
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+__all__ = ["fits_broadcast", "materialise", "new_path"]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again, which cuts its lineage."""
-    spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, name, compression="zstd")
 
 
 #: A side of a join is broadcast only when its row count times row width stays below this many bytes.

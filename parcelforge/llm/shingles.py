@@ -1,15 +1,20 @@
 """Words and word shingles of whole texts as flat hash arrays.
 
 Words are runs of bytes other than the space and 0x09-0x0D; A-Z count as a-z. Texts are laid end to end and handled a
-slice at a time; word hashes come from one polynomial prefix sum over all bytes of a slice (modulo 2 to the 64th).
+slice at a time. A word's hash takes in eight of its bytes at a time and scrambles after each, so no two strings collide
+by their structure; words of over ``LONG`` bytes are hashed by BLAKE2b. Where it matters whether two texts really have the same
+shingles, ``exact_sets`` tells words apart by their bytes and shingles by their words, without hashes.
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
 
 from .piece_bpe import text_slices
 
@@ -18,12 +23,13 @@ WIDTH = 5
 #: Characters handled at a time; one text is never cut.
 SLICE_CHARS = 1 << 20
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, _U), np.ones(1, _U))
+LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
+#: Bytes of a word from which it is hashed alone.
+LONG = 64
+_KEY = b"words of shingles"
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,16 +39,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_VALUE = mix(np.arange(1, 257, dtype=_U) * _U(_BASE))[_LOWER]
+def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each word ``data[start:end]``."""
+    padded = np.frombuffer(data + bytes(8), np.uint8)
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    lengths = ends - starts
+    out = mix(lengths.astype(_U) * _U(0x9E3779B97F4A7C15))
+    at, done = np.flatnonzero(lengths <= LONG), 0
+    while len(at):
+        left = lengths[at] - done
+        out[at] = mix(out[at] ^ (lanes[starts[at] + done] & _FIRST[np.minimum(left, 8)]))
+        at, done = at[left > 8], done + 8
+    for k in np.flatnonzero(lengths > LONG).tolist():
+        out[k] = int.from_bytes(blake2b(data[starts[k] : ends[k]], digest_size=8, key=_KEY).digest(), "little")
+    return out
 
 
-def _base_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each."""
-    global _powers
-    if len(_powers[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        _powers = tuple(np.multiply.accumulate(np.concatenate((np.ones(1, _U), np.full(size - 1, b % (1 << 64), _U)))) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
-    return _powers
+def distinct_stretches(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """For each stretch of bytes between consecutive offsets the number of its value, and the values by number."""
+    stretches = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+    found = stretches.dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
 
 
 @dataclass
@@ -57,21 +74,14 @@ class Words:
     bases: np.ndarray  # first byte of each text
 
 
-def span_hashes(code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of the stretches of bytes from ``starts`` to ``ends``, A-Z as a-z."""
-    power, inverse = _base_powers(len(code) + 1)
-    total = np.concatenate((np.zeros(1, _U), np.cumsum(_VALUE[code] * power[: len(code)], dtype=_U)))
-    return mix((total[ends] - total[starts]) * inverse[starts])
-
-
 def words_of(texts: list[str]) -> Words:
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    data = b" ".join([*raw, b""])
+    data = b" ".join([*raw, b""]).translate(LOWER)
     code = np.frombuffer(data, np.uint8)
     space = _SPACE[code]
     before = np.concatenate(([True], space[:-1])) if len(code) else space
     starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-    hashes = span_hashes(code, starts, ends)
+    hashes = word_hashes(data, starts, ends)
     bases = np.concatenate((np.zeros(1, np.int64), np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)))
     return Words(data, hashes, starts, ends, np.searchsorted(starts, bases), bases[:-1])
 
@@ -96,3 +106,22 @@ def shingle_sets(texts: list[str | None], width: int = WIDTH) -> Iterator[np.nda
         whole = shingle_hashes(found.hashes, width)  # rows that straddle two texts are passed over below
         for a, b in zip(found.firsts[:-1].tolist(), found.firsts[1:].tolist(), strict=True):
             yield np.unique(whole[a : b - width + 1] if b - a >= width else shingle_hashes(found.hashes[a:b], width))
+
+
+def exact_sets(texts: list[str | None], width: int = WIDTH) -> Iterator[np.ndarray]:
+    """For each text its distinct shingles as sorted numbers that are equal, within one call, just where words are."""
+    found = words_of([t or "" for t in texts])
+    if not len(found.starts):
+        yield from (np.zeros(0, np.int64) for _ in texts)
+        return
+    number, _ = distinct_stretches(found.data, np.stack((found.starts, found.ends), 1).reshape(-1))
+    word = number[::2].astype(np.int64)  # words and the white space between them stand by turns
+    grown, least, short = word, int(word.max()) + 1, []
+    for k in range(1, width):
+        short.append(grown)
+        grown = np.unique(grown[: len(word) - k] * least + word[k:], return_inverse=True)[1] if len(word) > k else np.zeros(0, np.int64)
+    for a, b in zip(found.firsts[:-1].tolist(), found.firsts[1:].tolist(), strict=True):
+        if b - a >= width:
+            yield np.unique(grown[a : b - width + 1])
+        else:  # below zero by the number of words, so that sequences of different lengths differ
+            yield np.array([-1 - (int(short[b - a - 1][a]) * width + b - a)] if b > a else [], np.int64)
