@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from .components import connected_components
 from .scratch import HASHED_ID_BYTES, fits_broadcast, materialise
-from .shingles import WIDTH, mix, shingle_sets
+from .shingles import SLICE_CHARS, WIDTH, exact_sets, mix
 
 #: Jaccard similarity of links, in percent.
 PERCENT = 80
@@ -84,50 +84,59 @@ def verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent:
     held = materialise(texts(small_side(involved)).select("node", "text"), "involved-texts")
     both = pairs.join(held.toDF("b", "text_b").hint("merge"), "b").join(held.toDF("a", "text_a").hint("merge"), "a")
 
+    def linked(rows: list[tuple]) -> pa.RecordBatch:
+        sets = list(exact_sets([t for row in rows for t in row[2:]], width))
+        keep = []
+        for row, x, y in zip(rows, sets[::2], sets[1::2], strict=True):
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            if len(x) and len(y) and 100 * shared >= percent * (len(x) + len(y) - shared):
+                keep.append(row)
+        return pa.RecordBatch.from_arrays([pa.array([row[k] for row in keep], pa.int64()) for k in range(2)], ["a", "b"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for k, (x, y) in enumerate(zip(*(shingle_sets(batch.column(c).to_pylist(), width) for c in ("text_a", "text_b")), strict=True)):
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                if len(x) and len(y) and 100 * shared >= percent * (len(x) + len(y) - shared):
-                    keep.append(k)
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], ["a", "b"])
+            held, size = [], 0
+            for row in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
+                held.append(row)
+                size += sum(len(t or "") for t in row[2:])
+                if size >= SLICE_CHARS:
+                    yield linked(held)
+                    held, size = [], 0
+            if held:
+                yield linked(held)
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int = PERCENT, width: int = WIDTH, hub_rounds: int = HUB_ROUNDS, repeated_keys: bool = False) -> DataFrame:
+def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int = PERCENT, width: int = WIDTH, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     """``node, component`` (least node) for every node that shares a key or a group with another.
 
     ``postings``: ``key, grp, size, place`` (where the key stands among the group's ordered elements); ``nodes``:
     ``node, grp, size, sketch``, no two of the same set, where nodes of equal sizes and prefixes form a group named after one of them;
     ``texts`` gives ``node, text`` for a table of nodes. A sketch is an array of longs, or one
-    long; a null one bounds nothing. ``repeated_keys``: whether a key
-    may be posted for one group more than once.
+    long; a null one bounds nothing. A group posts a key once.
     """
-    several = F.min("grp") != F.max("grp") if repeated_keys else F.count(F.lit(1)) > 1
     # A key that two alone hold is of no use where their sizes rule a link out.
-    use = several & ((F.count(F.lit(1)) > 2) | size_bound(F.min("size"), F.max("size"), percent))
-    lists = postings.groupBy("key").agg(use.alias("use")).where("use").select("key")
-    shared = materialise(postings.join(lists.hint("merge"), "key").select("key", "grp", "size", "place"), "postings")
+    use = (F.count(F.lit(1)) > 1) & ((F.count(F.lit(1)) > 2) | size_bound(F.min("size"), F.max("size"), percent))
+    lists = materialise(postings.groupBy("key").agg(use.alias("use")).where("use").select("key"), "shared-keys")
+    shared = materialise(postings.join(small_side(lists), "key").select("key", "grp", "size", "place"), "postings")
     met = shared.select("grp").unionByName(nodes.where("node <> grp").select("grp")).distinct()
     nodes = materialise(nodes.join(small_side(materialise(met, "met")), "grp", "left_semi").dropDuplicates(["node"]), "nodes")
     single = isinstance(nodes.schema["sketch"].dataType, T.LongType)
     differ = (lambda x, y: F.bit_count(x.bitwiseXOR(y))) if single else differing_bits
     state = nodes.select("node", "grp", F.col("node").alias("comp"))
 
-    def survivors(pairs: DataFrame, nearest: bool) -> DataFrame:
-        """Distinct pairs across components that pass the size and sketch bounds; for each ``a`` all, or the nearest
-        by sketch (the others are left to later rounds, should they still lie apart)."""
+    def nearest(pairs: DataFrame) -> DataFrame:
+        """Of the distinct pairs across components that pass the size and sketch bounds the nearest by sketch for each
+        ``a`` (the others are left to later rounds, should they still lie apart)."""
         held = nodes.join(state.select("node", "comp").hint("merge"), "node").select("node", "comp", "size", "sketch")
         a, b = (held.select(*(F.col(c).alias(f"{c}_{side}") for c in held.columns)) for side in "ab")
         both = pairs.distinct().join(a.hint("merge"), F.col("a") == F.col("node_a")).join(b.hint("merge"), F.col("b") == F.col("node_b"))
         c = F.col
         close = both.where((c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent)).withColumn("bits", differ(c("sketch_a"), c("sketch_b")))
         passed = close.where(sketch_bound(c("size_a"), c("size_b"), c("bits"), percent)).select("a", "bits", "b", "comp_a", "comp_b")
-        if nearest:
-            passed = passed.groupBy("a", "comp_a").agg(F.min(F.struct("bits", "b", "comp_b")).alias("best")).select("a", "best.b", "comp_a", "best.comp_b")
-        return materialise(passed.select("a", "b", "comp_a", "comp_b"), "pairs")
+        best = passed.groupBy("a", "comp_a").agg(F.min(F.struct("bits", "b", "comp_b")).alias("best"))
+        return materialise(best.select("a", "best.b", "comp_a", "best.comp_b"), "pairs")
 
     def merged(pairs: DataFrame) -> DataFrame:
         """The state after the pairs that link have been merged."""
@@ -145,7 +154,7 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[Da
         pairs = tried.select(F.col("grp").alias("a"), F.col("hub").alias("b"))
         if k == 0:
             pairs = pairs.unionByName(state.where("node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b")))
-        state = merged(survivors(pairs, nearest=True))
+        state = merged(nearest(pairs))
     members = shared.join(state.hint("merge"), "grp").select("key", "node", "comp", "size", "place")
     # Nodes of one group share all its keys: the group's name serves as one more key.
     alone = nodes.where("node <> grp").select("grp").distinct()
@@ -157,6 +166,6 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[Da
     c = F.col
     met = (a["key"] == b["key"]) & (c("node_a") < c("node_b")) & (c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent) & unequal_bound(c("size_a"), c("size_b"), percent) & overlap_bound(c("size_a"), c("size_b"), c("place_a"), c("place_b"), percent)
     met = met & sketch_bound(c("size_a"), c("size_b"), differ(c("sketch_a"), c("sketch_b")), percent)
-    rest = a.join(b, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    state = merged(survivors(rest, nearest=False))
+    rest = a.join(b, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "comp_a", "comp_b").distinct()
+    state = merged(materialise(rest, "pairs"))
     return state.select("node", F.col("comp").alias("component"))
