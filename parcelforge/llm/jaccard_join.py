@@ -115,7 +115,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay when one of each component does, the one of the least id; all columns are kept."""
+    """The documents that stay when one of each component does, the one of the least id; all columns are kept. Repeated
+    rows of one id stay or go together; null and empty texts and rows without an id stay."""
     found = jaccard_components(docs, id_col=id_col, text_col=text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct()
+    own = {n: f"c{k}" for k, n in enumerate(docs.columns)}
+    left = docs.toDF(*own.values()).join(gone, F.col(own[id_col]) == F.col("gone"), "left_anti")
+    return left.select(*(F.col(c).alias(n) for n, c in own.items()))
