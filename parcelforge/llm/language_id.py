@@ -2,17 +2,25 @@
 
 One-versus-rest linear support vector machines choose a language family; one-versus-one machines then separate the
 languages within it. All see only the text, as square roots of the relative frequencies of hashed one- to
-three-letter sequences. The machines are fitted on the driver from at most ``per_language`` labelled texts of each
-language (``MOST_TEXTS`` altogether), those with the least hash of their id; texts are turned into features, and predicted, where they lie.
+three-letter sequences. The machines are fitted in one task, from at most ``per_language`` labelled texts of each
+language (``MOST_TEXTS`` altogether, of the ``MOST_LANGUAGES`` most frequent labels), those with the least hash of
+their id; the driver gets the fitted weights alone. Texts are turned into features, and predicted, where they lie.
 
-Defined cases: a null text, or one without a letter, is ``UNDETERMINED`` with score 0, as is every text when there are no
+The machines always choose some language. ``lang_known`` tells whether the text is in it at all: whether its letter
+sequences are about as likely, under the language's own frequencies, as those of the least likely text that was learned from. That is
+false for jumbled letters and for languages that weren't learned, and holds for short texts as for long ones, since it
+is a mean over sequences.
+
+Defined cases: a null text, or one without a letter, is ``UNDETERMINED`` with score 0 and not known, as is every text when there are no
 labels to learn from; with one learned language every text with a letter gets it, with score 1; null labels are not
-learned from; rows without an id are predicted but not learned from; other columns pass through, an existing
-``lang_pred`` or ``score`` is replaced; texts of any length count whole.
+learned from; rows without an id are predicted but not learned from; repeated rows are all predicted, and learned from within the
+bound; other columns pass through, an existing ``lang_pred``, ``score`` or ``lang_known`` is replaced; texts of any
+length count whole.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -29,8 +37,11 @@ UNDETERMINED = "und"
 BUCKETS = 4096
 #: The bound of the training sample: texts of each language.
 PER_LANGUAGE = 400
-#: Texts of the sample altogether; with more than sixteen languages each has fewer.
+#: Texts of the sample altogether (with more than sixteen languages each has fewer, but two at least), and languages.
 MOST_TEXTS = 6400
+MOST_LANGUAGES = 1000
+#: How far below the least likely learned text a text may lie, in parts of that one's distance from the median.
+SLACK = 0.25
 # ISO 639-1 codes by language family. A code that isn't listed is a family of its own.
 FAMILIES = {
     "germanic": ["af", "da", "de", "en", "fy", "is", "lb", "nl", "no", "sv", "yi"],
@@ -68,18 +79,21 @@ def features(text: str | None) -> np.ndarray | None:
     return np.sqrt(counts / counts.sum()).astype(np.float32)
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, epochs: int = 30) -> np.ndarray:
-    """Weights (the last one the bias) of a hinge-loss machine for labels -1 and 1, by dual coordinate descent."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    norms, alpha, w = (x * x).sum(1), np.zeros(len(x)), np.zeros(x.shape[1])
+def linear_svm(x: np.ndarray, y: np.ndarray, rows: np.ndarray | None = None, cost: float = 10.0, epochs: int = 30) -> np.ndarray:
+    """Weights (the last one the bias) of a hinge-loss machine for labels -1 and 1 of the given rows, by dual
+    coordinate descent. Rows are taken from ``x`` one at a time, so nothing of its size is made."""
+    rows = np.arange(len(x)) if rows is None else rows
+    norms, alpha, w, bias = np.einsum("ij,ij->i", x, x)[rows] + 1.0, np.zeros(len(rows)), np.zeros(x.shape[1]), 0.0
     order = np.random.default_rng(0)
     for _ in range(epochs):
-        for i in order.permutation(len(x)):
-            step = min(max(alpha[i] - (y[i] * (x[i] @ w) - 1) / norms[i], 0.0), cost) - alpha[i]
+        for i in order.permutation(len(rows)):
+            own = x[rows[i]]
+            step = min(max(alpha[i] - (y[i] * (own @ w + bias) - 1) / norms[i], 0.0), cost) - alpha[i]
             if step:
                 alpha[i] += step
-                w += step * y[i] * x[i]
-    return w.astype(np.float32)
+                w += step * y[i] * own
+                bias += step * y[i]
+    return np.append(w, bias).astype(np.float32)
 
 
 @dataclass
@@ -88,6 +102,11 @@ class Model:
     family_weights: np.ndarray | None = None  # a column for each family
     languages: dict[str, list[str]] = field(default_factory=dict)
     pairs: dict[str, np.ndarray] = field(default_factory=dict)  # a column for each pair of the family's languages
+    profiles: dict[str, np.ndarray] = field(default_factory=dict)  # logarithms of a language's frequencies against even ones
+    least: dict[str, float] = field(default_factory=dict)  # what a text of the language has at least
+
+    def known(self, x: np.ndarray, language: str) -> bool:
+        return likelihood(x, self.profiles[language]) >= self.least[language]
 
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         """The language of one text's features and a score: the logistic of the least margin that decided."""
@@ -111,6 +130,11 @@ class Model:
         return names[winner], float(1 / (1 + np.exp(-3 * min(margins)))) if margins else 1.0
 
 
+def likelihood(x: np.ndarray, profile: np.ndarray) -> float:
+    """The mean over a text's letter sequences of the logarithm of how much likelier than evenly they are."""
+    return float((x * x) @ profile)
+
+
 def train(x: np.ndarray, labels: list[str]) -> Model:
     model, tag = Model(), np.array(labels, object)
     family = np.array([FAMILY_OF.get(v, v) for v in labels], object)
@@ -122,10 +146,16 @@ def train(x: np.ndarray, labels: list[str]) -> Model:
         columns = []
         for a, one in enumerate(names):
             for other in names[a + 1 :]:
-                rows = (tag == one) | (tag == other)
-                columns.append(linear_svm(x[rows], np.where(tag[rows] == one, 1, -1)))
+                rows = np.flatnonzero((tag == one) | (tag == other))
+                columns.append(linear_svm(x, np.where(tag[rows] == one, 1, -1), rows))
         if columns:
             model.pairs[f] = np.stack(columns, 1)
+        for name in names:
+            own = np.flatnonzero(tag == name)
+            share = sum(x[k].astype(np.float64) ** 2 for k in own) / len(own)
+            model.profiles[name] = np.log((share + 1e-6) / (share.sum() + 1e-6 * BUCKETS) * BUCKETS).astype(np.float32)
+            found = [likelihood(x[k], model.profiles[name]) for k in own]
+            model.least[name] = min(found) - SLACK * (float(np.median(found)) - min(found))
     return model
 
 
@@ -137,12 +167,13 @@ def held_out(id_col: str = "doc_id") -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """Fit on the labelled rows that aren't held out, at most ``per_language`` of each label."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("label")).where(~held_out("id") & F.col("id").isNotNull() & F.col("label").isNotNull())
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(MOST_LANGUAGES)
+    counts = {r["label"]: r["n"] for r in counted.collect()}
     if not counts:
         return Model()
     per_language = max(2, min(per_language, MOST_TEXTS // len(counts)))
     # Twice the bound is let through by the hash of the id; the exact bound holds after sorting what came.
-    share = F.element_at(F.create_map(*(F.lit(v) for label, n in counts.items() for v in (label, min(1.0, 2 * per_language / n)))), F.col("label"))
+    share = F.try_element_at(F.create_map(*(F.lit(v) for label, n in counts.items() for v in (label, min(1.0, 2 * per_language / n)))), F.col("label"))
     order = F.xxhash64(F.col("id").cast("string"))
     chosen = rows.withColumn("order", order).where(F.pmod("order", F.lit(1 << 20)) < share * (1 << 20))
 
@@ -153,27 +184,43 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
             columns = [pa.array([batch.column(c)[k].as_py() for k in keep], kind) for c, kind in (("label", pa.string()), ("order", pa.int64()))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([found[k].tobytes() for k in keep], pa.binary())], ["label", "order", "x"])
 
-    sample = sorted(chosen.select("text", "label", "order").mapInArrow(run, "label string, order bigint, x binary").collect(), key=lambda r: (r["label"], r["order"], r["x"]))
-    taken: dict[str, list[np.ndarray]] = {}
-    for r in sample:
-        if len(own := taken.setdefault(r["label"], [])) < per_language:
-            own.append(np.frombuffer(r["x"], np.float32))
-    if not taken:
-        return Model()
-    return train(np.stack([x for own in taken.values() for x in own]), [label for label, own in taken.items() for _ in own])
+    def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = sorted((row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("label", "order", "x")), strict=True)))
+        taken: dict[str, list[bytes]] = {}
+        for label, _, x in sample:
+            if len(own := taken.setdefault(label, [])) < per_language:
+                own.append(x)
+        del sample
+        labels = [label for label, own in taken.items() for _ in own]
+        if labels:
+            x = np.frombuffer(b"".join(x for own in taken.values() for x in own), np.float32).reshape(len(labels), BUCKETS)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(x, labels))], pa.binary())], ["model"])
+
+    # The sample is bounded, so one task holds it.
+    sample = chosen.select("text", "label", "order").mapInArrow(run, "label string, order bigint, x binary")
+    learned = sample.repartition(1).mapInArrow(learn, "model binary").collect()
+    return pickle.loads(learned[0]["model"]) if learned else Model()
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (0 to 1), from ``text_col`` alone."""
+    """Add ``lang_pred``, ``score`` (0 to 1) and ``lang_known``, from ``text_col`` alone."""
+
+    def told(x: np.ndarray | None) -> tuple[str, float, bool]:
+        if x is None or not model.families:
+            return UNDETERMINED, 0.0, False
+        language, score = model.predict(x)
+        return language, score, model.known(x, language)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(UNDETERMINED, 0.0) if x is None or not model.families else model.predict(x) for x in map(features, batch.column(text_col).to_pylist())]
+            found = [told(x) for x in map(features, batch.column(text_col).to_pylist())]
             out = batch if keep_text else batch.drop_columns([text_col])
-            out = with_column(out, "lang_pred", pa.array([x for x, _ in found], pa.string()))
-            yield with_column(out, "score", pa.array([x for _, x in found], pa.float64()))
+            for k, (name, kind) in enumerate((("lang_pred", pa.string()), ("score", pa.float64()), ("lang_known", pa.bool_()))):
+                out = with_column(out, name, pa.array([x[k] for x in found], kind))
+            yield out
 
-    source = docs.drop("lang_pred", "score")
+    source = docs.drop("lang_pred", "score", "lang_known")
     schema = source.schema if keep_text else T.StructType([f for f in source.schema.fields if f.name != text_col])
-    schema = with_field(with_field(schema, "lang_pred", T.StringType()), "score", T.DoubleType())
+    for name, kind in (("lang_pred", T.StringType()), ("score", T.DoubleType()), ("lang_known", T.BooleanType())):
+        schema = with_field(schema, name, kind)
     return source.mapInArrow(run, schema)
