@@ -13,15 +13,13 @@ from parcelforge.llm import exact_dedup, jaccard_join, language_id, packing, par
 from parcelforge.llm.queries import tokenizer_file
 from parcelforge.llm.scratch import materialise
 
-#: A document whose best language scores less is rejected: at 0.5 the deciding machine is on its margin's wrong side.
-MIN_LANGUAGE_SCORE = 0.5
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labels teach; texts without letters or without a clear language go."""
-    predicted = language_id.predict(docs, language_id.fit(docs))
-    sure = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return predicted.where(sure).select(docs.columns)
+    """Documents in a language that the labels teach. Texts without letters, of jumbled letters and in other languages go
+    (``lang_known``). Null and empty texts go; repeated rows stay; no labels, no documents; the columns stay as they are."""
+    own = {n: f"c{k}" for k, n in enumerate(docs.columns)}
+    found = language_id.predict(docs.toDF(*own.values()), language_id.fit(docs), text_col=own["text"]).where("lang_known")
+    return found.select(*(F.col(c).alias(n) for n, c in own.items()))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
