@@ -1,38 +1,41 @@
 """Order MinHash fingerprints: signatures that follow edit distance, with DataFrame functions alone.
 
-A text is a sequence of tokens: runs without white space, or single characters where the text has fewer than
-``SHORT`` of them or consists mostly of characters of three bytes or more, as in scripts without spaces. Its k-mers are numbered by occurrence, so that a repeated k-mer is
-a new element each time. For each of ``orders * rotations`` orders of all numbered k-mers the ``tuple_size`` least are
-selected, put back in text order, and the tuple is hashed: one component of the signature. Likeness is the share of
-equal components. An order is a seeded hash, read from one of ``rotations`` evenly spaced starting points around the
-ring of hash values, so each starting point gives a min-wise order of its own for one sort.
+A text is a sequence of tokens: runs without white space, but every character from U+0800 on is a token of its own, as
+such scripts don't part words. Its k-mers are numbered by occurrence, so that a repeated k-mer is a new element each
+time. Each of ``orders`` independent orders (seeded hashes of the numbered k-mers) selects its ``tuple_size`` least; they
+are put back in text order, and the tuple is hashed: one component of the signature. Likeness is the share of equal
+components.
 
-Every step is a function of one row's arrays; no rows are multiplied and nothing is shuffled. An element is a long:
-40 bits of hash above 24 bits of position.
+Every step is a function of one row's arrays; no rows are multiplied and nothing is shuffled. While k-mers are
+numbered, an element is a long: 36 bits of hash above 28 bits of position, which is more than an array of longs can have
+elements.
 
 Defined cases: a null text counts as empty; texts without tokens share one fingerprint; texts of fewer than ``k``
-tokens have one k-mer, all of them; positions beyond the 16,777,215th token count as that one (their order falls back
-to the hash's); other columns pass through and an existing output column is replaced.
+tokens have one k-mer, all of them; a text with fewer elements than ``tuple_size`` has them all in each tuple; equal and
+repeated rows have equal fingerprints; other columns pass through and an existing output column is replaced; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
 #: Tokens of a k-mer; k-mers of a tuple; orders, that is components of a signature.
-K, TUPLE_SIZE, ROTATIONS = 2, 2, 32
-POSITION_BITS = 24
-#: Texts of fewer characters are taken by character, as they hold too few words to tell edits apart.
-SHORT = 64
+K, TUPLE_SIZE, ORDERS = 2, 2, 32
+POSITION_BITS = 28
 _PLACE = (1 << POSITION_BITS) - 1
 _HASH = ~_PLACE
+_WHITE = " \t\n\x0b\f\r"
 
 
-def _tokens(text: Column) -> Column:
-    by_character = (F.octet_length(text) > 2 * F.char_length(text)) | (F.char_length(text) < SHORT) | ~F.contains(text, F.lit(" "))
-    return F.when(by_character, F.split(text, "")).otherwise(F.split(text, " "))
+def tokens(text: Column) -> Column:
+    """The tokens of a text that isn't null; none of white space alone."""
+    alone = F.regexp_replace(text, r"[\x{800}-\x{10FFFF}]", " $0 ")
+    parted = F.btrim(F.when(F.octet_length(text) == F.char_length(text), text).otherwise(alone), F.lit(_WHITE))
+    return F.when(parted == "", F.array().cast("array<string>")).otherwise(F.split(parted, r"[ \t-\r]+"))
 
 
 def _hash_of(element: Column) -> Column:
@@ -64,41 +67,52 @@ def _numbered(mers: str) -> Column:
     return F.transform(F.col(mers), number)
 
 
-def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, tuple_size: int = TUPLE_SIZE, rotations: int = ROTATIONS) -> DataFrame:
-    """Add ``out_col``, an array of ``rotations`` 31-bit components (empty for a text without tokens)."""
-    words, mers, ring, at = (f"__{out_col}_{x}" for x in ("words", "mers", "ring", "at"))
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is made once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def _component(values: Column, place: Callable[[Column], Column], tuple_size: int) -> Column:
+    """The hash of the ``tuple_size`` least values, in the order of their places."""
+
+    def pick(left: Column, taken: list[Column]) -> Column:
+        if len(taken) == tuple_size:
+            return in_order(taken)
+        # Where no value is left the tuple ends: the least one stands in, and falls together with itself.
+        return _let(F.coalesce(F.array_min(left), taken[0] if taken else F.lit(None).cast("long")), lambda least: pick(F.array_remove(left, least), [*taken, least]))
+
+    def in_order(taken: list[Column]) -> Column:
+        if len(taken) == 2:
+            one, other = taken
+            return F.when(place(one) <= place(other), F.xxhash64(one, other)).otherwise(F.xxhash64(other, one))
+        placed = F.array_sort(F.array_distinct(F.array(*(F.struct(place(x).alias("place"), x.alias("value")) for x in taken))))
+        return F.xxhash64(F.transform(placed, lambda x: x["value"]))
+
+    return pick(values, [])
+
+
+def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, tuple_size: int = TUPLE_SIZE, orders: int = ORDERS) -> DataFrame:
+    """Add ``out_col``, an array of ``orders`` 31-bit components (empty for a text without tokens)."""
+    words, mers, placed, own = (f"__{out_col}_{x}" for x in ("words", "mers", "placed", "own"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    place = lambda i: F.least(i, F.lit(_PLACE)).cast("long")
+    place = lambda i: i.cast("long")
     if k == 1:
-        packed = F.transform(_tokens(text), lambda t, i: _element(F.xxhash64(t), place(i)))
+        packed = F.transform(tokens(text), lambda t, i: _element(F.xxhash64(t), place(i)))
     else:
-        df = df.withColumn(words, F.transform(_tokens(text), lambda t: F.xxhash64(t)))
-        packed = F.transform(F.col(words), lambda h, i: _element(F.xxhash64(h, *(F.get(F.col(words), i + o) for o in range(1, k))), place(i)))
-    df = df.withColumn(mers, F.sort_array(F.when(text == "", F.array().cast("array<bigint>")).otherwise(packed))).drop(words)
-    df = df.withColumn(ring, F.sort_array(_numbered(mers))).drop(mers)
-    step = (1 << 64) // rotations
-    points = F.array(*(F.lit(-(1 << 63) + step * j) for j in range(rotations)))
-    element = lambda i: F.get(F.col(ring), i)
-
-    def preceding(steps: Column) -> Column:
-        """How many elements are less than each point: bit by bit, as they are sorted."""
-        return F.transform(points, lambda point: F.aggregate(steps, F.lit(0), lambda n, step: F.when(element(n + step - 1) < point, n + step).otherwise(n)))
-
-    # The steps are handed over in an array of one, so that they are made once for a text.
-    df = df.withColumn(at, F.flatten(F.transform(F.array(_steps(F.size(ring))), preceding)))
-    size = F.size(ring)
-    nth = lambda o: F.transform(F.col(at), lambda first: element((first + o) % size))
-    place_of = lambda x: x.bitwiseAND(F.lit(_PLACE))
-    if tuple_size == 2:
-        pair = lambda a, b: F.when(place_of(a) <= place_of(b), F.xxhash64(_hash_of(a), _hash_of(b))).otherwise(F.xxhash64(_hash_of(b), _hash_of(a)))
-        hashed = F.zip_with(nth(0), nth(F.least(F.lit(1), size - 1)), pair)
-    else:
-        turned = lambda x: F.shiftleft(place_of(x), 64 - POSITION_BITS).bitwiseOR(F.shiftrightunsigned(x, POSITION_BITS))
-        low = lambda x: x.bitwiseAND(F.lit((1 << (64 - POSITION_BITS)) - 1))
-        taken = lambda first: F.transform(F.sequence(F.lit(0), F.least(F.lit(tuple_size), size) - 1), lambda o: turned(element((first + o) % size)))
-        hashed = F.transform(F.col(at), lambda first: F.xxhash64(F.transform(F.sort_array(taken(first)), low)))
-    components = F.transform(hashed, lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    return df.withColumn(out_col, F.when(size > 0, components).otherwise(F.array().cast("array<int>"))).drop(ring, at)
+        df = df.withColumn(words, F.transform(tokens(text), lambda t: F.xxhash64(t)))
+        whole = F.transform(F.col(words), lambda h, i: _element(F.xxhash64(h, *(F.get(F.col(words), i + o) for o in range(1, k))), place(i)))
+        packed = F.slice(whole, F.lit(1), F.greatest(F.size(words) - (k - 1), F.least(F.size(words), F.lit(1))))
+    df = df.withColumn(mers, F.sort_array(packed)).drop(words)
+    df = df.withColumn(placed, _numbered(mers)).drop(mers)
+    df = df.withColumn(own, F.transform(F.col(placed), _hash_of))
+
+    def component(order: Column) -> Column:
+        at = lambda values: lambda x: F.get(F.col(placed), F.array_position(values, x).cast("int") - 1).bitwiseAND(F.lit(_PLACE))
+        hashed = F.transform(F.col(own), lambda x: F.xxhash64(x, order))
+        return _let(hashed, lambda values: _component(values, at(values), tuple_size))
+
+    each = F.transform(F.array(*(F.lit(n).cast("long") for n in range(orders))), lambda n: component(n).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    return df.withColumn(out_col, F.when(F.size(own) > 0, each).otherwise(F.array().cast("array<int>"))).drop(placed, own)
 
 
 def fingerprint(components: Column) -> Column:
@@ -122,9 +136,10 @@ def with_next(docs: DataFrame, columns: list[str], id_col: str = "doc_id", block
     spark = docs.sparkSession
     blocks = blocks or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = docs.where(F.col(id_col).isNotNull())
-    cuts = sorted(set(known.stat.approxQuantile(id_col, [k / blocks for k in range(blocks)], 0.2 / blocks)))
-    least = known.agg(F.min(id_col)).head()[0]
-    cuts = sorted({least, *(int(c) for c in cuts)}) if least is not None else []
+    # Quantiles are doubles, which can't tell long ids apart; the least id from each one on is an id that there is.
+    about = sorted(set(known.stat.approxQuantile(id_col, [k / blocks for k in range(blocks)], 0.2 / blocks)))
+    above = F.size(F.filter(F.array(*map(F.lit, about)), lambda c: c <= F.col(id_col).cast("double")))
+    cuts = sorted(r["least"] for r in known.groupBy(above).agg(F.min(id_col).alias("least")).collect()) if about else []
     if not cuts:
         return docs.withColumns({f"next_{c}": F.lit(None).cast(docs.schema[c].dataType) for c in columns})
     edges = F.array(*map(F.lit, cuts))
