@@ -2,10 +2,13 @@
 
 The index is a table bucketed and sorted by digest. A batch is reduced to one row for each digest (partial
 aggregation, so a text that fills a third of the corpus is counted map-side), set against the index by a sort-merge
-anti-join that leaves the index unshuffled, and the digests that are new are appended.
+anti-join that leaves the index unshuffled, and the digests that are new are appended, with the batch's name. A batch
+takes no notice of its own earlier rows, so one that is run again, after a failure at whatever point, keeps the same
+rows and adds nothing twice. ``compact`` makes one sorted file of the many that appends leave in a bucket.
 
 Defined cases: a null text counts as the empty text; rows without an id take part and lose to any row with one;
-repeated rows (same id and text) are all returned; an empty batch gives no rows; further columns are ignored.
+repeated rows (same id and text) are all returned; an empty batch gives no rows; further columns are ignored here and kept,
+whatever their names, by ``keep_first_copies``; texts of any length count whole.
 """
 
 from __future__ import annotations
@@ -31,57 +34,77 @@ def text_digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """A persistent table ``(digest, keep_id)`` bucketed and sorted by digest, one row for each text ever kept."""
+    """A persistent table ``(digest, keep_id, batch)`` bucketed and sorted by digest, one row for each text ever kept."""
 
     def __init__(self, spark: SparkSession, table: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.table = table or f"digest_index_{uuid.uuid4().hex}"
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS"
-        )
+        if not spark.catalog.tableExists(self.table) and spark.catalog.tableExists(f"{self.table}_old"):
+            spark.sql(f"ALTER TABLE {self.table}_old RENAME TO {self.table}")  # a compaction that wasn't finished
+        if spark.catalog.tableExists(self.table):
+            self.buckets = next(int(r["data_type"]) for r in spark.sql(f"DESCRIBE FORMATTED {self.table}").collect() if r["col_name"] == "Num Buckets")
+        self._create(self.table)
+
+    def _create(self, table: str) -> None:
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS")
 
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def unseen(self, groups: DataFrame) -> DataFrame:
-        """The groups whose digest the index lacks."""
-        return groups.join(self.read().hint("merge"), "digest", "left_anti")
-
-    def known(self, groups: DataFrame) -> DataFrame:
-        """The groups whose digest the index has, with the id that stands for it there."""
-        return groups.drop("keep_id").join(self.read().hint("merge"), "digest")
+    def resolved(self, groups: DataFrame, batch: str) -> DataFrame:
+        """The groups with ``is_new``, and ``keep_id`` as the index has it for those that aren't: digests of other
+        batches are known, those of this batch are new and ``added`` already."""
+        other = self.read().where(F.col("batch") != batch).select("digest", F.col("keep_id").alias("known_id"))
+        own = self.read().where(F.col("batch") == batch).select("digest", F.lit(True).alias("added"))
+        fresh = groups.join(other.hint("merge"), "digest", "left_anti").join(own.hint("merge"), "digest", "left")
+        told = fresh.select("digest", "keep_id", "group_size", F.lit(True).alias("is_new"), F.coalesce("added", F.lit(False)).alias("added"))
+        old = groups.join(other.hint("merge"), "digest").select("digest", F.col("known_id").alias("keep_id"), "group_size", F.lit(False).alias("is_new"), F.lit(True).alias("added"))
+        return told.unionByName(old)
+
+    def append(self, groups: DataFrame, batch: str) -> None:
+        """Add ``(digest, keep_id)`` rows: one file for each bucket, since rows are dealt out as buckets are."""
+        groups.select("digest", "keep_id", F.lit(batch).alias("batch")).repartition(self.buckets, "digest").write.insertInto(self.table)
+
+    def compact(self, buckets: int | None = None) -> None:
+        """Write the index anew, one sorted file for each bucket, of which there may be another number. The old table
+        goes only after the new one has its name."""
+        self.buckets = buckets or self.buckets
+        for spare in ("new", "old"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}_{spare}")
+        self._create(f"{self.table}_new")
+        self.read().repartition(self.buckets, "digest").write.insertInto(f"{self.table}_new")
+        self.spark.sql(f"ALTER TABLE {self.table} RENAME TO {self.table}_old")
+        self.spark.sql(f"ALTER TABLE {self.table}_new RENAME TO {self.table}")
+        self.spark.sql(f"DROP TABLE {self.table}_old")
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
-    def append(self, groups: DataFrame) -> None:
-        """Add ``(digest, keep_id)`` rows: one file for each bucket, since rows are dealt out as buckets are."""
-        rows = groups.select("digest", "keep_id").repartition(self.buckets, "digest")
-        rows.write.insertInto(self.table)
-
 
-def deduplicate(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
     """Deduplicate a batch within itself and against ``index``; append what is new.
 
     Returns ``id_col, keep_id, group_size, kept, digest`` for every row. Among equal texts of the batch the largest
     id stands, unless the index has the text already, in which case the indexed id does and no row is kept.
-    ``group_size`` counts rows of this batch.
+    ``group_size`` counts rows of this batch. ``batch`` names it: a batch that failed is run again under its name.
     """
+    batch = batch or uuid.uuid4().hex
     rows = materialise(docs.select(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("digest")), "digests")
-    groups = rows.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    fresh = index.unseen(groups).withColumn("is_new", F.lit(True))
-    old = index.known(groups).withColumn("is_new", F.lit(False))
-    resolved = materialise(fresh.unionByName(old), "digest-groups")
-    index.append(resolved.where("is_new"))
+    # Written before they are joined, as Spark would otherwise join first and gather a frequent text's rows in one task.
+    groups = materialise(rows.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "digest-groups")
+    resolved = materialise(index.resolved(groups, batch), "digests-resolved")
+    index.append(resolved.where("NOT added"), batch)
     kept = F.col("is_new") & F.col("id").eqNullSafe(F.col("keep_id"))
-    return rows.join(resolved, "digest").select(F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), "digest")
+    return rows.join(resolved.hint("merge"), "digest").select(F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), "digest")
 
 
-def keep_first_copies(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_first_copies(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, all columns kept; of repeated rows with one id and text one stays."""
-    winners = deduplicate(docs, index, id_col, text_col).where("kept").select(F.col(id_col).alias("_id"), F.col("digest").alias("_digest")).distinct()
-    tagged = docs.withColumn("_own", text_digest(F.col(text_col)))
-    found = tagged.join(winners, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
-    return found.dropDuplicates([id_col, "_own"]).drop("_own")
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    winners = deduplicate(docs, index, id_col, text_col, batch).where("kept").select(name.alias("name"), "digest").distinct()
+    own = {n: f"c{k}" for k, n in enumerate(docs.columns)}
+    # Both steps deal rows out by the same two columns, so texts cross the network once.
+    tagged = docs.select(*(F.col(n).alias(c) for n, c in own.items()), name.alias("name"), text_digest(F.col(text_col)).alias("digest"))
+    found = tagged.join(materialise(winners, "winners").hint("merge"), ["name", "digest"], "left_semi").dropDuplicates(["name", "digest"])
+    return found.select(*(F.col(c).alias(n) for n, c in own.items()))
