@@ -7,7 +7,8 @@ refer to it; shorter payloads always make ``response`` records.
 
 Defined cases: a null payload is empty; a null url gives an empty target; a null id is written as ``null`` and read
 back as null (such a record never is the one that others refer to unless none has an id); repeated rows give repeated
-records; empty input gives an empty archive; further columns are ignored.
+records; line breaks in a url are percent-encoded; payloads of any length are taken whole; empty input gives an empty
+archive; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def _header_block(kind: Column, page: Column, url: Column, refers: Column, sha1:
     revisit = F.concat(F.lit("WARC-Refers-To: "), _record_id(refers), F.lit(f"\r\nWARC-Profile: {REVISIT_PROFILE}\r\n"))
     lines = [
         F.lit(f"{VERSION}\r\nWARC-Type: "), kind, F.lit("\r\nWARC-Record-ID: "), _record_id(page),
-        F.lit(f"\r\nWARC-Date: {date}\r\nWARC-Target-URI: "), F.regexp_replace(F.coalesce(url, F.lit("")), "[\\r\\n]", ""),
+        F.lit(f"\r\nWARC-Date: {date}\r\nWARC-Target-URI: "), F.replace(F.replace(F.coalesce(url, F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")),
         F.lit("\r\nWARC-Payload-Digest: sha1:"), sha1, F.lit("\r\n"), F.when(kind == "revisit", revisit).otherwise(F.lit("")),
         F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "), block.cast("string"), F.lit(END), http,
     ]
@@ -69,10 +70,11 @@ def write_archive(pages: DataFrame, path: str | None = None, id_col: str = "page
         source.select("id", "url", F.unhex(F.sha2("payload", 256)).alias("digest"), F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("size")),
         "warc-facts",
     )
-    groups = facts.groupBy("digest").agg(F.max("id").alias("first"))
+    # Written, so that Spark can split a payload that a third of the pages have when it joins.
+    groups = materialise(facts.groupBy("digest").agg(F.max("id").alias("first")), "warc-groups")
     big = F.col("size") >= REVISIT_BYTES
     rank = F.coalesce(F.col("id") == F.col("first"), F.col("first").isNull())
-    records = facts.join(groups, "digest").withColumn("kind", F.when(big & ~rank, "revisit").otherwise("response"))
+    records = facts.join(groups.hint("merge"), "digest").withColumn("kind", F.when(big & ~rank, "revisit").otherwise("response"))
     # Repeated ids with one payload: each is a response of its own, as a record can't refer to itself.
     header = _header_block(F.col("kind"), F.col("id"), F.col("url"), F.col("first"), F.col("sha1"), F.col("size"), date)
     records.select("digest", F.col("kind") == "response", header.cast("binary")).toDF("digest", "has_payload", "header").write.option("compression", "zstd").parquet(archive.headers)
@@ -102,6 +104,12 @@ def record_bytes(header: Column, payload: Column) -> Column:
     return F.concat(header, payload, F.lit(END).cast("binary"))
 
 
+def write_files(records: DataFrame, path: str) -> None:
+    """The records as .warc content, a file for each partition, one record after the other."""
+    whole = F.decode(F.concat("header", "payload"), "utf-8")
+    records.select(whole.alias("value")).write.option("lineSep", END).text(path)
+
+
 def parse_records(records: DataFrame) -> DataFrame:
     """``page_id, record_type, target_uri, digest_header, refers_to, content_length, payload`` from header bytes."""
     text = F.decode(F.col("header"), "utf-8")
