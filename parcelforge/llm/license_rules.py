@@ -39,11 +39,20 @@ PHRASES = {
     "bsd-endorse": ["may be used to endorse or promote products derived from this software without specific prior written permission"],
     "bsd-as-is": ["this software is provided by the copyright holders and contributors as is"],
     "bsd-liability": ["or contributors be liable for any direct indirect incidental special exemplary or consequential damages"],
-    "bsd-2-notice": ["bsd 2 clause license"],
-    "bsd-3-notice": ["bsd 3 clause license"],
+    "bsd-2-notice": ["bsd 2 clause license", "bsd 2 clause licence", "license bsd 2 clause"],
+    "bsd-3-notice": ["bsd 3 clause license", "bsd 3 clause licence", "license bsd 3 clause"],
     "isc-grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted"],
     "isc-notice": ["the isc license", "isc license"],
-    "mpl-2-notice": ["is subject to the terms of the mozilla public license v", "mozilla public license version 2 0"],
+    "mpl-2-notice": ["is subject to the terms of the mozilla public license v", "mozilla public license version 2 0", "mozilla public license 2 0", "licensed under the mpl 2 0"],
+    "epl-1-notice": ["eclipse public license v1 0", "eclipse public license version 1 0", "eclipse public license 1 0"],
+    "epl-2-notice": ["eclipse public license v2 0", "eclipse public license v 2 0", "eclipse public license version 2 0", "eclipse public license 2 0"],
+    "bsl-1-notice": ["boost software license version 1 0", "boost software license 1 0"],
+    "ofl-1.1-notice": ["sil open font license version 1 1", "sil open font license 1 1"],
+    "artistic-2-notice": ["the artistic license 2 0", "artistic license version 2 0"],
+    "cddl-1-notice": ["common development and distribution license cddl version 1 0", "common development and distribution license version 1 0"],
+    "eupl-1.2-notice": ["european union public licence v 1 2", "european union public licence version 1 2", "eupl v 1 2 licence"],
+    "psf-2-notice": ["python software foundation license version 2", "psf license agreement"],
+    "wtfpl-notice": ["do what the fuck you want to public license"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
     "cc0": ["dedicated to the public domain under cc0", "cc0 1 0 universal public domain dedication"],
     "zlib-altered": ["permission is granted to anyone to use this software for any purpose including commercial applications"],
@@ -61,6 +70,8 @@ RULES = [
     ("BSD-4-Clause", ["bsd-use", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-endorse"]), ("BSD-3-Clause", ["bsd-use", "bsd-source", "bsd-binary", "bsd-endorse"]), ("BSD-2-Clause", ["bsd-use", "bsd-source", "bsd-binary"]),
     ("Apache-2.0", ["apache-2-notice", "apache-2-comply", "apache-2-obtain", "apache-2-unless", "apache-2-see"]), ("Apache-2.0", ["apache-2-notice", "apache-2-comply"]), ("Apache-2.0", ["apache-2-notice"]),
     ("ISC", ["isc-grant"]), ("ISC", ["isc-notice"]), ("MIT", ["mit-notice"]), ("BSD-2-Clause", ["bsd-2-notice"]), ("BSD-3-Clause", ["bsd-3-notice"]), ("MPL-2.0", ["mpl-2-notice"]), ("Unlicense", ["unlicense"]),
+    ("EPL-1.0", ["epl-1-notice"]), ("EPL-2.0", ["epl-2-notice"]), ("BSL-1.0", ["bsl-1-notice"]), ("OFL-1.1", ["ofl-1.1-notice"]), ("Artistic-2.0", ["artistic-2-notice"]), ("CDDL-1.0", ["cddl-1-notice"]),
+    ("EUPL-1.2", ["eupl-1.2-notice"]), ("Python-2.0", ["psf-2-notice"]), ("WTFPL", ["wtfpl-notice"]),
     ("CC0-1.0", ["cc0"]), ("Zlib", ["zlib-altered"]), ("LicenseRef-all-rights-reserved", ["all-rights"]),
 ]
 
