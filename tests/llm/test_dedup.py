@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from parcelforge.llm import exact_dedup, jaccard_join, linking, paragraph_dedup, shingles
 from parcelforge.llm.components import connected_components
 
@@ -81,6 +83,39 @@ def test_exact_dedup_against_an_index(spark, make_docs):
     assert sorted((r["doc_id"] or -1, r["text"]) for r in kept.collect()) == [(-1, "y"), (2, "X")]
 
 
+def test_a_batch_that_is_run_again_keeps_the_same(spark, make_docs):
+    index = exact_dedup.DigestIndex(spark, buckets=3)
+    docs = make_docs([(1, "x"), (2, "X"), (3, "y"), (None, "z")])
+    told = lambda batch, df=docs: sorted((r["doc_id"] or -1, r["keep_id"] or -1, r["kept"]) for r in exact_dedup.deduplicate(df, index, batch=batch).collect())
+    first = told("a")
+    assert told("a") == first and index.read().count() == 3
+    index.append(index.resolved(exact_dedup.deduplicate(docs.limit(0), index).groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "b").where("NOT added"), "b")
+    assert [r[2] for r in told("b")] == [False] * 4 and told("b", make_docs([(9, "new")])) == [(9, 9, True)]
+    index.compact(5)
+    again = exact_dedup.DigestIndex(spark, index.table)
+    assert again.buckets == 5 and again.read().count() == 4 and told("a") == first and told("b", make_docs([(9, "new")])) == [(9, 9, True)]
+    spark.sql(f"ALTER TABLE {index.table} RENAME TO {index.table}_old")  # a compaction that a crash cut short
+    assert exact_dedup.DigestIndex(spark, index.table).read().count() == 4
+
+
+def clashing(docs):
+    """Columns of the names that operators use themselves."""
+    names = "_own _id _gone id digest name node grp size c0 text_a start end gaps cut keep_id component_id doc asked_doc key".split()
+    return docs.select("*", *(F.lit(n).alias(n) for n in names)), names
+
+
+def test_columns_of_clashing_names_are_kept(spark, make_docs):
+    base = words(5, 120)
+    docs, names = clashing(make_docs([(1, " ".join(base)), (2, " ".join(base).upper()), (3, " ".join([*base[:119], "z"])), (4, None), (5, ""), (5, "")]))
+    kept = exact_dedup.keep_first_copies(docs, exact_dedup.DigestIndex(spark))
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 5] and kept.head()["_own"] == "_own"
+    one = jaccard_join.keep_one_of_each(docs)
+    assert one.columns == docs.columns and sorted(r["doc_id"] for r in one.collect()) == [1, 4, 5, 5]
+    found = paragraph_dedup.repeated_passages(docs)
+    cut = paragraph_dedup.without_passages(docs, found)
+    assert cut.columns == docs.columns and sorted(r["doc_id"] for r in cut.collect()) == [1, 4, 5, 5] and cut.head()["gaps"] == "gaps"
+
+
 def test_jaccard_components(spark, sf_dir, small_docs):
     texts = {r["doc_id"]: r["text"] for r in small_docs.select("doc_id", "text").collect()}
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(small_docs).collect()}
@@ -181,9 +216,22 @@ def test_short_paragraphs_count_and_one_word_over_and_over_does_not():
 
 def test_shared_words_ask_for_more_text():
     more = paragraph_dedup.shared_words
-    assert more("a b c", "a b c", False) == (3, 5, False) and more("a b c", "a b c", False, (True, True)) == (2, 3, True)
-    assert more("a b c", "a b d", False, (True, True)) == (2, 3, True) and more("a x c", "a b c", False, (True, True)) == (1, 1, False)
-    assert more("b c", "x b c", True, (False, True)) == (2, 3, False) and more("b c", "b c ", True, (True, True)) == (1, 1, True)
+    assert more("a b c", "a  b c", False) == (3, 5, 6, False) and more("a b c", "a b c", False, (True, True)) == (2, 3, 3, True)
+    assert more("a b c", "a b d", False, (True, True)) == (2, 3, 3, True) and more("a x c", "a b c", False, (True, True)) == (1, 1, 1, False)
+    assert more("b c", "x b c", True, (False, True)) == (2, 3, 3, False) and more("b c", "b c ", True, (True, True)) == (1, 1, 2, True)
+    assert more("", "", False) == (0, 0, 0, False) and more("A B", "a b", True) == (2, 3, 3, False) and more("Σ", "σ", False) == (0, 0, 0, False)
+
+
+def test_one_passage_is_one_row(make_docs):
+    """A line over and over in a document, a passage whose lines occur before apart, and one that goes on in a word said
+    500 times."""
+    line, passage, tail = " ".join(words(1, 31)), words(2, 70), " ".join([*words(3, 70), *["over"] * 500])
+    texts = {0: " ".join([*words(10, 90), *passage[20:45], *words(11, 90)]), 1: " ".join([*words(12, 60), *passage, *words(13, 60)]), 2: " ".join([*words(14, 60), *passage, *words(15, 60)])}
+    texts |= {3: " ".join([*words(16, 40), *[line] * 12, *words(17, 40)]), 4: f"{' '.join(words(18, 30))} {tail} {' '.join(words(19, 30))}", 5: f"{' '.join(words(20, 30))} {tail} {' '.join(words(21, 30))}"}
+    found = {r["doc_id"]: texts[r["doc_id"]][r["start"] : r["end"]] for r in paragraph_dedup.repeated_passages(make_docs(list(texts.items()))).collect()}
+    # A paragraph may begin some words before the passage: it is alike, not equal.
+    assert found[5].endswith(tail) and len(found.pop(5)) < len(tail) + 50
+    assert found == {2: " ".join(passage), 3: " ".join([line] * 11)}
 
 
 def test_no_passage_is_lost_everywhere(small_docs):
@@ -212,3 +260,18 @@ def test_overlapping_spans_are_cut_once(spark, make_docs):
     out = {r["doc_id"]: r["text"] for r in paragraph_dedup.without_passages(make_docs(["abcdefghij", "whole one", "same"]), spans).collect()}
     assert out == {0: "fgij", 2: "same"}
     assert paragraph_dedup.repeated_passages(make_docs([])).count() == 0
+
+
+def test_words_that_collide_under_polynomials_are_told_apart(make_docs):
+    one, other = ("".join("ab"[(k.bit_count() + x) % 2] for k in range(2048)) for x in (0, 1))
+    found = jaccard_join.jaccard_components(make_docs([f"p q r s {one}", f"p q r s {other}", f"P q r s {other}"])).collect()
+    assert sorted(tuple(r) for r in found) == [(0, 1, 0), (1, 1, 1), (2, 1, 1)]
+
+
+def test_exact_sets_are_those_of_the_words():
+    r = random.Random(1)
+    texts = [" ".join(r.choice(["a", "B", "b", "c" * 70, "D" * 130, "é", "longerword", "longerwore"]) for _ in range(r.randrange(12))) for _ in range(120)] + [None]
+    own, exact, hashed = [shingle_set(t) for t in texts], list(shingles.exact_sets(texts)), list(shingles.shingle_sets(texts))
+    for i, x in enumerate(own):
+        for j, y in enumerate(own):
+            assert len(x & y) == len(np.intersect1d(exact[i], exact[j])) == len(np.intersect1d(hashed[i], hashed[j]))

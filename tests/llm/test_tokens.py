@@ -93,3 +93,23 @@ def test_windows_hold_each_id_once(sizes):
     for d, n in enumerate(sizes):
         assert sorted(x for p in [*out, *whole, *left] if p[0] == d for x in p[2].tolist()) == list(range(n))
     assert sum(len(p[2]) for p in left) < 2048
+
+
+def thue_morse(n, a, b):
+    """Letters that collide, with their exchange, under every polynomial modulo two to the 64th from 1,024 on."""
+    return "".join(a if k.bit_count() % 2 == 0 else b for k in range(n))
+
+
+def test_units_are_told_apart_by_their_bytes():
+    texts = [thue_morse(n, *ab) for n in (1024, 2048, 4096) for ab in ("ab", "ba")]
+    path = tokenizer_file("word_bpe_49k.json")
+    flat, counts = packing.UnitTokenizer(path)(texts)
+    whole = Tokenizer.from_file(path)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_remembered_words_are_bounded_by_their_characters():
+    memory = piece_bpe.WordMemory(lambda words: (np.arange(len(words)), np.ones(len(words), np.int64)), limit=100)
+    for k in range(50):
+        assert memory.ids([f"word{k}", "x" * k])[1].tolist() == [1, 1]
+        assert memory.held <= 100 + 2 * (32 + 60)
