@@ -94,9 +94,28 @@ def control_date(catalog: Catalog, name: str, new: str | None = None):
     return found[0] if found else None
 
 
-PIPELINES: dict[str, list[Callable]] = {
-    "residential": [estates, residential_metrics],
-    "listings": [listing_snapshot, page_transactions, enriched_listings],
-    "commercial": [commercial_transactions, commercial_resolution],
+def district_transactions(captured: DataFrame, saved: DataFrame, key: list[str]) -> DataFrame:
+    """Transactions of all districts and types so far: rows of new captures join what is saved, the first of each key
+    stays; columns that one side lacks are null."""
+    rows = dedupe.stacked(saved, captured)
+    return dedupe.keep_first(rows, key, ["__batch"]).drop("__batch")
+
+
+def office_buildings(rows: DataFrame, numbers: Iterable[str], moments: dict[str, str], key: list[str], order: list[str]) -> DataFrame:
+    """Building listings coerced, the last of each key."""
+    df = rows.withColumns({c: clean.to_number(c) for c in numbers} | {c: clean.to_timestamp(c, f) for c, f in moments.items()})
+    return dedupe.keep_last(df, key, order)
+
+
+# The names of the single pipelines and of their unions.
+_SINGLE: dict[str, list[Callable]] = {
+    "midland_res": [estates, residential_metrics],
+    "midland_ici": [district_transactions, commercial_resolution],
+    "centaline_res": [listing_snapshot, page_transactions, enriched_listings],
+    "centaline_oir": [office_buildings, commercial_transactions],
 }
-PIPELINES["__default__"] = [job for own in list(PIPELINES.values()) for job in own]
+_UNIONS = {
+    "centaline": ["centaline_res", "centaline_oir"], "midland": ["midland_res", "midland_ici"], "residential": ["midland_res", "centaline_res"], "commercial": ["midland_ici", "centaline_oir"],
+    "__all__": ["midland_res", "midland_ici", "centaline_res", "centaline_oir"], "__default__": ["midland_res", "midland_ici", "centaline_res", "centaline_oir"],
+}
+PIPELINES = _SINGLE | {name: [job for own in names for job in _SINGLE[own]] for name, names in _UNIONS.items()}

@@ -43,3 +43,13 @@ def test_commercial(spark, tmp_path):
         catalog.save(n, df)
     out = jobs.commercial_resolution(catalog)
     assert catalog.load("entities").count() == 2 and out["centanet_enriched"].head()["building_key"] == "CN_5" and out["map_landmark_midland"].count() == 1
+
+
+def test_pipelines_are_unions_of_four(spark):
+    assert len(jobs.PIPELINES) == 10 and jobs.PIPELINES["__default__"] == jobs.PIPELINES["__all__"] == [j for n in ("midland_res", "midland_ici", "centaline_res", "centaline_oir") for j in jobs.PIPELINES[n]]
+    assert jobs.PIPELINES["residential"] == jobs.PIPELINES["midland_res"] + jobs.PIPELINES["centaline_res"]
+    saved, new = spark.createDataFrame([(1, "old")], "id int, v string"), spark.createDataFrame([(1, "new", 2), (3, "x", None)], "id int, v string, n int")
+    assert sorted(tuple(r) for r in jobs.district_transactions(new, saved, ["id"]).select("id", "v", "n").collect()) == [(1, "old", None), (3, "x", None)]
+    rows = spark.createDataFrame([("a", "1,", "2020-01-02", 1), ("a", "7", "bad", 2), ("b", None, None, 1)], "k string, n string, d string, seq int")
+    out = {r["k"]: r for r in jobs.office_buildings(rows, ["n"], {"d": "yyyy-MM-dd"}, ["k"], ["seq"]).collect()}
+    assert out["a"]["n"] == 7 and out["a"]["d"] is None and out["b"]["n"] is None and len(out) == 2
