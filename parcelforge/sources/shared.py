@@ -1,9 +1,15 @@
-"""Intermediate tables in the shared folder: they cut lineage and outlive any one executor."""
+"""Intermediate tables in the shared folder: they cut lineage and outlive any one executor.
+
+Tables written within ``released`` are deleted at its end, but for those that are told to be kept.
+"""
 
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,4 +35,38 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     """``df`` written as Parquet and read again, which cuts its lineage."""
     path = new_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if scopes := _scopes():
+        scopes[-1].append((out, path))
+    return out
+
+
+_thread = threading.local()
+
+
+def _scopes() -> list[list[tuple[DataFrame, str]]]:
+    """For each open ``released`` of this thread, innermost last, the tables written in it."""
+    if not hasattr(_thread, "scopes"):
+        _thread.scopes = []
+    return _thread.scopes
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that keeps a written table, and returns it; the other tables written meanwhile are deleted at the end.
+    Nothing that is read later may be made of those. After an error all stay, for what has to be looked into."""
+    scopes, kept = _scopes(), []
+    scopes.append([])
+    try:
+        yield lambda df: kept.append(df) or df
+    except BaseException:
+        scopes.pop()
+        raise
+    own = scopes.pop()
+    for df, path in own:
+        if any(df is k for k in kept):
+            if scopes:
+                scopes[-1].append((df, path))
+            continue
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

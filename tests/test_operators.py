@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import os
 import random
 import re
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from parcelforge.functions import similarity
 from parcelforge.operators import aggregates, columns, dedupe, filters, incremental, joins, resolve
 from parcelforge.sources import captured, files, sinks
+from parcelforge.sources.shared import released, written
 from parcelforge.streaming.snapshots import keep_snapshot
 
 
@@ -161,6 +163,19 @@ def test_csv_repair_and_fallbacks(spark, tmp_path):
     assert files.latest(spark, str(tmp_path / "*.csv")).endswith("x.csv") and files.latest(spark, str(tmp_path / "*.none")) is None
 
 
+def test_released_tables_go_but_for_those_kept(spark):
+    places = lambda df: [f.removeprefix("file://") for f in df.inputFiles()]
+    with released(spark) as keep:
+        first = written(spark.range(3), "first")
+        with released(spark) as inner:
+            second, third = written(spark.range(4), "second"), inner(written(spark.range(5), "third"))
+            gone = places(second)
+        assert not any(map(os.path.exists, gone)) and third.count() == 5
+        gone = places(third)
+        keep(first)
+    assert first.count() == 3 and gone and not any(map(os.path.exists, gone))
+
+
 def test_sinks(spark, tmp_path):
     path = str(tmp_path / "p")
     sinks.write_parquet(spark.range(5), path)
