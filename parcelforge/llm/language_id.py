@@ -7,8 +7,8 @@ language (``MOST_TEXTS`` altogether, of the ``MOST_LANGUAGES`` most frequent lab
 their id; the driver gets the fitted weights alone. Texts are turned into features, and predicted, where they lie.
 
 The machines always choose some language. ``lang_known`` tells whether the text is in it at all: whether its letter
-sequences are about as likely, under the language's own frequencies, as those of the least likely text that was learned from. That is
-false for jumbled letters and for languages that weren't learned, and holds for short texts as for long ones, since it
+sequences are likely enough, under the language's own frequencies, beside those of the texts that were learned from: not
+much less so than for the least likely two in a hundred, so that a few wrong labels change nothing. That is false for jumbled letters and for languages that weren't learned, and holds for short texts as for long ones, since it
 is a mean over sequences.
 
 Defined cases: a null text, or one without a letter, is ``UNDETERMINED`` with score 0 and not known, as is every text when there are no
@@ -40,8 +40,9 @@ PER_LANGUAGE = 400
 #: Texts of the sample altogether (with more than sixteen languages each has fewer, but two at least), and languages.
 MOST_TEXTS = 6400
 MOST_LANGUAGES = 1000
-#: How far below the least likely learned text a text may lie, in parts of that one's distance from the median.
-SLACK = 0.25
+#: The share of learned texts that may be mislabelled, and how far below the rest a text may lie, as a multiple of what lies
+#: between the least likely of the rest and the median.
+ODD, SLACK = 0.02, 2.0
 # ISO 639-1 codes by language family. A code that isn't listed is a family of its own.
 FAMILIES = {
     "germanic": ["af", "da", "de", "en", "fy", "is", "lb", "nl", "no", "sv", "yi"],
@@ -155,7 +156,8 @@ def train(x: np.ndarray, labels: list[str]) -> Model:
             share = sum(x[k].astype(np.float64) ** 2 for k in own) / len(own)
             model.profiles[name] = np.log((share + 1e-6) / (share.sum() + 1e-6 * BUCKETS) * BUCKETS).astype(np.float32)
             found = [likelihood(x[k], model.profiles[name]) for k in own]
-            model.least[name] = min(found) - SLACK * (float(np.median(found)) - min(found))
+            low, middle = np.quantile(found, [ODD, 0.5])
+            model.least[name] = float(low - SLACK * (middle - low))
     return model
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def test_pipeline_stages(spark, small_docs, make_docs):
     # The planted texts in words of the documents, so that they are in a language.
-    vocabulary = sorted({w for r in small_docs.where("lang = 'en'").limit(60).collect() for w in r["text"].lower().split() if w.isalpha()})
+    vocabulary = sorted({w for r in small_docs.where("lang = 'en'").limit(60).collect() for w in r["text"].lower().split() if w.isalpha() and w.isascii()})
     spelled = lambda text: " ".join(vocabulary[int(w[1:]) % len(vocabulary)] for w in text.split())
     texts, passage = passage_docs()
     texts, passage = {k: spelled(t) for k, t in texts.items()}, spelled(passage)
