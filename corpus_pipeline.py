@@ -2,6 +2,10 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before kept; all but the last return the
 columns of ``documents``.
+
+Defined cases, for all stages: an empty table gives no rows; further columns pass through whatever their names (but for
+the last stage, which returns pieces); texts of any length count whole. Null texts and texts without letters end in the first stage; the later
+ones, taken alone, treat a null text as their docstrings tell.
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z lower-cased) the document with the largest id."""
+    """Of equal texts (A-Z lower-cased) the document with the largest id. A null text counts as empty; rows without an id
+    lose to any with one; of repeated rows one stays."""
     index = exact_dedup.DigestIndex(spark)
     kept = exact_dedup.keep_first_copies(docs, index)
     index.drop()  # a user keeps it for the next batch; the result doesn't read it
@@ -31,19 +36,20 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a shingle Jaccard of 0.8 or more, directly or through others, the one of the least id."""
+    """Of documents linked by a shingle Jaccard of 0.8 or more, directly or through others, the one of the least id. Null
+    and empty texts and rows without an id stay; repeated rows of one id stay or go together."""
     return jaccard_join.keep_one_of_each(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 50 words or more that another document keeps."""
-    passages = materialise(paragraph_dedup.repeated_passages(docs), "passages")
-    cut = paragraph_dedup.without_passages(docs, passages)
+    """Documents without the passages of 50 words or more that another document, or an earlier place of the same one,
+    keeps. Documents of which nothing is left go; null and empty texts and rows without an id stay as they are."""
+    cut = paragraph_dedup.without_passages(docs, paragraph_dedup.repeated_passages(docs))
     return cut.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences of at most 2048 tokens."""
+    """Pieces of token sequences of at most 2048 tokens. A null text is the end id alone; repeated rows are packed each."""
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 
