@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialise
+from .scratch import materialise, released
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -25,18 +25,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node points at one node that points nowhere. The edges are counted by node, with partial sums."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("met"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("met")))
+    return ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("met").alias("met")).where("out > 1 OR out = 1 AND met = 1").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of the edges ``a, b``; the component is its least node.
 
     Null ends and edges from a node to itself are passed over; repeated edges count once; no edges give no rows.
     """
     ends = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    now = materialise(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    told = None
-    while True:
-        tell = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
-        if tell == told or not tell[0]:
-            break
-        told, now = tell, materialise(_small_star(_large_star(now)), "edges")
+    with released(edges.sparkSession) as keep:
+        now = materialise(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        while not _are_stars(now):
+            now = materialise(_small_star(_large_star(now)), "edges")
+        keep(now)
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.withColumn("component", F.col("node")))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linking import PERCENT, linked_components, parity_sketch, prefix_length, small_side
-from .scratch import materialise
+from .scratch import materialise, released
 from .shingles import WIDTH, shingle_sets
 
 #: Frequent shingles that have places of their own in the order (8 bytes each), and the count from which they do.
@@ -95,6 +95,11 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, widt
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_shingles, component_id`` for every row of ``docs``."""
+    with released(docs.sparkSession) as keep:
+        return keep(_components(docs, percent, width, id_col, text_col))
+
+
+def _components(docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
     sets = materialise(prefixes(docs, frequent_shingles(docs, width, text_col), percent, width, id_col, text_col), "sets")
     real = sets.where("size > 0 AND id IS NOT NULL")
     same = real.groupBy("set_digest").agg(F.min("id").alias("node"), F.first("size").alias("size"), F.first("prefix_digest").alias("prefix_digest"))
@@ -111,7 +116,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     # An id that has several sets gets the least of their components.
     by_id = rows.join(found.hint("merge"), "node", "left").groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     out = sets.select("id", F.col("size").cast("long").alias("n_shingles")).join(by_id.hint("merge"), "id", "left")
-    return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    return materialise(out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id")), "components")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -120,5 +125,5 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = jaccard_components(docs, id_col=id_col, text_col=text_col)
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct()
     own = {n: f"c{k}" for k, n in enumerate(docs.columns)}
-    left = docs.toDF(*own.values()).join(gone, F.col(own[id_col]) == F.col("gone"), "left_anti")
+    left = docs.toDF(*own.values()).join(small_side(gone), F.col(own[id_col]) == F.col("gone"), "left_anti")
     return left.select(*(F.col(c).alias(n) for n, c in own.items()))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .scratch import HASHED_ID_BYTES, fits_broadcast, materialise
+from .scratch import HASHED_ID_BYTES, fits_broadcast, materialise, released
 from .shingles import SLICE_CHARS, WIDTH, exact_sets, mix
 
 #: Jaccard similarity of links, in percent.
@@ -116,6 +116,11 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[Da
     ``texts`` gives ``node, text`` for a table of nodes. A sketch is an array of longs, or one
     long; a null one bounds nothing. A group posts a key once.
     """
+    with released(nodes.sparkSession) as keep:
+        return keep(_linked(postings, nodes, texts, percent, width, hub_rounds)).select("node", F.col("comp").alias("component"))
+
+
+def _linked(postings: DataFrame, nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int, width: int, hub_rounds: int) -> DataFrame:
     # A key that two alone hold is of no use where their sizes rule a link out.
     use = (F.count(F.lit(1)) > 1) & ((F.count(F.lit(1)) > 2) | size_bound(F.min("size"), F.max("size"), percent))
     lists = materialise(postings.groupBy("key").agg(use.alias("use")).where("use").select("key"), "shared-keys")
@@ -168,4 +173,4 @@ def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[Da
     met = met & sketch_bound(c("size_a"), c("size_b"), differ(c("sketch_a"), c("sketch_b")), percent)
     rest = a.join(b, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "comp_a", "comp_b").distinct()
     state = merged(materialise(rest, "pairs"))
-    return state.select("node", F.col("comp").alias("component"))
+    return state

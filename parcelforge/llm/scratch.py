@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..sources.shared import new_path, written
+from ..sources.shared import new_path, released, written
 
-__all__ = ["fits_broadcast", "materialise", "new_path"]
+__all__ = ["fits_broadcast", "materialise", "new_path", "released"]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
