@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .linking import PERCENT, linked_components, small_side
 from .piece_bpe import text_slices
-from .scratch import materialise
+from .scratch import materialise, released
 from .shingles import SLICE_CHARS, WIDTH, mix, shingle_hashes, words_of
 
 WINDOW = 24
@@ -37,7 +37,7 @@ MIN_WORDS = 50
 #: Characters on either side of a run that are compared first with the kept copy's surroundings, and how many times more
 #: are compared next for runs that used theirs up.
 CONTEXT = 600
-CONTEXT_GROWTH = 4
+CONTEXT_GROWTH = 16
 _LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Shingle hashes times an odd number are a minimum's order.
@@ -147,6 +147,11 @@ def shared_words(one: str, other: str, backwards: bool, cut: tuple[bool, bool] =
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """One row for each passage to remove: ``id_col, start, end, n_words, keep_id, keep_start`` (characters from 0,
     ``end`` exclusive; ``keep_id`` and ``keep_start`` tell where the copy that stays is)."""
+    with released(docs.sparkSession) as keep:
+        return keep(_repeated(docs, id_col, text_col, percent, min_words))
+
+
+def _repeated(docs: DataFrame, id_col: str, text_col: str, percent: int, min_words: int) -> DataFrame:
     found = materialise(paragraphs(docs, id_col, text_col), "paragraphs")
     # Copies of a paragraph are one node, so a key's list holds each text once.
     one = [F.first(c).alias(c) for c in ("size", "sketch")] + [F.first(F.col("keys")[k]).alias(f"key{k}") for k in range(BANDS)]
@@ -162,7 +167,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     copies = materialise(found.select("id", "idx", "first", "words", "start", "end", "digest").join(clusters.hint("merge"), "digest").drop("digest"), "copies")
     runs = materialise(_runs(materialise(_with_kept(copies), "kept")), "runs")
     found_runs = _extended(runs, docs, min_words, id_col, text_col).where(F.col("last") - F.col("first") >= min_words)
-    return _merged(found_runs).withColumnRenamed("id", id_col)
+    return materialise(_merged(found_runs).withColumnRenamed("id", id_col), "passages")
 
 
 def _with_kept(copies: DataFrame) -> DataFrame:
@@ -241,7 +246,7 @@ def _extended(runs: DataFrame, docs: DataFrame, min_words: int, id_col: str, tex
 def _contexts(places: DataFrame, docs: DataFrame, context: int, id_col: str, text_col: str) -> DataFrame:
     """For each distinct place the text beside it, up to ``context`` characters on either side. A document's places
     go to its text together, so each text crosses the network once."""
-    asked = materialise(places.distinct().groupBy(F.col("doc").alias("asked_doc")).agg(F.collect_list(F.struct("from", "to")).alias("at")), "asked")
+    asked = materialise(places.groupBy(F.col("doc").alias("asked_doc")).agg(F.collect_set(F.struct("from", "to")).alias("at")), "asked")
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     near = texts.join(small_side(asked.select(F.col("asked_doc").alias("doc"))), "doc", "left_semi")
     both = near.join(asked.hint("merge"), F.col("doc") == F.col("asked_doc")).select("doc", "text", F.explode("at").alias("at"))
