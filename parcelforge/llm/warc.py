@@ -78,10 +78,12 @@ def write_archive(pages: DataFrame, path: str | None = None, id_col: str = "page
     # Repeated ids with one payload: each is a response of its own, as a record can't refer to itself.
     header = _header_block(F.col("kind"), F.col("id"), F.col("url"), F.col("first"), F.col("sha1"), F.col("size"), date)
     records.select("digest", F.col("kind") == "response", header.cast("binary")).toDF("digest", "has_payload", "header").write.option("compression", "zstd").parquet(archive.headers)
-    chosen = groups.select(F.col("first").alias("id"), F.col("digest").alias("want"))
-    tagged = source.select("id", "payload")
-    stored = tagged.join(chosen, tagged["id"].eqNullSafe(chosen["id"])).select("want", "payload").where(F.unhex(F.sha2("payload", 256)) == F.col("want"))
-    stored.groupBy(F.col("want").alias("digest")).agg(F.first("payload").alias("payload")).write.option("compression", "zstd").parquet(archive.payloads)
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null")).alias("name")
+    chosen = groups.select(name("first"), F.col("digest").alias("want"))
+    stored = source.select(name("id"), "payload").join(chosen.hint("merge"), "name").where(F.unhex(F.sha2("payload", 256)) == F.col("want"))
+    # Repeated rows lie together already, so payloads cross the network once.
+    once = stored.groupBy("name", "want").agg(F.first("payload").alias("payload"))
+    once.select(F.col("want").alias("digest"), "payload").write.option("compression", "zstd").parquet(archive.payloads)
     return archive
 
 
