@@ -2,7 +2,7 @@
 
 A document's shingles are put in one order for all documents: first those that aren't known to be frequent, by hash,
 then the frequent ones, rarest first. Sets that link (Jaccard of at least 80 percent) share an element of their
-prefixes, the first fifth in that order. Documents of equal sets count as one node, nodes of equal prefixes and sizes
+prefixes, the first fifth in that order. Documents of equal sets (by keyed 128-bit digest) count as one node, nodes of equal prefixes and sizes
 as one group; pairs of groups that share a prefix element are filtered, then expanded and their members verified
 (see ``linking``).
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .linking import PERCENT, linked_components, parity_sketch, prefix_length, small_side
 from .scratch import materialise, released
-from .shingles import WIDTH, shingle_sets
+from .shingles import WIDTH, digested_sets, shingle_sets
 
 #: Frequent shingles that have places of their own in the order (8 bytes each), and the count from which they do.
 FREQUENT = 1 << 17
@@ -67,7 +67,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, widt
         known, rank = shared.value
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("size", "set_digest", "prefix_digest", "sketch", "prefix")}
-            for s in shingle_sets(batch.column("text").to_pylist(), width):
+            for s, digest in digested_sets(batch.column("text").to_pylist(), width):
                 n = prefix_length(len(s), percent)
                 first = s
                 if len(known) and len(s):
@@ -77,7 +77,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, widt
                         first = s[np.lexsort((s, late))]
                 first = first[:n]
                 out["size"].append(len(s))
-                out["set_digest"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                out["set_digest"].append(digest)
                 out["prefix_digest"].append(hashlib.blake2b(first.tobytes(), digest_size=16).digest())
                 out["sketch"].append(parity_sketch(s).tobytes())
                 out["prefix"].append(first.tobytes())

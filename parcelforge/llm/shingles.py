@@ -1,8 +1,9 @@
 """Words and word shingles of whole texts as flat hash arrays.
 
 Words are runs of bytes other than the space and 0x09-0x0D; A-Z count as a-z. Texts are laid end to end and handled a
-slice at a time. A word's hash takes in eight of its bytes at a time and scrambles after each, so no two strings collide
-by their structure; words of over ``LONG`` bytes are hashed by BLAKE2b. Where it matters whether two texts really have the same
+slice at a time. Each distinct word of a slice is hashed once, by keyed BLAKE2b, so no two words collide by their
+structure. A word's digest has two halves: the first makes the shingle hashes that sets consist of, and the second goes into
+the 128-bit digest by which whole sets are told to be equal (``digested_sets``). Where it matters whether two texts really share
 shingles, ``exact_sets`` tells words apart by their bytes and shingles by their words, without hashes.
 """
 
@@ -26,10 +27,7 @@ _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
-#: Bytes of a word from which it is hashed alone.
-LONG = 64
 _KEY = b"words of shingles"
-_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,22 +37,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The hash of each word ``data[start:end]``."""
-    padded = np.frombuffer(data + bytes(8), np.uint8)
-    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
-    lengths = ends - starts
-    out = mix(lengths.astype(_U) * _U(0x9E3779B97F4A7C15))
-    at, done = np.flatnonzero(lengths <= LONG), 0
-    while len(at):
-        left = lengths[at] - done
-        out[at] = mix(out[at] ^ (lanes[starts[at] + done] & _FIRST[np.minimum(left, 8)]))
-        at, done = at[left > 8], done + 8
-    for k in np.flatnonzero(lengths > LONG).tolist():
-        out[k] = int.from_bytes(blake2b(data[starts[k] : ends[k]], digest_size=8, key=_KEY).digest(), "little")
-    return out
-
-
 def distinct_stretches(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """For each stretch of bytes between consecutive offsets the number of its value, and the values by number."""
     stretches = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
@@ -62,12 +44,23 @@ def distinct_stretches(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, pa
     return found.indices.to_numpy(), found.dictionary
 
 
+def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The two halves of the digest of each word ``data[start:end]``, as two rows; words are in order and don't touch."""
+    if not len(starts):
+        return np.zeros((2, 0), np.uint64)
+    number, values = distinct_stretches(data, np.stack((starts, ends), 1).reshape(-1))
+    digests = b"".join(blake2b(v, digest_size=16, key=_KEY).digest() for v in values.to_pylist())  # white space too, which is never asked for
+    return np.frombuffer(digests, "<u8").reshape(-1, 2).T[:, number[::2]]
+
+
 @dataclass
 class Words:
-    """The words of consecutive texts: hashes, byte places in ``data``, and where each text's words begin."""
+    """The words of consecutive texts: the halves of their digests, byte places in ``data``, and where each text's words
+    begin."""
 
     data: bytes
     hashes: np.ndarray
+    others: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     firsts: np.ndarray  # len(texts) + 1
@@ -81,9 +74,9 @@ def words_of(texts: list[str]) -> Words:
     space = _SPACE[code]
     before = np.concatenate(([True], space[:-1])) if len(code) else space
     starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-    hashes = word_hashes(data, starts, ends)
+    hashes, others = word_hashes(data, starts, ends)
     bases = np.concatenate((np.zeros(1, np.int64), np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)))
-    return Words(data, hashes, starts, ends, np.searchsorted(starts, bases), bases[:-1])
+    return Words(data, hashes, others, starts, ends, np.searchsorted(starts, bases), bases[:-1])
 
 
 def shingle_hashes(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -99,6 +92,21 @@ def shingle_hashes(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     return mix(out)
 
 
+def digested_sets(texts: list[str | None], width: int = WIDTH) -> Iterator[tuple[np.ndarray, bytes]]:
+    """For each text the sorted distinct hashes of its shingles (empty without words) and a 128-bit digest of the set."""
+    for part in text_slices(texts, SLICE_CHARS):
+        found = words_of(part)
+        # Rows that straddle two texts are passed over.
+        whole, twin = shingle_hashes(found.hashes, width), shingle_hashes(found.others, width)
+        for a, b in zip(found.firsts[:-1].tolist(), found.firsts[1:].tolist(), strict=True):
+            if b - a >= width:
+                own, other = whole[a : b - width + 1], twin[a : b - width + 1]
+            else:
+                own, other = shingle_hashes(found.hashes[a:b], width), shingle_hashes(found.others[a:b], width)
+            once, first = np.unique(own, return_index=True)
+            yield once, blake2b(np.concatenate((once, other[first])).tobytes(), digest_size=16).digest()
+
+
 def shingle_sets(texts: list[str | None], width: int = WIDTH) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles (empty without words)."""
     for part in text_slices(texts, SLICE_CHARS):

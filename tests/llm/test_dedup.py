@@ -268,6 +268,15 @@ def test_words_that_collide_under_polynomials_are_told_apart(make_docs):
     assert sorted(tuple(r) for r in found) == [(0, 1, 0), (1, 1, 1), (2, 1, 1)]
 
 
+def test_words_that_collide_eight_bytes_at_a_time_are_told_apart(make_docs):
+    # A hash that takes in eight bytes at a time and scrambles after each gives these two one value.
+    texts = [f"one two three four {w} six seven" for w in ("abcdefghijklmnop", "pgmxoohjj?7-_gd1")]
+    found = jaccard_join.jaccard_components(make_docs([(1, texts[0]), (2, texts[1]), (3, texts[1].upper())]))
+    assert sorted(map(tuple, found.collect())) == [(1, 3, 1), (2, 3, 2), (3, 3, 2)]
+    (one, a), (two, b), (_, c) = shingles.digested_sets([texts[0], texts[1], texts[1].upper()])
+    assert not set(one.tolist()) & set(two.tolist()) and a != b and b == c
+
+
 def test_exact_sets_are_those_of_the_words():
     r = random.Random(1)
     texts = [" ".join(r.choice(["a", "B", "b", "c" * 70, "D" * 130, "é", "longerword", "longerwore"]) for _ in range(r.randrange(12))) for _ in range(120)] + [None]
