@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_layout, jaccard_join, language_id, license_rules, order_minhash, packing, paragraph_dedup, piece_bpe, warc
+from . import decontamination, exact_dedup, html_layout, jaccard_join, language_id, license_rules, order_minhash, packing, paragraph_dedup, piece_bpe, warc
 from .scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,22 @@ def op7_license_rules(spark, sf_dir):
     """The licences that documents state, over whole texts."""
     found = license_rules.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.col("licence_sentences").cast("long").alias("n_sentences"), F.array_join("licence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
+
+
+@query(
+    "op11_decontamination",
+    r"""WITH lowered AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
+    b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+    starts AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS s FROM b WHERE len(w) > 0),
+    win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + 9], ' ') AS g FROM starts),
+    grams AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT r, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i FROM d, (SELECT DISTINCT n FROM win))),
+    occ AS (SELECT r, i, n, item_id FROM grams JOIN win USING (n, g)),
+    hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM occ) GROUP BY r),
+    named AS (SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM occ) GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)""",
+)
+def op11_decontamination(spark, sf_dir):
+    """Every whole document against every window of every benchmark item."""
+    return decontamination.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
