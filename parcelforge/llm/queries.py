@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, html_layout, jaccard_join, language_id, license_rules, order_minhash, packing, paragraph_dedup, piece_bpe, warc
+from . import conversation_trie, decontamination, exact_dedup, html_layout, jaccard_join, language_id, license_rules, order_minhash, packing, paragraph_dedup, piece_bpe, warc
 from .scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,31 @@ def op7_license_rules(spark, sf_dir):
 def op11_decontamination(spark, sf_dir):
     """Every whole document against every window of every benchmark item."""
     return decontamination.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query(
+    "op12_conversation_trie",
+    r"""WITH RECURSIVE ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+    crc AS (SELECT c, c::VARCHAR AS s, 0 AS k, 4294967295::BIGINT AS v FROM ids
+      UNION ALL SELECT c, s, k + 1, CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END
+      FROM (SELECT c, s, k, CASE WHEN k % 8 = 0 THEN xor(v, ascii(substr(s, k // 8 + 1, 1))::BIGINT) ELSE v END AS y FROM crc WHERE k < 8 * length(s))),
+    h AS (SELECT c, (xor(v, 4294967295) % 4)::INTEGER AS h FROM crc WHERE k = 8 * length(s)),
+    told AS (SELECT conv_id, turn, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+      len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (SELECT conv_id, list(digest ORDER BY turn NULLS FIRST, digest) AS l, list(words ORDER BY turn NULLS FIRST, digest) AS lw FROM told GROUP BY conv_id),
+    r AS (SELECT c, coalesce(b.l[1:h], []) || o.l[h + 1:] AS l, coalesce(b.lw[1:h], []) || o.lw[h + 1:] AS lw
+      FROM h JOIN own o ON o.conv_id = c LEFT JOIN own b ON b.conv_id = c - c % 20),
+    each AS (SELECT c, d, array_to_string(l[1:d], '') AS p, array_to_string(l[1:d - 1], '') AS up, CASE WHEN d > 0 THEN lw[d] ELSE 0 END AS w, len(l) AS n FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM r)),
+    nodes AS (SELECT p, d, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(w) AS saved,
+      sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256 FROM each GROUP BY p, d),
+    kids AS (SELECT up AS p, count(*) AS k FROM nodes WHERE d > 0 GROUP BY up),
+    full_nodes AS (SELECT nodes.*, coalesce(k, 0) AS k FROM nodes LEFT JOIN kids USING (p)),
+    sums AS (SELECT a.p, count(*) FILTER (b.k = 0) AS n_leaves, sum(b.saved)::BIGINT AS saved_tokens FROM full_nodes a JOIN full_nodes b ON starts_with(b.p, a.p) GROUP BY a.p)
+    SELECT x.conv_id, x.d AS depth, CASE WHEN x.d > 0 THEN y.conv_id END AS parent_conv_id, x.n_convs, x.k AS n_children, n_leaves, saved_tokens, x.ends_sha256
+    FROM full_nodes x JOIN sums USING (p) LEFT JOIN nodes y ON y.p = x.up""",
+)
+def op12_conversation_trie(spark, sf_dir):
+    """All nodes of the trie of all conversations, rebuilt to share starts as the contract has it."""
+    own = conversation_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    turns = materialise(conversation_trie.shared_starts(own, group=20, most=4), "rebuilt")
+    return conversation_trie.prefix_trie(turns, table(spark, sf_dir, "conversations"))
