@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_trie, decontamination, exact_dedup, html_layout, jaccard_join, language_id, license_rules, order_minhash, packing, paragraph_dedup, piece_bpe, warc
+from . import conversation_trie, decontamination, exact_dedup, hard_negatives, html_layout, jaccard_join, language_id, license_rules, order_minhash, packing, paragraph_dedup, piece_bpe, warc
 from .scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,20 @@ def op12_conversation_trie(spark, sf_dir):
     own = conversation_trie.numbered_turns(table(spark, sf_dir, "conversations"))
     turns = materialise(conversation_trie.shared_starts(own, group=20, most=4), "rebuilt")
     return conversation_trie.prefix_trie(turns, table(spark, sf_dir, "conversations"))
+
+
+@query(
+    "op13_hard_negatives",
+    """WITH rows_ AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score FROM rows_ a JOIN rows_ b ON a.id % 100 = 0 AND a.id <> b.id),
+    positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER w AS rank, id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN pairs USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 10""",
+)
+def op13_hard_negatives(spark, sf_dir):
+    """For each hundredth vector its positives, and for each of them the hardest negatives within the window."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(table(spark, sf_dir, "embeddings"), label=label)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
