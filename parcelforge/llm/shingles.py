@@ -1,9 +1,9 @@
 """Words and word shingles of whole texts as flat hash arrays.
 
 Words are runs of bytes other than the space and 0x09-0x0D; A-Z count as a-z. Texts are laid end to end and handled a
-slice at a time. Each distinct word of a slice is hashed once, by keyed BLAKE2b, so no two words collide by their
-structure. A word's digest has two halves: the first makes the shingle hashes that sets consist of, and the second goes into
-the 128-bit digest by which whole sets are told to be equal (``digested_sets``). Where it matters whether two texts really share
+slice at a time. Each distinct word of a slice is hashed once, by SipHash, a keyed hash whose collisions don't follow from
+the structure of words. Hashes of one key make the shingle hashes that sets consist of; those of a second one go into the
+128-bit digest by which whole sets are told to be equal (``digested_sets``). Where it matters whether two texts really share
 shingles, ``exact_sets`` tells words apart by their bytes and shingles by their words, without hashes.
 """
 
@@ -16,6 +16,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 
 from .piece_bpe import text_slices
 
@@ -27,7 +28,8 @@ _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
-_KEY = b"words of shingles"
+#: The two keys of word hashes.
+KEYS = ("words of shingle", "their other half")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -44,39 +46,40 @@ def distinct_stretches(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, pa
     return found.indices.to_numpy(), found.dictionary
 
 
-def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The two halves of the digest of each word ``data[start:end]``, as two rows; words are in order and don't touch."""
+def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray, keys: tuple[str, ...] = KEYS[:1]) -> list[np.ndarray]:
+    """For each key the hash of each word ``data[start:end]``; words are in order and don't touch."""
     if not len(starts):
-        return np.zeros((2, 0), np.uint64)
-    number, values = distinct_stretches(data, np.stack((starts, ends), 1).reshape(-1))
-    digests = b"".join(blake2b(v, digest_size=16, key=_KEY).digest() for v in values.to_pylist())  # white space too, which is never asked for
-    return np.frombuffer(digests, "<u8").reshape(-1, 2).T[:, number[::2]]
+        return [np.zeros(0, np.uint64) for _ in keys]
+    number, found = distinct_stretches(data, np.stack((starts, ends), 1).reshape(-1))
+    values = np.empty(len(found), object)
+    values[:] = found.to_pylist()  # white space too, which is never asked for
+    return [hash_array(values, hash_key=key, categorize=False)[number[::2]] for key in keys]
 
 
 @dataclass
 class Words:
-    """The words of consecutive texts: the halves of their digests, byte places in ``data``, and where each text's words
-    begin."""
+    """The words of consecutive texts: hashes (and those of the second key), byte places in ``data``, and where each text's
+    words begin."""
 
     data: bytes
     hashes: np.ndarray
-    others: np.ndarray
+    others: np.ndarray | None
     starts: np.ndarray
     ends: np.ndarray
     firsts: np.ndarray  # len(texts) + 1
     bases: np.ndarray  # first byte of each text
 
 
-def words_of(texts: list[str]) -> Words:
+def words_of(texts: list[str], keys: tuple[str, ...] = KEYS[:1]) -> Words:
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = b" ".join([*raw, b""]).translate(LOWER)
     code = np.frombuffer(data, np.uint8)
     space = _SPACE[code]
     before = np.concatenate(([True], space[:-1])) if len(code) else space
     starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-    hashes, others = word_hashes(data, starts, ends)
+    hashes, *others = word_hashes(data, starts, ends, keys)
     bases = np.concatenate((np.zeros(1, np.int64), np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)))
-    return Words(data, hashes, others, starts, ends, np.searchsorted(starts, bases), bases[:-1])
+    return Words(data, hashes, others[0] if others else None, starts, ends, np.searchsorted(starts, bases), bases[:-1])
 
 
 def shingle_hashes(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -95,7 +98,7 @@ def shingle_hashes(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
 def digested_sets(texts: list[str | None], width: int = WIDTH) -> Iterator[tuple[np.ndarray, bytes]]:
     """For each text the sorted distinct hashes of its shingles (empty without words) and a 128-bit digest of the set."""
     for part in text_slices(texts, SLICE_CHARS):
-        found = words_of(part)
+        found = words_of(part, KEYS)
         # Rows that straddle two texts are passed over.
         whole, twin = shingle_hashes(found.hashes, width), shingle_hashes(found.others, width)
         for a, b in zip(found.firsts[:-1].tolist(), found.firsts[1:].tolist(), strict=True):
