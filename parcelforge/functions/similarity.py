@@ -113,11 +113,10 @@ def building_score(name: tuple[Column, Column], address: tuple[Column, Column],
     by_address = F.when(filled(address), token_sort_ratio(*address)).otherwise(0)
     by_district = F.when(filled(district) & (F.lower(district[0]) == F.lower(district[1])), 100).otherwise(0)
     by_digits = F.when(F.coalesce(F.arrays_overlap(*digits), F.lit(False)), 100).otherwise(0)
-    return WEIGHTS["name"] * name_ratio(*name) + WEIGHTS["address"] * by_address + WEIGHTS["district"] * by_district + WEIGHTS["digits"] * by_digits
+    return score_of(name_ratio(*name), by_address, by_district == 100, by_digits == 100)
 
 
-def score_bound(name: tuple[Column, Column], address: tuple[Column, Column], filled: Column, same_district: Column, shared_digits: Column) -> Column:
-    """At least the score, from the ``parts`` of names and addresses and whether both addresses are filled."""
-    of = lambda flag, value: F.when(F.coalesce(flag, F.lit(False)), value).otherwise(0.0)
-    by_address = of(filled, F.least(sort_bound(*address), F.lit(100.0)))
-    return WEIGHTS["name"] * name_bound(*name) + WEIGHTS["address"] * by_address + WEIGHTS["district"] * of(same_district, F.lit(100.0)) + WEIGHTS["digits"] * of(shared_digits, F.lit(100.0))
+def score_of(name: Column, address: Column, same_district: Column, shared_digits: Column) -> Column:
+    """The weighted score of a name's and an address's ratio, and of what agrees."""
+    whole = lambda flag: F.when(flag, 100).otherwise(0)
+    return WEIGHTS["name"] * name + WEIGHTS["address"] * address + WEIGHTS["district"] * whole(same_district) + WEIGHTS["digits"] * whole(shared_digits)

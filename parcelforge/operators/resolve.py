@@ -1,7 +1,8 @@
 """One entity for each building out of three sources, mappings, reports, and transactions enriched with entities.
 
-All pairs of distinct rows are tried, so none is lost: first an upper bound of the score (from shared tokens and
-characters, see ``similarity``), which every pair of a sufficient score passes, then the score itself. Rows of one
+A score of the threshold needs names of some ratio: the less, the more of district and address numbers agree. For each of
+these cases an inverted index over the distinct names (``name_index``) gives the pairs that can have that ratio, so none is
+lost; each pair of names is scored once, and rows are put together by their names and scored whole. Rows of one
 normalised name, address and district form one candidate, the first, so copies don't multiply pairs. A row whose
 normalised name is empty matches nothing.
 """
@@ -14,19 +15,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import or_empty, year_of
-from ..functions.similarity import ENTITY_THRESHOLD, NAME_THRESHOLD, building_score, name_bound, name_ratio, parts, score_bound
+from ..functions.similarity import ENTITY_THRESHOLD, NAME_THRESHOLD, WEIGHTS, name_ratio, parts, score_of, sort_bound, token_sort_ratio
 from ..functions.text import digit_groups, id_in_address, normal_address, normal_name
 from ..sources.shared import written
 from .aggregates import best_of_each
+from .name_index import SLACK, candidates, indexed
 
-#: What is left for rounding between a score and its bound.
-SLACK = 1e-6
 ENTITY = ["building_key", "source", "source_id", "original_key", "building_name", "normalized_name", "address", "normalized_address", "district", "grade", "year_built"]
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """In enough partitions for a product to keep all cores busy, however few rows there are."""
-    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+def _names_alike(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """``name, other, ratio`` for the pairs of names of two sides (``name, district, digits``) that can be those of rows whose
+    score is ``threshold`` or more."""
+    c, w = F.col, WEIGHTS
+    scoped = lambda rows, scope: rows.select("name", scope.alias("scope")).where("scope IS NOT NULL").distinct()
+    district = F.when(c("district") != "", F.concat(F.lit("d:"), F.lower("district")))
+    number = lambda rows: rows.withColumn("number", F.explode_outer("digits"))
+    by_number = F.concat(F.lit("n:"), c("number"))
+    # What the name's ratio has to be at least, where so much of the score may come from elsewhere.
+    least = lambda *given: (threshold - 100 * (w["address"] + sum(w[g] for g in given))) / w["name"]
+    a, b = indexed(left, right)
+    cases = [
+        (least(), lambda rows: scoped(rows, F.lit("all"))),
+        (least("district"), lambda rows: scoped(rows, district)),
+        (least("digits"), lambda rows: scoped(number(rows), by_number)),
+        (least("district", "digits"), lambda rows: scoped(number(rows), F.concat(by_number, F.lit(" "), district))),
+    ]
+    found = reduce(DataFrame.unionByName, (candidates(a, b, scope(left), scope(right), n) for n, scope in cases))
+    return written(found.distinct().select("name", "other", name_ratio("name", "other").alias("ratio")), "names-alike")
 
 
 def fuzzy_best(left: DataFrame, right: DataFrame, left_key: str, right_key: str, right_order: str, threshold: float = ENTITY_THRESHOLD) -> DataFrame:
@@ -39,20 +55,21 @@ def fuzzy_best(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     def numbered(rows: DataFrame) -> DataFrame:
         return rows.withColumn("digits", F.array_sort(F.array_distinct(digit_groups(c("address" if "address" in rows.columns else "normalized_address")))))
 
-    def side(rows: DataFrame, p: str) -> DataFrame:
-        told = {"name": parts("normalized_name"), "address": parts("normalized_address"), "low": F.lower("district")}
-        return rows.withColumns(told).select(*(c(x).alias(f"{p}_{x}") for x in (*fields, *told)), *(x for x in rows.columns if x not in fields))
-
     named = lambda df: df.where(c("normalized_name") != "")
+    side = lambda rows, p: rows.withColumn("address", parts("normalized_address")).select(*(c(x).alias(f"{p}_{x}") for x in (*fields, "address")), *(x for x in rows.columns if x not in fields))
     left, right = numbered(left), numbered(right)
     a = written(side(named(left).select(*fields).distinct(), "l"), "left-side")
     first = F.max(F.struct((-c(right_order)).alias("order"), c(right_key))).alias("first")
     b = written(side(named(right).groupBy(*fields).agg(first).select(*fields, "first"), "r"), "right-side")
-    district = (c("l_low") == c("r_low")) & (c("l_low") != "")
-    filled = (c("l_normalized_address") != "") & (c("r_normalized_address") != "")
-    bound = score_bound((c("l_name"), c("r_name")), (c("l_address"), c("r_address")), filled, district, F.arrays_overlap("l_digits", "r_digits"))
-    pairs = _spread(a).crossJoin(b).where(bound >= F.lit(threshold - SLACK))
-    score = building_score(*((c(f"l_{x}"), c(f"r_{x}")) for x in fields))
+    whole = lambda rows, p: rows.select(*(c(f"{p}_{x}").alias(n) for x, n in (("normalized_name", "name"), ("district", "district"), ("digits", "digits"))))
+    alike = _names_alike(whole(a, "l"), whole(b, "r"), threshold)
+    met = a.join(alike.withColumnRenamed("name", "l_normalized_name"), "l_normalized_name").join(b.withColumnRenamed("r_normalized_name", "other"), "other")
+    same_district = F.coalesce((F.lower("l_district") == F.lower("r_district")) & (c("l_district") != ""), F.lit(False))
+    shared = F.coalesce(F.arrays_overlap("l_digits", "r_digits"), F.lit(False))
+    filled = F.coalesce((c("l_normalized_address") != "") & (c("r_normalized_address") != ""), F.lit(False))
+    bound = score_of(c("ratio"), F.when(filled, F.least(sort_bound(c("l_address"), c("r_address")), F.lit(100.0))).otherwise(0.0), same_district, shared)
+    pairs = met.where(bound >= F.lit(threshold - SLACK))
+    score = score_of(c("ratio"), F.when(filled, token_sort_ratio("l_normalized_address", "r_normalized_address")).otherwise(0), same_district, shared)
     own = [f"l_{x}" for x in fields]
     scored = pairs.select(*own, score.alias("score"), c(f"first.{right_key}").alias(right_key), (-c("first.order")).alias(right_order))
     best = best_of_each(scored, own, "score", right_order, threshold)
@@ -62,10 +79,9 @@ def fuzzy_best(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
 
 def name_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """``name, other, confidence``: all pairs of the distinct names (``name``) of two tables that are alike enough."""
-    c = F.col
-    side = lambda df, x: written(df.where(c("name") != "").select("name").distinct().select(c("name").alias(x), parts("name").alias(f"{x}_parts")), x)
-    near = _spread(side(left, "name")).crossJoin(side(right, "other")).where(name_bound(c("name_parts"), c("other_parts")) >= F.lit(threshold - SLACK))
-    return near.select("name", "other", name_ratio("name", "other").cast("double").alias("confidence")).where(c("confidence") >= threshold)
+    every = lambda df: df.select("name", F.lit("all").alias("scope")).where("name <> ''").distinct()
+    near = candidates(*indexed(left, right), every(left), every(right), threshold)
+    return near.select("name", "other", name_ratio("name", "other").cast("double").alias("confidence")).where(F.col("confidence") >= threshold)
 
 
 def _entity(df: DataFrame, prefix: str, source: str, source_id: Column, name: Column, address: Column, district: Column, grade: Column, year: Column, seq: str) -> DataFrame:
@@ -83,13 +99,21 @@ def _once(entities: DataFrame) -> DataFrame:
     return entities.groupBy("building_key").agg(F.min("seq").alias("seq"), last).select("seq", "last.row.*")
 
 
-def consolidate(masters: DataFrame, listed: DataFrame, detailed: DataFrame, threshold: float = ENTITY_THRESHOLD) -> DataFrame:
+def best_scored(scores: DataFrame, entities: DataFrame, threshold: float) -> DataFrame:
+    """``row, building_key, score``: for each row of a table of scores (``row, building_key, score``) the entity of the greatest
+    score of at least ``threshold``, of ties the first; entities that aren't there are passed over."""
+    known = scores.join(entities.select("building_key", "order"), "building_key")
+    return best_of_each(known.select("row", "score", "order", "building_key"), ["row"], "score", "order", threshold).select("row", "building_key", "score")
+
+
+def consolidate(masters: DataFrame, listed: DataFrame, detailed: DataFrame, threshold: float = ENTITY_THRESHOLD, scores: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Entities with ``matches``: map of source to ``struct(id, original_key, score, building_name, address, original_record)``.
 
     ``masters``: ID, Name, Street Name, District Name, Grade, Year Built. ``listed``: Building Name, Address, Detail URL.
     ``detailed``: propertyID, buildingNameEn, address, districtNameEn, opDateDisplayName. Each has ``seq``. Listed
     buildings are matched against the masters, detailed ones against masters and unmatched listed ones. What finds no
-    entity becomes one. Of several that find the same entity the last by ``seq`` stands in ``matches``.
+    entity becomes one. Of several that find the same entity the last by ``seq`` stands in ``matches``. ``scores`` are those of
+    listed and of detailed rows (``row``, their ``seq``, ``building_key, score``) where they are known already.
     """
     c = F.col
     null = F.lit(None).cast("string")
@@ -100,18 +124,20 @@ def consolidate(masters: DataFrame, listed: DataFrame, detailed: DataFrame, thre
     md, cn = named(md), named(cn)
     base = lh.withColumn("stage", F.lit(0))
 
-    def matched(rows: DataFrame, entities: DataFrame) -> DataFrame:
+    def matched(rows: DataFrame, entities: DataFrame, known: DataFrame | None) -> DataFrame:
         place = entities.select("building_key", F.struct("stage", "seq").alias("place"), "normalized_name", "normalized_address", "address", "district")
         ordered = place.withColumn("order", c("place.stage") * F.lit(1 << 40) + c("place.seq"))
+        if known is not None:
+            return written(best_scored(known.join(rows.select(c("seq").alias("row")), "row", "left_semi"), ordered, threshold), "matched")
         return written(fuzzy_best(rows.withColumn("row", c("seq")), ordered, "row", "building_key", "order", threshold), "matched")
 
     def fresh(rows: DataFrame, found: DataFrame, stage: int) -> DataFrame:
         left = rows.join(found.select(c("row").alias("seq")), "seq", "left_anti").withColumnsRenamed({"own_key": "building_key"})
         return _once(left).withColumn("stage", F.lit(stage))
 
-    found_md = matched(md, base)
+    found_md = matched(md, base, scores and scores[0])
     with_md = written(base.unionByName(fresh(md, found_md, 1)), "entities")
-    found_cn = matched(cn, with_md)
+    found_cn = matched(cn, with_md, scores and scores[1])
     entities = with_md.unionByName(fresh(cn, found_cn, 2))
 
     def latest(rows: DataFrame, found: DataFrame, source: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import similarity
 from ..functions.text import normal_address, normal_name
 from ..operators import resolve
 from .register import query, table
@@ -59,3 +60,89 @@ def enrich_transactions(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").join(parts, F.col("l_partkey") == F.col("p_partkey"))
     trans = rows.select("l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 2 == 0, F.col("l_partkey")).alias("building_id"), name.alias("building_name"))
     return resolve.enrich(trans, entities, "l_orderkey", "building_id", "building_name", "centanet")
+
+
+# Ratios by longest matching blocks: the longest common stretch of two texts (of ties the first in x, then in y), then the
+# same to its left and to its right. ``pairs`` has texts x, y; ``ratios`` gives each pair's ratio.
+_RATIOS = """cells AS (SELECT x, y, i, j, row_number() OVER (PARTITION BY x, y, i - j ORDER BY i) - i AS island FROM (SELECT x, y, unnest(range(1, length(x) + 1)) AS i FROM pairs) JOIN (SELECT x, y, unnest(range(1, length(y) + 1)) AS j FROM pairs) USING (x, y) WHERE x[i] = y[j]),
+    runs AS (SELECT x, y, i, j, count(*) OVER (PARTITION BY x, y, i - j, island ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n FROM cells),
+    areas AS (SELECT x, y, 1::BIGINT AS a, length(x) + 1 AS b, 1::BIGINT AS c, length(y) + 1 AS d FROM pairs
+      UNION ALL SELECT x, y, p[1], p[2], p[3], p[4] FROM (SELECT x, y, unnest([[a, -m[2], c, -m[3]], [m[1] - m[2], b, m[1] - m[3], d]]) AS p FROM
+        (SELECT x, y, a, b, c, d, max([least(n, b - i, d - j), -i, -j]) AS m FROM areas JOIN runs USING (x, y) WHERE i >= a AND i < b AND j >= c AND j < d GROUP BY x, y, a, b, c, d)) WHERE p[1] < p[2] AND p[3] < p[4]),
+    blocks AS (SELECT x, y, a, c, max(least(n, b - i, d - j)) AS n FROM areas JOIN runs USING (x, y) WHERE i >= a AND i < b AND j >= c AND j < d GROUP BY x, y, a, b, c, d),
+    ratios AS (SELECT x, y, CASE WHEN x = y THEN 100 WHEN x = '' OR y = '' THEN 0 ELSE round_even(100 * (2.0::DOUBLE * coalesce(sum(n), 0) / (length(x) + length(y))), 0)::INTEGER END AS r FROM pairs LEFT JOIN blocks USING (x, y) GROUP BY x, y)"""
+_ONE = "n_name || ' ' || r_name || ' Tower-' || n_nationkey % 4"
+_OTHER = "CASE n_nationkey % 4 WHEN 0 THEN 'tower ' || n_nationkey % 3 || ' ' || n_name WHEN 1 THEN r_name || ', ' || left(n_name, 3) || right(n_name, 2) || ' towr' WHEN 2 THEN n_name || ' ' || n_name || ' house' ELSE n_name || ' & ' || lower(r_name) || ' tower ' || n_nationkey % 4 || ' east wing' END"
+
+
+@query(
+    "name_ratios",
+    rf"""WITH RECURSIVE n AS (SELECT n_nationkey AS k, {_ONE} AS one, {_OTHER} AS other, n_nationkey % 7 || ' ' || r_name || ' road' AS street, CASE WHEN n_nationkey % 5 > 0 THEN left(r_name, 4) END AS district FROM nation JOIN region ON n_regionkey = r_regionkey),
+    p AS (SELECT a.k AS a, b.k AS b, a.one AS x, b.other AS y, a.street AS ax, b.street || ' east' AS ay, a.district AS dx, lower(b.district) AS dy FROM n a, n b),
+    t AS (SELECT *, list_filter(string_split(regexp_replace(lower(x), '[^a-z0-9]', ' ', 'g'), ' '), lambda w: w <> '') AS tx, list_filter(string_split(regexp_replace(lower(y), '[^a-z0-9]', ' ', 'g'), ' '), lambda w: w <> '') AS ty,
+      list_sort(string_split(lower(ax), ' ')) AS sax, list_sort(string_split(lower(ay), ' ')) AS say FROM p),
+    s AS (SELECT *, array_to_string(list_sort(tx), ' ') AS sx, array_to_string(list_sort(ty), ' ') AS sy, array_to_string(sax, ' ') AS zx, array_to_string(say, ' ') AS zy,
+      array_to_string(list_sort(list_intersect(list_distinct(tx), list_distinct(ty))), ' ') AS shared,
+      array_to_string(list_sort(list_filter(list_distinct(tx), lambda w: NOT list_contains(ty, w))), ' ') AS ox, array_to_string(list_sort(list_filter(list_distinct(ty), lambda w: NOT list_contains(tx, w))), ' ') AS oy FROM t),
+    u AS (SELECT *, trim(shared || ' ' || ox) AS bx, trim(shared || ' ' || oy) AS by_ FROM s),
+    pairs AS (SELECT sx AS x, sy AS y FROM u UNION SELECT shared, bx FROM u UNION SELECT shared, by_ FROM u UNION SELECT bx, by_ FROM u UNION SELECT zx, zy FROM u),
+    {_RATIOS},
+    told AS (SELECT a, b, r1.r AS sort_ratio, greatest(CASE WHEN shared <> '' THEN greatest(r2.r, r3.r) ELSE 0 END, r4.r) AS set_ratio, r5.r AS address_ratio, coalesce(lower(dx) = dy, false) AS near,
+      len(list_intersect(regexp_extract_all(ax, '\d+'), regexp_extract_all(ay, '\d+'))) > 0 AS numbered
+      FROM u JOIN ratios r1 ON r1.x = sx AND r1.y = sy JOIN ratios r2 ON r2.x = shared AND r2.y = bx JOIN ratios r3 ON r3.x = shared AND r3.y = by_ JOIN ratios r4 ON r4.x = bx AND r4.y = by_ JOIN ratios r5 ON r5.x = zx AND r5.y = zy)
+    SELECT a, b, sort_ratio, set_ratio, greatest(sort_ratio, set_ratio) AS name_ratio,
+      round(0.6 * greatest(sort_ratio, set_ratio) + 0.2 * address_ratio + 0.1 * CASE WHEN near THEN 100 ELSE 0 END + 0.1 * CASE WHEN numbered THEN 100 ELSE 0 END, 6)::DOUBLE AS score FROM told""",
+)
+def name_ratios(spark, sf_dir):
+    """Two spellings of every nation's building against each other: both ratios, the better one, and the weighted score."""
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    told = nations.select(
+        F.col("n_nationkey").alias("k"), F.expr(_ONE).alias("one"), F.expr(_OTHER).alias("other"), F.concat((F.col("n_nationkey") % 7).cast("string"), F.lit(" "), "r_name", F.lit(" road")).alias("street"), F.when(F.col("n_nationkey") % 5 > 0, F.left("r_name", F.lit(4))).alias("district")
+    )
+    one = told.select(F.col("k").alias("a"), F.col("one").alias("x"), F.col("street").alias("ax"), F.col("district").alias("dx"), F.lit(1).alias("all"))
+    two = told.select(F.col("k").alias("b"), F.col("other").alias("y"), F.concat("street", F.lit(" east")).alias("ay"), F.lower("district").alias("dy"), F.lit(1).alias("all"))
+    pairs = one.join(two, "all")  # of 25 nations
+    c = F.col
+    digits = lambda n: F.regexp_extract_all(n, F.lit(r"(\d+)"))
+    score = similarity.building_score((c("x"), c("y")), (c("ax"), c("ay")), (c("dx"), c("dy")), (digits("ax"), digits("ay")))
+    return pairs.select("a", "b", similarity.token_sort_ratio("x", "y").alias("sort_ratio"), similarity.token_set_ratio("x", "y").alias("set_ratio"), similarity.name_ratio("x", "y").alias("name_ratio"), F.round(score, 6).alias("score"))
+
+
+_SCORE = "((r * 7919 + e * 104729 + {k} * 31) % 1000) / 10.0"
+
+
+@query(
+    "consolidate_scored",
+    f"""WITH lh AS (SELECT 'LH_' || s_suppkey AS key, 0 AS stage, s_suppkey AS seq, s_suppkey AS e FROM supplier),
+    md_scores AS (SELECT r, key, stage, seq, {_SCORE.format(k=1)} AS score FROM (SELECT p_partkey AS r FROM part), LATERAL (SELECT * FROM lh WHERE (r * 31 + e * 17) % 11 = 0)),
+    md_best AS (SELECT r, key FROM md_scores WHERE score >= 75 QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, stage, seq) = 1),
+    base AS (SELECT * FROM lh UNION ALL SELECT 'MD_B' || p_partkey, 1, p_partkey, p_partkey FROM part WHERE p_partkey NOT IN (SELECT r FROM md_best)),
+    cn_scores AS (SELECT r, key, stage, seq, {_SCORE.format(k=2)} AS score FROM (SELECT c_custkey AS r FROM customer), LATERAL (SELECT * FROM base WHERE (r * 13 + e * 5 + stage) % 401 = 0)),
+    cn_best AS (SELECT r, key FROM cn_scores WHERE score >= 75 QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, stage, seq) = 1),
+    entities AS (SELECT key FROM base UNION ALL SELECT 'CN_' || c_custkey FROM customer WHERE c_custkey NOT IN (SELECT r FROM cn_best))
+    SELECT key AS building_key, coalesce('B' || m.r, '') AS midland_id, coalesce(n.r::VARCHAR, '') AS centanet_id
+    FROM entities LEFT JOIN (SELECT key, max(r) AS r FROM md_best GROUP BY key) m USING (key) LEFT JOIN (SELECT key, max(r) AS r FROM cn_best GROUP BY key) n USING (key)""",
+)
+def consolidate_scored(spark, sf_dir):
+    """Three sources consolidated by tables of scores, with ties, rows of one entity and rows of none."""
+    c, text = F.col, lambda x: F.lit(x).cast("string")
+    masters = table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("ID"), c("s_name").alias("Name"), *(text(None).alias(n) for n in ("Street Name", "District Name", "Grade", "Year Built")), c("s_suppkey").alias("seq"))
+    listed = table(spark, sf_dir, "part").select(c("p_name").alias("Building Name"), text(None).alias("Address"), F.concat(F.lit("/b/B"), c("p_partkey").cast("string")).alias("Detail URL"), c("p_partkey").alias("seq"))
+    detailed = table(spark, sf_dir, "customer").select(c("c_custkey").alias("propertyID"), c("c_name").alias("buildingNameEn"), text(None).alias("address"), text(None).alias("districtNameEn"), text(None).alias("opDateDisplayName"), c("c_custkey").alias("seq"))
+    score = lambda k: (F.expr(_SCORE.format(k=k))).cast("double").alias("score")
+    # Each row is scored against the entities of one residue: an equi-join, as far as Spark is concerned.
+    lh = masters.select(F.concat(F.lit("LH_"), c("ID").cast("string")).alias("building_key"), c("seq").alias("e"), F.lit(0).alias("stage"))
+    md = listed.select(F.concat(F.lit("MD_B"), c("seq").cast("string")).alias("building_key"), c("seq").alias("e"), F.lit(1).alias("stage"))
+    one = listed.select(c("seq").alias("r"), (c("seq") * 31 % 11).alias("k")).join(lh.withColumn("k", (11 - c("e") * 17 % 11) % 11), "k").select(c("r").alias("row"), "building_key", score(1))
+    two = detailed.select(c("seq").alias("r"), (c("seq") * 13 % 401).alias("k")).join(lh.unionByName(md).withColumn("k", (401 - (c("e") * 5 + c("stage")) % 401) % 401), "k").select(c("r").alias("row"), "building_key", score(2))
+    found = resolve.flat_entities(resolve.consolidate(masters, listed, detailed, scores=(one, two)))
+    return found.select("building_key", "midland_id", "centanet_id")
+
+
+@query("alike_openings")
+def alike_openings(spark, sf_dir):
+    """The openings (first four words) of documents and of conversations' turns whose names are alike, by the name index."""
+    opening = lambda n: F.regexp_extract(F.lower(F.coalesce(n, F.lit(""))), r"^(?:\W*\w+){4}", 0)
+    named = lambda t: normal_name(opening(F.col("text"))).alias("name")
+    docs, turns = (table(spark, sf_dir, t).select(named(t)) for t in ("documents", "conversations"))
+    return resolve.name_pairs(docs, turns, 85)
