@@ -8,7 +8,9 @@ which then make up at least that share of one side: a token from the beginning o
 rarest first, is among all tokens of the other.
 
 Names are paired within a scope (a district, a number, or one for all), and only distinct names are: a name of many rows is
-tried once. Length bounds and the bounds of ``similarity`` go over the pairs before any ratio is made.
+tried once. As pairs meet, their lengths and 64-bit parity sketches of their characters rule most of them out: names of r have
+at most 1 - r of both lengths in characters that aren't in common, and the sketches differ in no more bits. The bounds of
+``similarity`` go over what is left before any ratio is made.
 """
 
 from __future__ import annotations
@@ -44,6 +46,11 @@ def _first_tokens(tokens: Column, share: float) -> Column:
     return F.filter(tokens, lambda t, i: weight(F.slice(tokens, i + 1, F.size(tokens))) >= F.lit(share) * weight(tokens))
 
 
+def _sketch(chars: Column) -> Column:
+    """A long whose bits are the parities of the characters that fall on them."""
+    return F.aggregate(chars, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))))
+
+
 def indexed(names: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For the distinct, non-empty names (``name``) of two tables: ``name, own`` (the ``parts``), ``chars`` (of the sorted tokens
     and of the distinct ones) and ``tokens``, each in one order for both tables, rarest first."""
@@ -74,19 +81,28 @@ def alike(left: DataFrame, right: DataFrame, scopes: DataFrame, other_scopes: Da
     def postings(names: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame]:
         """``scope, key, name`` for what is shared as such, and for the tokens of either part."""
         first = lambda chars: F.slice(chars, F.lit(1), F.least(F.size(chars), F.size(chars) - F.ceil(F.lit(share) * F.size(chars) - SLACK).cast("int") + k))
-        few = lambda n: _combinations(F.array_sort(first(F.coalesce(c(n), F.array().cast("array<string>")))), k)
-        equal = F.array(F.xxhash64(F.lit("="), F.array_sort(F.coalesce("sort", F.array().cast("array<string>")))), F.xxhash64(F.lit("="), F.array_sort(F.coalesce("set", "sort", F.array().cast("array<string>")))))
+        none = F.array().cast("array<string>")
+        equal = lambda xs: F.array(F.xxhash64(F.lit("="), F.array_sort(xs)))
         told = names.join(own, "name")
-        mine = F.coalesce(c("token"), F.array().cast("array<string>"))
-        chars = told.select("name", "scope", F.explode(F.array_distinct(F.concat(few("sort"), few("set"), equal))).alias("key"))
+
+        def of(kind: str) -> DataFrame:
+            xs = F.coalesce(c("sort"), none) if kind == "sort" else c("set")
+            rows = told.withColumn("xs", xs).where("xs IS NOT NULL").select("name", "scope", F.size("xs").alias("size"), _sketch(c("xs")).alias("sketch"), "xs")
+            keys = F.array_distinct(F.concat(_combinations(F.array_sort(first(c("xs"))), k), equal(c("xs"))))
+            return rows.select("name", "scope", "size", "sketch", F.explode(keys).alias("key"))
+
+        mine = F.coalesce(c("token"), none)
         tokens = told.select("name", "scope", mine.alias("all"), _first_tokens(mine, share).alias("first"))
         tokens = tokens.select("name", "scope", F.explode(F.transform("all", lambda t: F.struct(t.alias("key"), F.array_contains("first", t).alias("leads")))).alias("t")).select("name", "scope", "t.*")
-        return chars, written(tokens, "name-tokens")
+        return of("sort").unionByName(of("set")), written(tokens, "name-tokens")
 
     (a, a_tokens), (b, b_tokens) = postings(left, scopes), postings(right, other_scopes)
     meeting = lambda one, two: one.join(two.select("scope", "key", c("name").alias("other")), ["scope", "key"]).select("name", "other")
+    apart = F.bit_count(c("sketch").bitwiseXOR(c("other_sketch")))
+    met = a.join(b.withColumnsRenamed({x: f"other_{x}" for x in ("size", "sketch")} | {"name": "other"}), ["scope", "key"])
+    near = met.where(apart <= F.lit(1 - r) * (c("size") + c("other_size")) + SLACK).select("name", "other")
     by_token = meeting(a_tokens.where("leads"), b_tokens).unionByName(meeting(a_tokens, b_tokens.where("leads")))
-    pairs = written(meeting(a, b).unionByName(by_token).distinct(), "name-pairs")
+    pairs = written(near.unionByName(by_token).distinct(), "name-pairs")
     return _bounded(pairs, left, right, threshold)
 
 
