@@ -2,63 +2,22 @@
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Elements without an end tag.
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-YES_NO_UNKNOWN = ("Yes", "No", "Unknown")
-
-
-class _Texts(HTMLParser):
-    """Texts of all elements that ``wanted(tag, classes, id)`` names, in document order, nested ones too."""
-
-    def __init__(self, wanted):
-        super().__init__(convert_charrefs=True)
-        self.wanted, self.open, self.found = wanted, [], []
+from .selectors import Page
 
-    def handle_starttag(self, tag, attrs):
-        if tag in VOID:
-            return
-        given = dict(attrs)
-        place = None
-        if self.wanted(tag, (given.get("class") or "").split(), given.get("id")):
-            place = len(self.found)
-            self.found.append([])
-        self.open.append((tag, place))
-
-    def handle_endtag(self, tag):
-        if any(t == tag for t, _ in self.open):
-            while self.open and self.open.pop()[0] != tag:
-                pass
-
-    def handle_data(self, data):
-        if self.open and self.open[-1][0] in ("script", "style"):
-            return
-        for _, place in self.open:
-            if place is not None:
-                self.found[place].append(data)
-
-
-def _selector(css: str):
-    """``tag``, ``.class``, ``#id`` and combinations such as ``div.col``."""
-    name, _, rest = css.partition("#")
-    tag, *classes = name.split(".")
-    return lambda t, c, i: (not tag or t == tag) and all(x in c for x in classes) and (not rest or i == rest)
+YES_NO_UNKNOWN = ("Yes", "No", "Unknown")
 
 
-def texts_of(html: str, css: str) -> list[str]:
-    parser = _Texts(_selector(css))
-    parser.feed(html or "")
-    parser.close()
-    return [" ".join(" ".join(x).split()) for x in parser.found]
+def texts_of(html: str, css: str, sep: str = " ") -> list[str]:
+    page = Page(html or "")
+    return [page.text(e, sep) for e in page.select(css)]
 
 
 def select_texts(html: Column, css: str) -> Column:
-    """The texts of all elements that a simple selector names; null html gives an empty array."""
+    """The texts of all elements that a selector names (see ``selectors``), nested ones too; null html gives an empty array."""
 
     @F.pandas_udf("array<string>")
     def run(pages: pd.Series) -> pd.Series:
@@ -85,23 +44,11 @@ def _paired(kinds: list[bool], texts: list[str]) -> list[dict]:
 
 def fields_of(html: str, selectors: list[str], pair: tuple[str, str] | None = None) -> tuple[list[list[str]], list[dict]]:
     """The texts of the elements of each selector, and title-value pairs, from one reading of the page."""
-    tests = [_selector(css) for css in (*selectors, *(pair or ()))]
-    hits: list[list[bool]] = []
-
-    def wanted(t, c, i):
-        hit = [test(t, c, i) for test in tests]
-        if any(hit):
-            hits.append(hit)
-        return any(hit)
-
-    parser = _Texts(wanted)
-    parser.feed(html or "")
-    parser.close()
-    texts = [" ".join(" ".join(x).split()) for x in parser.found]
-    n = len(selectors)
-    own = [[t for t, hit in zip(texts, hits, strict=True) if hit[k]] for k in range(n)]
-    told = [(hit[n], t) for t, hit in zip(texts, hits, strict=True) if pair and (hit[n] or hit[n + 1])]
-    return own, _paired([k for k, _ in told], [t for _, t in told])
+    page = Page(html or "")
+    own = [[page.text(e) for e in page.select(css)] for css in selectors]
+    titles, values = (set(page.select(css)) for css in pair) if pair else (set(), set())
+    told = sorted(titles | values)
+    return own, _paired([e in titles for e in told], [page.text(e) for e in told])
 
 
 def fields(html: Column, selectors: dict[str, str], pair: tuple[str, str] | None = None) -> Column:
@@ -119,44 +66,14 @@ def fields(html: Column, selectors: dict[str, str], pair: tuple[str, str] | None
     return run(html)
 
 
-class _Elements(HTMLParser):
-    """Where the outermost elements that ``wanted(tag, classes, id)`` names begin and end."""
-
-    def __init__(self, page: str, wanted):
-        super().__init__(convert_charrefs=True)
-        self.wanted, self.open, self.spans = wanted, [], []
-        self.lines = [0]
-        for line in page.splitlines(keepends=True) if "\n" in page else ():
-            self.lines.append(self.lines[-1] + len(line))
-        self.feed(page)
-        self.close()
-
-    def place(self) -> int:
-        line, column = self.getpos()
-        return self.lines[min(line - 1, len(self.lines) - 1)] + column
-
-    def handle_starttag(self, tag, attrs):
-        given = dict(attrs)
-        if self.open:
-            if tag == self.open[0]:
-                self.open.append(tag)
-        elif tag not in VOID and self.wanted(tag, (given.get("class") or "").split(), given.get("id")):
-            self.open = [tag]
-            self.spans.append([self.place(), None])
-
-    def handle_endtag(self, tag):
-        if self.open and tag == self.open[0]:
-            self.open.pop()
-            if not self.open:
-                self.spans[-1][1] = self.place()
+# What else parts lines, which markup shows as spaces.
+_SPACES = dict.fromkeys((0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x85, 0x2028, 0x2029), " ")
 
 
 def elements_of(html: str, css: str) -> list[str]:
-    """The markup of the outermost elements that a simple selector names; one that isn't closed goes to the end."""
-    page = html.replace("\r\n", "\n").replace("\r", "\n")
-    # Lines are parted at line feeds alone, as the parser counts them.
-    page = page if not any(c in page for c in "\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029") else page.translate({ord(c): " " for c in "\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"})
-    return [page[a : len(page) if b is None else page.index(">", b) + 1] for a, b in _Elements(page, _selector(css)).spans]
+    """The markup of the outermost elements that a selector names; one that isn't closed goes to where its parent ends."""
+    page = Page((html or "").translate(_SPACES))
+    return [page.markup(e) for e in page.outermost(page.select(css))]
 
 
 def elements(html: Column, css: str) -> Column:
@@ -184,16 +101,76 @@ def definition_list(html: Column, title: str, value: str) -> Column:
     return run(html)
 
 
+def blocks_of(html: str, block: str, title: str, values: tuple[str, ...], container: str | None = None) -> list[dict]:
+    page, out = Page(html or ""), []
+    titles, options, blocks = page.select(title), [page.select(v) for v in values], page.select(block)
+    if container:
+        blocks = [x for e in page.select(container)[:1] for x in page.within(e, blocks)]
+    for e in blocks:
+        t = page.within(e, titles)[:1]
+        v = next((found[:1] for found in (page.within(e, x) for x in options) if found), [])
+        if t and v:
+            out.append({"key": page.text(t[0]), "value": page.text(v[0])})
+    return out
+
+
+def block_list(html: Column, block: str, title: str, *values: str, container: str | None = None) -> Column:
+    """Array of ``struct(key, value)``: of each block, in the first ``container`` if one is named, the first title in it and the first
+    value, of the first of the value selectors that names any. Blocks without a title or a value are passed over."""
+
+    @F.pandas_udf("array<struct<key:string,value:string>>")
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: blocks_of(page, block, title, values, container))
+
+    return run(html)
+
+
+# The fields of an estate's card, by selector within the card, and the sibling after a label.
+CARD_TEXTS = {"Name": "div.main-text", "Address": "div.address.f-middle"}
+CARD_LABELS = {"Blocks": "No. of Block(s)", "Units": "No. of Units", "UnitRate": "Unit Rate of Saleable Area", "MoM": "MoM", "ForSale": "For Sale", "ForRent": "For Rent"}
+ESTATE_CARD = CARD_TEXTS | {n: f"div:contains('{label}') + div" for n, label in CARD_LABELS.items()}
+
+
+def cards_of(html: str, item: str, fields: dict[str, str], attrs: dict[str, str]) -> list[tuple]:
+    page = Page(html or "")
+    found = {css: page.select(css) for css in set(fields.values())}
+    text = lambda e, css: next((page.text(x, "") for x in page.within(e, found[css])), "")
+    return [(*(text(e, css) for css in fields.values()), *(page.attrs[e].get(a) for a in attrs.values())) for e in page.select(item)]
+
+
+def cards(html: Column, item: str, fields: dict[str, str], attrs: dict[str, str] | None = None) -> Column:
+    """Array of structs, one for each element that ``item`` names: for each of ``fields`` the text of the first element in it
+    that its selector names (``''`` without one), for each of ``attrs`` an attribute of the item itself (null without)."""
+    given = attrs or {}
+    kind = ",".join(f"`{n}`:string" for n in (*fields, *given))
+    names = [*fields, *given]
+
+    @F.pandas_udf(f"array<struct<{kind}>>")
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: [dict(zip(names, row, strict=True)) for row in cards_of(page, item, fields, given)])
+
+    return run(html)
+
+
+def estate_cards(pages: DataFrame, html: str, item: str, context: list[str], now: Column | None = None) -> DataFrame:
+    """The 14 fields of every estate's card of captured listing pages: ``ESTATE_CARD``, Link, the context columns
+    (Region, District, Subdistrict, Code) and LastScraped."""
+    told = pages.select(*context, F.explode(cards(F.col(html), item, ESTATE_CARD, {"Link": "href"})).alias("card"))
+    return told.select("card.*", *context, F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd HH:mm:ss").alias("LastScraped"))
+
+
 def card_fields(html: Column, labels: dict[str, str], label_css: str = "div") -> Column:
-    """Struct of fields of a card: for each ``name: label`` the text of the element after the one with that label."""
+    """Struct of fields of a card: for each ``name: label`` the text of the element right after one that has the label in its
+    text; null where there is none."""
     kind = ",".join(f"`{n}`:string" for n in labels)
+    selectors = {n: f"{label_css}:contains('{label}') + {label_css}" for n, label in labels.items()}
 
     @F.pandas_udf(f"struct<{kind}>")
     def run(pages: pd.Series) -> pd.DataFrame:
         rows = []
-        for page in pages:
-            texts = texts_of(page or "", label_css)
-            rows.append({n: next((texts[k + 1] for k, t in enumerate(texts[:-1]) if t == label), None) for n, label in labels.items()})
+        for markup in pages:
+            page = Page(markup or "")
+            rows.append([next((page.text(e, "") for e in page.select(css)), None) for css in selectors.values()])
         return pd.DataFrame(rows, columns=list(labels))
 
     return run(html)

@@ -168,6 +168,49 @@ def listing_cards(spark, sf_dir):
     return told.select("p_partkey", "card", html.select_text(F.col("markup"), "a").alias("name"), "c.units", "c.empty", "c.absent")
 
 
+@query(
+    "estate_cards",
+    """SELECT p_name AS "Name", p_brand || 'St.' AS "Address", 'Unit Rate of Saleable Area (sq)' || p_size * 3 AS "Blocks", p_size || 'u' AS "Units", (p_size * 3)::VARCHAR AS "UnitRate", CASE WHEN p_size % 3 = 0 THEN '+1%' ELSE '' END AS "MoM",
+      CASE WHEN p_size % 2 = 0 THEN p_size::VARCHAR ELSE '' END AS "ForSale", '' AS "ForRent", '/e/' || p_partkey AS "Link", p_type AS "Region", 'D' AS "District", 'S' AS "Subdistrict", p_brand AS "Code", '2025-03-09 01:02:03' AS "LastScraped" FROM part""",
+)
+def estate_cards(spark, sf_dir):
+    """All 14 fields of the cards of listing pages: labels with further text and elements in them, label and value parted by
+    another element, labels without a sibling or in other letters, and cards outside of the list."""
+    size, text = F.col("p_size"), lambda x: x.cast("string")
+    row = lambda label, value: F.concat(F.lit(f"<div><div>{label}</div><div> "), value, F.lit("</div></div>\n"))
+    card = F.concat(
+        F.lit('<a class="card" href="/e/'), text(F.col("p_partkey")), F.lit('"><div class="main-text">'), F.col("p_name"), F.lit('</div><div class="f-middle address x"> '), F.col("p_brand"), F.lit(" <b>St.</b></div>"),
+        row("No. of <i>Units</i>:", F.concat(text(size), F.lit(" <b>u</b>"))), F.lit("<div><div>No. of Block(s)</div><span>5</span><div>no</div></div>"), row("Unit Rate of Saleable Area (sq)", text(size * 3)),
+        F.when(size % 3 == 0, row("MoM", F.lit("+1%"))).otherwise(F.lit("<p>MoM</p><div>no</div>")), F.when(size % 2 == 0, row("For Sale", text(size))).otherwise(row("For sale", F.lit("9"))), F.lit("<div><div>For Rent</div></div><p>x</p><div>y</div></a>"),
+    )
+    page = F.concat(F.lit('<html><a class="card">outside</a><div class="list">'), card, F.lit('<div><a class="card">deeper</a></div></div></html>'))
+    pages = table(spark, sf_dir, "part").select(page.alias("html"), F.col("p_type").alias("Region"), F.lit("D").alias("District"), F.lit("S").alias("Subdistrict"), F.col("p_brand").alias("Code"))
+    return html.estate_cards(pages, "html", "div.list > a.card", ["Region", "District", "Subdistrict", "Code"], F.lit("2025-03-09 01:02:03").cast("timestamp"))
+
+
+@query(
+    "detail_blocks",
+    """SELECT p_partkey, p_brand AS grade, p_size || ' F' AS floors, CASE WHEN p_size % 2 = 0 THEN p_type END AS usage, 'first' AS twice, 'A B' AS meta, p_name AS links FROM part""",
+)
+def detail_blocks(spark, sf_dir):
+    """Titles and values of detail pages by blocks, of both kinds of page, with lists, children and siblings in selectors."""
+    block = lambda title, value: F.concat(F.lit(f'<div class="col c2"><p class="col-title"> {title} </p>'), value, F.lit("</div>"))
+    text = lambda tag, x: F.concat(F.lit(f'<{tag} class="col-text">'), x, F.lit(f"</{tag}>"))
+    size = F.col("p_size")
+    page = F.concat(
+        F.lit('<div class="col"><p class="col-title">Grade</p><p class="col-text">outside</p></div><section class="wide property-info">'),
+        block("Grade", F.concat(text("div", F.lit("later")), text("p", F.col("p_brand")))), block("Floors", text("div", F.concat(size.cast("string"), F.lit("<br> <b>F</b>")))), F.when(size % 2 == 0, block("Usage", text("p", F.col("p_type")))).otherwise(block("Usage", F.lit(""))),
+        F.lit('</section><section class="property-info"><div class="col"><p class="col-title">Floors</p><p class="col-text">second</p></div></section><div class="meta-info-container"><div class="title">Twice</div><div class="content">first</div><div class="content">x</div></div>'),
+        F.lit('<div class="meta-info-container"><div class="content">no title</div></div><div class="meta-info-container"><div class="title">M</div><span><div class="content"> A <i>B</i></div></span></div><ul><li>x</li><li data-k="a b"><a href="/q">no</a></li><li><a href="/p">'), F.col("p_name"), F.lit("</a></li></ul>"),
+    )
+    pages = table(spark, sf_dir, "part").select("p_partkey", page.alias("html"))
+    a = html.block_list(F.col("html"), "div.col", "p.col-title", "p.col-text", "div.col-text", container="section.property-info")
+    b = html.block_list(F.col("html"), "div.meta-info-container", "div.title", "div.content")
+    found = pages.withColumns({"a": a, "b": b}).withColumns({n: nested.last_wins(F.col(n)) for n in "ab"})
+    at = lambda m, k: F.try_element_at(m, F.lit(k))
+    return found.select("p_partkey", at("a", "Grade").alias("grade"), at("a", "Floors").alias("floors"), at("a", "Usage").alias("usage"), at("b", "Twice").alias("twice"), at("b", "M").alias("meta"), html.select_text(F.col("html"), "ul > li[data-k~=b] + li > a[href^='/p']").alias("links"))
+
+
 @query("page_tables", "SELECT p_partkey, p_partkey::VARCHAR AS key, 'a & b' AS both FROM part")
 def page_tables(spark, sf_dir):
     from ..sources.captured import table_rows

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from parcelforge.functions import clean, dates, html, nested, similarity, text
+from parcelforge.functions import clean, dates, html, nested, selectors, similarity, text
 
 
 def column(spark, values, make, kind="string"):
@@ -108,3 +108,22 @@ def test_pages(spark):
     got = column(spark, [page], lambda c: html.definition_list(c, "h5", "span.v"))[0]
     assert [tuple(x) for x in got] == [("Age", "20"), ("Lifts", "4")]
     assert column(spark, ["yes-icon", "no-icon", None], lambda c: html.icon_meaning(c, "yes", "no")) == ["Yes", "No", "Unknown"]
+
+
+def test_selectors():
+    page = selectors.Page("<div id=a class='x y'><p>one <b>two</b></p><br><p lang=en>three</p>four<ul><li>l1<li>l2</ul></div><p>last\u2028\nline<i>tail")
+    told = lambda css: [page.text(e) for e in page.select(css)]
+    assert told("p") == ["one two", "three", "last line tail"] and told("div > p") == ["one two", "three"] and told("div.x.y#a b") == ["two"]
+    assert told("br + p") == ["three"] and told("p + p") == [] and told("p ~ p") == ["three"] and told("div + p, b") == ["two", "last line tail"]
+    assert told("p:contains('one two')") == ["one two"] and told("div:contains('three') b") == ["two"] and told("p:-soup-contains(\"e, f\")") == [] and told("[lang=en]") == told("p[lang^='e']") == told("*[lang]") == ["three"]
+    assert told("b:first-child") == ["two"] and told("p:contains(three) ~ ul") == ["l1 l2"] and page.text(page.select("p")[0], "") == "onetwo"
+    assert page.markup(page.select("p")[1]) == "<p lang=en>three</p>" and page.markup(page.select("i")[0]) == "<i>tail"
+    for bad in ("p >", "", "p:hover", "p,,b", "> p"):
+        with pytest.raises(ValueError, match="selector"):
+            selectors.compiled(bad)
+
+
+def test_a_label_is_any_text_that_holds_it_and_its_value_the_next_sibling():
+    cards = "<a><div>No. of Units:</div><div>12</div><div>Blocks</div><p>x</p><div>13</div><div><div>Rent</div></div><div>after</div></a>"
+    found = lambda label: html.cards_of(cards, "a", {"x": f"div:contains('{label}') + div"}, {"href": "href"})[0]
+    assert found("No. of Units") == ("12", None) and found("Blocks") == ("", None) and found("Rent") == ("after", None) and found("units") == ("", None)
