@@ -210,3 +210,18 @@ def first_rows(spark, sf_dir):
 def windowed_event_counts(spark, sf_dir):
     found = windowed_counts(table(spark, sf_dir, "events"))
     return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query(
+    "dedupe_with_maps",
+    """WITH t AS (SELECT l_partkey, l_orderkey, l_linenumber, l_returnflag, l_quantity, l_tax FROM lineitem),
+    r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_returnflag, l_orderkey, l_quantity, l_tax, l_linenumber) AS first, row_number() OVER (PARTITION BY l_partkey ORDER BY l_returnflag DESC, l_orderkey DESC, l_quantity DESC, l_tax DESC, l_linenumber DESC) AS last FROM t)
+    SELECT l_partkey, 'first' AS kept, l_orderkey, l_quantity AS qty, l_tax AS tax, l_linenumber FROM r WHERE first = 1 UNION ALL SELECT l_partkey, 'last', l_orderkey, l_quantity, l_tax, l_linenumber FROM r WHERE last = 1""",
+)
+def dedupe_with_maps(spark, sf_dir):
+    """First and last line of each part where a column is a map: ties of the order go by the map's sorted entries."""
+    entries = F.create_map(F.lit("tax"), F.col("l_tax").cast("double"), F.lit("qty"), F.col("l_quantity").cast("double"))
+    rows = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", "l_orderkey", entries.alias("facts"), "l_linenumber")
+    order = ["l_returnflag"]
+    both = [pick(rows, ["l_partkey"], order).withColumn("kept", F.lit(name)) for name, pick in (("first", dedupe.keep_first), ("last", dedupe.keep_last))]
+    return both[0].unionByName(both[1]).select("l_partkey", "kept", "l_orderkey", F.col("facts")["qty"].alias("qty"), F.col("facts")["tax"].alias("tax"), "l_linenumber")
