@@ -2,13 +2,18 @@
 
 A text is a sequence of tokens: runs without white space, but every character from U+0800 on is a token of its own, as
 such scripts don't part words. Its k-mers are numbered by occurrence, so that a repeated k-mer is a new element each
-time. Each of ``orders`` independent orders (seeded hashes of the numbered k-mers) selects its ``tuple_size`` least; they
-are put back in text order, and the tuple is hashed: one component of the signature. Likeness is the share of equal
-components.
+time. Each of ``orders`` orders selects its ``tuple_size`` least; they are put back in text order, and the tuple is hashed: one
+component of the signature. Likeness is the share of equal components.
+
+An order is by hash XOR a seeded mask. Every element is as likely as any other to be the least of it, and the least need not be
+sought among all: elements that share leading bits with the mask come before the others, and stand together once
+elements are sorted by hash. So each order takes two binary searches and a look at the few elements in between; where
+they are too few, at all. Orders of one hash aren't fully independent: that matters where a text has fewer elements
+than there are orders, whose likeness is then told in coarser steps.
 
 Every step is a function of one row's arrays; no rows are multiplied and nothing is shuffled. While k-mers are
 numbered, an element is a long: 36 bits of hash above 28 bits of position, which is more than an array of longs can have
-elements.
+elements. Elements of equal hashes come in the order of their places.
 
 Defined cases: a null text counts as empty; texts without tokens share one fingerprint; texts of fewer than ``k``
 tokens have one k-mer, all of them; a text with fewer elements than ``tuple_size`` has them all in each tuple; equal and
@@ -18,7 +23,7 @@ table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import random
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,13 +72,37 @@ def _numbered(mers: str) -> Column:
     return F.transform(F.col(mers), number)
 
 
+def masks(orders: int) -> list[int]:
+    """The orders' masks: random hash bits, and the sign bit turned over, so that signed longs compare as unsigned ones."""
+    r = random.Random("orders")
+    found = [(r.getrandbits(64) & ~_PLACE) ^ (1 << 63) for _ in range(orders)]
+    return [m - (1 << 64) if m >> 63 else m for m in found]
+
+
 def _let(value: Column, then) -> Column:
     """``then`` of a value that is made once."""
     return F.get(F.transform(F.array(value), then), 0)
 
 
-def _component(values: Column, place: Callable[[Column], Column], tuple_size: int) -> Column:
+def _before(placed: Column, n: Column, bound: Column) -> Column:
+    """How many of ``n`` sorted elements are less than ``bound``."""
+    return F.aggregate(_steps(n), F.lit(0), lambda at, step: F.when(F.get(placed, at + step - 1) < bound, at + step).otherwise(at))
+
+
+def _nearest(placed: Column, low: Column, mask: Column, tuple_size: int) -> Column:
+    """Elements among which are the ``tuple_size`` least by hash XOR the mask, as values of that order: those that share the
+    leading bits that ``low`` (a long with these bits set) has with the mask; all, where these are too few or ``low`` is 0."""
+    signed = mask.bitwiseXOR(F.lit(-(1 << 63)))
+    least = signed.bitwiseAND(low)
+    after = lambda first: _before(placed, F.size(placed), least.bitwiseOR(F.bitwise_not(low)).cast("long")) - first
+    share = _let(_before(placed, F.size(placed), least), lambda first: F.slice(placed, first + 1, after(first)))
+    found = F.when(low == 0, placed).otherwise(_let(share, lambda some: F.when(F.size(some) >= tuple_size, some).otherwise(placed)))
+    return F.transform(found, lambda e: e.bitwiseXOR(mask))
+
+
+def _component(values: Column, tuple_size: int) -> Column:
     """The hash of the ``tuple_size`` least values, in the order of their places."""
+    place = lambda x: x.bitwiseAND(F.lit(_PLACE))
 
     def pick(left: Column, taken: list[Column]) -> Column:
         if len(taken) == tuple_size:
@@ -84,8 +113,8 @@ def _component(values: Column, place: Callable[[Column], Column], tuple_size: in
     def in_order(taken: list[Column]) -> Column:
         if len(taken) == 2:
             one, other = taken
-            return F.when(place(one) <= place(other), F.xxhash64(one, other)).otherwise(F.xxhash64(other, one))
-        placed = F.array_sort(F.array_distinct(F.array(*(F.struct(place(x).alias("place"), x.alias("value")) for x in taken))))
+            return F.when(place(one) <= place(other), F.xxhash64(_hash_of(one), _hash_of(other))).otherwise(F.xxhash64(_hash_of(other), _hash_of(one)))
+        placed = F.array_sort(F.array_distinct(F.array(*(F.struct(place(x).alias("place"), _hash_of(x).alias("value")) for x in taken))))
         return F.xxhash64(F.transform(placed, lambda x: x["value"]))
 
     return pick(values, [])
@@ -93,7 +122,7 @@ def _component(values: Column, place: Callable[[Column], Column], tuple_size: in
 
 def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, tuple_size: int = TUPLE_SIZE, orders: int = ORDERS) -> DataFrame:
     """Add ``out_col``, an array of ``orders`` 31-bit components (empty for a text without tokens)."""
-    words, mers, placed, own = (f"__{out_col}_{x}" for x in ("words", "mers", "placed", "own"))
+    words, mers, placed, low = (f"__{out_col}_{x}" for x in ("words", "mers", "placed", "low"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     place = lambda i: i.cast("long")
     if k == 1:
@@ -103,16 +132,12 @@ def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, tuple_size
         whole = F.transform(F.col(words), lambda h, i: _element(F.xxhash64(h, *(F.get(F.col(words), i + o) for o in range(1, k))), place(i)))
         packed = F.slice(whole, F.lit(1), F.greatest(F.size(words) - (k - 1), F.least(F.size(words), F.lit(1))))
     df = df.withColumn(mers, F.sort_array(packed)).drop(words)
-    df = df.withColumn(placed, _numbered(mers)).drop(mers)
-    df = df.withColumn(own, F.transform(F.col(placed), _hash_of))
-
-    def component(order: Column) -> Column:
-        at = lambda values: lambda x: F.get(F.col(placed), F.array_position(values, x).cast("int") - 1).bitwiseAND(F.lit(_PLACE))
-        hashed = F.transform(F.col(own), lambda x: F.xxhash64(x, order))
-        return _let(hashed, lambda values: _component(values, at(values), tuple_size))
-
-    each = F.transform(F.array(*(F.lit(n).cast("long") for n in range(orders))), lambda n: component(n).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    return df.withColumn(out_col, F.when(F.size(own) > 0, each).otherwise(F.array().cast("array<int>"))).drop(placed, own)
+    df = df.withColumn(placed, F.sort_array(_numbered(mers))).drop(mers)
+    # So many leading bits that some eight to sixteen elements share them with a mask.
+    bits = F.greatest(F.floor(F.log2(F.greatest(F.size(placed), F.lit(1)).cast("double"))) - 3, F.lit(0)).cast("int")
+    df = df.withColumn(low, F.when(bits > 0, F.call_function("shiftleft", F.lit(-1).cast("long"), 64 - bits)).otherwise(F.lit(0).cast("long")))
+    each = F.transform(F.array(*(F.lit(m).cast("long") for m in masks(orders))), lambda m: _let(_nearest(F.col(placed), F.col(low), m, tuple_size), lambda v: _component(v, tuple_size)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    return df.withColumn(out_col, F.when(F.size(placed) > 0, each).otherwise(F.array().cast("array<int>"))).drop(placed, low)
 
 
 def fingerprint(components: Column) -> Column:

@@ -231,9 +231,10 @@ def brute_signature(text, k, tuple_size, orders):
         n = seen[h] = seen.get(h, -1) + 1
         own.append(chained([h, (n,)]) >> 28 if n else h)
     out = []
-    for order in range(orders) if own else ():
-        values = [chained([x, order]) for x in own]
-        least = sorted(range(len(values)), key=values.__getitem__)[:tuple_size]
+    for mask in order_minhash.masks(orders) if own else ():
+        # By hash XOR mask as unsigned numbers, then by place; the mask has its first bit turned over.
+        values = [x ^ (mask >> 28) for x in own]
+        least = sorted(range(len(values)), key=lambda i: (values[i], i))[:tuple_size]
         taken = [values[i] for i in sorted(least)]
         if tuple_size == 2 and len(taken) == 1:
             taken *= 2
