@@ -1,8 +1,11 @@
 """Exact dedup, the Jaccard join, components, paragraph dedup, against brute force."""
 
+import pathlib
 import random
 import re
 import string
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -92,10 +95,47 @@ def test_a_batch_that_is_run_again_keeps_the_same(spark, make_docs):
     index.append(index.resolved(exact_dedup.deduplicate(docs.limit(0), index).groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "b").where("NOT added"), "b")
     assert [r[2] for r in told("b")] == [False] * 4 and told("b", make_docs([(9, "new")])) == [(9, 9, True)]
     index.compact(5)
-    again = exact_dedup.DigestIndex(spark, index.table)
+    again = exact_dedup.DigestIndex(spark, index.path)
     assert again.buckets == 5 and again.read().count() == 4 and told("a") == first and told("b", make_docs([(9, "new")])) == [(9, 9, True)]
-    spark.sql(f"ALTER TABLE {index.table} RENAME TO {index.table}_old")  # a compaction that a crash cut short
-    assert exact_dedup.DigestIndex(spark, index.table).read().count() == 4
+    again._registered(f"{index.path}/aside-x-5")  # a compaction that a crash cut short
+    assert exact_dedup.DigestIndex(spark, index.path).read().count() == 4
+
+
+def test_another_session_finds_the_index(spark, make_docs, tmp_path):
+    path = f"{tmp_path}/index"
+    exact_dedup.deduplicate(make_docs([(1, "x"), (2, "y")]), exact_dedup.DigestIndex(spark, path, buckets=2), batch="a").count()
+    code = f"""
+import sys
+sys.path.insert(0, {str(pathlib.Path(__file__).parents[2])!r})
+from parcelforge.session import local_session
+from parcelforge.llm import exact_dedup
+spark = local_session(2, spark__sql__warehouse__dir={str(tmp_path / 'w')!r})
+index = exact_dedup.DigestIndex(spark, {path!r})
+docs = spark.createDataFrame([(7, "X"), (8, "new")], "doc_id long, text string")
+print("FOUND", sorted((r["doc_id"], r["keep_id"], r["kept"]) for r in exact_dedup.deduplicate(docs, index, batch="b").collect()), index.buckets)
+"""
+    told = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=tmp_path, check=False)
+    assert "FOUND [(7, 1, False), (8, 8, True)] 2" in told.stdout, told.stderr[-2000:]
+    assert exact_dedup.DigestIndex(spark, path).read().count() == 3
+
+
+def test_batches_that_ran_at_once_and_hot_groups(spark, make_docs, monkeypatch):
+    index = exact_dedup.DigestIndex(spark, buckets=2)
+    docs = make_docs([(1, "x"), (2, "x"), (3, "y")])
+    groups = exact_dedup.deduplicate(docs, exact_dedup.DigestIndex(spark)).groupBy("digest").agg(F.max("keep_id").alias("keep_id"))
+    for batch in ("b", "a"):  # neither saw the other's rows
+        index.append(groups.withColumn("keep_id", F.col("keep_id") + (100 if batch == "b" else 0)), batch)
+    found = exact_dedup.deduplicate(docs, index, batch="c").collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["kept"]) for r in found) == [(1, 2, False), (2, 2, False), (3, 3, False)]
+    monkeypatch.setattr(exact_dedup, "HOT", 3)
+    texts = [(k, "ABCDx"[k % 5 * (k % 2)]) for k in range(60)] + [(None, "a"), (None, None), (7, "b")]
+    told = exact_dedup.deduplicate_in_batches(make_docs(texts), exact_dedup.DigestIndex(spark), batches=3).collect()
+    by = defaultdict(list)
+    for i, t in texts:
+        by[(t or "").lower()].append(i)
+    want = [(i, max((x for x in own if x is not None), default=None), len(own)) for own in by.values() for i in own]
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in told), key=repr) == sorted(want, key=repr)
+    assert all(r["kept"] == (r["doc_id"] == r["keep_id"]) for r in told)
 
 
 def clashing(docs):
