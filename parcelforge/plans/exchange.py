@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import resolve
-from ..sources import captured, files, sinks
+from ..sources import captured, excel, files, sinks
 from ..sources.shared import new_path
 from .register import query, table
 
@@ -18,7 +18,7 @@ def csv_files(spark, sf_dir):
     """A table with a byte order mark written as CSV, appended to once more, and read as text."""
     rows = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", F.when(F.col("n_nationkey") % 2 == 0, 'a, "b"').alias("n_note"))
     path = new_path(spark, "csv")
-    sinks.write_csv(rows, path)
+    sinks.write_csv(rows, path, mark=True)
     sinks.append_csv(rows, path)
     return files.read_csv(spark, path, escape='"')
 
@@ -271,3 +271,19 @@ def scored_buildings(spark, sf_dir):
     left = table(spark, sf_dir, "supplier").select(key.alias("k"), *common, F.when(key % 3 == 0, F.concat(key.cast("string"), F.lit(" road"))).alias("normalized_address"), F.lit("Central").alias("district"))
     right = table(spark, sf_dir, "supplier").select(key.alias("found"), key.alias("seq"), *common, F.concat(key.cast("string"), F.lit(" road")).alias("normalized_address"), F.when(key % 2 == 0, "central").otherwise("Harbour").alias("district"))
     return resolve.fuzzy_best(left, right, "k", "found", "seq")
+
+
+@query(
+    "excel_files",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus || ' é中 <&> "' || o_orderkey % 5 END AS note, o_totalprice, o_orderdate::DATE AS day, o_orderdate::TIMESTAMP + INTERVAL 3661 SECOND AS at,
+      CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 3 = 1 END AS odd, 9007199254740993 + o_orderkey AS big, NULL::VARCHAR AS absent FROM orders""",
+)
+def excel_files(spark, sf_dir):
+    """Orders written as workbooks and read again, with blanks, dates, flags, long numbers and letters of all kinds."""
+    key = F.col("o_orderkey")
+    note = F.when(key % 5 > 0, F.concat("o_orderstatus", F.lit(' é中 <&> "'), (key % 5).cast("string")))
+    at = (F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 3661 SECOND")).alias("at")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", note.alias("note"), F.lit("unread").alias("other"), "o_totalprice", F.col("o_orderdate").cast("date").alias("day"), at, F.when(key % 3 > 0, key % 3 == 1).alias("odd"), (F.lit(9007199254740993) + key).alias("big"))
+    path = new_path(spark, "workbooks")
+    excel.write_excel(rows.repartition(3), path)
+    return excel.read_excel(spark, path, "o_orderkey long, note string, o_totalprice double, day date, at timestamp_ntz, odd boolean, big long, absent string")
