@@ -82,7 +82,9 @@ def verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent:
     for a table of nodes."""
     involved = materialise(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "involved")
     held = materialise(texts(small_side(involved)).select("node", "text"), "involved-texts")
-    both = pairs.join(held.toDF("b", "text_b").hint("merge"), "b").join(held.toDF("a", "text_a").hint("merge"), "a")
+    # A text goes to the side that asks for it alone: hubs, which many pairs share, are few.
+    side = lambda x: held.toDF(x, f"text_{x}").join(small_side(materialise(pairs.select(x).distinct(), f"involved-{x}")), x, "left_semi")
+    both = pairs.join(side("b").hint("merge"), "b").join(side("a").hint("merge"), "a")
 
     def linked(rows: list[tuple]) -> pa.RecordBatch:
         sets = list(exact_sets([t for row in rows for t in row[2:]], width))
@@ -124,7 +126,7 @@ def _linked(postings: DataFrame, nodes: DataFrame, texts: Callable[[DataFrame],
     # A key that two alone hold is of no use where their sizes rule a link out.
     use = (F.count(F.lit(1)) > 1) & ((F.count(F.lit(1)) > 2) | size_bound(F.min("size"), F.max("size"), percent))
     lists = materialise(postings.groupBy("key").agg(use.alias("use")).where("use").select("key"), "shared-keys")
-    shared = materialise(postings.join(small_side(lists), "key").select("key", "grp", "size", "place"), "postings")
+    shared = materialise(postings.join(lists.hint("merge"), "key").select("key", "grp", "size", "place"), "postings")
     met = shared.select("grp").unionByName(nodes.where("node <> grp").select("grp")).distinct()
     nodes = materialise(nodes.join(small_side(materialise(met, "met")), "grp", "left_semi").dropDuplicates(["node"]), "nodes")
     single = isinstance(nodes.schema["sketch"].dataType, T.LongType)
