@@ -14,6 +14,7 @@ from ..functions import clean, nested, text
 from ..operators import columns, dedupe, filters, incremental, joins, resolve
 from ..sources import sinks
 from ..sources.catalog import Catalog
+from ..sources.shared import written
 
 # How the columns of estate details are called in listings.
 DETAIL_NAMES = {"scraped_estate_name": "Name", "estate_detailed_address": "Address", "scraped_blocks": "Blocks", "developer": "Developer"}
@@ -119,3 +120,38 @@ _UNIONS = {
     "__all__": ["midland_res", "midland_ici", "centaline_res", "centaline_oir"], "__default__": ["midland_res", "midland_ici", "centaline_res", "centaline_oir"],
 }
 PIPELINES = _SINGLE | {name: [job for own in names for job in _SINGLE[own]] for name, names in _UNIONS.items()}
+
+#: For each job the datasets that it reads, in the order of its arguments, and the one that it writes. A dataset that a job
+#: reads and writes is what it has saved so far; at first it isn't there.
+WIRING: dict[Callable, tuple[tuple[str, ...], str]] = {
+    estates: (("estates_raw",), "estates"),
+    residential_metrics: (("transactions", "estates"), "transactions_enriched"),
+    district_transactions: (("district_captures", "district_transactions"), "district_transactions"),
+    listing_snapshot: (("listings", "listings_scraped"), "listings"),
+    page_transactions: (("page_rows",), "page_transactions"),
+    enriched_listings: (("page_transactions", "listing_details"), "page_transactions_enriched"),
+    office_buildings: (("office_listings",), "office_buildings"),
+    commercial_transactions: (("office_transactions_raw",), "office_transactions"),
+}
+
+
+def run(name: str, catalog: Catalog, parameters: dict[str, dict] | None = None) -> list[str]:
+    """Run the jobs of a named pipeline one after the other, each from its datasets in the catalog to the one it writes; the
+    names of what was written. ``parameters`` has further arguments by the name of a job. Each job is one lazy plan until it
+    is saved, and the next reads what was saved, so a pipeline that broke off is run again from any job on."""
+    if name not in PIPELINES:
+        raise KeyError(f"no pipeline {name!r}; there are {', '.join(sorted(PIPELINES))}")
+    given, done = parameters or {}, []
+    for job in PIPELINES[name]:
+        own = given.get(job.__name__, {})
+        if job is commercial_resolution:
+            done += [n for n in job(catalog, **own) if n in catalog.datasets]
+            continue
+        inputs, output = WIRING[job]
+        frames = [catalog.load(n) if n != output or catalog.exists(n) else None for n in inputs]
+        like = next(f for f in frames if f is not None)
+        found = job(*(like.limit(0) if f is None else f for f in frames), **own)
+        # What is read can't be overwritten meanwhile.
+        catalog.save(output, written(found, output) if output in inputs else found)
+        done.append(output)
+    return done

@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import exists
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -24,6 +26,10 @@ class Catalog:
         reader = self.spark.read.format(d.kind).options(**d.options)
         return (reader.schema(d.schema) if d.schema else reader).load(d.path)
 
+    def exists(self, name: str) -> bool:
+        """Whether anything has been saved there."""
+        return exists(self.spark, self.datasets[name].path)
+
     def save(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
         d = self.datasets[name]
         df.write.mode(mode).format(d.kind).options(**d.options).save(d.path)

@@ -1,5 +1,7 @@
 import datetime
 
+import pytest
+
 from parcelforge.plans import jobs
 from parcelforge.sources.catalog import Catalog, Dataset
 
@@ -53,3 +55,42 @@ def test_pipelines_are_unions_of_four(spark):
     rows = spark.createDataFrame([("a", "1,", "2020-01-02", 1), ("a", "7", "bad", 2), ("b", None, None, 1)], "k string, n string, d string, seq int")
     out = {r["k"]: r for r in jobs.office_buildings(rows, ["n"], {"d": "yyyy-MM-dd"}, ["k"], ["seq"]).collect()}
     assert out["a"]["n"] == 7 and out["a"]["d"] is None and out["b"]["n"] is None and len(out) == 2
+
+
+def test_named_pipelines_end_to_end(spark, tmp_path):
+    """``residential`` and ``commercial`` from saved datasets to saved datasets, the second run on top of the first."""
+    text = lambda *names: ", ".join(f"`{n}` string" for n in names)
+    listing = text("Name", "Address", "Blocks", "Units", "UnitRate", "ForSale", "ForRent")
+    given = {
+        "estates_raw": ([("e1", "[{'date': '2020-01', 'avg_net_ft_price': 3}]", ("D",), "12")], "id string, market_stat_monthly string, district struct<name:string>, market_stat_net_ft_price string"),
+        "transactions": ([("t1", "e1", 100.0, 5.0)], "id string, estate_id string, price double, net_area double"),
+        "listings": ([("a", "1", "", "", "", "", ""), ("b", "2", "", "", "", "", "")], listing), "listings_scraped": ([("a", "9", "", "", "", "", "")], listing),
+        "page_rows": ([("$475", "Sun・Tower 2・Flat A", "7", "@$8,684")], text("price", "address", "area", "ft_price")),
+        "listing_details": ([("Sun", "1 Road", 2)], "scraped_estate_name string, estate_detailed_address string, seq int"),
+        "district_captures": ([(1, "new"), (3, "x")], "id int, v string"),
+        "masters": ([(1, "Sun Tower 8", "8 Main St.", "Central", "A", "1990", 1)], "ID int, Name string, `Street Name` string, `District Name` string, Grade string, `Year Built` string, seq long"),
+        "listed": ([("Sun Twr 8", "8 Main Street", "/b/B11", 1)], "`Building Name` string, Address string, `Detail URL` string, seq long"),
+        "detailed": ([(5, "Moon Plz 7", "x", None, "2001", 1)], "propertyID int, buildingNameEn string, address string, districtNameEn string, opDateDisplayName string, seq long"),
+        "office_listings": ([("a", "1,200", 1), ("a", "7", 2)], "k string, n string, seq int"),
+        "office_transactions_raw": ([(1, "x", (5.0, "HKD", 1.0, None, None, None))], "id int, floor string, priceInfo struct<price:double,pricePostTypeDisplayName:string,avgPrice:double,rental:double,rentPostTypeDisplayName:string,avgRental:double>"),
+    }
+    out = ["estates", "transactions_enriched", "page_transactions", "page_transactions_enriched", "district_transactions", "entities", "report", "office_buildings", "office_transactions"]
+    catalog = Catalog(spark, {n: Dataset("parquet", str(tmp_path / n)) for n in [*given, *out]})
+    for n, (rows, kind) in given.items():
+        catalog.save(n, spark.createDataFrame(rows, kind))
+    parameters = {
+        "estates": {"numbers": ["market_stat_net_ft_price"]}, "enriched_listings": {"order": ["seq"]}, "district_transactions": {"key": ["id"]}, "commercial_transactions": {"kept": ["id", "priceInfo"]},
+        "office_buildings": {"numbers": ["n"], "moments": {}, "key": ["k"], "order": ["seq"]},
+    }
+    assert jobs.run("residential", catalog, parameters) == ["estates", "transactions_enriched", "listings", "page_transactions", "page_transactions_enriched"]
+    assert catalog.load("transactions_enriched").head()["price_variance"] == 8.0 and catalog.load("page_transactions_enriched").head()["Address"] == "1 Road"
+    assert sorted((r["Name"], r["Address"]) for r in catalog.load("listings").collect()) == [("a", "9"), ("b", "2")]
+    for captured in ([], [(3, "later"), (4, "y")]):
+        if captured:
+            catalog.save("district_captures", spark.createDataFrame(captured, "id int, v string"))
+        done = jobs.run("commercial", catalog, parameters)
+    assert done == ["district_transactions", "entities", "report", "office_buildings", "office_transactions"]
+    assert sorted(tuple(r) for r in catalog.load("district_transactions").collect()) == [(1, "new"), (3, "x"), (4, "y")]
+    assert catalog.load("entities").count() == 2 and [r["n"] for r in catalog.load("office_buildings").collect()] == [7] and catalog.load("office_transactions").head()["price"] == 5.0
+    with pytest.raises(KeyError, match="no pipeline"):
+        jobs.run("absent", catalog)
