@@ -157,9 +157,15 @@ def cursor_rows(spark, sf_dir):
     return captured.cursor_rows(_captures(spark, sf_dir, body, 3), ["area"], "page", "body", "items", _ITEM, 2)
 
 
-@query("month_requests", "SELECT (row_number() OVER (ORDER BY d DESC) - 1)::INT AS slice, d::DATE AS first, least(last_day(d::DATE), DATE '1997-04-13') AS last FROM (SELECT unnest(generate_series(DATE '1996-02-01', DATE '1997-04-01', INTERVAL 1 MONTH)) AS d)")
+@query(
+    "month_requests",
+    """SELECT (row_number() OVER (ORDER BY d DESC) - 1)::INT AS slice, d::DATE AS first, least(last_day(d::DATE), z) AS last
+    FROM (SELECT z, unnest(generate_series(date_trunc('month', a)::TIMESTAMP, z::TIMESTAMP, INTERVAL 1 MONTH)) AS d FROM (SELECT min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS z FROM orders))""",
+)
 def month_requests(spark, sf_dir):
-    return captured.sliced_requests(spark, "1996-02-15", "1997-04-13")
+    """What a source by month is asked for, for all orders' time: a slice for each month, the newest first."""
+    day = F.col("o_orderdate").cast("date")
+    return captured.requests_between(table(spark, sf_dir, "orders").agg(F.min(day).alias("start"), F.max(day).alias("end")), "start", "end")
 
 
 @query("graph_rows", "SELECT s_suppkey AS area, k AS position, s_suppkey + k AS v FROM supplier, (VALUES (0), (1)) b(k) WHERE s_suppkey % 3 <> 1 AND s_suppkey % 5 <> 0")
@@ -173,13 +179,15 @@ def graph_rows(spark, sf_dir):
     return captured.nested_rows(left.withColumn("body", body), ["area"], "body", "data.records", _ITEM)
 
 
-@query("offset_rows", "SELECT p AS page, p * 20 AS limitstart, s_suppkey AS v FROM supplier, (VALUES (0), (1), (2), (3)) a(p) WHERE p <> 2 AND s_suppkey <= 5")
+@query("offset_rows", "SELECT s_suppkey // 4 AS page, s_suppkey // 4 * 4 AS limitstart, s_suppkey AS v FROM supplier WHERE s_suppkey // 4 % 5 <> 2 AND s_suppkey // 4 < (SELECT max(s_suppkey) // 4 FROM supplier)")
 def offset_rows(spark, sf_dir):
-    """Every page up to the total that the first one tells; pages that can't be read are passed over."""
-    five = table(spark, sf_dir, "supplier").where("s_suppkey <= 5").agg(F.sort_array(F.collect_list(F.struct(F.col("s_suppkey").alias("v")))).alias("items"))
-    pages = five.withColumn("page", F.explode(F.array(*(F.lit(k).cast("bigint") for k in range(6)))))
-    body = F.when(F.col("page") == 2, "<html>").otherwise(F.to_json(F.struct(F.lit(4).alias("total_pages"), F.col("items"))))
-    return captured.offset_rows(pages.select("page", body.alias("body")), "page", "body", "total_pages", "items", _ITEM, 20)
+    """All suppliers in pages of four, up to the total that the first page tells; pages that can't be read are passed over."""
+    key = F.col("s_suppkey")
+    suppliers = table(spark, sf_dir, "supplier").select(F.floor(key / 4).alias("page"), F.struct(key.alias("v")).alias("item"), F.lit(1).alias("one"))
+    total = table(spark, sf_dir, "supplier").agg(F.floor(F.max(key) / 4).alias("total_pages")).withColumn("one", F.lit(1))
+    pages = suppliers.groupBy("page", "one").agg(F.sort_array(F.collect_list("item")).alias("items")).join(total, "one")
+    body = F.when(F.col("page") % 5 == 2, "<html>").otherwise(F.to_json(F.struct("total_pages", "items")))
+    return captured.offset_rows(pages.select("page", body.alias("body")), "page", "body", "total_pages", "items", _ITEM, 4)
 
 
 _MATCHES = "CASE WHEN s_suppkey % 2 = 0 THEN 'm' || s_suppkey END AS midland_id, CASE WHEN s_suppkey % 3 = 0 THEN 'c' || s_suppkey END AS centanet_id"

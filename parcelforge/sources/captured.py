@@ -54,8 +54,12 @@ def ranged_rows(pages: DataFrame, context: list[str], page: str, body: str, item
 
 def sliced_requests(spark: SparkSession, start: str, end: str) -> DataFrame:
     """A row for each month slice, the newest first: what a source by month asks for."""
-    both = [F.lit(x).cast("date") for x in (start, end)]
-    return spark.range(1).select(F.posexplode(safe_month_slices(*both)).alias("slice", "m")).select("slice", "m.first", "m.last")
+    return requests_between(spark.range(1).select(F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end")), "start", "end")
+
+
+def requests_between(bounds: DataFrame, start: str, end: str) -> DataFrame:
+    """The same for each row of bounds, two columns of dates."""
+    return bounds.select(F.posexplode(safe_month_slices(F.col(start), F.col(end))).alias("slice", "m")).select("slice", "m.first", "m.last")
 
 
 def cursor_rows(pages: DataFrame, context: list[str], page: str, body: str, items: str, schema: str, limit: int) -> DataFrame:
@@ -91,9 +95,10 @@ def offset_requests(spark: SparkSession, total_pages: int, limit: int) -> DataFr
 def offset_rows(pages: DataFrame, page: str, body: str, total: str, items: str, schema: str, limit: int) -> DataFrame:
     """Rows of every captured page below the total that page 0 tells; bodies that can't be read are passed over. Without
     a first page, or a total in it, there are none."""
-    known = pages.where(F.col(page) == 0).select(F.get_json_object(body, f"$.{total}").try_cast("bigint").alias("n")).where("n IS NOT NULL").agg(F.max("n")).head()[0] or 0
-    asked = offset_requests(pages.sparkSession, known, limit).withColumnRenamed("page", "__page")
-    read = pages.join(asked, F.col(page) == F.col("__page")).withColumn("__items", F.from_json(body, f"struct<`{items}`:array<{schema}>>")[items])
+    total_pages = F.get_json_object(body, f"$.{total}").try_cast("bigint")
+    known = pages.where(F.col(page) == 0).agg(F.max(total_pages).alias("__pages")).withColumn("__one", F.lit(1))  # one row
+    asked = pages.withColumn("__one", F.lit(1)).join(F.broadcast(known), "__one").where((F.col(page) >= 0) & (F.col(page) < F.col("__pages")))
+    read = asked.withColumns({"__items": F.from_json(body, f"struct<`{items}`:array<{schema}>>")[items], "limitstart": F.col(page) * limit})
     return read.select(page, "limitstart", F.explode("__items").alias("item")).select(page, "limitstart", "item.*")
 
 
