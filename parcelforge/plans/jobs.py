@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, nested, text
 from ..operators import columns, dedupe, filters, incremental, joins, resolve
-from ..sources import sinks
 from ..sources.catalog import Catalog
 from ..sources.shared import written
+from ..sources.versions import Versions
 
 # How the columns of estate details are called in listings.
 DETAIL_NAMES = {"scraped_estate_name": "Name", "estate_detailed_address": "Address", "scraped_blocks": "Blocks", "developer": "Developer"}
@@ -81,17 +81,14 @@ def commercial_resolution(catalog: Catalog, threshold: float = resolve.ENTITY_TH
 
 
 def control_date(catalog: Catalog, name: str, new: str | None = None):
-    """The stored control date of a job (null at first), after storing a new one if it is given."""
-    spark, path = catalog.spark, catalog.datasets["control_dates"].path
-    from ..sources.files import exists
-
+    """The stored control date of a job (null at first), after storing a new one if it is given. Jobs that store theirs at
+    once lose none (see ``versions``)."""
+    spark, held = catalog.spark, Versions(catalog.spark, catalog.datasets["control_dates"].path)
     if new is not None:
         row = spark.createDataFrame([(name, new)], "job string, day string")
-        old = spark.read.parquet(path) if exists(spark, path) else row.limit(0)
-        sinks.write_parquet(dedupe.keep_last(dedupe.stacked(old, row), ["job"], ["__batch"]).drop("__batch"), path)
-    if not exists(spark, path):
-        return None
-    found = spark.read.parquet(path).where(F.col("job") == name).select(F.col("day").cast("date")).head()
+        held.update(lambda old: dedupe.keep_last(dedupe.stacked(row.limit(0) if old is None else old, row), ["job"], ["__batch"]).drop("__batch"))
+    known = held.read()
+    found = None if known is None else known.where(F.col("job") == name).select(F.col("day").cast("date")).head()
     return found[0] if found else None
 
 
