@@ -168,6 +168,24 @@ def month_requests(spark, sf_dir):
     return captured.requests_between(table(spark, sf_dir, "orders").agg(F.min(day).alias("start"), F.max(day).alias("end")), "start", "end")
 
 
+@query(
+    "captured_folders",
+    """SELECT district, day, page, (row_number() OVER (PARTITION BY district, day, page ORDER BY v) - 1)::INT AS position, v
+    FROM (SELECT s_nationkey AS district, DATE '2025-01-01' + (s_suppkey % 2)::INT AS day, (s_suppkey // 2 % 3 + 1)::INT AS page, s_suppkey AS v FROM supplier) WHERE district % 3 > 0 OR page < 3""",
+)
+def captured_folders(spark, sf_dir):
+    """All suppliers as captured pages in folders, read in two requests of districts; some districts end at an empty page."""
+    key = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("int").alias("district"), F.date_add(F.lit("2025-01-01").cast("date"), (key % 2).cast("int")).alias("day"), (F.floor(key / 2) % 3 + 1).cast("int").alias("page"), F.struct(key.alias("v")).alias("item"))
+    ends = (F.col("district") % 3 == 0) & (F.col("page") == 3)
+    items = F.when(ends, F.array().cast("array<struct<v:bigint>>")).otherwise(F.sort_array(F.collect_list("item")))  # of one district, day and page
+    pages = rows.groupBy("district", "day", "page").agg(F.to_json(F.struct(items.alias("items"))).alias("body"))
+    path = new_path(spark, "captures")
+    captured.save_captures(pages, path, ["district", "day"], "page", "body")
+    held = captured.read_captures(spark, path, "district int, day date, page int")
+    return captured.result_rows(held.where("district < 12"), ["district", "day"], "page", "body", "items", _ITEM).unionByName(captured.result_rows(held.where("district >= 12"), ["district", "day"], "page", "body", "items", _ITEM))
+
+
 @query("graph_rows", "SELECT s_suppkey AS area, k AS position, s_suppkey + k AS v FROM supplier, (VALUES (0), (1)) b(k) WHERE s_suppkey % 3 <> 1 AND s_suppkey % 5 <> 0")
 def graph_rows(spark, sf_dir):
     """Nested lists of query responses, one for each combination of area and kind that isn't done; errors have none."""

@@ -1,6 +1,7 @@
 """Captured responses in place of live requests: one row for each response, with the rules by which paging ends.
 
-A capture has the request's context (district, month slice ...), its page number and the response's body as text.
+A capture has the request's context (district, month slice ...), its page number and the response's body as text; a folder of
+captures is read with just those contexts that are asked for.
 Live crawling, browsers, sessions and their retries aren't part of this library; Spark retries failed tasks.
 """
 
@@ -18,6 +19,20 @@ from ..operators.incremental import change_status
 from ..operators.joins import product
 
 
+def save_captures(pages: DataFrame, path: str, context: list[str], page: str, body: str, mode: str = "append") -> None:
+    """Responses as text files, in a folder for each context and page (``district=3/day=2025-01-02/page=1``)."""
+    dealt = pages.select(F.col(body).alias("value"), *context, page).where(F.col("value").isNotNull()).repartition(*context, page)
+    dealt.write.mode(mode).partitionBy(*context, page).text(path)
+
+
+def read_captures(spark: SparkSession, path: str, context: str, body: str = "body") -> DataFrame:
+    """``body`` and the columns of ``context`` (``district int, day date, page int``) of the responses in such folders, however they came
+    there. Filters of the context are settled by the folders' names: what isn't asked for isn't opened."""
+    held = spark.read.schema(f"value string, {context}").text(path, wholetext=True)
+    whole = F.when(F.endswith("value", F.lit("\n")), F.left("value", F.char_length("value") - 1)).otherwise(F.col("value"))  # files end their last line
+    return held.withColumn("value", whole).withColumnRenamed("value", body)
+
+
 def until_stop(pages: DataFrame, context: list[str], page: str, stops: Column) -> DataFrame:
     """Pages of each context before the first one that stops it. That page is aggregated and joined back."""
     first = pages.where(F.coalesce(stops, F.lit(True))).groupBy(*context).agg(F.min(page).alias("__stop"))

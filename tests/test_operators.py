@@ -218,3 +218,20 @@ def test_snapshot_stream(spark, tmp_path):
         (source / f"{k}.json").write_text(lines)
         keep_snapshot(spark, str(source), "k int, v string", target, ["k"], str(tmp_path / "check")).awaitTermination()
     assert rows(spark.read.parquet(target), "k") == [(1, "a"), (2, "c")]
+
+
+def test_captures_of_other_contexts_are_not_opened(spark, tmp_path):
+    path = str(tmp_path / "captures")
+    rows = [(d, datetime.date(2025, 1, day), p, f'{{"items": [{{"v": {d * p}}}]}}\n  {{') for d in (1, 2) for day in (1, 2) for p in (1, 2)]
+    captured.save_captures(spark.createDataFrame([*rows, (3, datetime.date(2025, 1, 1), 1, None)], "district int, day date, page int, body string"), path, ["district", "day"], "page", "body")
+    held = captured.read_captures(spark, path, "district int, day date, page int")
+    assert sorted(map(tuple, held.select("district", "day", "page", "body").collect())) == sorted(rows)
+    asked = held.where("district = 2 AND day = DATE'2025-01-02'").where("page > 1")
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert all(n in filters for n in ("district", "day", "page")) and asked.collect()[0]["body"] == rows[-1][3]
+    # A file that can't be opened is no matter where it isn't asked for.
+    for folder in (tmp_path / "captures").glob("district=1/*/*"):
+        for f in folder.glob("*.txt"):
+            f.unlink()
+    assert captured.read_captures(spark, path, "district int, day date, page int").where("district = 2").count() == 4
