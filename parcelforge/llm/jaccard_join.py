@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linking import PERCENT, linked_components, parity_sketch, prefix_length, small_side
-from .scratch import materialise, released
+from .scratch import materialise, released, trimmed
 from .shingles import WIDTH, digested_sets, shingle_sets
 
 #: Frequent shingles that have places of their own in the order (8 bytes each), and the count from which they do.
@@ -53,7 +53,7 @@ def frequent_shingles(docs: DataFrame, width: int = WIDTH, text_col: str = "text
                     held, size = [], 0
         yield told(held)
 
-    counted = docs.select(text_col).mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = docs.select(text_col).mapInArrow(lambda batches: trimmed(run(batches)), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
     top = counted.where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "key").limit(FREQUENT).collect()
     return np.array([r["key"] for r in reversed(top)], np.int64).view(np.uint64)
 
@@ -90,7 +90,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, widt
             yield pa.RecordBatch.from_arrays([batch.column("id"), *flat, *lists], ["id", *out])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, size int, set_digest binary, prefix_digest binary, sketch array<bigint>, prefix array<bigint>")
+    return rows.mapInArrow(lambda batches: trimmed(run(batches)), "id bigint, size int, set_digest binary, prefix_digest binary, sketch array<bigint>, prefix array<bigint>")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .piece_bpe import with_column, with_field
+from .scratch import trimmed
 
 UNDETERMINED = "und"
 BUCKETS = 4096
@@ -200,7 +201,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
 
     # The sample is bounded, so one task holds it.
     sample = chosen.select("text", "label", "order").mapInArrow(run, "label string, order bigint, x binary")
-    learned = sample.repartition(1).mapInArrow(learn, "model binary").collect()
+    learned = sample.repartition(1).mapInArrow(lambda batches: trimmed(learn(batches)), "model binary").collect()
     return pickle.loads(learned[0]["model"]) if learned else Model()
 
 

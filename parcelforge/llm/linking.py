@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import connected_components
-from .scratch import HASHED_ID_BYTES, fits_broadcast, materialise, released
+from .scratch import HASHED_ID_BYTES, fits_broadcast, materialise, released, trimmed
 from .shingles import SLICE_CHARS, WIDTH, exact_sets, mix
 
 #: Jaccard similarity of links, in percent.
@@ -107,7 +107,7 @@ def verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent:
             if held:
                 yield linked(held)
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(lambda batches: trimmed(run(batches)), "a bigint, b bigint")
 
 
 def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int = PERCENT, width: int = WIDTH, hub_rounds: int = HUB_ROUNDS) -> DataFrame:

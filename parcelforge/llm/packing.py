@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .piece_bpe import WordMemory, text_slices
-from .scratch import new_path
+from .scratch import new_path, trimmed
 from .shingles import LOWER, distinct_stretches
 
 SEQUENCE = 2048
@@ -231,7 +231,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             yield rows(left, True)
 
     path = new_path(spark, "pieces")
-    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
+    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(lambda batches: trimmed(run(batches)), PIECES)
     found.write.partitionBy("leftover").option("compression", "zstd").parquet(path)
     pieces = spark.read.schema(PIECES).parquet(path)
     # sequence_id: bit 62 marks merged windows; then the partition (or group of partitions), then the window.

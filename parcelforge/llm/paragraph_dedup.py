@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .linking import PERCENT, linked_components, small_side
 from .piece_bpe import text_slices
-from .scratch import materialise, released
+from .scratch import materialise, released, trimmed
 from .shingles import SLICE_CHARS, WIDTH, mix, shingle_hashes, words_of
 
 WINDOW = 24
@@ -123,7 +123,7 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 done += len(part)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
-    return rows.mapInArrow(run, PARAGRAPHS)
+    return rows.mapInArrow(lambda batches: trimmed(run(batches)), PARAGRAPHS)
 
 
 def shared_words(one: str, other: str, backwards: bool, cut: tuple[bool, bool] = (False, False)) -> tuple[int, int, int, bool]:
