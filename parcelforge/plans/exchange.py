@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import resolve
 from ..sources import captured, excel, files, sinks
 from ..sources.shared import new_path
-from .register import query, table
+from .register import query, spread, table
 
 
 @query("csv_files", "SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, n_note FROM (SELECT *, CASE WHEN n_nationkey % 2 = 0 THEN 'a, \"b\"' END AS n_note FROM nation), (VALUES (0), (1))")
@@ -311,5 +311,5 @@ def excel_files(spark, sf_dir):
     at = (F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 3661 SECOND")).alias("at")
     rows = table(spark, sf_dir, "orders").select("o_orderkey", note.alias("note"), F.lit("unread").alias("other"), "o_totalprice", F.col("o_orderdate").cast("date").alias("day"), at, F.when(key % 3 > 0, key % 3 == 1).alias("odd"), (F.lit(9007199254740993) + key).alias("big"))
     path = new_path(spark, "workbooks")
-    excel.write_excel(rows.repartition(3), path)
-    return excel.read_excel(spark, path, "o_orderkey long, note string, o_totalprice double, day date, at timestamp_ntz, odd boolean, big long, absent string")
+    excel.write_excel(spread(rows), path)
+    return excel.read_excel(spark, path, "o_orderkey long, note string, o_totalprice double, day date, at timestamp_ntz, odd boolean, big long, absent string", sheet=None)

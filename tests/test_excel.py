@@ -62,3 +62,10 @@ def test_round_trip_append_and_a_failed_write(spark, tmp_path, monkeypatch):
     out = io.BytesIO()
     assert excel.workbook(((k,) for k in range(5)), ["k"], out) == 5
     assert [r for _, r in excel.sheet_rows(out.getvalue(), None)] == [{0: "k"}, {0: 0.0}, {0: 1.0}, {0: "k"}, {0: 2.0}, {0: 3.0}, {0: "k"}, {0: 4.0}]
+
+
+def test_a_task_writes_several_workbooks_and_all_rows_are_read(spark, tmp_path):
+    path = str(tmp_path / "out")
+    for n, files in ((8, 3), (6, 2), (0, 1)):
+        excel.write_excel(spark.range(n).coalesce(1), path, book_rows=3)
+        assert len(os.listdir(path)) == files and sorted(r["id"] for r in excel.read_excel(spark, path, "id long").collect()) == list(range(n))
