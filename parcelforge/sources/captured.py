@@ -125,9 +125,11 @@ def table_rows(pages: DataFrame, html: str, fields: dict[str, int], least: int =
 
 
 def detail_fields(wanted: DataFrame, pages: DataFrame, url: str, html: str, title: str, value: str, labels: dict[str, str] | None = None) -> DataFrame:
-    """Rows with the title-value pairs of their captured detail page: as a map, or as one column for each label."""
+    """Rows with the title-value pairs of their captured detail page: as a map, or as one column for each label. Pages are read
+    where they lie, before they are joined: the join moves pairs, not markup, and doesn't say how many tasks read."""
     from ..functions.nested import last_wins
 
-    held = pages.select(F.col(url).alias("__url"), F.col(html).alias("__html"))
-    found = wanted.join(held, F.col(url) == F.col("__url"), "left").withColumn("attributes", definition_list(F.col("__html"), title, value)).withColumn("attributes", last_wins(F.col("attributes"))).drop("__url", "__html")
+    held = pages.select(F.col(url).alias("__url"), definition_list(F.col(html), title, value).alias("__pairs"))
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    found = wanted.join(held, F.col(url) == F.col("__url"), "left").withColumn("attributes", last_wins(F.coalesce("__pairs", none))).drop("__url", "__pairs")
     return found if labels is None else found.withColumns({n: F.try_element_at("attributes", F.lit(label)) for label, n in labels.items()}).drop("attributes")
