@@ -101,8 +101,8 @@ def definition_list(html: Column, title: str, value: str) -> Column:
     return run(html)
 
 
-def blocks_of(html: str, block: str, title: str, values: tuple[str, ...], container: str | None = None) -> list[dict]:
-    page, out = Page(html or ""), []
+def blocks_of(page: Page, block: str, title: str, values: tuple[str, ...], container: str | None = None) -> list[dict]:
+    out = []
     titles, options, blocks = page.select(title), [page.select(v) for v in values], page.select(block)
     if container:
         blocks = [x for e in page.select(container)[:1] for x in page.within(e, blocks)]
@@ -114,17 +114,29 @@ def blocks_of(html: str, block: str, title: str, values: tuple[str, ...], contai
     return out
 
 
-def block_list(html: Column, block: str, title: str, *values: str, container: str | None = None) -> Column:
-    """Array of ``struct(key, value)``: of each block, in the first ``container`` if one is named, the first title in it and the first
-    value, of the first of the value selectors that names any. Blocks without a title or a value are passed over."""
+def block_lists(html: Column, lists: dict[str, tuple[str, str, tuple[str, ...], str | None]], texts: dict[str, str] | None = None) -> Column:
+    """Struct of several lists of blocks (``name: (block, title, values, container)``, see ``block_list``) and of texts (``name:
+    selector``, see ``select_text``), from one reading of each page."""
+    firsts = texts or {}
+    kind = ",".join([*(f"`{n}`:array<struct<key:string,value:string>>" for n in lists), *(f"`{n}`:string" for n in firsts)])
 
-    @F.pandas_udf("array<struct<key:string,value:string>>")
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda page: blocks_of(page, block, title, values, container))
+    @F.pandas_udf(f"struct<{kind}>")
+    def run(pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for markup in pages:
+            page = Page(markup or "")
+            rows.append([*(blocks_of(page, *x) for x in lists.values()), *(next((page.text(e) for e in page.select(css)), "") for css in firsts.values())])
+        return pd.DataFrame(rows, columns=[*lists, *firsts])
 
     return run(html)
 
 
+def block_list(html: Column, block: str, title: str, *values: str, container: str | None = None) -> Column:
+    """Array of ``struct(key, value)``: of each block, in the first ``container`` if one is named, the first title in it and the first
+    value, of the first of the value selectors that names any. Blocks without a title or a value are passed over."""
+    return block_lists(html, {"blocks": (block, title, values, container)})["blocks"]
+
+
 # The fields of an estate's card, by selector within the card, and the sibling after a label.
 CARD_TEXTS = {"Name": "div.main-text", "Address": "div.address.f-middle"}
 CARD_LABELS = {"Blocks": "No. of Block(s)", "Units": "No. of Units", "UnitRate": "Unit Rate of Saleable Area", "MoM": "MoM", "ForSale": "For Sale", "ForRent": "For Rent"}
@@ -159,10 +171,11 @@ def estate_cards(pages: DataFrame, html: str, item: str, context: list[str], now
     return told.select("card.*", *context, F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd HH:mm:ss").alias("LastScraped"))
 
 
-def card_fields(html: Column, labels: dict[str, str], label_css: str = "div") -> Column:
+def card_fields(html: Column, labels: dict[str, str], label_css: str = "div", texts: dict[str, str] | None = None) -> Column:
     """Struct of fields of a card: for each ``name: label`` the text of the element right after one that has the label in its
-    text; null where there is none."""
-    kind = ",".join(f"`{n}`:string" for n in labels)
+    text, null where there is none; for each ``name: selector`` of ``texts`` the first such element's (see ``select_text``)."""
+    firsts = texts or {}
+    kind = ",".join(f"`{n}`:string" for n in (*labels, *firsts))
     selectors = {n: f"{label_css}:contains('{label}') + {label_css}" for n, label in labels.items()}
 
     @F.pandas_udf(f"struct<{kind}>")
@@ -170,8 +183,9 @@ def card_fields(html: Column, labels: dict[str, str], label_css: str = "div") ->
         rows = []
         for markup in pages:
             page = Page(markup or "")
-            rows.append([next((page.text(e, "") for e in page.select(css)), None) for css in selectors.values()])
-        return pd.DataFrame(rows, columns=list(labels))
+            found = [next((page.text(e, "") for e in page.select(css)), None) for css in selectors.values()]
+            rows.append([*found, *(next((page.text(e) for e in page.select(css)), "") for css in firsts.values())])
+        return pd.DataFrame(rows, columns=[*labels, *firsts])
 
     return run(html)
 

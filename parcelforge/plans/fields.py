@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, dates, html, nested, text
 from ..operators import aggregates, columns, filters
-from .register import query, table
+from .register import query, spread, table
 
 _MOMENT = "CASE s_suppkey % 5 WHEN 0 THEN '1998-03-05 10:20' WHEN 1 THEN 'bad' WHEN 2 THEN '' WHEN 3 THEN NULL ELSE '1997-12-31 23:59' END"
 _LOOSE = "CASE s_suppkey % 4 WHEN 0 THEN '  a b  ' WHEN 1 THEN NULL WHEN 2 THEN 'x' || s_suppkey ELSE '' END"
@@ -133,6 +133,11 @@ def nested_suite(spark, sf_dir):
     return wide.join(record, F.col("p_partkey") == F.col("key")).drop("key")
 
 
+def _parts(spark, sf_dir):
+    """What pages are made of, dealt over all cores before they are read."""
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+
+
 def _pages(spark, sf_dir):
     """A page for each part: a heading, a definition list, an icon, a table, and two cards."""
     key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
@@ -144,7 +149,7 @@ def _pages(spark, sf_dir):
         F.when(big, F.concat(F.lit("<dt>Grade</dt><dd>"), F.col("p_type"), F.lit("</dd>"))).otherwise(F.lit("")), F.lit("</dl><table><tr><td>"), key, F.lit("</td><td>a &amp; b</td></tr><tr><td>short</td></tr></table>"),
         card(F.col("p_name"), size), card(F.col("p_type"), F.lit("7")), F.lit("</body></html>"),
     )
-    return table(spark, sf_dir, "part").select("p_partkey", page.alias("html"), icon.alias("icon"), F.when(big, F.col("p_name")).otherwise("").alias("content"))
+    return _parts(spark, sf_dir).select("p_partkey", page.alias("html"), icon.alias("icon"), F.when(big, F.col("p_name")).otherwise("").alias("content"))
 
 
 @query(
@@ -164,8 +169,8 @@ def page_fields(spark, sf_dir):
 def listing_cards(spark, sf_dir):
     """Each card of a listing page with its fields by label."""
     cards = _pages(spark, sf_dir).select("p_partkey", F.posexplode(html.elements(F.col("html"), "div.card")).alias("card", "markup"))
-    told = cards.withColumn("c", html.card_fields(F.col("markup"), {"units": "Units", "empty": "Empty", "absent": "Absent"}))
-    return told.select("p_partkey", "card", html.select_text(F.col("markup"), "a").alias("name"), "c.units", "c.empty", "c.absent")
+    told = cards.withColumn("c", html.card_fields(F.col("markup"), {"units": "Units", "empty": "Empty", "absent": "Absent"}, texts={"name": "a"}))
+    return told.select("p_partkey", "card", "c.name", "c.units", "c.empty", "c.absent")
 
 
 @query(
@@ -184,7 +189,7 @@ def estate_cards(spark, sf_dir):
         F.when(size % 3 == 0, row("MoM", F.lit("+1%"))).otherwise(F.lit("<p>MoM</p><div>no</div>")), F.when(size % 2 == 0, row("For Sale", text(size))).otherwise(row("For sale", F.lit("9"))), F.lit("<div><div>For Rent</div></div><p>x</p><div>y</div></a>"),
     )
     page = F.concat(F.lit('<html><a class="card">outside</a><div class="list">'), card, F.lit('<div><a class="card">deeper</a></div></div></html>'))
-    pages = table(spark, sf_dir, "part").select(page.alias("html"), F.col("p_type").alias("Region"), F.lit("D").alias("District"), F.lit("S").alias("Subdistrict"), F.col("p_brand").alias("Code"))
+    pages = _parts(spark, sf_dir).select(page.alias("html"), F.col("p_type").alias("Region"), F.lit("D").alias("District"), F.lit("S").alias("Subdistrict"), F.col("p_brand").alias("Code"))
     return html.estate_cards(pages, "html", "div.list > a.card", ["Region", "District", "Subdistrict", "Code"], F.lit("2025-03-09 01:02:03").cast("timestamp"))
 
 
@@ -203,12 +208,13 @@ def detail_blocks(spark, sf_dir):
         F.lit('</section><section class="property-info"><div class="col"><p class="col-title">Floors</p><p class="col-text">second</p></div></section><div class="meta-info-container"><div class="title">Twice</div><div class="content">first</div><div class="content">x</div></div>'),
         F.lit('<div class="meta-info-container"><div class="content">no title</div></div><div class="meta-info-container"><div class="title">M</div><span><div class="content"> A <i>B</i></div></span></div><ul><li>x</li><li data-k="a b"><a href="/q">no</a></li><li><a href="/p">'), F.col("p_name"), F.lit("</a></li></ul>"),
     )
-    pages = table(spark, sf_dir, "part").select("p_partkey", page.alias("html"))
-    a = html.block_list(F.col("html"), "div.col", "p.col-title", "p.col-text", "div.col-text", container="section.property-info")
-    b = html.block_list(F.col("html"), "div.meta-info-container", "div.title", "div.content")
-    found = pages.withColumns({"a": a, "b": b}).withColumns({n: nested.last_wins(F.col(n)) for n in "ab"})
+    pages = _parts(spark, sf_dir).select("p_partkey", page.alias("html"))
+    a = ("div.col", "p.col-title", ("p.col-text", "div.col-text"), "section.property-info")
+    b = ("div.meta-info-container", "div.title", ("div.content",), None)
+    read = pages.select("p_partkey", html.block_lists(F.col("html"), {"a": a, "b": b}, {"links": "ul > li[data-k~=b] + li > a[href^='/p']"}).alias("f"))
+    found = read.select("p_partkey", *(nested.last_wins(F.col(f"f.{n}")).alias(n) for n in "ab"), "f.links")
     at = lambda m, k: F.try_element_at(m, F.lit(k))
-    return found.select("p_partkey", at("a", "Grade").alias("grade"), at("a", "Floors").alias("floors"), at("a", "Usage").alias("usage"), at("b", "Twice").alias("twice"), at("b", "M").alias("meta"), html.select_text(F.col("html"), "ul > li[data-k~=b] + li > a[href^='/p']").alias("links"))
+    return found.select("p_partkey", at("a", "Grade").alias("grade"), at("a", "Floors").alias("floors"), at("a", "Usage").alias("usage"), at("b", "Twice").alias("twice"), at("b", "M").alias("meta"), "links")
 
 
 @query("page_tables", "SELECT p_partkey, p_partkey::VARCHAR AS key, 'a & b' AS both FROM part")
