@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import materialise, new_path
+from .scratch import materialise, new_path, released
 
 REVISIT_BYTES = 1000
 # Fixed values of the WARC 1.1 format.
@@ -60,30 +60,35 @@ def _header_block(kind: Column, page: Column, url: Column, refers: Column, sha1:
     return F.concat(*lines)
 
 
+def _stored(source: DataFrame, groups: DataFrame) -> DataFrame:
+    """``digest, payload``: of each group of equal payloads the one of its first record."""
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null")).alias("name")
+    chosen = groups.select(name("first"), "digest")
+    # Joined by both columns that group them afterwards: repeated rows lie together already, so payloads cross the network once.
+    told = source.select(name("id"), F.unhex(F.sha2("payload", 256)).alias("digest"), "payload").join(chosen.hint("merge"), ["name", "digest"])
+    return told.groupBy("name", "digest").agg(F.first("payload").alias("payload")).select("digest", "payload")
+
+
 def write_archive(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str = "2000-01-01T00:00:00Z") -> Archive:
     """Write one record for each row of ``pages``. Payload bytes cross one shuffle, and only those stored."""
     spark = pages.sparkSession
     archive = Archive(path or new_path(spark, "warc"))
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    facts = materialise(
-        source.select("id", "url", F.unhex(F.sha2("payload", 256)).alias("digest"), F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("size")),
-        "warc-facts",
-    )
-    # Written, so that Spark can split a payload that a third of the pages have when it joins.
-    groups = materialise(facts.groupBy("digest").agg(F.max("id").alias("first")), "warc-groups")
-    big = F.col("size") >= REVISIT_BYTES
-    rank = F.coalesce(F.col("id") == F.col("first"), F.col("first").isNull())
-    records = facts.join(groups.hint("merge"), "digest").withColumn("kind", F.when(big & ~rank, "revisit").otherwise("response"))
-    # Repeated ids with one payload: each is a response of its own, as a record can't refer to itself.
-    header = _header_block(F.col("kind"), F.col("id"), F.col("url"), F.col("first"), F.col("sha1"), F.col("size"), date)
-    records.select("digest", F.col("kind") == "response", header.cast("binary")).toDF("digest", "has_payload", "header").write.option("compression", "zstd").parquet(archive.headers)
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null")).alias("name")
-    chosen = groups.select(name("first"), F.col("digest").alias("want"))
-    stored = source.select(name("id"), "payload").join(chosen.hint("merge"), "name").where(F.unhex(F.sha2("payload", 256)) == F.col("want"))
-    # Repeated rows lie together already, so payloads cross the network once.
-    once = stored.groupBy("name", "want").agg(F.first("payload").alias("payload"))
-    once.select(F.col("want").alias("digest"), "payload").write.option("compression", "zstd").parquet(archive.payloads)
+    with released(spark):
+        facts = materialise(
+            source.select("id", "url", F.unhex(F.sha2("payload", 256)).alias("digest"), F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("size")),
+            "warc-facts",
+        )
+        # Written, so that Spark can split a payload that a third of the pages have when it joins.
+        groups = materialise(facts.groupBy("digest").agg(F.max("id").alias("first")), "warc-groups")
+        big = F.col("size") >= REVISIT_BYTES
+        rank = F.coalesce(F.col("id") == F.col("first"), F.col("first").isNull())
+        records = facts.join(groups.hint("merge"), "digest").withColumn("kind", F.when(big & ~rank, "revisit").otherwise("response"))
+        # Repeated ids with one payload: each is a response of its own, as a record can't refer to itself.
+        header = _header_block(F.col("kind"), F.col("id"), F.col("url"), F.col("first"), F.col("sha1"), F.col("size"), date)
+        records.select("digest", F.col("kind") == "response", header.cast("binary")).toDF("digest", "has_payload", "header").write.option("compression", "zstd").parquet(archive.headers)
+        _stored(source, groups).write.option("compression", "zstd").parquet(archive.payloads)
     return archive
 
 

@@ -358,3 +358,15 @@ def test_archive_round_trip(spark):
     whole = records.select(warc.record_bytes(F.col("header"), F.col("payload")).alias("r")).collect()
     assert all(bytes(r["r"]).startswith(b"WARC/1.1\r\n") and bytes(r["r"]).endswith(b"\r\n\r\n") for r in whole)
     assert warc.read_records(spark, warc.write_archive(pages.limit(0))).count() == 0
+
+
+def test_stored_payloads_cross_the_network_once(spark):
+    source = spark.createDataFrame([(1, b"a"), (2, b"a"), (2, b"a"), (None, b"b")], "id long, payload binary")
+    groups = source.groupBy(F.unhex(F.sha2("payload", 256)).alias("digest")).agg(F.max("id").alias("first")).localCheckpoint()
+    stored = warc._stored(source, groups)
+    assert sorted(bytes(r["payload"]) for r in stored.collect()) == [b"a", b"b"]
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        assert warc._stored(source, groups)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", True)
