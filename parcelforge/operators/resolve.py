@@ -21,6 +21,10 @@ from ..sources.shared import written
 from .aggregates import best_of_each
 from .name_index import SLACK, candidates, indexed
 
+#: The score from which a row that has found its own name looks for names as near alone.
+HIGH = 90
+#: Over how many keys of a join rows without one are dealt.
+DEALT = 1024
 ENTITY = ["building_key", "source", "source_id", "original_key", "building_name", "normalized_name", "address", "normalized_address", "district", "grade", "year_built"]
 
 
@@ -55,24 +59,39 @@ def fuzzy_best(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     def numbered(rows: DataFrame) -> DataFrame:
         return rows.withColumn("digits", F.array_sort(F.array_distinct(digit_groups(c("address" if "address" in rows.columns else "normalized_address")))))
 
-    named = lambda df: df.where(c("normalized_name") != "")
     side = lambda rows, p: rows.withColumn("address", parts("normalized_address")).select(*(c(x).alias(f"{p}_{x}") for x in (*fields, "address")), *(x for x in rows.columns if x not in fields))
     left, right = numbered(left), numbered(right)
+    # What a row can reach at most, by what it has: below the threshold it matches nothing.
+    reach = score_of(F.lit(100), F.when(F.coalesce(c("normalized_address") != "", F.lit(False)), 100).otherwise(0), F.coalesce(c("district") != "", F.lit(False)), F.coalesce(F.size("digits") > 0, F.lit(False)))
+    named = lambda df: df.where((c("normalized_name") != "") & (reach >= F.lit(threshold - SLACK)))
     a = written(side(named(left).select(*fields).distinct(), "l"), "left-side")
     first = F.max(F.struct((-c(right_order)).alias("order"), c(right_key))).alias("first")
     b = written(side(named(right).groupBy(*fields).agg(first).select(*fields, "first"), "r"), "right-side")
     whole = lambda rows, p: rows.select(*(c(f"{p}_{x}").alias(n) for x, n in (("normalized_name", "name"), ("district", "district"), ("digits", "digits"))))
-    alike = _names_alike(whole(a, "l"), whole(b, "r"), threshold)
-    met = a.join(alike.withColumnRenamed("name", "l_normalized_name"), "l_normalized_name").join(b.withColumnRenamed("r_normalized_name", "other"), "other")
+    others = b.withColumnRenamed("r_normalized_name", "other")
     same_district = F.coalesce((F.lower("l_district") == F.lower("r_district")) & (c("l_district") != ""), F.lit(False))
     shared = F.coalesce(F.arrays_overlap("l_digits", "r_digits"), F.lit(False))
     filled = F.coalesce((c("l_normalized_address") != "") & (c("r_normalized_address") != ""), F.lit(False))
     bound = score_of(c("ratio"), F.when(filled, F.least(sort_bound(c("l_address"), c("r_address")), F.lit(100.0))).otherwise(0.0), same_district, shared)
-    pairs = met.where(bound >= F.lit(threshold - SLACK))
     score = score_of(c("ratio"), F.when(filled, token_sort_ratio("l_normalized_address", "r_normalized_address")).otherwise(0), same_district, shared)
     own = [f"l_{x}" for x in fields]
-    scored = pairs.select(*own, score.alias("score"), c(f"first.{right_key}").alias(right_key), (-c("first.order")).alias(right_order))
-    best = best_of_each(scored, own, "score", right_order, threshold)
+
+    def best_of(met: DataFrame, least: float) -> DataFrame:
+        """The best right row of each left row, among pairs that have met, with the ``ratio`` of their names."""
+        scored = met.where(bound >= F.lit(least - SLACK)).select(*own, score.alias("score"), c(f"first.{right_key}").alias(right_key), (-c("first.order")).alias(right_order))
+        return best_of_each(scored, own, "score", right_order, least)
+
+    # Rows that score high with a row of their own name can only be beaten by as high a score: few names are as near.
+    high = max(HIGH, threshold)
+    sure = written(best_of(a.join(others, c("l_normalized_name") == c("other")).withColumn("ratio", F.lit(100)), high).select(*(c(x).alias(f"s_{x}") for x in own)), "sure")
+    is_own = reduce(lambda x, y: x & y, (c(x).eqNullSafe(c(f"s_{x}")) for x in own))
+    parts_of = [(a.join(sure, is_own, "left_semi"), high), (a.join(sure, is_own, "left_anti"), threshold)]
+    asked = [(written(whole(rows, "l"), "asked"), least) for rows, least in parts_of]
+    found = [_names_alike(rows, whole(b, "r"), least) for rows, least in asked if not rows.isEmpty()]
+    if not found:
+        return left.select(left_key).join(right.select(right_key), F.lit(False)).withColumn("score", F.lit(0.0))
+    alike = reduce(DataFrame.unionByName, found).distinct()
+    best = best_of(a.join(alike.withColumnRenamed("name", "l_normalized_name"), "l_normalized_name").join(others, "other"), threshold)
     same = reduce(lambda x, y: x & y, (c(x).eqNullSafe(c(f"l_{x}")) for x in fields))
     return left.select(left_key, *fields).join(best.withColumnRenamed(right_key, "__right"), same).select(left_key, c("__right").alias(right_key), "score")
 
@@ -84,6 +103,20 @@ def name_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame
     return near.select("name", "other", name_ratio("name", "other").cast("double").alias("confidence")).where(F.col("confidence") >= threshold)
 
 
+def best_name_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """Of the pairs of ``name_pairs`` all that can be the best of a name on the left: of a name that stands on the right as it
+    is, only those of 100."""
+    every = lambda df: df.select("name", F.lit("all").alias("scope")).where("name <> ''").distinct()
+    a, b = indexed(left, right)
+    mine, theirs = every(left), written(every(right), "names-right")
+    own = theirs.select("name")
+    parts_of = [(mine.join(own, "name", "left_semi"), 100), (mine.join(own, "name", "left_anti"), threshold)]
+    asked = [(written(scope, "names-asked"), least) for scope, least in parts_of]
+    near = [candidates(a, b, scope, theirs, least) for scope, least in asked if not scope.isEmpty()] or [candidates(a, b, mine, theirs, 101)]
+    found = reduce(DataFrame.unionByName, near)
+    return found.select("name", "other", name_ratio("name", "other").cast("double").alias("confidence")).where(F.col("confidence") >= threshold)
+
+
 def _entity(df: DataFrame, prefix: str, source: str, source_id: Column, name: Column, address: Column, district: Column, grade: Column, year: Column, seq: str) -> DataFrame:
     own = F.coalesce(F.nullif(source_id.cast("string"), F.lit("")), F.xxhash64(or_empty(name)).cast("string"))
     return df.select(
@@ -101,19 +134,23 @@ def _once(entities: DataFrame) -> DataFrame:
 
 def best_scored(scores: DataFrame, entities: DataFrame, threshold: float) -> DataFrame:
     """``row, building_key, score``: for each row of a table of scores (``row, building_key, score``) the entity of the greatest
-    score of at least ``threshold``, of ties the first; entities that aren't there are passed over."""
-    known = scores.join(entities.select("building_key", "order"), "building_key")
+    score of at least ``threshold``, of ties the first; entities that aren't there are passed over. Scores that were made of the
+    entities that are there have their ``order`` already."""
+    told = scores.where(F.col("score") >= threshold)
+    known = told if "order" in scores.columns else told.join(entities.select("building_key", "order"), "building_key")
     return best_of_each(known.select("row", "score", "order", "building_key"), ["row"], "score", "order", threshold).select("row", "building_key", "score")
 
 
-def consolidate(masters: DataFrame, listed: DataFrame, detailed: DataFrame, threshold: float = ENTITY_THRESHOLD, scores: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def consolidate(masters: DataFrame, listed: DataFrame, detailed: DataFrame, threshold: float = ENTITY_THRESHOLD, scores: tuple | None = None, scored_as: tuple[Column, Column] | None = None) -> DataFrame:
     """Entities with ``matches``: map of source to ``struct(id, original_key, score, building_name, address, original_record)``.
 
     ``masters``: ID, Name, Street Name, District Name, Grade, Year Built. ``listed``: Building Name, Address, Detail URL.
     ``detailed``: propertyID, buildingNameEn, address, districtNameEn, opDateDisplayName. Each has ``seq``. Listed
     buildings are matched against the masters, detailed ones against masters and unmatched listed ones. What finds no
     entity becomes one. Of several that find the same entity the last by ``seq`` stands in ``matches``. ``scores`` are those of
-    listed and of detailed rows (``row``, their ``seq``, ``building_key, score``) where they are known already.
+    listed and of detailed rows (``row``, their ``seq``, ``building_key, score``) where they are known already: two tables, or two
+    functions that make them of the entities that are there (``building_key, place, order``; the table then has ``order`` too).
+    ``scored_as`` are columns by which rows stand in them in place of ``seq``, where many rows have the same scores.
     """
     c = F.col
     null = F.lit(None).cast("string")
@@ -124,20 +161,23 @@ def consolidate(masters: DataFrame, listed: DataFrame, detailed: DataFrame, thre
     md, cn = named(md), named(cn)
     base = lh.withColumn("stage", F.lit(0))
 
-    def matched(rows: DataFrame, entities: DataFrame, known: DataFrame | None) -> DataFrame:
+    def matched(rows: DataFrame, entities: DataFrame, k: int) -> DataFrame:
         place = entities.select("building_key", F.struct("stage", "seq").alias("place"), "normalized_name", "normalized_address", "address", "district")
         ordered = place.withColumn("order", c("place.stage") * F.lit(1 << 40) + c("place.seq"))
-        if known is not None:
-            return written(best_scored(known.join(rows.select(c("seq").alias("row")), "row", "left_semi"), ordered, threshold), "matched")
+        if scores is not None:
+            known = scores[k](ordered) if callable(scores[k]) else scores[k]
+            keyed = rows.select("seq", (scored_as[k] if scored_as else c("seq")).alias("row"))
+            best = best_scored(known.join(keyed.select("row").distinct(), "row", "left_semi"), ordered, threshold)
+            return written(keyed.join(best, "row").select(c("seq").alias("row"), "building_key", "score"), "matched")
         return written(fuzzy_best(rows.withColumn("row", c("seq")), ordered, "row", "building_key", "order", threshold), "matched")
 
     def fresh(rows: DataFrame, found: DataFrame, stage: int) -> DataFrame:
         left = rows.join(found.select(c("row").alias("seq")), "seq", "left_anti").withColumnsRenamed({"own_key": "building_key"})
         return _once(left).withColumn("stage", F.lit(stage))
 
-    found_md = matched(md, base, scores and scores[0])
+    found_md = matched(md, base, 0)
     with_md = written(base.unionByName(fresh(md, found_md, 1)), "entities")
-    found_cn = matched(cn, with_md, scores and scores[1])
+    found_cn = matched(cn, with_md, 1)
     entities = with_md.unionByName(fresh(cn, found_cn, 2))
 
     def latest(rows: DataFrame, found: DataFrame, source: str) -> DataFrame:
@@ -193,18 +233,20 @@ def enrich(transactions: DataFrame, entities: DataFrame, key: str, id_col: str,
     told = ["confidence", *fields]
     # Of one entity its own id goes before its match's.
     by_id = known.groupBy(c("id").alias("__id")).agg(F.max(F.struct((-c("order")).alias("order"), (c("confidence") == 100.0).alias("own"), *told)).alias("best")).select("__id", *(f"best.{f}" for f in told))
-    rows = transactions.withColumn("__id", c(id_col).cast("string"))
-    first = rows.join(by_id, "__id", "left")
+    # Rows without an id (later: that need no name) match nothing: they are dealt by their key, not all to one task.
+    dealt = lambda value: F.when(value.isNull(), F.pmod(F.xxhash64(key), F.lit(DEALT))).otherwise(0)
+    rows = transactions.withColumn("__id", c(id_col).cast("string")).withColumn("__dealt", dealt(c("__id")))
+    first = rows.join(by_id.withColumn("__dealt", F.lit(0).cast("long")), ["__id", "__dealt"], "left").drop("__dealt")
     # Names are matched once each, however many transactions they have.
     open_rows = first.where(c("building_key").isNull() & (normal_name(c(name_col)) != ""))
     names = open_rows.select(normal_name(c(name_col)).alias("normalized_name")).distinct()
-    pairs = name_pairs(names.withColumnRenamed("normalized_name", "name"), e.select(c("normalized_name").alias("name")), threshold)
+    pairs = best_name_pairs(names.withColumnRenamed("normalized_name", "name"), e.select(c("normalized_name").alias("name")), threshold)
     # Of entities of one name the first: the others would score the same.
     firsts = e.groupBy(c("normalized_name").alias("other")).agg(F.max(F.struct((-c("order")).alias("order"), *fields)).alias("first"))
     scored = pairs.join(firsts, "other").select("name", (-c("first.order")).alias("order"), *(f"first.{f}" for f in fields), "confidence")
     best = written(best_of_each(scored, ["name"], "confidence", "order", threshold), "by-name")
-    by_name = best.select(c("name").alias("__name"), *(c(f).alias(f"n_{f}") for f in told))
-    joined = first.withColumn("__name", F.when(c("building_key").isNull(), normal_name(c(name_col)))).join(by_name, "__name", "left")
+    by_name = best.select(c("name").alias("__name"), F.lit(0).cast("long").alias("__dealt"), *(c(f).alias(f"n_{f}") for f in told))
+    joined = first.withColumn("__name", F.when(c("building_key").isNull(), normal_name(c(name_col)))).withColumn("__dealt", dealt(c("__name"))).join(by_name, ["__name", "__dealt"], "left")
     by = F.when(c("building_key").isNotNull(), F.struct(*told)).otherwise(F.struct(*(c(f"n_{f}").alias(f) for f in told)))
     found = joined.withColumn("__by", by)
     return found.select(*transactions.columns, *(c("__by")[f].alias(n) for f, n in (("building_key", "building_key"), ("original_building_id", "original_building_id"), ("grade", "building_grade"), ("year_built", "building_year"), ("confidence", "match_confidence"))))

@@ -48,3 +48,34 @@ def test_scopes_part_names(spark):
     found = name_index.alike(a, b, scope(("sun tower", "x"), ("sun towr", "y")), scope(("sun tower", "y"), ("sun towr", "z")), 85)
     assert found.collect() == [("sun towr", "sun tower")]
     assert name_index.candidates(a, b, scope(("sun tower", "x")), scope(("sun tower", "x")), 101).count() == 0
+
+
+def test_names_that_find_themselves_look_for_their_best_alone(spark):
+    r = random.Random(7)
+    words = ["centre", "point", "kowloon", "bay", "sun", "moon", "tower", "house"]
+    one, two = ({spelled(r, words) for _ in range(80)} | {"sun tower", "tower"} for _ in range(2))
+    one |= set(r.sample(sorted(two), 30))
+    frame = lambda names: spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+    best = lambda a, b: max(similarity.token_sort_of(a, b), similarity.token_set_of(a, b))
+    found = {(x["name"], x["other"]) for x in resolve.best_name_pairs(frame(one), frame(two), 85).collect()}
+    assert found == {(a, b) for a in one for b in two if best(a, b) >= (100 if a in two else 85)}
+
+
+def test_digests_that_find_themselves_meet_few_others(spark):
+    """Digests share most of their characters, so nearly all of their pairs meet at 85; at 100 hardly any do."""
+    names = spark.range(400).select(F.sha1(F.col("id").cast("string")).alias("name"))
+    every = names.select("name", F.lit("all").alias("scope"))
+    a, b = name_index.indexed(names, names)
+    assert name_index.alike(a, b, every, every, 100).count() < 450 and resolve.best_name_pairs(names, names, 85).count() == 400
+
+
+def test_rows_of_one_class_have_one_score(spark):
+    text = lambda *names: [F.lit(None).cast("string").alias(n) for n in names]
+    masters = spark.range(3).select(F.col("id").alias("ID"), F.lit("m").alias("Name"), *text("Street Name", "District Name", "Grade", "Year Built"), F.col("id").alias("seq"))
+    listed = spark.range(6).select(F.lit("l").alias("Building Name"), *text("Address"), F.concat(F.lit("/B"), F.col("id").cast("string")).alias("Detail URL"), F.col("id").alias("seq"))
+    detailed = spark.range(0).select(F.col("id").alias("propertyID"), *text("buildingNameEn", "address", "districtNameEn", "opDateDisplayName"), F.col("id").alias("seq"))
+    none = spark.createDataFrame([], "row long, building_key string, score double")
+    one = lambda entities: entities.select(F.lit(1).cast("long").alias("row"), "building_key", "order", F.lit(80.0).alias("score"))
+    found = resolve.consolidate(masters, listed, detailed, scores=(one, none), scored_as=(F.col("seq") % 2, F.col("seq")))
+    told = {r["building_key"]: r["matches"].get("midland", {"id": None})["id"] for r in found.collect()}
+    assert told == {"LH_0": "B5", "LH_1": None, "LH_2": None, "MD_B0": None, "MD_B2": None, "MD_B4": None}
