@@ -1,6 +1,8 @@
 """Intermediate tables in the shared folder: they cut lineage and outlive any one executor.
 
-Tables written within ``released`` are deleted at its end, but for those that are told to be kept.
+Tables written within ``released`` are deleted at its end, but for those that are told to be kept. The shuffle files of a
+write are deleted at its end too: what was written is read from the shared folder, and Spark would keep them until the
+driver happens to collect its garbage.
 """
 
 from __future__ import annotations
@@ -14,6 +16,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Whether Spark deletes a query's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a temporary folder where it is unset and Spark runs on this machine
     alone, as in tests."""
@@ -34,13 +40,24 @@ def new_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str, **options) -> DataFrame:
     """``df`` written as Parquet and read again, which cuts its lineage."""
     path = new_path(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
+    with _shuffles_deleted(df.sparkSession):
+        df.write.options(**options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     if scopes := _scopes():
         scopes[-1].append((out, path))
     return out
 
 
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+
+
 _thread = threading.local()
 
 

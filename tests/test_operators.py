@@ -5,6 +5,7 @@ import json
 import os
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,6 +177,22 @@ def test_released_tables_go_but_for_those_kept(spark):
     assert first.count() == 3 and gone and not any(map(os.path.exists, gone))
 
 
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        held = manager.getAllFiles()
+        return {f.getName() for f in (held.apply(k) for k in range(held.size())) if f.getName().startswith("shuffle")}
+
+    before = shuffled()
+    found = written(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count().repartition(3), "counted")
+    for _ in range(50):  # executors delete them on their own
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and found.count() == 10
+
+
 def test_sinks(spark, tmp_path):
     path = str(tmp_path / "p")
     sinks.write_parquet(spark.range(5), path)
