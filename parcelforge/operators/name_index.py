@@ -71,9 +71,9 @@ def indexed(names: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(whole.where(c("side") == k).drop("side") for k in (0, 1))
 
 
-def alike(left: DataFrame, right: DataFrame, scopes: DataFrame, other_scopes: DataFrame, threshold: float) -> DataFrame:
+def alike(left: DataFrame, right: DataFrame, scopes: DataFrame, other_scopes: DataFrame, threshold: float, few: bool = False) -> DataFrame:
     """``name, other``: all pairs that share a scope (``name, scope``) and whose name ratio may be ``threshold`` or more, from names as
-    ``indexed`` gives them. Without scopes in common there are none."""
+    ``indexed`` gives them. Without scopes in common there are none. ``few``: the names of ``scopes`` fit a broadcast."""
     r = _rounded_down(threshold)
     share, k = r / (2 - r), 3 if r >= BY_THREE else 2
     c = F.col
@@ -103,22 +103,24 @@ def alike(left: DataFrame, right: DataFrame, scopes: DataFrame, other_scopes: Da
     near = met.where(apart <= F.lit(1 - r) * (c("size") + c("other_size")) + SLACK).select("name", "other")
     by_token = meeting(a_tokens.where("leads"), b_tokens).unionByName(meeting(a_tokens, b_tokens.where("leads")))
     pairs = written(near.unionByName(by_token).distinct(), "name-pairs")
-    return _bounded(pairs, left, right, threshold)
+    return _bounded(pairs, left.join(scopes, "name", "left_semi") if few else left, right, threshold, few)
 
 
-def within(left: DataFrame, right: DataFrame, scopes: DataFrame, other_scopes: DataFrame, threshold: float) -> DataFrame:
+def within(left: DataFrame, right: DataFrame, scopes: DataFrame, other_scopes: DataFrame, threshold: float, few: bool = False) -> DataFrame:
     """The same without an index: all pairs of a scope that pass the bounds, for thresholds that keys can't serve."""
     pairs = written(scopes.join(other_scopes.withColumnRenamed("name", "other"), "scope").select("name", "other").distinct(), "scope-pairs")
-    return _bounded(pairs, left, right, threshold)
+    return _bounded(pairs, left.join(scopes, "name", "left_semi") if few else left, right, threshold, few)
 
 
-def _bounded(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+def _bounded(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float, few: bool) -> DataFrame:
     own, others = left.select("name", "own"), right.select(F.col("name").alias("other"), F.col("own").alias("others"))
-    return pairs.join(own, "name").join(others, "other").where(name_bound(F.col("own"), F.col("others")) >= F.lit(threshold - SLACK)).select("name", "other")
+    # Where one side is broadcast, pairs cross the network as two names alone.
+    both = pairs.join(others, "other").join(F.broadcast(own), "name") if few else pairs.join(own, "name").join(others, "other")
+    return both.where(name_bound(F.col("own"), F.col("others")) >= F.lit(threshold - SLACK)).select("name", "other")
 
 
-def candidates(left: DataFrame, right: DataFrame, scopes: DataFrame, other_scopes: DataFrame, threshold: float) -> DataFrame:
+def candidates(left: DataFrame, right: DataFrame, scopes: DataFrame, other_scopes: DataFrame, threshold: float, few: bool = False) -> DataFrame:
     """``alike`` where the threshold allows for keys, else ``within``; nothing reaches more than 100."""
     if threshold > 100:
         return scopes.select("name", F.col("name").alias("other")).limit(0)
-    return (alike if _rounded_down(threshold) >= BY_TWO else within)(left, right, scopes, other_scopes, threshold)
+    return (alike if _rounded_down(threshold) >= BY_TWO else within)(left, right, scopes, other_scopes, threshold, few)

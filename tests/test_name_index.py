@@ -1,5 +1,6 @@
 """The name index against all pairs, at thresholds that take two, three and no characters for a key."""
 
+import os
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelforge.functions import similarity
 from parcelforge.operators import name_index, resolve
+from parcelforge.sources.shared import shared_dir
 
 
 def spelled(r, words):
@@ -50,6 +52,19 @@ def test_scopes_part_names(spark):
     assert name_index.candidates(a, b, scope(("sun tower", "x")), scope(("sun tower", "x")), 101).count() == 0
 
 
+def test_passes_find_all_pairs_and_leave_those_alone(spark):
+    r = random.Random(3)
+    words = ["centre", "point", "kowloon", "bay", "sun", "moon", "tower", "house"]
+    one, two = ({spelled(r, words) for _ in range(60)} for _ in range(2))
+    frame = lambda names: spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+    best = lambda a, b: max(similarity.token_sort_of(a, b), similarity.token_set_of(a, b))
+    before = set(os.listdir(shared_dir(spark)))
+    found = resolve.name_pairs(frame(one), frame(two), 85, pass_pairs=len(one) * len(two) // 3)
+    assert {(x["name"], x["other"]) for x in found.collect()} == {(a, b) for a in one for b in two if a and b and best(a, b) >= 85}
+    left = set(os.listdir(shared_dir(spark))) - before
+    assert len(left) in (3, 4) and all(x.startswith("pairs-alike") for x in left)
+
+
 def test_names_that_find_themselves_look_for_their_best_alone(spark):
     r = random.Random(7)
     words = ["centre", "point", "kowloon", "bay", "sun", "moon", "tower", "house"]
