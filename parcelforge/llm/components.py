@@ -1,35 +1,51 @@
-"""Connected components of an edge table, by alternating large-star and small-star rounds.
+"""Connected components of an edge table, by hooking and contraction.
 
-Each round replaces the edges by edges to the least neighbour (first for larger neighbours of every node, then for
-smaller ones) until every node points at the least id of its component. Minima are aggregated map-side and joined
-back, so no neighbourhood is gathered in one task; every round is written to the shared folder.
+In each round every node that has a lesser neighbour is hooked to the least one, each hook is followed to its root, and
+the edges between roots are what is left. A root that none of its neighbours hooked to has a lesser neighbour in the next
+round, so the nodes are at least halved by every two rounds. Minima are aggregated map-side, so no neighbourhood is gathered
+in one task. Only the minima of a round are dealt out by node; the tables that are joined to them stay as they are
+while the hooks are few enough for a broadcast, and are merge-joined beyond that.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialise, released
-
+from .scratch import fits_broadcast, materialise, released
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    return both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
+def _roots(hooks: DataFrame, beside: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The hooks ``node, component``, each followed to where none goes on; what a step follows is twice as long as before."""
+    while True:
+        ahead = hooks.select(F.col("node").alias("component"), F.col("component").alias("ahead"))
+        followed = hooks.join(beside(ahead), "component", "left")
+        moved = materialise(followed.select("node", F.coalesce("ahead", "component").alias("component"), F.col("ahead").isNotNull().alias("moved")), "hooks")
+        hooks = moved.select("node", "component")
+        if moved.where("moved").isEmpty():
+            return hooks
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
-
-def _are_stars(edges: DataFrame) -> bool:
-    """Whether every node points at one node that points nowhere. The edges are counted by node, with partial sums."""
-    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("met"))
-    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("met")))
-    return ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("met").alias("met")).where("out > 1 OR out = 1 AND met = 1").isEmpty()
+def absorbed(edges: DataFrame) -> DataFrame:
+    """As ``connected_components``, without the nodes that are the least of their component."""
+    c = F.col
+    ends = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    with released(edges.sparkSession) as keep:
+        now = materialise(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+        found = now.select(c("a").alias("node"), c("b").alias("component")).limit(0)
+        while n := now.count():
+            few = fits_broadcast(n)
+            beside = F.broadcast if few else lambda df: df.hint("merge")
+            hooks = _roots(materialise(now.groupBy(c("a").alias("node")).agg(F.min("b").alias("component")), "hooks"), beside)
+            on = found.join(beside(hooks.toDF("component", "root")), "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+            found = on.unionByName(hooks)
+            # Copies of an edge are many rows of one key, which matters to merge joins alone.
+            both = (now if few else now.distinct()).join(beside(hooks.toDF("a", "root_a")), "a").join(beside(hooks.toDF("b", "root_b")), "b", "left")
+            x, y = c("root_a"), F.coalesce("root_b", "b")
+            now = materialise(both.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")), "edges")
+        return keep(materialise(found, "absorbed"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -37,11 +53,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Null ends and edges from a node to itself are passed over; repeated edges count once; no edges give no rows.
     """
-    ends = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    with released(edges.sparkSession) as keep:
-        now = materialise(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-        while not _are_stars(now):
-            now = materialise(_small_star(_large_star(now)), "edges")
-        keep(now)
-    roots = now.select(F.col("b").alias("node")).distinct()
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.withColumn("component", F.col("node")))
+    found = absorbed(edges)
+    roots = found.select(F.col("component").alias("node")).distinct()
+    return found.unionByName(roots.withColumn("component", F.col("node")))

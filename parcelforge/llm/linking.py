@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .components import connected_components
+from .components import absorbed
 from .scratch import HASHED_ID_BYTES, fits_broadcast, materialise, released, trimmed
 from .shingles import SLICE_CHARS, WIDTH, exact_sets, mix
 
@@ -79,35 +79,37 @@ def small_side(df: DataFrame, row_bytes: int = HASHED_ID_BYTES) -> DataFrame:
 
 def verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """Of the pairs ``a, b`` those whose texts link: exact Jaccard of their shingle sets. ``texts`` gives ``node, text``
-    for a table of nodes."""
-    involved = materialise(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "involved")
-    held = materialise(texts(small_side(involved)).select("node", "text"), "involved-texts")
+    for a table of nodes. Further columns, which are longs, pass through."""
+    ends = [pairs.select(F.col(x).alias("node"), F.lit(x == "a").alias("as_a"), F.lit(x == "b").alias("as_b")) for x in "ab"]
+    involved = materialise(ends[0].unionByName(ends[1]).groupBy("node").agg(F.max("as_a").alias("as_a"), F.max("as_b").alias("as_b")), "involved")
+    held = materialise(texts(small_side(involved.select("node"))).select("node", "text"), "involved-texts")
     # A text goes to the side that asks for it alone: hubs, which many pairs share, are few.
-    side = lambda x: held.toDF(x, f"text_{x}").join(small_side(materialise(pairs.select(x).distinct(), f"involved-{x}")), x, "left_semi")
+    side = lambda x: held.toDF(x, f"text_{x}").join(small_side(involved.where(f"as_{x}").select(F.col("node").alias(x))), x, "left_semi")
+    own = ["a", "b", *(c for c in pairs.columns if c not in ("a", "b"))]
     both = pairs.join(side("b").hint("merge"), "b").join(side("a").hint("merge"), "a")
 
     def linked(rows: list[tuple]) -> pa.RecordBatch:
-        sets = list(exact_sets([t for row in rows for t in row[2:]], width))
+        sets = list(exact_sets([t for row in rows for t in row[-2:]], width))
         keep = []
         for row, x, y in zip(rows, sets[::2], sets[1::2], strict=True):
             shared = len(np.intersect1d(x, y, assume_unique=True))
             if len(x) and len(y) and 100 * shared >= percent * (len(x) + len(y) - shared):
                 keep.append(row)
-        return pa.RecordBatch.from_arrays([pa.array([row[k] for row in keep], pa.int64()) for k in range(2)], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([row[k] for row in keep], pa.int64()) for k in range(len(own))], own)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, size = [], 0
-            for row in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in (*own, "text_a", "text_b")), strict=True):
                 held.append(row)
-                size += sum(len(t or "") for t in row[2:])
+                size += sum(len(t or "") for t in row[-2:])
                 if size >= SLICE_CHARS:
                     yield linked(held)
                     held, size = [], 0
             if held:
                 yield linked(held)
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(lambda batches: trimmed(run(batches)), "a bigint, b bigint")
+    return both.select(*own, "text_a", "text_b").mapInArrow(lambda batches: trimmed(run(batches)), ", ".join(f"{c} bigint" for c in own))
 
 
 def linked_components(postings: DataFrame, nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int = PERCENT, width: int = WIDTH, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
@@ -133,10 +135,9 @@ def _linked(postings: DataFrame, nodes: DataFrame, texts: Callable[[DataFrame],
     differ = (lambda x, y: F.bit_count(x.bitwiseXOR(y))) if single else differing_bits
     state = nodes.select("node", "grp", F.col("node").alias("comp"))
 
-    def nearest(pairs: DataFrame) -> DataFrame:
+    def nearest(pairs: DataFrame, held: DataFrame) -> DataFrame:
         """Of the distinct pairs across components that pass the size and sketch bounds the nearest by sketch for each
         ``a`` (the others are left to later rounds, should they still lie apart)."""
-        held = nodes.join(state.select("node", "comp").hint("merge"), "node").select("node", "comp", "size", "sketch")
         a, b = (held.select(*(F.col(c).alias(f"{c}_{side}") for c in held.columns)) for side in "ab")
         both = pairs.distinct().join(a.hint("merge"), F.col("a") == F.col("node_a")).join(b.hint("merge"), F.col("b") == F.col("node_b"))
         c = F.col
@@ -147,26 +148,26 @@ def _linked(postings: DataFrame, nodes: DataFrame, texts: Callable[[DataFrame],
 
     def merged(pairs: DataFrame) -> DataFrame:
         """The state after the pairs that link have been merged."""
-        links = materialise(verified(pairs.select("a", "b"), texts, percent, width), "links")
-        edges = links.join(pairs.hint("merge"), ["a", "b"]).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
-        roots = connected_components(edges).select(F.col("node").alias("comp"), F.col("component").alias("root"))
-        return materialise(state.join(roots.hint("merge"), "comp", "left").select("node", "grp", F.coalesce("root", "comp").alias("comp")), "state")
+        links = materialise(verified(pairs, texts, percent, width), "links")
+        roots = absorbed(links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))).toDF("comp", "root")
+        return materialise(state.join(small_side(roots), "comp", "left").select("node", "grp", F.coalesce("root", "comp").alias("comp")), "state")
 
     for k in range(hub_rounds):
         # Components of groups: two of a key's groups, or two nodes of a group, may still lie apart.
-        tagged = shared.join(state.where("node = grp").select("grp", "comp").hint("merge"), "grp")
+        # At first every node is its own.
+        tagged = shared.join(state.where("node = grp").select("grp", "comp").hint("merge"), "grp") if k else shared.withColumn("comp", F.col("grp"))
+        held = nodes.join(state.select("node", "comp").hint("merge"), "node") if k else nodes.withColumn("comp", F.col("node"))
         mask = F.xxhash64("key", F.lit(k))
         hubs = tagged.groupBy("key").agg(F.min(F.col("grp").bitwiseXOR(mask)).alias("one"), F.max(F.col("grp").bitwiseXOR(mask)).alias("two"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
         tried = tagged.join(hubs.hint("merge"), "key").select("grp", F.explode(F.array(F.col("one").bitwiseXOR(mask), F.col("two").bitwiseXOR(mask))).alias("hub")).where("grp <> hub")
         pairs = tried.select(F.col("grp").alias("a"), F.col("hub").alias("b"))
         if k == 0:
             pairs = pairs.unionByName(state.where("node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b")))
-        state = merged(nearest(pairs))
+        state = merged(nearest(pairs, held.select("node", "comp", "size", "sketch")))
     members = shared.join(state.hint("merge"), "grp").select("key", "node", "comp", "size", "place")
     # Nodes of one group share all its keys: the group's name serves as one more key.
-    alone = nodes.where("node <> grp").select("grp").distinct()
-    within = nodes.join(alone, "grp").join(state.select("node", "comp"), "node").select(F.xxhash64(F.lit("group"), "grp").alias("key"), "node", "comp", "size", F.lit(0).alias("place"))
-    members = members.unionByName(within)
+    within = nodes.join(state.select("node", "comp").hint("merge"), "node").select(F.xxhash64(F.lit("group"), "grp").alias("key"), "node", "comp", "size", F.lit(0).alias("place"))
+    members = materialise(members.unionByName(within), "members")
     split = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
     left = materialise(members.join(split.hint("merge"), "key").join(nodes.select("node", "sketch").hint("merge"), "node"), "left")
     a, b = (left.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "comp", "size", "place", "sketch"))) for side in "ab")

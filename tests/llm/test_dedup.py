@@ -9,10 +9,11 @@ import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from pyspark.sql import functions as F
 
-from parcelforge.llm import exact_dedup, jaccard_join, linking, paragraph_dedup, shingles
+from parcelforge.llm import exact_dedup, jaccard_join, linking, paragraph_dedup, scratch, shingles
 from parcelforge.llm.components import connected_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -75,6 +76,52 @@ def test_components(spark):
     assert connected_components(edges(spark, [(1, 1)])).count() == 0
 
 
+def random_components(seed: int):
+    """Edges of paths, of hubs of the greatest or least id, and of chance, and each node's component."""
+    rng, pairs = random.Random(seed), []
+    for k in range(12):
+        own = rng.sample(range(1000 * k, 1000 * k + 900), 40)
+        pairs += [list(zip(own, own[1:], strict=False)), [(max(own), x) for x in own], [(x, min(own)) for x in own], [tuple(rng.sample(own, 2)) for _ in own], list(zip(sorted(own), sorted(own)[1:], strict=False))][k % 5]
+    root = {n: n for pair in pairs for n in pair}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in pairs:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    return pairs + pairs[:50], {n: find(n) for n in root}
+
+
+@pytest.mark.parametrize("most", [1 << 26, 0])
+def test_components_with_and_without_broadcasts(spark, monkeypatch, most):
+    monkeypatch.setattr(scratch, "BROADCAST_BYTES", most)
+    pairs, brute = random_components(7)
+    found = connected_components(edges(spark, pairs)).collect()
+    assert {r["node"]: r["component"] for r in found} == brute and len(found) == len(brute)
+
+
+def test_components_of_few_edges_take_few_tasks(spark):
+    """What a run leaves on disk for each task (logs, shuffle files) is more than such edges are."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("few-edges", "few edges")
+    try:
+        pairs, brute = random_components(8)
+        found = connected_components(edges(spark, pairs))
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for job in tracker.getJobIdsForGroup("few-edges") for s in tracker.getJobInfo(job).stageIds}
+        tasks = sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+        assert {r["node"]: r["component"] for r in found.collect()} == brute
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert 0 < tasks < 700, tasks
+
+
 def test_exact_dedup_against_an_index(spark, make_docs):
     index = exact_dedup.DigestIndex(spark)
     first = {r["doc_id"]: r for r in exact_dedup.deduplicate(make_docs(["A", "a", "É", "é", None, "", (9, "b")]), index).collect()}
