@@ -164,12 +164,13 @@ def _linked(postings: DataFrame, nodes: DataFrame, texts: Callable[[DataFrame],
         if k == 0:
             pairs = pairs.unionByName(state.where("node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b")))
         state = merged(nearest(pairs, held.select("node", "comp", "size", "sketch")))
-    members = shared.join(state.hint("merge"), "grp").select("key", "node", "comp", "size", "place")
-    # Nodes of one group share all its keys: the group's name serves as one more key.
-    within = nodes.join(state.select("node", "comp").hint("merge"), "node").select(F.xxhash64(F.lit("group"), "grp").alias("key"), "node", "comp", "size", F.lit(0).alias("place"))
-    members = materialise(members.unionByName(within), "members")
-    split = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    left = materialise(members.join(split.hint("merge"), "key").join(nodes.select("node", "sketch").hint("merge"), "node"), "left")
+    with released(nodes.sparkSession) as keep:
+        members = shared.join(state.hint("merge"), "grp").select("key", "node", "comp", "size", "place")
+        # Nodes of one group share all its keys: the group's name serves as one more key.
+        within = nodes.join(state.select("node", "comp").hint("merge"), "node").select(F.xxhash64(F.lit("group"), "grp").alias("key"), "node", "comp", "size", F.lit(0).alias("place"))
+        members = materialise(members.unionByName(within), "members")
+        split = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+        left = keep(materialise(members.join(split.hint("merge"), "key").join(nodes.select("node", "sketch").hint("merge"), "node"), "left"))
     a, b = (left.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "comp", "size", "place", "sketch"))) for side in "ab")
     c = F.col
     met = (a["key"] == b["key"]) & (c("node_a") < c("node_b")) & (c("comp_a") != c("comp_b")) & size_bound(c("size_a"), c("size_b"), percent) & unequal_bound(c("size_a"), c("size_b"), percent) & overlap_bound(c("size_a"), c("size_b"), c("place_a"), c("place_b"), percent)
