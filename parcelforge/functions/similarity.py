@@ -28,18 +28,18 @@ def ratio(a: str, b: str) -> int:
     return round(100 * SequenceMatcher(None, a, b, autojunk=False).ratio()) if a and b else 0
 
 
-def _tokens(text: str) -> list[str]:
+def tokens_of(text: str) -> list[str]:
     return re.sub(r"\W|_", " ", text.lower()).split()
 
 
 def token_sort_of(a: str, b: str) -> int:
-    return ratio(" ".join(sorted(_tokens(a))), " ".join(sorted(_tokens(b))))
+    return ratio(" ".join(sorted(tokens_of(a))), " ".join(sorted(tokens_of(b))))
 
 
 def token_set_of(a: str, b: str) -> int:
     """The best of the shared tokens against either side's, and of the two sides; 100 where one side's tokens are all
     among the other's."""
-    one, two = set(_tokens(a)), set(_tokens(b))
+    one, two = set(tokens_of(a)), set(tokens_of(b))
     if not one or not two:
         return 100 if one == two else 0
     both = " ".join(sorted(one & two))
@@ -82,7 +82,7 @@ def parts(text: pd.Series) -> pd.DataFrame:
     distinct tokens, joined."""
     rows = []
     for x in text:
-        own = _tokens(x or "")
+        own = tokens_of(x or "")
         once = sorted(set(own))
         rows.append((once, *_chars(" ".join(own)), *_chars(" ".join(once))))
     return pd.DataFrame(rows, columns=list(_PARTS))

@@ -18,13 +18,14 @@ from ..functions.clean import or_empty, year_of
 from ..functions.similarity import ENTITY_THRESHOLD, NAME_THRESHOLD, WEIGHTS, name_ratio, parts, score_of, sort_bound, token_sort_ratio
 from ..functions.text import digit_groups, id_in_address, normal_address, normal_name
 from ..sources.shared import released, written
+from . import name_tiles
 from .aggregates import best_of_each
 from .name_index import SLACK, candidates, indexed
 
 #: The score from which a row that has found its own name looks for names as near alone.
 HIGH = 90
-#: Names on the left of one pass of ``name_pairs`` (about 1 KB each in a broadcast), and pairs of names, of which some 1 % meet.
-PASS_NAMES, PASS_PAIRS = 1 << 15, 1 << 31
+#: Names on the left of one pass of ``name_pairs``, and pairs of names.
+PASS_NAMES, PASS_PAIRS = 1 << 20, 1 << 40
 #: Over how many keys of a join rows without one are dealt.
 DEALT = 1024
 ENTITY = ["building_key", "source", "source_id", "original_key", "building_name", "normalized_name", "address", "normalized_address", "district", "grade", "year_built"]
@@ -101,20 +102,17 @@ def fuzzy_best(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
 def name_pairs(left: DataFrame, right: DataFrame, threshold: float, pass_names: int = PASS_NAMES, pass_pairs: int = PASS_PAIRS) -> DataFrame:
     """``name, other, confidence``: all pairs of the distinct names (``name``) of two tables that are alike enough.
 
-    Pairs that meet grow as the square of the names, so the names on the left are dealt to passes of ``pass_names`` names
-    and ``pass_pairs`` of all pairs; of each pass the alike pairs alone stay on disk. No pair is left out."""
-    every = lambda df: df.select("name", F.lit("all").alias("scope")).where("name <> ''").distinct()
+    Every name is set against every other in tiles (``name_tiles``), which leave nothing but alike pairs. Names cross the network
+    once for each block of the other side, so the left is dealt to passes of ``pass_names`` names and ``pass_pairs`` of all
+    pairs, and what a pass has dealt is deleted at its end. No pair is left out."""
+    # Empty names go afterwards: a condition would be pushed down to the texts, where each name is made again for it.
+    distinct = lambda df, to: written(df.select("name").distinct(), to).where("name <> ''")
     with released(left.sparkSession) as keep:
-        a, b = indexed(left, right)
-        mine, theirs = written(every(left), "names-left"), written(every(right), "names-right")
+        mine, theirs = distinct(left, "names-left"), distinct(right, "names-right")
         n = mine.count()
         passes = max(1, -(-n // pass_names), -(-n * theirs.count() // pass_pairs))
-        found = []
-        for k in range(passes):
-            with released(left.sparkSession) as keep_pass:
-                near = candidates(a, b, mine.where(F.pmod(F.xxhash64("name"), F.lit(passes)) == k), theirs, threshold, few=True)
-                told = near.select("name", "other", name_ratio("name", "other").cast("double").alias("confidence")).where(F.col("confidence") >= threshold)
-                found.append(keep(keep_pass(written(told, "pairs-alike"))))
+        own = lambda k: mine.where(F.pmod(F.xxhash64("name"), F.lit(passes)) == k)
+        found = [keep(written(name_tiles.alike(own(k), theirs, threshold), "pairs-alike")) for k in range(passes)]
     return reduce(DataFrame.unionByName, found)
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelforge.functions import similarity
-from parcelforge.operators import name_index, resolve
+from parcelforge.operators import name_index, name_tiles, resolve
 from parcelforge.sources.shared import shared_dir
 
 
@@ -94,3 +94,37 @@ def test_rows_of_one_class_have_one_score(spark):
     found = resolve.consolidate(masters, listed, detailed, scores=(one, none), scored_as=(F.col("seq") % 2, F.col("seq")))
     told = {r["building_key"]: r["matches"].get("midland", {"id": None})["id"] for r in found.collect()}
     assert told == {"LH_0": "B5", "LH_1": None, "LH_2": None, "MD_B0": None, "MD_B2": None, "MD_B4": None}
+
+
+@pytest.mark.parametrize("threshold", [0, 40, 85, 100, 101])
+def test_a_tile_has_every_alike_pair_once(threshold):
+    """Names of few letters, with tokens said twice, other letters, none, and more of them than a word or a byte holds."""
+    r = random.Random(threshold)
+    words = ["an", "the", "than", "inan", "enthe", "zu", "中環", "Ā", "a", "b" * 70, "thenin" * 50, "ab" * 130]
+    one, two = ([" ".join(r.choices(words[: r.choice([6, 9, 12])], k=r.randrange(1, 5))) for _ in range(60)] + ["...", "!", "the the the", "sun tower east", "中"] for _ in range(2))
+    one, two = sorted(set(one)), sorted(set(two))
+    best = lambda a, b: max(similarity.token_sort_of(a, b), similarity.token_set_of(a, b))
+    found = sorted((one[k], two[j], n) for k, j, n in name_tiles._alike(name_tiles._Block(one), name_tiles._Block(two), threshold))
+    assert found == sorted((a, b, n) for a in one for b in two if (n := best(a, b)) >= threshold)
+    assert not list(name_tiles._alike(name_tiles._Block([]), name_tiles._Block(two), threshold))
+
+
+def test_names_of_few_letters_are_not_written_as_pairs(spark, monkeypatch):
+    """An index of such names meets a share of all pairs; all that is written is names and alike pairs."""
+    r, rows = random.Random(5), []
+    names = lambda: spark.createDataFrame([(" ".join("".join(r.choices(["an", "the", "in", "re", "on", "er"], k=r.randrange(1, 4))) for _ in range(4)),) for _ in range(400)], "name string")
+    for module in (resolve, name_index):
+        monkeypatch.setattr(module, "written", lambda df, name, f=module.written: (out := f(df, name), rows.append(out.count()))[0])
+    found = resolve.name_pairs(names(), names(), 85).count()
+    assert 0 < found < 1000 and max(rows) <= max(400, found)
+
+
+def test_blocks_meet_in_all_tiles(spark, monkeypatch):
+    monkeypatch.setattr(name_tiles, "SMALL_BLOCK", 9)
+    r = random.Random(11)
+    words = ["centre", "point", "kowloon", "bay", "sun", "moon", "tower", "house"]
+    one, two = (sorted({spelled(r, words) for _ in range(70)} - {""}) for _ in range(2))
+    frame = lambda names: spark.createDataFrame([(n,) for n in names], "name string")
+    best = lambda a, b: max(similarity.token_sort_of(a, b), similarity.token_set_of(a, b))
+    found = name_tiles.alike(frame(one), frame(two), 85)
+    assert sorted(map(tuple, found.collect())) == sorted((a, b, float(best(a, b))) for a in one for b in two if best(a, b) >= 85)
