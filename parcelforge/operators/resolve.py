@@ -232,7 +232,7 @@ def enrich(transactions: DataFrame, entities: DataFrame, key: str, id_col: str,
     First by id: an entity of this source, or one with a match of this source that has the id (100, or the match's
     score); the first entity wins. What has no id match is matched by name, at ``threshold`` or more.
     ``original_building_id`` is the original key of the entity, where it is of this source, else of its match of this
-    source, else null. Rows without a match, and null or blank names and ids, get nulls.
+    source, else null. Rows without a match, and null or blank names and ids, get nulls. ``key`` tells rows apart; it may be empty.
     """
     c = F.col
     order = c("stage") * F.lit(1 << 40) + c("seq")
@@ -246,8 +246,9 @@ def enrich(transactions: DataFrame, entities: DataFrame, key: str, id_col: str,
     told = ["confidence", *fields]
     # Of one entity its own id goes before its match's.
     by_id = known.groupBy(c("id").alias("__id")).agg(F.max(F.struct((-c("order")).alias("order"), (c("confidence") == 100.0).alias("own"), *told)).alias("best")).select("__id", *(f"best.{f}" for f in told))
-    # Rows without an id (later: that need no name) match nothing: they are dealt by their key, not all to one task.
-    dealt = lambda value: F.when(value.isNull(), F.pmod(F.xxhash64(key), F.lit(DEALT))).otherwise(0)
+    # Rows without an id (later: that need no name) match nothing: they are dealt by their key, without one by all that can be hashed, not all to one task.
+    told_by = [key] if key else [f"`{x.replace('`', '``')}`" for x, kind in transactions.dtypes if "map<" not in kind and "variant" not in kind]
+    dealt = lambda value: F.when(value.isNull(), F.pmod(F.xxhash64(*told_by), F.lit(DEALT))).otherwise(0)
     rows = transactions.withColumn("__id", c(id_col).cast("string")).withColumn("__dealt", dealt(c("__id")))
     first = rows.join(by_id.withColumn("__dealt", F.lit(0).cast("long")), ["__id", "__dealt"], "left").drop("__dealt")
     # Names are matched once each, however many transactions they have.

@@ -252,3 +252,12 @@ def test_captures_of_other_contexts_are_not_opened(spark, tmp_path):
         for f in folder.glob("*.txt"):
             f.unlink()
     assert captured.read_captures(spark, path, "district int, day date, page int").where("district = 2").count() == 4
+
+
+def test_transactions_without_a_key(spark):
+    """No column tells rows apart, and one can't be hashed."""
+    kind = "building_key string, source string, source_id string, original_key string, building_name string, normalized_name string, grade string, year_built int, stage int, seq long, matches map<string, struct<id:string, original_key:string, score:double, building_name:string, address:string, original_record:string>>"
+    entities = spark.createDataFrame([("CN_1", "centanet", "5", "c5", "Sun Tower", "sun tower", "A", 1990, 0, 1, {})], kind)
+    trans = spark.createDataFrame([("5", "x", {"a": "b"}), (None, "Tower Sun", {}), (None, None, None)], "id string, name string, more map<string, string>")
+    found = resolve.enrich(trans, entities, "", "id", "name", "centanet").collect()
+    assert sorted((r["name"] or "", r["building_key"] or "") for r in found) == [("", ""), ("Tower Sun", "CN_1"), ("x", "CN_1")]
