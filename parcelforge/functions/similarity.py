@@ -44,7 +44,8 @@ def token_set_of(a: str, b: str) -> int:
         return 100 if one == two else 0
     both = " ".join(sorted(one & two))
     left, right = (" ".join(x for x in (both, " ".join(sorted(side))) if x) for side in (one - two, two - one))
-    return max(*(ratio(both, x) for x in (left, right) if both), ratio(left, right), 0)
+    # A side begins with what is shared, so all of that matches.
+    return max(*(round(100 * (2.0 * len(both) / (len(both) + len(x)))) for x in (left, right) if both), ratio(left, right), 0)
 
 
 @F.pandas_udf(T.IntegerType())

@@ -13,6 +13,7 @@ such names are found by their tokens.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -27,7 +28,7 @@ from ..functions.similarity import token_set_of, token_sort_of, tokens_of
 #: What is left for rounding between a ratio and its bounds; products are of single precision.
 SLACK, PRODUCT_SLACK = 1e-6, 0.1
 #: Names and characters in a block at most, and names in one that is made for the sake of more tasks.
-BLOCK_NAMES, BLOCK_CHARS, SMALL_BLOCK = 1 << 16, 1 << 25, 1 << 10
+BLOCK_NAMES, BLOCK_CHARS, SMALL_BLOCK = 1 << 16, 1 << 22, 1 << 10
 #: Columns of the product: the most frequent characters have their own up to so many, the others share some.
 OWN, OWN_SHARE, FOLDED = 128, 0.95, 16
 #: Columns of counts of neighbouring characters, and the length up to which they fit a byte.
@@ -129,28 +130,35 @@ def _neighbours(a: _Block, b: _Block, r: float, met: list) -> Iterator[tuple[np.
 
 
 def _by_tokens(a: _Block, b: _Block, share: float) -> Iterator[tuple[int, set[int]]]:
-    """Names of ``a`` with those of ``b`` whose shared tokens alone can be ``share`` of one side."""
+    """Names of ``a`` with those of ``b`` whose shared tokens alone can be ``share`` of one side: of tokens in one order, the rarest
+    first, the first that is shared and all after it on either side weigh at least as much."""
     often = Counter(t for block in (a, b) for once in block.once for t in once)
+    need = lambda weight: share * (weight - 1) + 1 - SLACK
 
-    def leads(once: frozenset) -> list[str]:
-        """Of the tokens, rarest first, those from which on the rest is still long enough."""
-        rest, out = _weight(once), []
-        least = share * (rest - 1) - SLACK
+    def rests(once: frozenset, weight: int) -> list[tuple[str, int]]:
+        """Tokens with the weight of them and all after them."""
+        out = []
         for t in sorted(once, key=lambda t: (often[t], t)):
-            if rest - 1 < least:
-                break
-            out.append(t)
-            rest -= len(t) + 1
+            out.append((t, weight))
+            weight -= len(t) + 1
         return out
 
     every, leading = defaultdict(list), defaultdict(list)
-    for j, once in enumerate(b.once):
-        for t in once:
-            every[t].append(j)
-        for t in leads(once):
-            leading[t].append(j)
-    for k, once in enumerate(a.once):
-        yield k, set(chain(*(every.get(t, ()) for t in leads(once)), *(leading.get(t, ()) for t in once)))
+    for j, (once, weight) in enumerate(zip(b.once, b.weight, strict=True)):
+        for t, rest in rests(once, weight):
+            every[t].append((-rest, j))
+            if rest >= need(weight):
+                leading[t].append((need(weight), j))
+    for lists in (*every.values(), *leading.values()):
+        lists.sort()
+    up_to = lambda lists, most: islice(lists, bisect_right(lists, (most, math.inf)))
+    for k, (once, weight) in enumerate(zip(a.once, a.weight, strict=True)):
+        found = set()
+        for t, rest in rests(once, weight):
+            found.update(j for _, j in up_to(leading.get(t, ()), rest))
+            if rest >= need(weight):
+                found.update(j for _, j in up_to(every.get(t, ()), -need(weight)))
+        yield k, found
 
 
 def _table(texts: list[str]) -> np.ndarray:

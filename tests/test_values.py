@@ -1,6 +1,8 @@
 """Cleaning, text, dates, nested values and pages on literal rows."""
 
 import datetime
+import random
+from difflib import SequenceMatcher
 
 import pytest
 from hypothesis import given, settings
@@ -127,3 +129,14 @@ def test_a_label_is_any_text_that_holds_it_and_its_value_the_next_sibling():
     cards = "<a><div>No. of Units:</div><div>12</div><div>Blocks</div><p>x</p><div>13</div><div><div>Rent</div></div><div>after</div></a>"
     found = lambda label: html.cards_of(cards, "a", {"x": f"div:contains('{label}') + div"}, {"href": "href"})[0]
     assert found("No. of Units") == ("12", None) and found("Blocks") == ("", None) and found("Rent") == ("after", None) and found("units") == ("", None)
+
+
+def test_a_token_set_ratio_is_the_best_of_three():
+    r = random.Random(2)
+    for _ in range(3000):
+        a, b = (" ".join(r.choices(["a", "b", "ab", "the", "tower", "towr", "hte"], k=r.randrange(1, 5))) for _ in range(2))
+        one, two = set(a.split()), set(b.split())
+        both = " ".join(sorted(one & two))
+        left, right = (" ".join([both, *sorted(own)]).strip() for own in (one - two, two - one))
+        pairs = [(left, right), *([(both, left), (both, right)] if both else [])]
+        assert similarity.token_set_of(a, b) == max(round(100 * SequenceMatcher(None, x, y, autojunk=False).ratio()) for x, y in pairs)
